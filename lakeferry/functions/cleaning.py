@@ -30,7 +30,7 @@ def zero_date(column: Column, type_name: str = "timestamp_ntz") -> Column:
 
 
 def tinyint(column: Column) -> Column:
-    """A one-bit flag stays a number instead of becoming a boolean."""
+    """A one-byte flag is a number like any other, not a boolean."""
     return column.cast("int")
 
 
@@ -56,7 +56,7 @@ def clean(frame: DataFrame, datetimes: Collection[str] = ()) -> DataFrame:
             column = null_token(strip_delimiters(column))
             if field.name in datetimes:
                 column = zero_date(column)
-        elif isinstance(field.dataType, T.BooleanType):
+        elif isinstance(field.dataType, (T.BooleanType, T.ByteType)):
             column = tinyint(column)
         return column.alias(field.name)
 

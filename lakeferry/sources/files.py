@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -23,14 +23,16 @@ class FileSource:
         root: str,
         file_format: str = "parquet",
         suffix: str = ".parquet",
+        options: Mapping[str, str] | None = None,
     ):
         self.spark = spark
         self.root = root
         self.file_format = file_format
         self.suffix = suffix
+        self.options = dict(options or {})
 
     def read_table(self, name: str) -> DataFrame:
-        return self.spark.read.format(self.file_format).load(f"{self.root}/{name}{self.suffix}")
+        return self._reader().load(f"{self.root}/{name}{self.suffix}")
 
     def read_split(self, name: str, key: str, readers: int = 1) -> DataFrame:
         """The same scan: files are split by size already, which needs no key."""
@@ -49,7 +51,10 @@ class FileSource:
         Columns go by name, so a column that some days lack is NULL there. Give
         ``schema`` for a log of many files; else their footers are read for it.
         """
-        reader = self.spark.read.format(self.file_format)
+        reader = self._reader()
         reader = reader.schema(schema) if schema else reader.option("mergeSchema", "true")
         wanted = F.col("yymmdd").between(partition_value(days[0]), partition_value(days[-1]))
         return reader.load(f"{self.root}/{base}").where(wanted)
+
+    def _reader(self) -> DataFrameReader:
+        return self.spark.read.format(self.file_format).options(**self.options)

@@ -12,17 +12,20 @@ from lakeferry.functions.days import back, day_key
 
 
 class FrameSource:
-    """Frames by table name; a log is a frame and its time column."""
+    """Frames by table name; a log is a frame and its time column.
 
-    day_aligned = False
+    Say ``day_aligned`` if the frames of logs lie in the order of time.
+    """
 
     def __init__(
         self,
         tables: Mapping[str, DataFrame] | None = None,
         logs: Mapping[str, tuple[DataFrame, str]] | None = None,
+        day_aligned: bool = False,
     ):
         self.tables = dict(tables or {})
         self.logs = dict(logs or {})
+        self.day_aligned = day_aligned
 
     def read_table(self, name: str) -> DataFrame:
         return self.tables[name]

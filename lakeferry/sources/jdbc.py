@@ -37,8 +37,9 @@ class JdbcSource:
     """Reads over JDBC.
 
     ``readers`` is the least number of ranges that a split read uses. A single
-    connection would draw a whole table through one task, so it is above one;
-    set it to what the database can bear. The rows do not depend on it.
+    connection would draw a whole table through one task, so it is above one.
+    ``connections`` bounds how many ranges are read at a time, for a database
+    that a large cluster would overrun. The rows depend on neither.
     """
 
     day_aligned = True
@@ -49,11 +50,13 @@ class JdbcSource:
         url: str,
         properties: Mapping[str, str] | None = None,
         readers: int = 8,
+        connections: int | None = None,
     ):
         self.spark = spark
         self.url = url
         self.properties = {"fetchsize": str(FETCH_SIZE), **(properties or {})}
         self.readers = readers
+        self.connections = connections
         self._quote = "`" if url.startswith("jdbc:mysql:") else '"'
 
     def read_table(self, name: str) -> DataFrame:
@@ -61,7 +64,8 @@ class JdbcSource:
 
     def read_split(self, name: str, key: str, readers: int = 1) -> DataFrame:
         low, high = self._bounds([name], key)[name]
-        return self._read_ranges(name, key, split_cuts(low, high, max(readers, self.readers)))
+        cuts = split_cuts(low, high, max(readers, self.readers))
+        return self._bounded(self._read_ranges(name, key, cuts))
 
     def read_shards(
         self, base: str, days: Sequence[date], key: str | None = None, readers: int = 1
@@ -78,7 +82,8 @@ class JdbcSource:
             cuts = split_cuts(*bounds[name], readers) if key else []
             frame = self._read_ranges(name, key, cuts)
             shards.append(frame.withColumn("yymmdd", F.lit(day)))
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shards)
+        joined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shards)
+        return self._bounded(joined)
 
     def _read_ranges(self, name: str, key: str | None, cuts: Sequence) -> DataFrame:
         if not cuts:
@@ -90,6 +95,9 @@ class JdbcSource:
             properties=self.properties,
         )
 
+    def _bounded(self, frame: DataFrame) -> DataFrame:
+        return frame.coalesce(self.connections) if self.connections else frame
+
     def _bounds(self, names: Sequence[str], key: str) -> dict[str, tuple]:
         """Least and greatest key of each table, asked for in one query.
 

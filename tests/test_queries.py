@@ -1,0 +1,68 @@
+"""Every registered query against its SQL, on whole tables."""
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_points
+from lakeferry import SNAPSHOT_TABLES
+from workload import inputs
+
+SF = Path("/root/testdata/sf0.001")
+TYPES = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    connection = duckdb.connect()
+    for path in SF.glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def ordered(rows, names):
+    places = sorted(range(len(names)), key=names.__getitem__)
+    return sorted((tuple(row[i] for i in places) for row in rows), key=repr)
+
+
+def test_every_query_has_sql():
+    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", entry_points.queries())
+def test_query(spark, oracle, name):
+    frame = entry_points.queries()[name](spark, str(SF))
+    result = oracle.execute(entry_points.oracle_sql()[name])
+    wanted_types = {column[0]: str(column[1]) for column in result.description}
+    assert {f.name: TYPES[f.dataType.simpleString()] for f in frame.schema} == wanted_types
+    wanted = ordered(result.fetchall(), list(wanted_types))
+    assert ordered(frame.collect(), frame.columns) == wanted
+    assert wanted or name == "schema_only"
+
+
+def test_entry(spark):
+    assert entry_points.entry(spark).count() == 400
+
+
+def test_scratch_lies_in_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert inputs.scratch(spark).startswith(f"{shared}/")
+
+
+def test_inputs_reach_every_case(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    made = inputs.snapshot_input(documents, SNAPSHOT_TABLES["user_auth"])
+    lengths = {row[0] for row in made.selectExpr("length(mobile)").collect()}
+    assert lengths == {None, *range(1, 12)}
+    sizes = {row[0] for row in made.selectExpr("octet_length(realname)").collect()}
+    tiers = {n if n is None else (n > 9) + (n > 12) + (n > 24) for n in sizes}
+    assert tiers >= {None, 0, 1, 2}
+    cards = {row[0] for row in made.select("person_card").collect()}
+    assert {None, ""} < cards

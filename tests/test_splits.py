@@ -1,0 +1,72 @@
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from lakeferry.sources.splits import numeric_cuts, split_cuts, split_index, split_predicates, text_cuts
+
+
+def readers_of(spark, values, type_name, cuts):
+    """For each value: the readers whose condition holds, and the one assigned."""
+    frame = spark.createDataFrame(list(enumerate(values)), f"place int, k {type_name}")
+    conditions = split_predicates("k", cuts)
+    asked = frame.select(
+        "place",
+        split_index(F.col("k"), cuts).alias("given"),
+        F.array(*[F.coalesce(F.expr(c), F.lit(False)) for c in conditions]).alias("holds"),
+    )
+    return [
+        ([i for i, held in enumerate(row.holds) if held], row.given)
+        for row in sorted(asked.collect())
+    ]
+
+
+def assert_each_once(found):
+    assert all(holding == [assigned] for holding, assigned in found)
+
+
+def test_numeric_cuts_are_even():
+    assert numeric_cuts(0, 99, 4) == [25, 50, 75]
+    assert numeric_cuts(7, 7, 4) == []
+    assert numeric_cuts(1, 3, 8) == [2, 3]
+
+
+def test_text_cuts_lie_between():
+    cuts = text_cuts("order_2018000", "order_2018999", 4)
+    assert cuts == sorted(cuts) and len(cuts) == 3
+    assert all("order_2018000" <= cut <= "order_2018999" for cut in cuts)
+
+
+def test_text_cuts_need_no_escaping():
+    assert not any(set(cut) & set("'\\") for cut in text_cuts("it's a", "it's z", 4))
+
+
+def test_nothing_to_split():
+    assert split_cuts(None, None, 4) == split_cuts(1, 9, 1) == []
+    assert split_predicates("k", []) == ["1=1"]
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    values=st.lists(st.one_of(st.none(), st.integers(-(10**12), 10**12)), min_size=2, max_size=60),
+    readers=st.integers(1, 9),
+)
+def test_numbers_are_read_once(spark, values, readers):
+    known = [value for value in values if value is not None] or [None]
+    cuts = split_cuts(min(known), max(known), readers)
+    assert_each_once(readers_of(spark, values, "bigint", cuts))
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    values=st.lists(st.text("09azAZ'\\ _é王", max_size=8), min_size=2, max_size=60),
+    readers=st.integers(1, 9),
+)
+def test_texts_are_read_once(spark, values, readers):
+    cuts = split_cuts(min(values), max(values), readers)
+    assert_each_once(readers_of(spark, [*values, None], "string", cuts))
+
+
+def test_any_order_of_cuts_reads_each_row_once(spark):
+    """A database may sort text differently from the cuts."""
+    values = ["a", "B", "m", "Z", "0", None]
+    assert_each_once(readers_of(spark, values, "string", ["m", "B", "a"]))

@@ -1,0 +1,114 @@
+from pyspark.sql import functions as F
+
+from lakeferry.functions.days import as_day, list_days
+from lakeferry.operators import warehouse as tables
+from tests.conftest import rows
+
+DAYS = list_days("2018-04-18", "2018-04-21")
+
+
+def log(spark, days=DAYS, value="v"):
+    made = [(i, f"{value}{i}", int(day.strftime("%Y%m%d"))) for i, day in enumerate(days)]
+    return spark.createDataFrame(made, "id bigint, value string, yymmdd int")
+
+
+def ddl(spark, table):
+    return spark.sql(f"SHOW CREATE TABLE {table}").first()[0]
+
+
+def test_staging_is_snappy_orc_by_day(spark, warehouse):
+    warehouse.stage(log(spark), "t", DAYS, aligned=False)
+    shown = ddl(spark, warehouse.staging("t"))
+    assert "USING orc" in shown and "'compression' = 'snappy'" in shown
+    assert "PARTITIONED BY (yymmdd)" in shown and "yymmdd INT" in shown
+    files = spark.table(warehouse.staging("t")).inputFiles()
+    assert files and all(name.endswith(".snappy.orc") for name in files)
+
+
+def test_day_rerun_leaves_the_others(spark, warehouse):
+    warehouse.stage(log(spark), "t", DAYS, aligned=False)
+    for _ in range(2):
+        warehouse.stage(log(spark, DAYS[1:2], "new"), "t", DAYS[1:2], aligned=True)
+    assert rows(spark.table(warehouse.staging("t")).select("value")) == [
+        ("new0",), ("v0",), ("v2",), ("v3",),
+    ]
+
+
+def test_rerun_of_a_day_that_became_empty(spark, warehouse):
+    both = log(spark)
+    warehouse.stage(both, "t", DAYS, aligned=False)
+    warehouse.publish_days(both, both, "t", DAYS)
+    fewer = both.where("yymmdd <> 20180420")
+    warehouse.stage(fewer, "t", DAYS, aligned=False)
+    staged = warehouse.staged("t", DAYS)
+    warehouse.publish_days(staged, staged, "t", DAYS)
+    for table in (warehouse.staging("t"), warehouse.masked("t"), warehouse.raw("t")):
+        assert rows(spark.table(table).select("yymmdd")) == [(20180418,), (20180419,), (20180421,)]
+
+
+def test_session_overwrite_mode_does_not_matter(spark, warehouse):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(key, "static")
+    try:
+        test_day_rerun_leaves_the_others(spark, warehouse)
+    finally:
+        spark.conf.unset(key)
+
+
+def test_expire_ignores_absent_days(spark, warehouse):
+    warehouse.stage(log(spark), "t", DAYS, aligned=False)
+    warehouse.expire("t", list_days("2018-04-10", "2018-04-19"))
+    warehouse.expire("t", [as_day("2018-04-19")])
+    assert tables.list_partitions(spark, warehouse.staging("t")) == [20180420, 20180421]
+
+
+def test_create_shaped_reads_nothing_and_keeps_an_existing_table(spark, warehouse):
+    name = warehouse.masked("t")
+    tables.create_shaped(spark.range(5).withColumn("v", F.lit("x")), name)
+    assert spark.table(name).columns == ["id", "v"] and spark.table(name).count() == 0
+    tables.overwrite(spark.range(5), name)
+    tables.create_shaped(spark.range(1).toDF("other"), name)
+    assert spark.table(name).columns == ["id", "v"] and spark.table(name).count() == 5
+
+
+def test_create_like_keeps_format_and_partitioning(spark, warehouse):
+    tables.create_shaped(log(spark), warehouse.masked("t"), by_day=True)
+    tables.create_like(spark, warehouse.raw("t"), warehouse.masked("t"))
+    shown = ddl(spark, warehouse.raw("t"))
+    assert "USING orc" in shown and "PARTITIONED BY (yymmdd)" in shown
+    assert "'partitionOverwriteMode' = 'dynamic'" in shown
+
+
+def test_columns_go_by_name(spark, warehouse):
+    name = warehouse.masked("t")
+    tables.create_shaped(spark.sql("SELECT 1 AS a, 'x' AS b, 2.5D AS c"), name)
+    tables.overwrite(spark.sql("SELECT 'y' AS b, 7 AS a"), name)
+    assert rows(spark.table(name)) == [(7, "y", None)]
+
+
+def test_staging_gains_columns(spark, warehouse):
+    old = log(spark, DAYS[:1])
+    warehouse.stage(old, "t", DAYS[:1], aligned=True)
+    wider = log(spark, DAYS[1:2]).withColumn("extra", F.lit(1.5))
+    warehouse.stage(wider, "t", DAYS[1:2], aligned=True)
+    assert rows(spark.table(warehouse.staging("t")).select("yymmdd", "extra")) == [
+        (20180418, None), (20180419, 1.5),
+    ]
+
+
+def test_one_hot_day_is_spread_over_many_tasks(spark, warehouse):
+    """A third of all rows in one day must not end in one task and one file."""
+    hot = F.when(F.col("id") % 3 == 0, 20180420).otherwise(20180418 + F.col("id") % 2)
+    frame = spark.range(0, 600000, 1, 16).select(
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("v"), hot.cast("int").alias("yymmdd")
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2m")
+    try:
+        warehouse.stage(frame, "t", list_days("2018-04-18", "2018-04-20"), aligned=False)
+    finally:
+        spark.conf.set(key, before)
+    staged = spark.table(warehouse.staging("t"))
+    assert len(staged.where("yymmdd = 20180420").inputFiles()) > 3
+    assert staged.count() == 600000

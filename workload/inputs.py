@@ -48,7 +48,7 @@ def both_layers(warehouse: Warehouse, name: str) -> DataFrame:
 
 def phone(key: Column) -> Column:
     """Digits of every length from 1 to 11, and NULLs."""
-    number = F.lit(13000000000) + (key * 7919) % 1000000000
+    number = F.lit(13812345678) + (key * 7919) % 1000000000
     cut = F.pow(F.lit(10), 1 + key % 11).cast("long")
     return F.when(key % 13 != 0, (number % cut).cast("string"))
 

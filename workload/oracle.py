@@ -63,7 +63,7 @@ STRICT_MASKS = {
 
 def _phone_input(key: str) -> str:
     return f"""CASE WHEN {key} % 13 <> 0 THEN CAST(
-        (13000000000 + ({key} * 7919) % 1000000000) % CAST(pow(10, 1 + {key} % 11) AS BIGINT)
+        (13812345678 + ({key} * 7919) % 1000000000) % CAST(pow(10, 1 + {key} % 11) AS BIGINT)
         AS VARCHAR) END"""
 
 
