@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeferry.functions.days import partition_value
+from lakeferry.session import WIDE_TABLES, applied
 
 DAY = "yymmdd"
 
@@ -142,7 +143,8 @@ def conform(frame: DataFrame, table: str) -> DataFrame:
 
 def overwrite(frame: DataFrame, table: str) -> None:
     """Replace the table, or in a table by day the days that ``frame`` has."""
-    conform(frame, table).write.insertInto(table, overwrite=True)
+    with applied(frame.sparkSession, WIDE_TABLES):
+        conform(frame, table).write.insertInto(table, overwrite=True)
 
 
 def list_partitions(spark: SparkSession, table: str) -> list[int]:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Sequence
+from numbers import Number
 from os.path import commonprefix
 
 from pyspark.sql import Column
@@ -56,7 +57,11 @@ def split_cuts(low, high, readers: int) -> list:
     """Cuts between two key values; none if there is nothing to split."""
     if low is None or readers <= 1:
         return []
-    return (text_cuts if isinstance(low, str) else numeric_cuts)(low, high, readers)
+    if isinstance(low, str):
+        return text_cuts(low, high, readers)
+    if isinstance(low, Number):
+        return numeric_cuts(low, high, readers)
+    raise TypeError(f"cannot split on a key of type {type(low).__name__}")
 
 
 def split_predicates(key: str, cuts: Sequence) -> list[str]:

@@ -56,6 +56,23 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert inputs.scratch(spark).startswith(f"{shared}/")
 
 
+class Session:
+    """Just enough of a session to ask for settings."""
+
+    def __init__(self, **settings):
+        self.settings = {key.replace("_", "."): value for key, value in settings.items()}
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_no_local_scratch_on_a_cluster():
+    with pytest.raises(RuntimeError):
+        inputs.scratch(Session(spark_master="yarn"))
+    assert inputs.scratch(Session(spark_master="local[2]"))
+
+
 def test_inputs_reach_every_case(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     made = inputs.snapshot_input(documents, SNAPSHOT_TABLES["user_auth"])

@@ -1,3 +1,6 @@
+from datetime import date
+
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -40,6 +43,11 @@ def test_text_cuts_need_no_escaping():
     assert not any(set(cut) & set("'\\") for cut in text_cuts("it's a", "it's z", 4))
 
 
+def test_other_key_types_are_refused():
+    with pytest.raises(TypeError):
+        split_cuts(date(2018, 1, 1), date(2018, 2, 1), 4)
+
+
 def test_nothing_to_split():
     assert split_cuts(None, None, 4) == split_cuts(1, 9, 1) == []
     assert split_predicates("k", []) == ["1=1"]

@@ -25,11 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession) -> str:
     """A fresh folder name where every executor can write.
 
-    It lies in the folder the cluster names; only a session that names none, as
-    in tests on one machine, gets a temporary one.
+    It lies in the folder the cluster names. Only a session on one machine may
+    name none; it gets a temporary one.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or tempfile.mkdtemp(prefix='lakeferry-')}/{uuid4().hex}"
+    if not shared:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="lakeferry-")
+    return f"{shared.rstrip('/')}/{uuid4().hex}"
 
 
 def new_warehouse(spark: SparkSession) -> Warehouse:
