@@ -51,13 +51,14 @@ class Warehouse:
 
         ``aligned`` frames are written as they come. Others would leave one
         file per task and day; they are rebalanced by day once, which also
-        spreads a day that is much larger than the others over many tasks.
+        spreads a day that is much larger than the others over many tasks, and
+        gathers the few rows that each task has of a single day.
         """
         table = self.staging(name)
         create_shaped(frame, table, by_day=True, compression="snappy")
         add_columns(frame, table)
         drop_days(self.spark, table, days)
-        if not aligned and len(days) > 1:
+        if not aligned:
             frame = frame.hint("rebalance", DAY)
         overwrite(frame, table)
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,8 +81,7 @@ class JdbcSource:
             cuts = split_cuts(*bounds[name], readers) if key else []
             frame = self._read_ranges(name, key, cuts)
             shards.append(frame.withColumn("yymmdd", F.lit(day)))
-        joined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shards)
-        return self._bounded(joined)
+        return self._bounded(_union_by_name(shards))
 
     def _read_ranges(self, name: str, key: str | None, cuts: Sequence) -> DataFrame:
         if not cuts:
@@ -113,3 +111,16 @@ class JdbcSource:
 
     def _quoted(self, column: str) -> str:
         return f"{self._quote}{column}{self._quote}"
+
+
+def _union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
+    """Unite frames half by half.
+
+    One after another, each union analyses all those before it: 40 seconds for
+    a year of days, against two.
+    """
+    if len(frames) == 1:
+        return frames[0]
+    half = len(frames) // 2
+    first, second = _union_by_name(frames[:half]), _union_by_name(frames[half:])
+    return first.unionByName(second, allowMissingColumns=True)

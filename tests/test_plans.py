@@ -65,17 +65,19 @@ def test_log_days_reach_the_scan_and_shuffle_once(spark, warehouse):
     assert plan_of(rebalanced).count("Exchange (") == 1
 
 
-def test_one_day_is_staged_without_a_shuffle(spark, warehouse, monkeypatch):
+@pytest.mark.parametrize("day_aligned", [True, False])
+def test_only_frames_in_no_order_are_rebalanced(spark, warehouse, monkeypatch, day_aligned):
     events = spark.read.parquet(f"{SF}/events.parquet")
     spec = LOG_TABLES["order_log"]
-    source = FrameSource(logs={"order_log": (inputs.log_input(events, spec), "createtime")})
+    logs = {"order_log": (inputs.log_input(events, spec), "createtime")}
     seen = []
     monkeypatch.setattr(
         "lakeferry.operators.warehouse.overwrite", lambda frame, table: seen.append(plan_of(frame))
     )
-    stage_days(source, warehouse, spec, "2024-01-05", "2024-01-05")
+    source = FrameSource(logs=logs, day_aligned=day_aligned)
     stage_days(source, warehouse, spec, "2024-01-05", "2024-01-06")
-    assert "Exchange" not in seen[0] and "REBALANCE" in seen[1]
+    assert ("Exchange" in seen[0]) is not day_aligned
+    assert ("REBALANCE" in seen[0]) is not day_aligned
 
 
 @pytest.mark.parametrize(
