@@ -1,6 +1,6 @@
-"""Command line: one snapshot, a range of log days, or one log day.
+"""Command line: snapshots, a range of log days, or one log day.
 
-    python -m lakeferry snapshot agency --today 2018-04-21 --mysql db:3306/pay ...
+    python -m lakeferry snapshot agency user_base --today 2018-04-21 --mysql db:3306/pay ...
     python -m lakeferry days order_log 2018-04-01 2018-04-20 --mysql db:3306/log ...
     python -m lakeferry day order_log 2018-04-21 --mysql db:3306/log ...
     python -m lakeferry stage order_log 2018-04-01 2018-04-20 --mysql db:3306/log ...
@@ -47,8 +47,8 @@ def parser() -> argparse.ArgumentParser:
 
     top = argparse.ArgumentParser(prog="lakeferry", description=__doc__.splitlines()[0])
     commands = top.add_subparsers(dest="command", required=True)
-    snapshot = commands.add_parser("snapshot", parents=[shared], help="load a whole table")
-    snapshot.add_argument("table")
+    snapshot = commands.add_parser("snapshot", parents=[shared], help="load whole tables")
+    snapshot.add_argument("tables", nargs="+", metavar="table")
     snapshot.add_argument("--today", type=as_day, required=True, help="the day of the run")
     for command, text in (("days", "load a range of days"), ("stage", "only stage the days")):
         ranged = commands.add_parser(command, parents=[shared], help=text)
@@ -79,21 +79,24 @@ def _source(spark: SparkSession, given: argparse.Namespace):
 def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     given = parser().parse_args(arguments)
     known = SNAPSHOT_TABLES if given.command == "snapshot" else LOG_TABLES
-    model = given.columns_of or given.table
-    if model not in known:
-        raise SystemExit(f"unknown table {model}; known are {', '.join(known)}")
-    spec = replace(known[model], name=given.table)
+    specs = []
+    for table in given.tables if given.command == "snapshot" else [given.table]:
+        model = given.columns_of or table
+        if model not in known:
+            raise SystemExit(f"unknown table {model}; known are {', '.join(known)}")
+        specs.append(replace(known[model], name=table))
     salt = given.salt_file.read_text().strip() if given.salt_file else None
     profile = strict(salt) if given.strict else COMPAT
 
     spark = spark or start()
     source = _source(spark, given)
     warehouse = Warehouse(spark, given.masked_db, given.raw_db).create(given.location)
-    if given.command == "snapshot":
-        load_snapshot(source, warehouse, spec, given.today, profile)
-    elif given.command == "days":
-        load_days(source, warehouse, spec, given.start, given.end, profile=profile)
-    elif given.command == "stage":
-        stage_days(source, warehouse, spec, given.start, given.end)
-    else:
-        load_day(source, warehouse, spec, given.day, profile)
+    for spec in specs:
+        if given.command == "snapshot":
+            load_snapshot(source, warehouse, spec, given.today, profile)
+        elif given.command == "days":
+            load_days(source, warehouse, spec, given.start, given.end, profile=profile)
+        elif given.command == "stage":
+            stage_days(source, warehouse, spec, given.start, given.end)
+        else:
+            load_day(source, warehouse, spec, given.day, profile)

@@ -11,8 +11,8 @@ Mask = Callable[[Column], Column]
 
 
 def project(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The named columns, in this order."""
-    return frame.select(*[F.col(name) for name in columns])
+    """The named columns, in this order and spelled this way."""
+    return frame.select(*[F.col(name).alias(name) for name in columns])
 
 
 def mask_columns(frame: DataFrame, masks: Mapping[str, Mask]) -> DataFrame:
@@ -39,8 +39,8 @@ def era(frame: DataFrame, later: Mapping[str, str], cutoff: int | None) -> DataF
     the day ``cutoff``. Up to it they are NULL, and also if the frame, being of
     old days only, lacks them.
     """
-    columns = {}
+    columns, held = {}, {name.lower() for name in frame.columns}
     for name, type_name in later.items():
-        value = F.col(name) if name in frame.columns else F.lit(None).cast(type_name)
+        value = F.col(name) if name.lower() in held else F.lit(None).cast(type_name)
         columns[name] = F.when(F.col("yymmdd") > cutoff, value) if cutoff else value
     return frame.withColumns(columns)

@@ -11,8 +11,9 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from lakeferry.functions.days import partition_value
 from lakeferry.session import WIDE_TABLES, applied
@@ -95,7 +96,7 @@ class Warehouse:
         drop_days(self.spark, self.staging(name), days)
 
 
-def of_days(days: Sequence[date]):
+def of_days(days: Sequence[date]) -> Column:
     first, last = partition_value(days[0]), partition_value(days[-1])
     return F.col(DAY) == first if first == last else F.col(DAY).between(first, last)
 
@@ -122,8 +123,8 @@ def create_like(spark: SparkSession, table: str, model: str) -> None:
 
 def add_columns(frame: DataFrame, table: str) -> None:
     """Widen a table by the columns that a later source has gained."""
-    known = set(frame.sparkSession.table(table).columns)
-    added = [field for field in frame.schema.fields if field.name not in known]
+    known = _lower(frame.sparkSession.table(table))
+    added = [field for field in frame.schema.fields if field.name.lower() not in known]
     if added:
         listed = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in added)
         frame.sparkSession.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
@@ -131,15 +132,19 @@ def add_columns(frame: DataFrame, table: str) -> None:
 
 def conform(frame: DataFrame, table: str) -> DataFrame:
     """The columns of the table by name, in its order; NULL for absent ones."""
-    held = set(frame.columns)
-    return frame.select(
-        *[
-            F.col(field.name)
-            if field.name in held
-            else F.lit(None).cast(field.dataType).alias(field.name)
-            for field in frame.sparkSession.table(table).schema.fields
-        ]
-    )
+    held = _lower(frame)
+
+    def value(field: StructField) -> Column:
+        if field.name.lower() in held:
+            return F.col(f"`{field.name}`")
+        return F.lit(None).cast(field.dataType).alias(field.name)
+
+    return frame.select(*map(value, frame.sparkSession.table(table).schema.fields))
+
+
+def _lower(frame: DataFrame) -> set[str]:
+    """Column names as Spark tells them apart."""
+    return {name.lower() for name in frame.columns}
 
 
 def overwrite(frame: DataFrame, table: str) -> None:

@@ -24,6 +24,17 @@ def test_snapshot(spark, tmp_path):
     assert spark.table(f"{raw}.cashier_relation").count() == 2
 
 
+def test_several_snapshots(spark, tmp_path):
+    for name in ("areacode", "user_code"):
+        columns = SNAPSHOT_TABLES[name].columns
+        frame = spark.range(2).select(*[F.lit("x").alias(c) for c in columns])
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+    asked = ["snapshot", "areacode", "user_code", "--today", "20180421"]
+    masked, raw = run(spark, tmp_path, *asked)
+    for name in ("areacode", "user_code"):
+        assert spark.table(f"{masked}.{name}").count() == spark.table(f"{raw}.{name}").count() == 2
+
+
 def test_strict_snapshot_with_salt(spark, tmp_path):
     spec = SNAPSHOT_TABLES["user_bank"]
     frame = spark.range(1).select(*[F.lit("6222").alias(c) for c in spec.columns])

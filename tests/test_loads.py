@@ -105,6 +105,24 @@ def test_layers_have_the_same_shape_and_rows(spark, warehouse):
         assert not set(rows(masked.select(column))) & set(rows(raw.select(column)))
 
 
+def test_spelling_of_source_columns_does_not_matter(spark, warehouse):
+    for today, spell in (("2018-04-20", str.upper), ("2018-04-21", str.lower)):
+        spelled = users(spark).toDF(*map(spell, USERS.columns))
+        load_snapshot(FrameSource({"user_auth": spelled}), warehouse, USERS, today)
+        masked = spark.table(warehouse.masked("user_auth"))
+        assert tuple(masked.columns) == USERS.columns
+        assert rows(masked.select("realname")) == [("A**a",), ("J" + "*" * 13 + "n",), ("王*明",)]
+
+
+def test_a_missing_column_stops_before_publishing(spark, warehouse):
+    load_snapshot(FrameSource({"user_auth": users(spark)}), warehouse, USERS, "2018-04-20")
+    lacking = users(spark).drop("mobile")
+    wanted = replace(USERS, name="other")
+    with pytest.raises(Exception, match="mobile"):
+        load_snapshot(FrameSource({"other": lacking}), warehouse, wanted, "2018-04-21")
+    assert not spark.catalog.tableExists(warehouse.masked("other"))
+
+
 def test_masked_number_column_is_text_in_both_layers(spark, warehouse):
     numbers = users(spark).withColumn("mobile", F.col("mobile").cast("bigint"))
     load_snapshot(FrameSource({"user_auth": numbers}), warehouse, USERS, "2018-04-20")

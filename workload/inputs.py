@@ -63,9 +63,8 @@ def card(key: Column) -> Column:
     return F.when(key % 11 != 0, number)
 
 
-def person(text: Column, key: Column) -> Column:
+def person(words: Column, key: Column) -> Column:
     """One word of a text, at a place that depends on the key, and NULLs."""
-    words = F.split(text, " ")
     return F.when(key % 17 != 0, F.get(words, (key % F.size(words)).cast("int")))
 
 
@@ -77,7 +76,7 @@ def snapshot_input(documents: DataFrame, spec: TableSpec) -> DataFrame:
     """Documents in the shape of a table: one row each, every column filled."""
     key = F.col("doc_id")
     rules = {
-        "name": lambda: person(F.col("text"), key),
+        "name": lambda: person(F.col("words"), key),
         "phone": lambda: phone(key),
         "short_phone": lambda: phone(key),
         "hash": lambda: card(key),
@@ -90,7 +89,9 @@ def snapshot_input(documents: DataFrame, spec: TableSpec) -> DataFrame:
             return rules[spec.masks[column]]()
         return labelled(column, key)
 
-    return documents.select(*[value(column).alias(column) for column in spec.columns])
+    # In a column of its own, so that each text is split once; pruned if unused.
+    split = documents.withColumn("words", F.split("text", " "))
+    return split.select(*[value(column).alias(column) for column in spec.columns])
 
 
 def log_input(events: DataFrame, spec: TableSpec) -> DataFrame:
