@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,9 +72,9 @@ class Warehouse:
     def publish(self, masked: DataFrame, raw: DataFrame, name: str) -> None:
         """Replace both layers in full."""
         create_shaped(masked, self.masked(name))
-        overwrite(masked, self.masked(name))
+        replace_whole(masked, self.masked(name))
         create_like(self.spark, self.raw(name), self.masked(name))
-        overwrite(raw, self.raw(name))
+        replace_whole(raw, self.raw(name))
 
     def publish_days(
         self, masked: DataFrame, raw: DataFrame, name: str, days: Sequence[date]
@@ -153,6 +154,33 @@ def overwrite(frame: DataFrame, table: str) -> None:
         conform(frame, table).write.insertInto(table, overwrite=True)
 
 
+def replace_whole(frame: DataFrame, table: str) -> None:
+    """Replace an unpartitioned table, all at once.
+
+    An overwrite in place deletes the old files before it writes, so readers
+    would find nothing until the job ends, and nothing at all if it fails. The
+    rows go to a table of their own instead; then the two trade locations and
+    the old rows are dropped with that table. No file is moved.
+    """
+    spark = frame.sparkSession
+    spare = f"{table}__{uuid4().hex[:12]}"
+    create_like(spark, spare, table)
+    try:
+        overwrite(frame, spare)
+    except BaseException:
+        spark.sql(f"DROP TABLE {spare}")
+        raise
+    old, new = location(spark, table), location(spark, spare)
+    spark.sql(f"ALTER TABLE {spare} SET LOCATION '{old}'")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+    spark.sql(f"DROP TABLE {spare}")
+
+
+def location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE FORMATTED {table}")
+    return described.where("col_name = 'Location'").first().data_type
+
+
 def list_partitions(spark: SparkSession, table: str) -> list[int]:
     """The days a table holds, from the catalog."""
     return [int(row[0].split("=")[1]) for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]

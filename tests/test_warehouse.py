@@ -1,3 +1,6 @@
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 from lakeferry.functions.days import as_day, list_days
@@ -112,3 +115,34 @@ def test_one_hot_day_is_spread_over_many_tasks(spark, warehouse):
     staged = spark.table(warehouse.staging("t"))
     assert len(staged.where("yymmdd = 20180420").inputFiles()) > 3
     assert staged.count() == 600000
+
+
+def test_a_snapshot_is_replaced_all_at_once(spark, warehouse):
+    name = warehouse.masked("t")
+    tables.create_shaped(spark.range(1), name)
+    for count in (5, 3, 4):
+        tables.replace_whole(spark.range(count), name)
+        assert spark.table(name).count() == count
+        held = spark.sql(f"SHOW TABLES IN {warehouse.masked_db}").collect()
+        assert [row.tableName for row in held] == ["t"]
+    folder = tables.location(spark, name).removeprefix("file:")
+    assert [path.name for path in Path(folder).parent.iterdir()] == [Path(folder).name]
+
+
+def test_a_failed_replacement_leaves_the_old_rows(spark, warehouse):
+    name = warehouse.masked("t")
+    tables.create_shaped(spark.range(1), name)
+    tables.replace_whole(spark.range(5), name)
+    broken = spark.range(100).withColumn("id", F.expr("if(id = 99, raise_error('lost'), id)"))
+    with pytest.raises(Exception, match="lost"):
+        tables.replace_whole(broken, name)
+    assert spark.table(name).count() == 5
+    assert spark.sql(f"SHOW TABLES IN {warehouse.masked_db}").count() == 1
+
+
+def test_a_table_can_be_replaced_by_its_own_rows(spark, warehouse):
+    name = warehouse.masked("t")
+    tables.create_shaped(spark.range(1), name)
+    tables.replace_whole(spark.range(5), name)
+    tables.replace_whole(spark.table(name).where("id > 2"), name)
+    assert rows(spark.table(name)) == [(3,), (4,)]
