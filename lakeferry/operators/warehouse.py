@@ -98,8 +98,8 @@ class Warehouse:
 
 
 def of_days(days: Sequence[date]) -> Column:
-    first, last = partition_value(days[0]), partition_value(days[-1])
-    return F.col(DAY) == first if first == last else F.col(DAY).between(first, last)
+    values = [partition_value(day) for day in days]
+    return F.col(DAY) == values[0] if len(values) == 1 else F.col(DAY).isin(values)
 
 
 def create_shaped(

@@ -21,12 +21,15 @@ from lakeferry.operators.projection import as_text, constant, era, mask_columns,
 from lakeferry.operators.warehouse import DAY, Warehouse
 from lakeferry.plans.profiles import COMPAT, Profile
 from lakeferry.plans.specs import TableSpec
+from lakeferry.sources import Source
 
 # Fixed value: the last day of the log without the later columns.
 LAST_OLD_DAY = 20180420
 
 
-def stage_snapshot(source, warehouse: Warehouse, spec: TableSpec, day: str | date) -> None:
+def stage_snapshot(
+    source: Source, warehouse: Warehouse, spec: TableSpec, day: str | date
+) -> None:
     """Copy the whole table, with all its columns, into one day of staging."""
     frame = clean(source.read_split(spec.name, spec.key, spec.readers))
     staged = frame.withColumn(DAY, F.lit(partition_value(day)))
@@ -46,7 +49,7 @@ def layers(
 
 
 def load_snapshot(
-    source,
+    source: Source,
     warehouse: Warehouse,
     spec: TableSpec,
     today: str | date,
@@ -61,7 +64,7 @@ def load_snapshot(
 
 
 def stage_days(
-    source, warehouse: Warehouse, spec: TableSpec, start: str | date, end: str | date
+    source: Source, warehouse: Warehouse, spec: TableSpec, start: str | date, end: str | date
 ) -> list[date]:
     """Copy the log of all days from start to end into staging, in one job."""
     days = list_days(start, end)
@@ -72,7 +75,7 @@ def stage_days(
 
 
 def load_days(
-    source,
+    source: Source,
     warehouse: Warehouse,
     spec: TableSpec,
     start: str | date,
@@ -94,7 +97,7 @@ def load_days(
 
 
 def load_day(
-    source,
+    source: Source,
     warehouse: Warehouse,
     spec: TableSpec,
     day: str | date,

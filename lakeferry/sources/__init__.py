@@ -1,20 +1,8 @@
-"""Where tables come from.
-
-Every source offers the same three reads:
-
-``read_table(name)``
-    the whole table;
-``read_split(name, key, readers)``
-    the whole table, in parallel ranges of ``key``;
-``read_shards(base, days, key, readers)``
-    the log of the given days, each row tagged with its day in ``yymmdd``.
-
-``day_aligned`` tells whether a partition of ``read_shards`` holds rows of few
-days, so that it can be written by day without a shuffle.
-"""
+"""Where tables come from: a database, files, or frames."""
 
+from lakeferry.sources.base import Source
 from lakeferry.sources.files import FileSource
 from lakeferry.sources.frames import FrameSource
 from lakeferry.sources.jdbc import JdbcSource, mysql_url
 
-__all__ = ["FileSource", "FrameSource", "JdbcSource", "mysql_url"]
+__all__ = ["FileSource", "FrameSource", "JdbcSource", "Source", "mysql_url"]

@@ -53,8 +53,8 @@ class FileSource:
         """
         reader = self._reader()
         reader = reader.schema(schema) if schema else reader.option("mergeSchema", "true")
-        wanted = F.col("yymmdd").between(partition_value(days[0]), partition_value(days[-1]))
-        return reader.load(f"{self.root}/{base}").where(wanted)
+        wanted = [partition_value(day) for day in days]
+        return reader.load(f"{self.root}/{base}").where(F.col("yymmdd").isin(wanted))
 
     def _reader(self) -> DataFrameReader:
         return self.spark.read.format(self.file_format).options(**self.options)

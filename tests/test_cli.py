@@ -8,8 +8,9 @@ from tests.conftest import rows
 
 def run(spark, tmp_path, *arguments):
     tag = tmp_path.name.replace("-", "_")
-    shared = ["--masked-db", f"m_{tag}", "--raw-db", f"r_{tag}", "--location", str(tmp_path / "lake")]
-    main([*arguments, "--files", str(tmp_path), *shared], spark)
+    databases = ["--masked-db", f"m_{tag}", "--raw-db", f"r_{tag}"]
+    places = ["--files", str(tmp_path), "--location", str(tmp_path / "lake")]
+    main([*arguments, *databases, *places], spark)
     return f"m_{tag}", f"r_{tag}"
 
 
@@ -18,7 +19,8 @@ def test_snapshot(spark, tmp_path):
     frame = spark.range(2).select(*[F.lit("13800008000").alias(c) for c in spec.columns])
     frame.write.parquet(f"{tmp_path}/cashier_relation.parquet")
     masked, raw = run(spark, tmp_path, "snapshot", "cashier_relation", "--today", "2018/04/21")
-    assert rows(spark.table(f"{masked}.cashier_relation").select("mobile")) == [("138****8000",)] * 2
+    published = spark.table(f"{masked}.cashier_relation")
+    assert rows(published.select("mobile")) == [("138****8000",)] * 2
     assert rows(spark.table(f"{raw}.cashier_relation_delta").select("yymmdd")) == [(20180420,)] * 2
     run(spark, tmp_path, "snapshot", "cashier_relation", "--today", "20180421")
     assert spark.table(f"{raw}.cashier_relation").count() == 2
@@ -56,7 +58,8 @@ def test_log_commands_and_other_names(spark, tmp_path):
     assert spark.table(f"{raw}.refund_log_delta").count() == 6
     run(spark, tmp_path, "days", "refund_log", "2018-04-20", "2018-04-21", *named)
     run(spark, tmp_path, "day", "refund_log", "2018-04-21", *named)
-    found = spark.table(f"{masked}.refund_log").groupBy("yymmdd").agg(F.count("*"), F.count("red_price"))
+    published = spark.table(f"{masked}.refund_log")
+    found = published.groupBy("yymmdd").agg(F.count("*"), F.count("red_price"))
     assert rows(found) == [(20180420, 3, 0), (20180421, 3, 3)]
 
 

@@ -7,9 +7,14 @@ from lakeferry.functions import days
 
 
 def test_ranges(spark):
-    pairs = [("2018-02-27", "2018-03-02"), ("2018-01-01", "2018-01-01"), ("2018-01-02", "2018-01-01")]
+    pairs = [
+        ("2018-02-27", "2018-03-02"),
+        ("2018-01-01", "2018-01-01"),
+        ("2018-01-02", "2018-01-01"),
+    ]
     frame = spark.createDataFrame(pairs, "a string, b string")
-    spans = frame.select(days.day_range(F.col("a").cast("date"), F.col("b").cast("date")).alias("d"))
+    start, end = F.col("a").cast("date"), F.col("b").cast("date")
+    spans = frame.select(days.day_range(start, end).alias("d"))
     assert [len(row.d) for row in spans.collect()] == [4, 1, 0]
     assert spans.select(F.explode("d")).count() == 5
 

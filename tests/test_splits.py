@@ -5,7 +5,13 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lakeferry.sources.splits import numeric_cuts, split_cuts, split_index, split_predicates, text_cuts
+from lakeferry.sources.splits import (
+    numeric_cuts,
+    split_cuts,
+    split_index,
+    split_predicates,
+    text_cuts,
+)
 
 
 def readers_of(spark, values, type_name, cuts):
