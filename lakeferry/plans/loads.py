@@ -31,7 +31,7 @@ def stage_snapshot(
     source: Source, warehouse: Warehouse, spec: TableSpec, day: str | date
 ) -> None:
     """Copy the whole table, with all its columns, into one day of staging."""
-    frame = clean(source.read_split(spec.name, spec.key, spec.readers))
+    frame = clean(source.read_split(spec.name, spec.key, spec.readers), spec.datetimes)
     staged = frame.withColumn(DAY, F.lit(partition_value(day)))
     warehouse.stage(staged, spec.name, [as_day(day)], aligned=True)
 
@@ -69,7 +69,8 @@ def stage_days(
     """Copy the log of all days from start to end into staging, in one job."""
     days = list_days(start, end)
     if days:
-        frame = clean(source.read_shards(spec.name, days, spec.key, spec.readers))
+        shards = source.read_shards(spec.name, days, spec.key, spec.readers)
+        frame = clean(shards, spec.datetimes)
         warehouse.stage(frame, spec.name, days, aligned=source.day_aligned)
     return days
 

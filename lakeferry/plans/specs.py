@@ -18,6 +18,8 @@ class TableSpec:
     gets, ``strict_masks`` what the strict profile adds. ``constants`` are
     columns published as a fixed text (not in the strict profile). ``later``
     are columns that the source gained at some day, with their types.
+    ``datetimes`` are text columns of a source without types that hold times;
+    a database gives typed times, with its zero dates as NULL already.
     """
 
     name: str
@@ -26,6 +28,7 @@ class TableSpec:
     strict_masks: Mapping[str, str] = field(default_factory=dict)
     constants: Mapping[str, str] = field(default_factory=dict)
     later: Mapping[str, str] = field(default_factory=dict)
+    datetimes: tuple[str, ...] = ()
     readers: int = 1
 
     @property

@@ -1,4 +1,5 @@
 from dataclasses import replace
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,6 +117,17 @@ def test_spelling_of_source_columns_does_not_matter(spark, warehouse):
         assert rows(masked.select("realname")) == [("A**a",), ("J" + "*" * 13 + "n",), ("王*明",)]
 
 
+def test_times_kept_as_text_are_read(spark, warehouse):
+    frame = users(spark).withColumn("lasttime", F.expr(
+        "if(uid = 0, '0000-00-00 00:00:00', lasttime)"
+    ))
+    spec = replace(USERS, datetimes=("lasttime",))
+    load_snapshot(FrameSource({"user_auth": frame}), warehouse, spec, "2018-04-20")
+    published = spark.table(warehouse.raw("user_auth"))
+    assert published.schema["lasttime"].dataType.simpleString() == "timestamp_ntz"
+    assert rows(published.select("lasttime").distinct()) == [(None,), (datetime(2018, 4, 20),)]
+
+
 def test_a_missing_column_stops_before_publishing(spark, warehouse):
     load_snapshot(FrameSource({"user_auth": users(spark)}), warehouse, USERS, "2018-04-20")
     lacking = users(spark).drop("mobile")
