@@ -38,6 +38,7 @@ def parser() -> argparse.ArgumentParser:
     shared.add_argument("--driver", help="JDBC driver class")
     shared.add_argument("--readers", type=int, default=8, help="key ranges per table")
     shared.add_argument("--connections", type=int, help="ranges read at a time")
+    shared.add_argument("--balanced", action="store_true", help="split by rows, not by width")
     shared.add_argument("--masked-db", default="ods_masked")
     shared.add_argument("--raw-db", default="ods_raw")
     shared.add_argument("--location", help="folder for databases that do not exist yet")
@@ -73,6 +74,7 @@ def _source(spark: SparkSession, given: argparse.Namespace):
         {name: value for name, value in properties.items() if value},
         given.readers,
         given.connections,
+        given.balanced,
     )
 
 

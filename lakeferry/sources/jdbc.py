@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeferry.functions.days import partition_value
-from lakeferry.sources.splits import split_cuts, split_predicates
+from lakeferry.sources.splits import KeyRange, finer_cuts, literal, split_cuts, split_predicates
 
 # Connection settings that decide what the rows look like (text
 # encoding, zero dates, one-bit integers, time zone) and how they are fetched.
@@ -26,6 +26,9 @@ MYSQL_SETTINGS = {
 }
 FETCH_SIZE = 10000
 
+# Rounds of splitting heavy ranges; each narrows them to the keys they hold.
+ROUNDS = 4
+
 
 def mysql_url(host: str, database: str) -> str:
     settings = "&".join(f"{name}={value}" for name, value in MYSQL_SETTINGS.items())
@@ -38,7 +41,14 @@ class JdbcSource:
     ``readers`` is the least number of ranges that a split read uses. A single
     connection would draw a whole table through one task, so it is above one.
     ``connections`` bounds how many ranges are read at a time, for a database
-    that a large cluster would overrun. The rows depend on neither.
+    that a large cluster would overrun.
+
+    Ranges are of equal width, which serves keys that were counted up. With
+    ``balanced``, the database is asked how many rows each range holds, and
+    those over twice their share are split further: for keys with wide gaps or
+    a far outlier, at the price of scanning the key.
+
+    The rows depend on none of these.
     """
 
     day_aligned = True
@@ -50,20 +60,21 @@ class JdbcSource:
         properties: Mapping[str, str] | None = None,
         readers: int = 8,
         connections: int | None = None,
+        balanced: bool = False,
     ):
         self.spark = spark
         self.url = url
         self.properties = {"fetchsize": str(FETCH_SIZE), **(properties or {})}
         self.readers = readers
         self.connections = connections
+        self.balanced = balanced
         self._quote = "`" if url.startswith("jdbc:mysql:") else '"'
 
     def read_table(self, name: str) -> DataFrame:
         return self.spark.read.jdbc(self.url, name, properties=self.properties)
 
     def read_split(self, name: str, key: str, readers: int = 1) -> DataFrame:
-        low, high = self._bounds([name], key)[name]
-        cuts = split_cuts(low, high, max(readers, self.readers))
+        cuts = self._cuts(name, key, self._bounds([name], key)[name], readers)
         return self._bounded(self._read_ranges(name, key, cuts))
 
     def read_shards(
@@ -74,11 +85,10 @@ class JdbcSource:
         A column that some days lack is NULL there.
         """
         names = {partition_value(day): f"{base}_{partition_value(day)}" for day in days}
-        readers = max(readers, self.readers)
         bounds = self._bounds(list(names.values()), key) if key else {}
         shards = []
         for day, name in names.items():
-            cuts = split_cuts(*bounds[name], readers) if key else []
+            cuts = self._cuts(name, key, bounds[name], readers) if key else []
             frame = self._read_ranges(name, key, cuts)
             shards.append(frame.withColumn("yymmdd", F.lit(day)))
         return self._bounded(_union_by_name(shards))
@@ -93,6 +103,30 @@ class JdbcSource:
             properties=self.properties,
         )
 
+    def _cuts(self, name: str, key: str, bounds: tuple, readers: int) -> list:
+        readers = max(readers, self.readers)
+        cuts = split_cuts(*bounds, readers)
+        for _ in range(ROUNDS if self.balanced and cuts else 0):
+            finer = finer_cuts(cuts, self._ranges(name, key, cuts), readers)
+            if finer == cuts:
+                break
+            cuts = finer
+        return cuts
+
+    def _ranges(self, name: str, key: str, cuts: Sequence) -> list[KeyRange]:
+        """What each range holds, one row per range."""
+        column = self._quoted(key)
+        places = " ".join(
+            f"WHEN {column} < {literal(cut)} THEN {i}" for i, cut in enumerate(cuts)
+        )
+        keyed = f"SELECT CASE {places} ELSE {len(cuts)} END AS place, {column} AS held FROM {name}"
+        asked = (
+            "SELECT COUNT(*) AS held_rows, MIN(held) AS low, MAX(held) AS high"
+            f" FROM ({keyed}) keyed GROUP BY place"
+        )
+        frame = self.spark.read.jdbc(self.url, f"({asked}) counted", properties=self.properties)
+        return [KeyRange(*row) for row in frame.collect()]
+
     def _bounded(self, frame: DataFrame) -> DataFrame:
         return frame.coalesce(self.connections) if self.connections else frame
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Sequence
+from dataclasses import dataclass
+from math import ceil
 from numbers import Number
 from os.path import commonprefix
 
@@ -64,11 +66,34 @@ def split_cuts(low, high, readers: int) -> list:
     raise TypeError(f"cannot split on a key of type {type(low).__name__}")
 
 
+@dataclass(frozen=True)
+class KeyRange:
+    """What lies between two cuts: how many rows, and their outermost keys."""
+
+    rows: int
+    low: object
+    high: object
+
+
+def finer_cuts(cuts: Sequence, ranges: Sequence[KeyRange], readers: int) -> list:
+    """More cuts, inside the ranges that hold over twice a reader's share."""
+    share = sum(found.rows for found in ranges) / readers
+    added = set()
+    for found in ranges:
+        if found.rows > 2 * share:
+            added.update(split_cuts(found.low, found.high, ceil(found.rows / share)))
+    return sorted({*cuts, *added})
+
+
+def literal(cut) -> str:
+    return f"'{cut}'" if isinstance(cut, str) else str(cut)
+
+
 def split_predicates(key: str, cuts: Sequence) -> list[str]:
     """One SQL condition per reader, for a source that takes SQL text."""
     if not cuts:
         return ["1=1"]
-    shown = [f"'{cut}'" if isinstance(cut, str) else str(cut) for cut in cuts]
+    shown = [literal(cut) for cut in cuts]
     predicates = [f"{key} < {shown[0]} OR {key} IS NULL"]
     for i in range(1, len(shown) + 1):
         bounds = [f"{key} >= {cut}" for cut in shown[:i]]

@@ -79,6 +79,26 @@ def test_connections_are_bounded(spark, url, customer):
     assert rows(read) == rows(customer)
 
 
+def sizes(frame):
+    counted = frame.groupBy(F.spark_partition_id()).count().collect()
+    return sorted(row["count"] for row in counted)
+
+
+@pytest.mark.parametrize("type_name", ["bigint", "string"])
+def test_balanced_ranges(spark, url, type_name):
+    """Keys far from all others do not leave the rest to one reader."""
+    crowd = spark.range(1, 1001).union(spark.range(10**12, 10**12 + 1))
+    name = f"crowd_{type_name}"
+    shown = F.lpad(F.col("id").cast("string"), 13, "0") if type_name == "string" else F.col("id")
+    frame = crowd.select(shown.alias("k"))
+    put(frame, url, name)
+    even = source(spark, url, readers=5).read_split(name, "k")
+    balanced = source(spark, url, readers=5, balanced=True).read_split(name, "k")
+    assert rows(even) == rows(balanced) == rows(frame)
+    assert sizes(even)[-1] == 1000
+    assert sizes(balanced)[-1] <= 2 * 1001 / 5
+
+
 def test_odd_text_keys(spark, url):
     values = ["it's", "", "é", "王", "z\\", "Z", "0"]
     frame = spark.createDataFrame([(value,) for value in values], "k string")

@@ -110,7 +110,7 @@ def _snapshot_load(spec: TableSpec, is_strict: bool = False) -> str:
         SELECT {", ".join(map(_q, spec.columns))}, 'raw' AS layer FROM staged"""
 
 
-def _log_load(later: str, where: str) -> str:
+def _log_load(later: str, where: str, is_strict: bool = False) -> str:
     spec = LOG_TABLES["order_log"]
     given = {
         "id": "event_id",
@@ -119,14 +119,19 @@ def _log_load(later: str, where: str) -> str:
         "red_price": later,
         "createtime": "ts",
         "attach": "props",
-        "date": "'date'",
+        "date": None if is_strict else "'date'",
     }
+    kinds = spec.strict_masks if is_strict else {}
+    masked = ", ".join(
+        f"{STRICT_MASKS[kind](_q(column))} AS {_q(column)}" for column, kind in kinds.items()
+    )
+    shown = f"* REPLACE ({masked})" if masked else "*"
     columns = ", ".join(
         f"{given.get(column) or _labelled(column)} AS {_q(column)}" for column in spec.columns
     )
     return f"""
         WITH log AS (SELECT {columns}, {_day("ts")} AS yymmdd FROM events WHERE {where})
-        SELECT *, 'masked' AS layer FROM log UNION ALL SELECT *, 'raw' AS layer FROM log"""
+        SELECT {shown}, 'masked' AS layer FROM log UNION ALL SELECT *, 'raw' AS layer FROM log"""
 
 
 def _labelled(column: str) -> str:
@@ -284,4 +289,7 @@ ORACLE: dict[str, str] = {
     "pipe_order_log_daily": _log_load("value / 2", f"{_day('ts')} = {ONE_DAY_KEY}"),
     **{f"pipe_{name}": _snapshot_load(spec) for name, spec in SNAPSHOT_TABLES.items()},
     "pipe_shop_info_strict": _snapshot_load(SNAPSHOT_TABLES["shop_info"], is_strict=True),
+    "pipe_order_log_strict": _log_load(
+        f"CASE WHEN {_day('ts')} > {LAST_OLD_EVENT_DAY} THEN value / 2 END", "1 = 1", is_strict=True
+    ),
 }

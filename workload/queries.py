@@ -348,12 +348,14 @@ def _log_source(spark: SparkSession, sf_dir: str) -> tuple[FrameSource, DataFram
     return FrameSource(logs={"order_log": (rows, "createtime")}), events
 
 
-def pipe_order_log_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pipe_order_log_backfill(
+    spark: SparkSession, sf_dir: str, profile: Profile = COMPAT
+) -> DataFrame:
     """All days of the log, over the change of schema."""
     warehouse, spec = new_warehouse(spark), LOG_TABLES["order_log"]
     source, events = _log_source(spark, sf_dir)
     span = inputs.event_days(events)
-    load_days(source, warehouse, spec, span[0], span[-1], last_old_day=LAST_OLD_EVENT_DAY)
+    load_days(source, warehouse, spec, span[0], span[-1], LAST_OLD_EVENT_DAY, profile)
     return both_layers(warehouse, "order_log")
 
 
@@ -402,4 +404,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{query.__name__: query for query in _BY_NAME},
     **{f"pipe_{name}": partial(snapshot_load, name=name) for name in SNAPSHOT_TABLES},
     "pipe_shop_info_strict": partial(snapshot_load, name="shop_info", profile=strict(SALT)),
+    "pipe_order_log_strict": partial(pipe_order_log_backfill, profile=strict(SALT)),
 }
