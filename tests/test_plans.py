@@ -6,7 +6,7 @@ from uuid import uuid4
 import pytest
 from pyspark.sql import functions as F
 
-from lakeferry import COMPAT, LOG_TABLES, SNAPSHOT_TABLES, FrameSource
+from lakeferry import COMPAT, LOG_TABLES, SNAPSHOT_TABLES, FrameSource, TableSpec
 from lakeferry.functions.days import as_day
 from lakeferry.operators.warehouse import conform, create_shaped
 from lakeferry.plans.loads import layers, stage_days, stage_snapshot
@@ -46,6 +46,19 @@ def test_snapshot_publish_is_one_narrow_pruned_pass(spark, warehouse):
         assert "* Project" in plan
 
 
+def test_publishing_one_day_of_a_log_does_not_sort(spark, warehouse):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    source = FrameSource(logs={"events": (events, "ts")})
+    spec = TableSpec("events", tuple(events.columns))
+    days = stage_days(source, warehouse, spec, "2024-01-04", "2024-01-05")
+    for wanted, sorts in ((days, True), (days[1:], False)):
+        _, raw = layers(warehouse.staged("events", wanted), spec, COMPAT, keep=("yymmdd",))
+        create_shaped(raw, warehouse.raw("events"), by_day=True)
+        plan = insert_plan(raw, warehouse.raw("events"))
+        assert ("Sort" in plan) is sorts
+        assert "Exchange" not in plan and "PartitionFilters: [" in plan
+
+
 def test_staging_a_snapshot_does_not_sort(spark, warehouse):
     documents = spark.read.parquet(f"{SF}/documents.parquet").withColumn("yymmdd", F.lit(20240102))
     create_shaped(documents, warehouse.staging("documents"), by_day=True)
