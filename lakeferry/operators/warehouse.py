@@ -7,7 +7,7 @@ depends on how the session is set.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 from uuid import uuid4
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
 from lakeferry.functions.days import partition_value
-from lakeferry.session import WIDE_TABLES, applied
+from lakeferry.session import FEW_DAYS, WIDE_TABLES, applied
 
 DAY = "yymmdd"
 
@@ -60,9 +60,10 @@ class Warehouse:
         create_shaped(frame, table, by_day=True, compression="snappy")
         add_columns(frame, table)
         drop_days(self.spark, table, days)
-        if not aligned:
-            frame = frame.hint("rebalance", DAY)
-        overwrite(frame, table)
+        if aligned:
+            overwrite(frame, table, {**WIDE_TABLES, **FEW_DAYS})
+        else:
+            overwrite(frame.hint("rebalance", DAY), table)
 
     def staged(self, name: str, days: Sequence[date]) -> DataFrame:
         """Rows of these days only, by pruning; staging may hold others.
@@ -150,9 +151,11 @@ def _lower(frame: DataFrame) -> set[str]:
     return {name.lower() for name in frame.columns}
 
 
-def overwrite(frame: DataFrame, table: str) -> None:
+def overwrite(
+    frame: DataFrame, table: str, settings: Mapping[str, str] = WIDE_TABLES
+) -> None:
     """Replace the table, or in a table by day the days that ``frame`` has."""
-    with applied(frame.sparkSession, WIDE_TABLES):
+    with applied(frame.sparkSession, settings):
         conform(frame, table).write.insertInto(table, overwrite=True)
 
 

@@ -13,6 +13,12 @@ from pyspark.sql import SparkSession
 # which are split into small methods (2.5 times as fast for 66 columns).
 WIDE_TABLES = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
+# Spark sorts the rows of a task by day before it writes them by day, unless it
+# may hold a few files open. Where tasks have few days each, that spares sorting
+# all that a task reads, which for a range of a database may be a great deal;
+# a task with more days than this is sorted from there on.
+FEW_DAYS = {"spark.sql.maxConcurrentOutputFileWriters": "4"}
+
 # Runtime re-planning sizes the shuffle of staging; 256 MB of shuffled rows
 # become ORC files of a good size.
 SETTINGS = {

@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeferry import COMPAT, LOG_TABLES, SNAPSHOT_TABLES, FrameSource, TableSpec
-from lakeferry.functions.days import as_day
+from lakeferry.functions.days import as_day, day_key
 from lakeferry.operators.warehouse import conform, create_shaped
 from lakeferry.plans.loads import layers, stage_days, stage_snapshot
+from lakeferry.session import FEW_DAYS, applied
 from tests.conftest import plan_of
 from workload import inputs
 from workload.queries import QUERIES
@@ -59,6 +60,14 @@ def test_publishing_one_day_of_a_log_does_not_sort(spark, warehouse):
         assert "Exchange" not in plan and "PartitionFilters: [" in plan
 
 
+def test_staging_aligned_days_does_not_sort(spark, warehouse):
+    events = spark.read.parquet(f"{SF}/events.parquet").withColumn("yymmdd", day_key(F.col("ts")))
+    create_shaped(events, warehouse.staging("events"), by_day=True)
+    assert "Sort" in insert_plan(events, warehouse.staging("events"))
+    with applied(spark, FEW_DAYS):
+        assert "Sort" not in insert_plan(events, warehouse.staging("events"))
+
+
 def test_staging_a_snapshot_does_not_sort(spark, warehouse):
     documents = spark.read.parquet(f"{SF}/documents.parquet").withColumn("yymmdd", F.lit(20240102))
     create_shaped(documents, warehouse.staging("documents"), by_day=True)
@@ -85,7 +94,8 @@ def test_only_frames_in_no_order_are_rebalanced(spark, warehouse, monkeypatch, d
     logs = {"order_log": (inputs.log_input(events, spec), "createtime")}
     seen = []
     monkeypatch.setattr(
-        "lakeferry.operators.warehouse.overwrite", lambda frame, table: seen.append(plan_of(frame))
+        "lakeferry.operators.warehouse.overwrite",
+        lambda frame, table, settings=None: seen.append(plan_of(frame)),
     )
     source = FrameSource(logs=logs, day_aligned=day_aligned)
     stage_days(source, warehouse, spec, "2024-01-05", "2024-01-06")

@@ -104,6 +104,18 @@ def test_staging_gains_columns(spark, warehouse):
     ]
 
 
+def test_a_task_may_have_more_days_than_open_files(spark, warehouse):
+    """Frames said to be aligned are staged right even if they are not."""
+    days = list_days("2018-04-01", "2018-04-12")
+    frame = spark.range(0, 6000, 1, 1).select(
+        "id", (20180401 + F.col("id") % 12).cast("int").alias("yymmdd")
+    )
+    warehouse.stage(frame, "t", days, aligned=True)
+    staged = spark.table(warehouse.staging("t"))
+    assert rows(staged) == rows(frame)
+    assert len(staged.inputFiles()) == 12
+
+
 def test_one_hot_day_is_spread_over_many_tasks(spark, warehouse):
     """A third of all rows in one day must not end in one task and one file."""
     hot = F.when(F.col("id") % 3 == 0, 20180420).otherwise(20180418 + F.col("id") % 2)
