@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeferry.llm import decontaminate
+from lakeferry.llm import decontaminate, mixing, prob_minhash
 from lakeferry.llm.scratch import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +76,75 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
     )
+
+
+MIXING_SQL = r"""
+    rows_ AS (
+        SELECT doc_id, source, text, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS mark,
+               md5(coalesce(text, '')) AS tie,
+               CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+        FROM documents),
+    totals AS (
+        SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+               (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 AS cycle
+        FROM rows_ GROUP BY source),
+    weighted AS (
+        SELECT *, CAST([3, 1, 2][cycle + 1] AS DOUBLE) AS w,
+               sum(source_size) OVER () * 1.5::DOUBLE AS words FROM totals),
+    left_ AS (
+        SELECT *,
+               words - coalesce(sum(2 * source_size) OVER before, 0) AS words_left,
+               sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS w_left
+        FROM weighted
+        WINDOW before AS (ORDER BY source_size / w, encode(source) NULLS LAST
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    judged AS (SELECT *, 2 * source_size * w_left <= words_left * w AS full_ FROM left_),
+    targets AS (
+        SELECT source, cycle, source_size,
+               CASE WHEN full_ THEN CAST(2 * source_size AS DOUBLE)
+                    ELSE w * (words - sum(CASE WHEN full_ THEN 2 * source_size ELSE 0 END) OVER ())
+                         / sum(CASE WHEN full_ THEN 0.0 ELSE w END) OVER () END AS target
+        FROM judged),
+    placed AS (
+        SELECT r.*, cycle, source_size, target, CAST(round(target) AS BIGINT) AS whole,
+               CAST(coalesce(sum(size) OVER (
+                   PARTITION BY r.source ORDER BY mark, tie
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+        FROM rows_ r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source),
+    taken AS (
+        SELECT *, greatest(0, least(size, whole - start)) AS once,
+               greatest(0, least(size, whole - start - source_size)) AS again
+        FROM placed),
+    shares AS (
+        SELECT *, (start + once / 2) / whole AS x FROM taken),
+    times AS (
+        SELECT *, CASE
+            WHEN once = 0 THEN NULL
+            WHEN cycle = 0 THEN 3 * x * 2 / (sqrt(4 + 3 * x * 4) + 2)
+            WHEN cycle = 1 THEN x * 2 / (sqrt(2.25 - x * 2) + 1.5)
+            WHEN 2 * x < 1 THEN 2 * x * 2 / (sqrt(1 + 2 * x * 8) + 1)
+            ELSE 0.5 + (2 * x - 1) * 2 / (sqrt(9 - (2 * x - 1) * 8) + 3) END AS at_
+        FROM shares)"""
+
+
+@query(
+    f"""
+    WITH {MIXING_SQL}
+    SELECT doc_id, size, source_size, target, CAST(once + again AS BIGINT) AS taken,
+           round(at_, 6) AS position
+    FROM times"""
+)
+def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document, in training order."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    plan = mixing.planned(documents, carry=["doc_id"]).drop("copies")
+    ordered = plan.repartitionByRange("position").sortWithinPartitions("position")
+    return ordered.withColumn("position", F.round("position", 6))
+
+
+@query()
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of each document, by ProbMinHash bands and exact verification."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = prob_minhash.near_duplicates(documents)
+    return found.select("doc_id", "class_id", "class_size", "n_shingles", "kept")
