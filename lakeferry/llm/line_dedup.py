@@ -29,9 +29,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakeferry.llm.linking import link
 from lakeferry.llm.scratch import Scratch, free_name
@@ -104,6 +103,18 @@ def keys(begin: np.ndarray, size: np.ndarray, sums: np.ndarray, threshold: int)
     return np.stack(columns, 1)
 
 
+def parities(codes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64 bits for each line: whether it holds an odd number of each kind of character.
+
+    An edit changes two bits at most.
+    """
+    line = np.repeat(np.arange(len(size)), size)
+    place = np.arange(len(line)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin, size)
+    kind = (codes[place] & 63).astype(np.int64)
+    odd = np.bincount(line * 64 + kind, minlength=len(size) * 64).reshape(-1, 64) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64).reshape(-1)
+
+
 def _indexed(threshold: int, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,8 +138,9 @@ def _indexed(threshold: int, min_chars: int):
                             pa.array(np.arange(len(size) + 1) * own.shape[1], pa.int32()),
                             pa.array(own.reshape(-1).view(np.int64)),
                         ),
+                        pa.array(parities(lines.codes, begin, size)),
                     ],
-                    names=["doc_id", "mark", "line", "low", "high", "keys"],
+                    names=["doc_id", "mark", "line", "low", "high", "keys", "odd"],
                 )
 
     return run
@@ -251,15 +263,18 @@ def repeated_lines(
     kind = marked.schema["doc_id"].dataType.simpleString()
     lines = marked.mapInArrow(
         _indexed(threshold, min_chars),
-        f"doc_id {kind}, mark long, line int, low long, high long, keys array<long>",
+        f"doc_id {kind}, mark long, line int, low long, high long, keys array<long>, odd long",
     )
     lines = scratch.save(lines, "lines")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "line"))
     classes = lines.groupBy("low", "high").agg(
-        first.alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys")
+        first.alias("first"),
+        F.count("*").alias("n"),
+        F.first(F.array_distinct("keys")).alias("keys"),
+        F.first("odd").alias("odd"),
     )
     classes = scratch.save(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
-    buckets = classes.select("id", F.explode(F.array_distinct("keys")).alias("key"))
+    buckets = classes.select("id", F.explode("keys").alias("key"))
 
     def prepare(ids: DataFrame):
         wanted = classes.join(ids, "id").select("first.doc_id", "first.mark", "first.line", "id")
@@ -279,7 +294,10 @@ def repeated_lines(
 
         return verify
 
-    found = link(buckets, prepare, scratch)
+    def close(a: str, b: str) -> Column:
+        return F.bit_count(F.col(f"{a}odd").bitwiseXOR(F.col(f"{b}odd"))) <= 2 * threshold
+
+    found = link(buckets, prepare, classes.select("id", "keys", "odd"), close, scratch)
     classes = classes.select("id", "low", "high", "first", "n").join(found, "id", "left")
     classes = classes.withColumn("component", F.coalesce("component", "id"))
     groups = classes.groupBy("component").agg(F.min("first").alias("head"), F.sum("n").alias("lines"))

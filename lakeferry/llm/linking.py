@@ -7,8 +7,9 @@ components what all pairs would give.
 1. Every id of a bucket is compared with the bucket's smallest and largest id.
    That is two pairs a row, however large the bucket.
 2. Components of the links so far. Two ids of one bucket that are in one
-   component already need no comparison. Those in different components are
-   compared with each other; a bucket with one component has none of them.
+   component already need no comparison. Those in different components meet
+   in a join whose condition leaves out what cannot be linked, and the rest is
+   verified; a bucket with one component has none of them.
 
 Joins on hot keys have no aggregate above them in their stage, so adaptive
 execution splits their partitions; groups are reduced by sums of a few columns
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeferry.llm.scratch import Scratch
@@ -64,43 +65,45 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
 def link(
     buckets: DataFrame,
     prepare: Callable[[DataFrame], Verify],
+    detail: DataFrame,
+    close: Callable[[str, str], Column],
     scratch: Scratch,
-    tag: str = "link",
-    close: Callable[[str, str], object] | None = None,
 ) -> DataFrame:
     """(id, component) as of `components`, of the links among candidates.
 
-    `buckets` has columns key and id (and others, for `close`), an id once per
-    key at most. `prepare` gets the ids (column id) that have any candidate and
-    returns the check of pairs (a, b), which keeps those that are linked.
-    `close(x, y)` may give a cheap condition, necessary for a link, on the other
-    columns of two rows of a bucket, by the prefixes of their names.
+    `buckets` has columns key and id, an id once per key at most. `prepare` gets
+    the ids (column id) that have any candidate and returns the check of pairs
+    (a, b), which keeps those that are linked. `detail` has a row for each id: id,
+    keys (an array of its keys), and what `close` needs. `close(x, y)` is a cheap
+    condition that linked ids meet, on the columns of `detail` behind prefixes x
+    and y; it spares writing out what cannot be linked.
     """
     ends = buckets.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    shared = scratch.save(buckets.join(ends.where("low < high"), "key"), f"{tag}_shared")
+    shared = scratch.save(buckets.join(ends.where("low < high"), "key"), "shared")
     verify = prepare(shared.select("id").distinct())
 
     stars = shared.select("id", F.explode(F.array("low", "high")).alias("end")).where("id <> end")
     stars = stars.select(F.least("id", "end").alias("a"), F.greatest("id", "end").alias("b"))
-    stars = scratch.save(stars.distinct(), f"{tag}_stars")
-    links = scratch.save(verify(stars), f"{tag}_links")
-    found = components(links, scratch, f"{tag}_first")
+    stars = scratch.save(stars.distinct(), "stars")
+    links = scratch.save(verify(stars), "links")
+    found = components(links, scratch, "first")
 
-    rows = shared.drop("low", "high").join(found, "id", "left")
-    rows = rows.withColumn("component", F.coalesce("component", "id"))
-    rows = scratch.save(rows, f"{tag}_rows")
+    rows = shared.select("key", "id").join(found, "id", "left")
+    rows = scratch.save(rows.withColumn("component", F.coalesce("component", "id")), "rows")
     mixed = rows.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"))
-    rows = rows.join(mixed.where("c < d").select("key"), "key")
-    others = [c for c in rows.columns if c not in ("key", "id", "component")]
-    left, right = (
-        rows.select("key", F.col("id").alias(i), F.col("component").alias(f"{i}c"), *[F.col(c).alias(f"{i}_{c}") for c in others])
-        for i in ("a", "b")
+    mixed = mixed.where("c < d").select(F.col("key").alias("mixed"))
+    rows = rows.join(mixed, F.col("key") == F.col("mixed")).drop("mixed")
+    rows = scratch.save(rows.join(detail, "id"), "mixed")
+    a, b = (
+        rows.select(*[F.col(c).alias(c if c == "key" else f"{side}_{c}") for c in rows.columns])
+        for side in "ab"
     )
-    pairs = left.join(right, "key").where("a < b AND ac <> bc")
-    if close is not None:
-        pairs = pairs.where(close("a_", "b_"))
-    pairs = pairs.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    more = scratch.save(verify(pairs), f"{tag}_more")
+    apart = (F.col("a_id") < F.col("b_id")) & (F.col("a_component") != F.col("b_component"))
+    # a pair of several keys counts under the smallest of them
+    once = F.array_min(F.array_intersect("a_keys", "b_keys")) == F.col("key")
+    pairs = a.join(b, "key").where(apart & close("a_", "b_") & once)
+    pairs = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    more = scratch.save(verify(pairs.join(stars, ["a", "b"], "left_anti")), "more")
     if more.isEmpty():
         return found
-    return components(links.unionByName(more), scratch, f"{tag}_last")
+    return components(links.unionByName(more), scratch, "last")

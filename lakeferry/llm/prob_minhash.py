@@ -9,9 +9,11 @@ similarity, where each shingle occurs once). A shingle is done as soon as its
 next arrival is later than the first arrivals of all components; long documents
 stop after about one arrival per shingle.
 
-The m = 120 components make 24 bands of 5. Documents that share a band are
-candidates; at a similarity of 0.8 a pair shares one with probability 0.9999.
-Candidates are verified exactly: linked if the Jaccard similarity of their
+120 components make 24 bands of 5. Documents that share a band are candidates;
+at a similarity of 0.8 a pair shares one with probability 0.9999. Where most of
+a band's documents are linked already, the others are compared in four bits of
+each of 240 components first: similar pairs agree in fewer than 171 of them with
+a probability of about 0.0001. Candidates are verified exactly: linked if the Jaccard similarity of their
 distinct shingles is 0.8 or more. Classes are the components of these links,
 found without writing out all pairs (see `linking.py`). Documents of the same
 shingles are collapsed to one before anything is compared.
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeferry.llm.linking import link
@@ -41,6 +43,9 @@ from lakeferry.llm.words import Words, as_bytes, mix, parts, powers, prefix_hash
 WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
+COMPONENTS = 240
+#: of them, how many may differ in their four bits: four deviations above the mean at 0.8
+DIFFERENT = 69
 PART_BYTES = 4 << 20
 
 _ARRIVAL = 0xA0761D6478BD642F
@@ -111,11 +116,14 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 raw = (sums[starts[1:]] - sums[starts[:-1]]) * down[starts[:-1]]
                 low = np.where(blank, mix(raw ^ np.uint64(3)), low)
                 high = np.where(blank, mix(raw + np.uint64(4)) ^ np.diff(starts).astype(np.uint64), high)
-            first = sketch(hashes, 1 + np.log(counts), owner, n, BANDS * ROWS)
+            first = sketch(hashes, 1 + np.log(counts), owner, n, COMPONENTS)
             up, _ = powers(ROWS + 1)
-            bands = mix((first.reshape(n, BANDS, ROWS) * up[1:]).sum(2, dtype=np.uint64))
+            banded = first[:, : BANDS * ROWS].reshape(n, BANDS, ROWS)
+            bands = mix((banded * up[1:]).sum(2, dtype=np.uint64))
             bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64))[~blank]
             offsets = np.concatenate(([0], np.cumsum(np.where(blank, 0, BANDS)))).astype(np.int32)
+            four = (mix(first) & np.uint64(15)).reshape(n, -1, 16)
+            bits = (four << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(2, dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
@@ -126,8 +134,12 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.ListArray.from_arrays(
                         pa.array(offsets), pa.array(bands.reshape(-1).view(np.int64))
                     ),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.arange(n + 1) * bits.shape[1], pa.int32()),
+                        pa.array(bits.reshape(-1).view(np.int64)),
+                    ),
                 ],
-                names=["doc_id", "mark", "low", "high", "n_shingles", "bands"],
+                names=["doc_id", "mark", "low", "high", "n_shingles", "bands", "bits"],
             )
 
 
@@ -160,11 +172,13 @@ def near_duplicates(
     kind = marked.schema["doc_id"].dataType.simpleString()
     seen = marked.mapInArrow(
         _sketched,
-        f"doc_id {kind}, mark long, low long, high long, n_shingles long, bands array<long>",
+        f"doc_id {kind}, mark long, low long, high long, n_shingles long,"
+        " bands array<long>, bits array<long>",
     )
     seen = scratch.save(seen, "sketches")
     one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("one")
-    classes = seen.groupBy("low", "high").agg(one, F.first("bands").alias("bands"))
+    firsts = [F.first(c).alias(c) for c in ("bands", "bits")]
+    classes = seen.groupBy("low", "high").agg(one, *firsts)
     classes = scratch.save(
         classes.withColumn("id", F.monotonically_increasing_id()), "classes"
     )
@@ -187,7 +201,12 @@ def near_duplicates(
 
         return verify
 
-    found = link(buckets, prepare, scratch)
+    detail = classes.select(
+        "id",
+        F.col("bands").alias("keys"),
+        *[F.get("bits", F.lit(k)).alias(f"bits{k}") for k in range(COMPONENTS // 16)],
+    )
+    found = link(buckets, prepare, detail, _alike, scratch)
     classes = classes.select("id", "low", "high", "one").join(found, "id", "left")
     classes = classes.withColumn("component", F.coalesce("component", "id"))
     best = classes.groupBy("component").agg(F.min("one").alias("best"))
@@ -202,6 +221,18 @@ def near_duplicates(
     )
 
 
+def _alike(a: str, b: str) -> Column:
+    """Whether few enough components differ in their four bits."""
+    ones = F.lit(0x1111111111111111)
+    different = F.lit(0)
+    for k in range(COMPONENTS // 16):
+        x = F.col(f"{a}bits{k}").bitwiseXOR(F.col(f"{b}bits{k}"))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(ones)
+        different = different + F.bit_count(x)
+    return different <= DIFFERENT
+
+
 def _repeats(seen: DataFrame) -> bool:
     """Whether any doc_id and text stands in several rows."""
     return not seen.groupBy("doc_id", "mark").count().where("count > 1").isEmpty()

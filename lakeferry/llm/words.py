@@ -127,10 +127,10 @@ class Words:
         if len(short):
             own = [
                 np.sum(self.hash[self.bounds[t] : self.bounds[t + 1]] * up[: counts[t]])
-                + np.uint64(int(counts[t]) * _ODD % (1 << 64))
                 for t in short
             ]
-            hashes = np.concatenate((hashes, mix(np.array(own, np.uint64))))
+            own = np.array(own, np.uint64) + counts[short].astype(np.uint64) * np.uint64(_ODD)
+            hashes = np.concatenate((hashes, mix(own)))
             texts = np.concatenate((texts, short))
             order = np.argsort(texts, kind="stable")
             hashes, texts = hashes[order], texts[order]
