@@ -1,7 +1,7 @@
 """A quality classifier from trusted positives and unlabelled text (PU learning).
 
 The model is linear over features of the whole text: its bytes, its pairs of
-character classes, and a few measures. It is fitted to the non-negative unbiased
+character classes, and measures of its words and their repetition. It is fitted to the non-negative unbiased
 risk of positive-unlabelled learning,
 
     prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives)),
@@ -51,6 +51,15 @@ _KIND[[0x20, 0x09]], _KIND[[0x0A, 0x0D]] = 3, 4
 _KIND[[ord(c) for c in ".,;:'\"!?-()"]] = 5
 
 
+def _distinct(hashes: np.ndarray, texts: np.ndarray, n: int) -> np.ndarray:
+    """How many different hashes each text has."""
+    order = np.lexsort((hashes, texts))
+    hashes, texts = hashes[order], texts[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (texts[1:] != texts[:-1])
+    return np.bincount(texts[new], minlength=n)
+
+
 def features(column: pa.Array) -> np.ndarray:
     """A row of numbers for each text."""
     data, starts = as_bytes(column)
@@ -64,14 +73,23 @@ def features(column: pa.Array) -> np.ndarray:
     pairs = np.bincount(pairs, minlength=n * 64).reshape(n, 64)
     words = Words(column)
     counts = np.diff(words.bounds)
-    order = np.lexsort((words.hash, words.text))
-    hashes, texts = words.hash[order], words.text[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (texts[1:] != texts[:-1])
-    distinct = np.bincount(texts[new], minlength=n)
+    distinct = _distinct(words.hash, words.text, n)
+    again = words.hash[1:] == words.hash[:-1]
+    again = np.bincount(words.text[1:][again & (words.text[1:] == words.text[:-1])], minlength=n)
+    pairs_distinct = _distinct(*words.shingles(2), n) / np.maximum(counts - 1, 1)
+    again = again / np.maximum(counts, 1)
     letters = np.bincount(words.text, words.end - words.begin, minlength=n)
     measures = np.stack(
-        [np.log1p(sizes), np.log1p(counts), letters / np.maximum(counts, 1), distinct / np.maximum(counts, 1)], 1
+        [
+            np.log1p(sizes),
+            np.log1p(counts),
+            letters / np.maximum(counts, 1),
+            distinct / np.maximum(counts, 1),
+            pairs_distinct,
+            again,
+            np.sqrt(again),
+        ],
+        1,
     )
     return np.hstack([np.sqrt(bytes_ / some), np.sqrt(pairs / some), measures]).astype(np.float32)
 
@@ -115,12 +133,19 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 400, decay: f
     p, u = both[: len(positive)], both[len(positive) :]
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
-    def apart(x):
-        total = (sigmoid(p @ x) - 1) @ p + sigmoid(u @ x) @ u
-        return total / len(both) + decay * x
+    def seen(fold: int) -> float:
+        """How sure a classifier, positives against unlabelled, is of positives it hasn't seen."""
+        p1, u1 = p[fold::2], u[fold::2]
+
+        def apart(x):
+            total = (sigmoid(p1 @ x) - 1) @ p1 + sigmoid(u1 @ x) @ u1
+            return total / (len(p1) + len(u1)) + 20 * decay * np.append(x[:-1], 0)
+
+        x = _descend(apart, p.shape[1], steps // 2, 0.05)
+        return sigmoid(p[1 - fold :: 2] @ x).mean()
 
-    seen = sigmoid(p @ _descend(apart, p.shape[1], steps // 2, 0.05)).mean()
-    prior = float(np.clip(len(p) / len(u) * (1 - seen) / seen, 0.05, 0.95))
+    sure = (seen(0) + seen(1)) / 2 if min(len(p), len(u)) > 1 else 0.5
+    prior = float(np.clip(len(p) / len(u) * (1 - sure) / sure, 0.05, 0.95))
 
     def risk(x):
         at_p, at_u = sigmoid(p @ x), sigmoid(u @ x)

@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.llm import decontaminate, mixing, prob_minhash
+from lakeferry.llm import (
+    decontaminate,
+    line_dedup,
+    mixing,
+    prob_minhash,
+    quality,
+    token_counts,
+    url_rules,
+)
 from lakeferry.llm.scratch import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,3 +156,68 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = prob_minhash.near_duplicates(documents)
     return found.select("doc_id", "class_id", "class_size", "n_shingles", "kept")
+
+
+@query()
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What line dedup leaves of each document."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.lines_removed(documents, removed="removed")
+    return kept.select(
+        "doc_id",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+CONTRACT_RULES = (
+    url_rules.HostRule("allow", "com"),
+    url_rules.HostRule("block", "example.com", "/en/"),
+    url_rules.HostRule("allow", "www.example.com", "/en/"),
+    url_rules.HostRule("block", "net", "/es/"),
+    url_rules.HostRule("block", "net", "/fr/"),
+)
+
+
+@query(
+    r"""
+    WITH cut AS (
+        SELECT page_id,
+               translate(regexp_extract(coalesce(url, ''), '^[\s\S]*?://([^/?#]*)([^?#]*)', 1),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(coalesce(url, ''), '^[\s\S]*?://([^/?#]*)([^?#]*)', 2) AS path
+        FROM pages),
+    rules(h, p, v) AS (VALUES
+        ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+        ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+    judged AS (
+        SELECT c.*, (SELECT max({'n': length(h || p), 'rule': h || p, 'v': v}) FROM rules
+                     WHERE (host = h OR host LIKE '%.' || h) AND starts_with(path, p)) AS best
+        FROM cut c)
+    SELECT page_id, host, path, best.rule AS rule,
+           coalesce(best.v, CASE WHEN regexp_matches(host || path,
+               '^([\s\S]*\.)?(spam-farm|cheap-pills|casino)\.|/(casino|adult|login|cart)/|\.(exe|apk)$')
+               THEN 'block' ELSE 'allow' END) AS verdict
+    FROM judged"""
+)
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on each page's URL, by rules fetched through rare tokens."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judged(pages, (*CONTRACT_RULES, *url_rules.PATTERNS)).drop("url")
+
+
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of each document, learnt from positives and unlabelled text."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.trained(documents, read_table(spark, sf_dir, "labels"))
+    found = quality.scored(documents, model)
+    return found.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and greedy word pieces of each document."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.counted(documents, token_counts.read_vocabulary())
