@@ -9,11 +9,12 @@ similarity, where each shingle occurs once). A shingle is done as soon as its
 next arrival is later than the first arrivals of all components; long documents
 stop after about one arrival per shingle.
 
-120 components make 24 bands of 5. Documents that share a band are candidates;
-at a similarity of 0.8 a pair shares one with probability 0.9999. Where most of
-a band's documents are linked already, the others are compared in four bits of
-each of 240 components first: similar pairs agree in fewer than 171 of them with
-a probability of about 0.0001. Candidates are verified exactly: linked if the Jaccard similarity of their
+The m = 120 components make 24 bands of 5. Documents that share a band are
+candidates; at a similarity of 0.8 a pair shares one with probability 0.9999.
+Where most of a band's documents are linked already, the others are compared by
+bins first: each of 512 bins holds four bits of its least shingle, and pairs of
+a similarity of 0.8 differ in more than 0.256 of the bins that one of them uses
+with a probability of 0.0001 or less. Candidates are verified exactly: linked if the Jaccard similarity of their
 distinct shingles is 0.8 or more. Classes are the components of these links,
 found without writing out all pairs (see `linking.py`). Documents of the same
 shingles are collapsed to one before anything is compared.
@@ -43,9 +44,10 @@ from lakeferry.llm.words import Words, as_bytes, mix, parts, powers, prefix_hash
 WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
-COMPONENTS = 240
-#: of them, how many may differ in their four bits: four deviations above the mean at 0.8
-DIFFERENT = 69
+BINS = 512
+#: the share of bins in which similar documents may differ: four deviations above the
+#: mean at 0.8; and how many more, for documents that fill few bins
+DIFFERENT, MORE = 0.256, 3
 PART_BYTES = 4 << 20
 
 _ARRIVAL = 0xA0761D6478BD642F
@@ -94,6 +96,17 @@ def distinct_shingles(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return hashes[begin], np.diff(np.append(begin, len(hashes))), texts[begin]
 
 
+def bins(hashes: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+    """Of each text 16 bins a word: four bits of the least hash in each, 0 if it has none."""
+    least = np.full(texts * BINS, np.iinfo(np.uint64).max)
+    spread = mix(hashes + np.uint64(9))
+    np.minimum.at(least, owner * BINS + (hashes % np.uint64(BINS)).astype(np.int64), spread)
+    empty = least == np.iinfo(np.uint64).max
+    four = np.where(empty, 0, mix(least) % np.uint64(15) + np.uint64(1)).astype(np.uint64)
+    shifts = np.arange(16, dtype=np.uint64) * np.uint64(4)
+    return (four.reshape(texts, -1, 16) << shifts).sum(2, dtype=np.uint64)
+
+
 def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)))
     return total[bounds[1:]] - total[bounds[:-1]]
@@ -116,14 +129,12 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 raw = (sums[starts[1:]] - sums[starts[:-1]]) * down[starts[:-1]]
                 low = np.where(blank, mix(raw ^ np.uint64(3)), low)
                 high = np.where(blank, mix(raw + np.uint64(4)) ^ np.diff(starts).astype(np.uint64), high)
-            first = sketch(hashes, 1 + np.log(counts), owner, n, COMPONENTS)
+            first = sketch(hashes, 1 + np.log(counts), owner, n, BANDS * ROWS)
             up, _ = powers(ROWS + 1)
-            banded = first[:, : BANDS * ROWS].reshape(n, BANDS, ROWS)
-            bands = mix((banded * up[1:]).sum(2, dtype=np.uint64))
+            bands = mix((first.reshape(n, BANDS, ROWS) * up[1:]).sum(2, dtype=np.uint64))
             bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64))[~blank]
             offsets = np.concatenate(([0], np.cumsum(np.where(blank, 0, BANDS)))).astype(np.int32)
-            four = (mix(first) & np.uint64(15)).reshape(n, -1, 16)
-            bits = (four << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(2, dtype=np.uint64)
+            bits = bins(hashes, owner, n)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
@@ -204,7 +215,7 @@ def near_duplicates(
     detail = classes.select(
         "id",
         F.col("bands").alias("keys"),
-        *[F.get("bits", F.lit(k)).alias(f"bits{k}") for k in range(COMPONENTS // 16)],
+        *[F.get("bits", F.lit(k)).alias(f"bits{k}") for k in range(BINS // 16)],
     )
     found = link(buckets, prepare, detail, _alike, scratch)
     classes = classes.select("id", "low", "high", "one").join(found, "id", "left")
@@ -222,15 +233,20 @@ def near_duplicates(
 
 
 def _alike(a: str, b: str) -> Column:
-    """Whether few enough components differ in their four bits."""
+    """Whether the bins of two documents differ in few enough of those they use."""
     ones = F.lit(0x1111111111111111)
-    different = F.lit(0)
-    for k in range(COMPONENTS // 16):
-        x = F.col(f"{a}bits{k}").bitwiseXOR(F.col(f"{b}bits{k}"))
+
+    def count(x: Column) -> Column:
+        """How many of 16 groups of four bits are not zero."""
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(ones)
-        different = different + F.bit_count(x)
-    return different <= DIFFERENT
+        return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(ones))
+
+    different, used = F.lit(0), F.lit(0)
+    for k in range(BINS // 16):
+        x, y = F.col(f"{a}bits{k}"), F.col(f"{b}bits{k}")
+        different = different + count(x.bitwiseXOR(y))
+        used = used + count(x.bitwiseOR(y))
+    return different <= used * F.lit(DIFFERENT) + MORE
 
 
 def _repeats(seen: DataFrame) -> bool:
