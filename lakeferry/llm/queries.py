@@ -11,9 +11,12 @@ from lakeferry.llm import (
     decontaminate,
     line_dedup,
     mixing,
+    nn_descent,
     prob_minhash,
     quality,
+    suffix_dedup,
     token_counts,
+    tool_calls,
     url_rules,
 )
 from lakeferry.llm.scratch import read_table
@@ -221,3 +224,76 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and greedy word pieces of each document."""
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.counted(documents, token_counts.read_vocabulary())
+
+
+@query()
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without repeated 100-byte strings."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.repeats_removed(documents).drop("text", "kept")
+
+
+@query()
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links and components of all embeddings, by NN-descent."""
+    return nn_descent.linked_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+#: what a call made of a user's turn must be like
+ASK = {
+    "type": "object",
+    "required": ["query", "turn"],
+    "additionalProperties": False,
+    "properties": {
+        "query": {"type": "string", "minLength": 1, "maxLength": 400},
+        "turn": {"type": "integer", "minimum": 0},
+        "after": {"type": "object"},
+    },
+}
+
+
+@query(
+    r"""
+    WITH asked AS (SELECT DISTINCT conv_id, turn, text FROM conversations WHERE role = 'user'),
+    said AS (SELECT DISTINCT conv_id, turn, text FROM conversations WHERE role = 'assistant'),
+    calls AS (
+        SELECT a.conv_id, CAST(a.conv_id || '-' || a.turn AS VARCHAR) AS call_id, a.turn,
+               s.turn AS result_turn, a.turn AS order_turn, 0 AS order_step,
+               CASE WHEN NOT length(a.text) BETWEEN 1 AND 400 THEN 'invalid'
+                    WHEN a.turn >= 2 AND b.turn IS NULL THEN 'missing'
+                    WHEN s.turn IS NULL THEN 'unanswered' ELSE 'ok' END AS status,
+               '{"arguments":{'
+               || CASE WHEN a.turn >= 2 THEN '"after":{"$ref":"' || a.conv_id || '-' || (a.turn - 2) || '"},' ELSE '' END
+               || '"query":' || CAST(to_json(a.text) AS VARCHAR) || ',"turn":' || a.turn || '},"id":"'
+               || a.conv_id || '-' || a.turn || '","name":"ask","result":'
+               || CASE WHEN s.turn IS NULL THEN 'null' ELSE CAST(to_json(s.text) AS VARCHAR) END || '}' AS record
+        FROM asked a
+        LEFT JOIN said s ON s.conv_id = a.conv_id AND s.turn = a.turn + 1
+        LEFT JOIN asked b ON b.conv_id = a.conv_id AND b.turn = a.turn - 2),
+    orphans AS (
+        SELECT s.conv_id, CAST(s.conv_id || '-' || (s.turn - 1) AS VARCHAR), CAST(NULL AS BIGINT), s.turn,
+               CAST(NULL AS BIGINT), CAST(NULL AS INTEGER), 'orphan',
+               '{"arguments":null,"id":"' || s.conv_id || '-' || (s.turn - 1) || '","name":null,"result":'
+               || CAST(to_json(s.text) AS VARCHAR) || '}'
+        FROM said s ANTI JOIN asked a ON s.conv_id = a.conv_id AND s.turn = a.turn + 1)
+    SELECT * FROM calls UNION ALL SELECT * FROM orphans"""
+)
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as tool calls: each user's turn a call, each answer the result before it.
+
+    A call refers to the one two turns before.
+    """
+    turns = read_table(spark, sf_dir, "conversations")
+    name = lambda back: F.concat("conv_id", F.lit("-"), F.col("turn") - back)
+    after = F.when(F.col("turn") >= 2, F.struct(name(2).alias("$ref")))
+    calls = turns.where("role = 'user'").select(
+        "conv_id",
+        "turn",
+        name(0).alias("call_id"),
+        F.lit("ask").alias("name"),
+        F.to_json(F.struct(F.col("text").alias("query"), "turn", after.alias("after"))).alias("arguments"),
+    )
+    results = turns.where("role = 'assistant'").select(
+        "conv_id", "turn", name(1).alias("call_id"), F.col("text").alias("content")
+    )
+    return tool_calls.linked(calls, results, {"ask": ASK})

@@ -31,8 +31,13 @@ class Scratch:
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
     def save(self, frame: DataFrame, name: str) -> DataFrame:
-        """The frame, written and read again. A name is used once, or dropped first."""
+        """The frame, written and read again. A name is used once, or dropped first.
+
+        Shuffle files of the frame go once the driver has collected its garbage,
+        which may take it half an hour; so that they don't pile up, it is asked to.
+        """
         frame.write.parquet(f"{self.folder}/{name}")
+        self.spark._jvm.System.gc()
         return self.spark.read.schema(frame.schema).parquet(f"{self.folder}/{name}")
 
     def drop(self, *names: str) -> None:

@@ -1,0 +1,96 @@
+"""Tool calls: linking, order, validation and canonical JSON."""
+
+import json
+import random
+
+from lakeferry.llm import tool_calls as tc
+
+SCHEMAS = {
+    "add": {
+        "type": "object",
+        "required": ["a"],
+        "additionalProperties": False,
+        "properties": {
+            "a": {"type": ["integer", "null"], "minimum": 0, "maximum": 9},
+            "b": {"type": "array", "items": {"type": "string", "maxLength": 2}},
+            "c": {"enum": ["x", 1]},
+        },
+    }
+}
+CALLS = "conv_id long, turn int, call_id string, name string, arguments string, status int"
+RESULTS = "conv_id long, turn int, call_id string, content string, record int"
+
+
+def run(spark, calls, results):
+    frame = spark.createDataFrame([(*c, 0) for c in calls], CALLS)
+    other = spark.createDataFrame([(*r, 0) for r in results], RESULTS)
+    return tc.linked(frame, other, SCHEMAS).collect()
+
+
+def test_statuses(spark):
+    ok = '{"a": 1}'
+    ref = lambda *ids: json.dumps({"a": 1, "b": [{"$ref": i} for i in ids]})
+    calls = [
+        (1, 0, "p", "add", '{ "b": ["é","z"], "a":3 }'),
+        (1, 0, "p", "add", '{ "b": ["é","z"], "a":3 }'),
+        (1, 2, "p", "add", ok),
+        (1, 3, None, "add", ok),
+        (1, 4, "j", "add", "{"),
+        (1, 4, "n", "add", '{"a": NaN}'),
+        (1, 4, "k", "add", None),
+        (1, 5, "u", "mul", ok),
+        (1, 5, "v", None, ok),
+        (1, 6, "i1", "add", "{}"),
+        (1, 6, "i2", "add", '{"a": 10}'),
+        (1, 6, "i3", "add", '{"a": true}'),
+        (1, 6, "i4", "add", '{"a": 1, "b": ["abc"]}'),
+        (1, 6, "i5", "add", '{"a": 1, "d": 1}'),
+        (1, 6, "i6", "add", '{"a": 1, "c": "y"}'),
+        (1, 7, "m", "add", ref("nowhere")),
+        (1, 8, "c1", "add", ref("c2")),
+        (1, 9, "c2", "add", ref("c1")),
+        (1, 9, "c3", "add", ref("c2")),
+        (1, 10, "w", "add", ok),
+        (2, 1, "p", "add", ref("late")),
+        (2, 5, "late", "add", ok),
+        (None, None, "z", "add", ok),
+    ]
+    results = [(1, 1, "p", "r1"), (1, 2, "p", "r2"), (1, 9, "w", "too early"), (2, 6, "p", None), (2, 2, "q", "who")]
+    results += [(2, 6, "late", 'a "b"\n'), (2, 6, "late", 'a "b"\n'), (None, 3, "z", "n")]
+    rows = run(spark, calls, results)
+    status = {(r.conv_id, r.call_id, r.turn): r.status for r in rows}
+    assert len(rows) == len(calls)  # one repeated row less, one orphan more
+    assert status == {
+        (1, "p", 0): "ok", (1, "p", 2): "repeated", (1, None, 3): "no id", (1, "j", 4): "bad json",
+        (1, "n", 4): "bad json", (1, "k", 4): "bad json", (1, "u", 5): "unknown tool",
+        (1, "v", 5): "unknown tool", **{(1, f"i{k}", 6): "invalid" for k in range(1, 7)},
+        (1, "m", 7): "missing", (1, "c1", 8): "cycle", (1, "c2", 9): "cycle", (1, "c3", 9): "cycle",
+        (1, "w", 10): "unanswered", (2, "p", 1): "ok", (2, "late", 5): "ok", (None, "z", None): "ok",
+        (2, "q", None): "orphan",
+    }
+    first = next(r for r in rows if r.conv_id == 1 and r.turn == 0)
+    assert first.record == '{"arguments":{"a":3,"b":["é","z"]},"id":"p","name":"add","result":"r1"}'
+    order = [r.call_id for r in rows if r.conv_id == 2 and r.order_turn is not None]
+    assert order == ["late", "p"]
+    assert json.loads(next(r for r in rows if r.call_id == "late").record)["result"] == 'a "b"\n'
+
+
+def test_calls_stand_behind_what_they_refer_to(spark):
+    pick = random.Random(8)
+    calls, refs = [], {}
+    for conv in range(20):
+        order = list(range(12))
+        pick.shuffle(order)
+        for place, k in enumerate(order):  # k refers only to calls that come before it in `order`
+            refs[conv, k] = pick.sample(order[:place], min(place, pick.randrange(3)))
+            arguments = {"a": 1, "b": [{"$ref": str(r)} for r in refs[conv, k]]}
+            calls.append((conv, k, str(k), "add", json.dumps(arguments)))
+    rows = run(spark, calls, [])
+    assert {r.status for r in rows} == {"unanswered"}
+    place = {(r.conv_id, int(r.call_id)): n for n, r in enumerate(rows)}
+    assert all(place[c, r] < place[c, k] for (c, k), found in refs.items() for r in found)
+
+
+def test_empty(spark):
+    assert run(spark, [], []) == []
+    assert [r.status for r in run(spark, [], [(1, 1, "a", "b")])] == ["orphan"]
