@@ -23,8 +23,8 @@ they cover is a segment of 100 to 160 bytes. So:
 
 Defined results: null counts as empty; texts of under 100 bytes lose nothing; a
 document without doc_id comes after all others; rows that repeat doc_id and text
-are one document, each with its result; different texts of one doc_id stand in the
-order of their hashes. doc_id is an integer. Empty tables give empty results.
+are one document, each with its result; different texts of one doc_id (told apart
+by 19 bits of their hashes) stand in the order of these. doc_id is an integer. Empty tables give empty results.
 Other columns pass through, but for those named like a result.
 """
 
@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeferry.llm.grouping import suffix_arrays
@@ -53,6 +53,30 @@ RESULT = ("kept", "n_bytes", "n_removed", "n_spans")
 
 _SEPARATOR, _ANCHOR = 1, 258
 
+#: at most so many copies (16 bytes each) are sent to all tasks; more are joined by a shuffle
+BROADCAST_ROWS = 100_000
+
+
+def _packed(tag: np.ndarray, start: np.ndarray, strings: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Where a run is, in one number that sorts by text and start: 19, 32, 6 and 6 bits."""
+    return (tag << 44) | (start << 12) | (strings << 6) | anchor
+
+
+def _unpacked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    return at >> 44, (at >> 12) & 0xFFFFFFFF, (at >> 6) & 63, at & 63
+
+
+def _tag(text: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(text), 45)
+
+
+def _start(at: Column) -> Column:
+    return F.shiftright(at, 12).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def _strings_of(at: Column) -> Column:
+    return F.shiftright(at, 6).bitwiseAND(F.lit(63))
+
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
@@ -118,22 +142,25 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in parts(batch, "text", PART_BYTES):
             runs = Anchors(*as_bytes(part.column("text")))
-            take = pa.array(runs.text)
+            tag = part.column("tag").to_numpy()
+            where = _packed(
+                tag[runs.text],
+                runs.first - runs.starts[runs.text],
+                runs.last - runs.first + 1,
+                runs.place - runs.first,
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(runs.hash.view(np.int64)),
                     pa.array(runs.segments().view(np.int64)),
-                    part.column("doc_id").take(take),
-                    part.column("mark").take(take),
-                    pa.array(runs.first - runs.starts[runs.text], pa.int64()),
-                    pa.array(runs.last - runs.first + 1, pa.int32()),
-                    pa.array(runs.place - runs.first, pa.int32()),
+                    part.column("doc_id").take(pa.array(runs.text)),
+                    pa.array(where, pa.int64()),
                 ],
-                names=["key", "segment", "doc_id", "mark", "start", "strings", "anchor"],
+                names=["key", "segment", "doc_id", "at"],
             )
 
 
-PIECES = "key long, doc_id long, mark long, start long, strings int, anchor int, many boolean, body binary"
+PIECES = "key long, doc_id long, at long, many boolean, body binary"
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,28 +171,24 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             wanted = part.column("wanted")
             rows = np.repeat(np.arange(part.num_rows), np.diff(wanted.offsets.to_numpy()))
             fields = wanted.flatten()
-            column = {name: fields.field(name) for name in ("key", "start", "strings", "anchor", "many")}
-            begin = starts[rows] + column["start"].to_numpy()
-            size = column["strings"].to_numpy() + SPAN - 1
+            at = fields.field("at").to_numpy()
+            _, start, strings, _ = _unpacked(at)
+            begin, size = starts[rows] + start, strings + SPAN - 1
             offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
             body = pa.Array.from_buffers(
                 pa.binary(),
                 len(rows),
                 [None, pa.py_buffer(offsets), pa.py_buffer(data[_ranges(begin, size)].tobytes())],
             )
-            take = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    column["key"],
-                    part.column("doc_id").take(take),
-                    part.column("mark").take(take),
-                    column["start"],
-                    column["strings"],
-                    column["anchor"],
-                    column["many"],
+                    fields.field("key"),
+                    part.column("doc_id").take(pa.array(rows)),
+                    pa.array(at),
+                    fields.field("many"),
                     body,
                 ],
-                names=["key", "doc_id", "mark", "start", "strings", "anchor", "many", "body"],
+                names=["key", "doc_id", "at", "many", "body"],
             )
 
 
@@ -178,10 +201,7 @@ class Pieces:
         doc_id = table.column("doc_id").combine_chunks()
         self.none = doc_id.is_null().to_numpy(zero_copy_only=False)
         self.doc_id = doc_id.fill_null(0).to_numpy()
-        self.mark, self.start = (table.column(c).to_numpy() for c in ("mark", "start"))
-        self.strings, self.anchor = (
-            table.column(c).to_numpy().astype(np.int64) for c in ("strings", "anchor")
-        )
+        self.tag, self.start, self.strings, self.anchor = _unpacked(table.column("at").to_numpy())
         self.data, self.offset = as_bytes(table.column("body").combine_chunks().cast(pa.large_binary()).view(pa.large_string()))
         self.rows = np.repeat(np.arange(len(self.key)), self.strings)
         #: of each string, its number in its segment
@@ -222,15 +242,20 @@ class Pieces:
         group = np.cumsum(new)
         row = self.rows[order]
         place = self.start[row] + self.number[order]
-        sort = np.lexsort((place, self.mark[row], self.doc_id[row], self.none[row], group))
-        first = np.ones(len(order), bool)
-        first[1:] = group[sort][1:] != group[sort][:-1]
+        sort = np.lexsort((place, self.tag[row], self.doc_id[row], self.none[row], group))
+        head = np.ones(len(order), bool)
+        head[1:] = group[sort][1:] != group[sort][:-1]
+        first = sort[np.flatnonzero(head)][np.cumsum(head) - 1]
+        # rows that repeat a document give its strings again, at the same place
+        same = np.ones(len(order), bool)
+        for column in (place, self.tag[row], self.doc_id[row], self.none[row]):
+            same &= column[sort] == column[first]
         out = np.zeros(len(order), bool)
-        out[order[sort]] = ~first
+        out[order[sort]] = ~same
         return out
 
     def spans(self) -> pa.RecordBatch:
-        """What later strings cover: doc_id, mark, start and end."""
+        """What later strings cover: doc_id, tag, start and end."""
         gone = np.flatnonzero(self.later())
         row, number = self.rows[gone], self.number[gone]
         new = np.ones(len(gone), bool)
@@ -241,11 +266,11 @@ class Pieces:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(self.doc_id[row], pa.int64(), mask=self.none[row]),
-                pa.array(self.mark[row]),
+                pa.array(self.tag[row]),
                 pa.array(self.start[row] + number),
                 pa.array(self.start[row] + end + SPAN),
             ],
-            names=["doc_id", "mark", "start", "end"],
+            names=["doc_id", "tag", "start", "end"],
         )
 
 
@@ -277,86 +302,102 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = pieces.offset[pieces.rows] + pieces.number
             hashes = mix((sums[at + SPAN] - sums[at]) * down[at])
             take = pa.array(pieces.rows)
+            where = _packed(pieces.tag[pieces.rows], pieces.start[pieces.rows] + pieces.number, 1, 0)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("key").take(take),
                     pa.array(hashes.view(np.int64)),
                     part.column("doc_id").take(take),
-                    part.column("mark").take(take),
-                    pa.array(pieces.start[pieces.rows] + pieces.number),
+                    pa.array(where),
                 ],
-                names=["key", "string", "doc_id", "mark", "start"],
+                names=["key", "segment", "doc_id", "at"],
             )
 
 
-def _same(left: str, right: str):
+def _same(left: str, right: str) -> Column:
     ids = F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id"))
-    return ids & (F.col(f"{left}.mark") == F.col(f"{right}.mark"))
+    return ids & (F.col(f"{left}.tag") == F.col(f"{right}.tag"))
+
 
+def _first() -> Column:
+    return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at")).alias("f")
 
-def _later(rows: DataFrame, keys: list[str], *columns: str) -> DataFrame:
-    """Rows that are not the first of their keys, as (doc_id, mark, start, *columns)."""
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "start"))
-    firsts = rows.groupBy(*keys).agg(first.alias("f"), F.count("*").alias("times"))
-    firsts = firsts.where("times > 1")
-    rows = rows.join(firsts.select(*keys, "f"), keys)
-    mine = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("mark") == F.col("f.mark"))
-    return rows.where(~(mine & (F.col("start") == F.col("f.start")))).select("doc_id", "mark", "start", *columns)
+
+def _later(rows: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
+    """What rows cover that are not the first of their keys: doc_id, tag, start and end."""
+    rows = rows.join(firsts.where("times > 1").select(*keys, "f"), keys)
+    mine = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("at") == F.col("f.at"))
+    start = _start(F.col("at"))
+    return rows.where(~mine).select(
+        "doc_id",
+        F.shiftright("at", 44).alias("tag"),
+        start.alias("start"),
+        (start + _strings_of(F.col("at")) + F.lit(SPAN - 1)).alias("end"),
+    )
+
+
+def _firsts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(_first(), F.count("*").alias("times"))
 
 
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """What goes of each document: doc_id, mark (hash of the text), start and end of a span.
+    """What goes of each document: doc_id, tag (of its text), start and end of a span.
 
     Spans of a document may overlap.
     """
     scratch = Scratch(docs.sparkSession)
     whole = F.coalesce(F.col(text), F.lit(""))
-    marked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole.alias("text"), F.xxhash64(whole).alias("mark"))
+    marked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole.alias("text"), _tag(whole).alias("tag"))
 
     # copies of whole texts
-    texts = marked.select("doc_id", "mark", F.md5("text").alias("md5"), F.octet_length("text").cast("long").alias("n"))
-    texts = texts.where(F.col("n") >= SPAN).distinct().withColumn("start", F.lit(0).cast("long"))
-    copies = _later(texts, ["md5", "n"], "n")
-    copies = scratch.save(copies.withColumnRenamed("n", "end"), "copies")
-
-    # anchors that are in other texts too, or again in their own
-    anchors = marked.mapInArrow(
-        _anchored,
-        "key long, segment long, doc_id long, mark long, start long, strings int, anchor int",
-    )
-    where = F.xxhash64("mark", "start")
-    again = anchors.groupBy("key").agg(F.min(where).alias("low"), F.max(where).alias("high"))
-    again = again.where("low <> high").select("key")
-    found = anchors.join(again, "key", "left_semi").alias("m")
-    found = found.join(copies.alias("c"), _same("m", "c"), "left_anti")
-    found = scratch.save(found, "found")
+    texts = marked.select("doc_id", "tag", F.md5("text").alias("md5"), F.octet_length("text").cast("long").alias("n"))
+    texts = texts.where(F.col("n") >= SPAN).distinct().withColumn("at", F.col("tag"))
+    texts = scratch.save(texts, "texts")
+    firsts = _firsts(texts, ["md5", "n"]).where("times > 1").select("md5", "n", "f")
+    mine = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("at") == F.col("f.at"))
+    copies = texts.join(firsts, ["md5", "n"]).where(~mine)
+    copies = copies.select("doc_id", "tag", F.lit(0).cast("long").alias("start"), F.col("n").alias("end"))
+    copies = scratch.save(copies, "copies")
+    few = copies.count() <= BROADCAST_ROWS
+
+    def without_copies(rows: DataFrame) -> DataFrame:
+        gone = F.broadcast(copies) if few else copies
+        rows = rows.withColumn("tag", F.shiftright("at", 44)).alias("m")
+        return rows.join(gone.alias("c"), _same("m", "c"), "left_anti").drop("tag")
+
+    # anchors that occur again
+    anchors = marked.mapInArrow(_anchored, "key long, segment long, doc_id long, at long")
+    if few:  # no shuffle, so it pays to do it first
+        anchors = without_copies(anchors)
+    again = anchors.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key")
+    found = anchors.join(again, "key", "left_semi")
+    found = scratch.save(found if few else without_copies(found), "found")
 
     # equal segments, all but the first
-    end = (F.col("start") + F.col("strings") + F.lit(SPAN - 1)).alias("end")
-    equal = _later(found, ["key", "segment"], "strings").select("doc_id", "mark", "start", end)
-    equal = scratch.save(equal, "equal")
+    firsts = scratch.save(_firsts(found, ["key", "segment"]), "firsts")
+    equal = scratch.save(_later(found, firsts, ["key", "segment"]), "equal")
+    scratch.drop("found", "texts")
 
     # different segments of one anchor
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "start", "strings", "anchor"))
-    firsts = scratch.save(found.groupBy("key", "segment").agg(first.alias("f")), "firsts")
     several = firsts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     several = firsts.join(several, "key").withColumn("many", F.col("n") > MOST)
-    wanted = several.groupBy("f.doc_id", "f.mark").agg(
-        F.collect_list(F.struct("key", "f.start", "f.strings", "f.anchor", "many")).alias("wanted")
-    )
+    wanted = several.select("key", "f.doc_id", "f.at", "many", F.shiftright("f.at", 44).alias("tag"))
+    wanted = wanted.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("key", "at", "many")).alias("wanted"))
     pieces = marked.alias("m").join(wanted.alias("w"), _same("m", "w")).select("m.*", "wanted")
-    pieces = pieces.dropDuplicates(["doc_id", "mark"]).mapInArrow(_cut_out, PIECES)
+    pieces = pieces.mapInArrow(_cut_out, PIECES)
     pieces = scratch.save(pieces, "pieces")
-    scratch.drop("found", "firsts")
-    spans = "doc_id long, mark long, start long, end long"
-    few = pieces.where("NOT many").repartition("key").sortWithinPartitions("key")
-    few = few.mapInArrow(_by_suffix_array, spans)
-    many = pieces.where("many").mapInArrow(
-        _strings, "key long, string long, doc_id long, mark long, start long"
+    scratch.drop("firsts")
+    small = pieces.where("NOT many").repartition("key").sortWithinPartitions("key")
+    small = small.mapInArrow(_by_suffix_array, "doc_id long, tag long, start long, end long")
+    strings = pieces.where("many").mapInArrow(
+        _strings, "key long, segment long, doc_id long, at long"
     )
-    many = _later(many, ["key", "string"]).withColumn("end", F.col("start") + SPAN)
-    every = copies.select("doc_id", "mark", "start", "end").unionByName(equal)
-    return every.unionByName(few).unionByName(many)
+    strings = scratch.save(strings, "strings")
+    large = _later(strings, _firsts(strings, ["key", "segment"]), ["key", "segment"])
+    spans = copies.unionByName(equal).unionByName(small).unionByName(large)
+    spans = scratch.save(spans, "spans")
+    scratch.drop("pieces", "strings", "equal", "copies")
+    return spans
 
 
 def _without(text: str, spans: str):
@@ -395,11 +436,11 @@ def _without(text: str, spans: str):
 def repeats_removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with kept (the remaining bytes), n_bytes, n_removed, n_spans, kept_sha256."""
     spans = repeated_spans(docs, doc_id, text)
-    names = [free_name(docs, c) for c in ("gone_id", "gone_mark", "gone_spans")]
-    gone = spans.groupBy(F.col("doc_id").alias(names[0]), F.col("mark").alias(names[1]))
+    names = [free_name(docs, c) for c in ("gone_id", "gone_tag", "gone_spans")]
+    gone = spans.groupBy(F.col("doc_id").alias(names[0]), F.col("tag").alias(names[1]))
     gone = gone.agg(F.collect_list(F.struct("start", "end")).alias(names[2]))
-    mark = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col(names[0])) & (mark == F.col(names[1]))
+    tag = _tag(F.coalesce(F.col(text), F.lit("")))
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col(names[0])) & (tag == F.col(names[1]))
     kept = [c for c in docs.columns if c.lower() not in (*RESULT, "kept_sha256")]
     joined = docs.join(gone, same, "left").select(*kept, names[2])
     schema = joined.drop(names[2]).schema
