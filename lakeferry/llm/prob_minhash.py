@@ -48,7 +48,7 @@ BINS = 512
 #: the share of bins in which similar documents may differ: four deviations above the
 #: mean at 0.8; and how many more, for documents that fill few bins
 DIFFERENT, MORE = 0.256, 3
-PART_BYTES = 4 << 20
+PART_BYTES, ROW_BYTES = 4 << 20, 4 << 10
 
 _ARRIVAL = 0xA0761D6478BD642F
 _PLACE = np.uint64(0xE7037ED1A0B428DB)
@@ -114,7 +114,7 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in parts(batch, "text", PART_BYTES):
+        for part in parts(batch, "text", PART_BYTES, ROW_BYTES):
             words = Words(part.column("text"))
             n = words.texts
             hashes, counts, owner = distinct_shingles(words)

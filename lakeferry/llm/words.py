@@ -72,10 +72,15 @@ def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[starts[0] : starts[-1]], starts - starts[0]
 
 
-def parts(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of at most so many bytes of text, or one longer row."""
+def parts(
+    batch: pa.RecordBatch, text: str, limit: int, row_bytes: int = 0
+) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of at most so many bytes of text, or one longer row.
+
+    `row_bytes` is what a row takes besides its text.
+    """
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    ends = np.cumsum(sizes)
+    ends = np.cumsum(sizes.astype(np.int64) + row_bytes)
     row = 0
     while row < batch.num_rows:
         done = ends[row - 1] if row else 0
