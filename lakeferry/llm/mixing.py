@@ -31,6 +31,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeferry.llm.scratch import Scratch
+
 Schedule = Sequence[tuple[float, float]]
 
 SHARE = 1.5
@@ -121,7 +123,9 @@ def planned(
         F.md5(F.coalesce(F.col(text), F.lit(""))).alias("tie"),
         (F.conv(F.substring(mark, 1, 8), 16, 10).cast("double") / 2**32).alias("rank"),
     )
-    totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    # read three times, so words are counted twice only: here, and for the rows themselves
+    sizes = Scratch(docs.sparkSession).save(rows.select("source", "size", "rank"), "sizes")
+    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     totals = targets(totals, schedules, share).withColumn(
         "buckets", F.ceil(F.col("n") / BUCKET_ROWS)
     )
@@ -131,7 +135,7 @@ def planned(
         joined = frame.join(named, F.col("source").eqNullSafe(F.col("of"))).drop("of", "n")
         return joined.withColumn("bucket", F.floor(F.col("rank") * F.col("buckets")))
 
-    sums = placed(rows.select("source", "size", "rank")).groupBy("source", "bucket")
+    sums = placed(sizes).groupBy("source", "bucket")
     sums = sums.agg(F.sum("size").alias("in_bucket"))
     order = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(

@@ -149,7 +149,8 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of each document, in training order."""
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     plan = mixing.planned(documents, carry=["doc_id"]).drop("copies")
-    ordered = plan.repartitionByRange("position").sortWithinPartitions("position")
+    order = ["position", "doc_id"]  # documents that the mix leaves out have no position
+    ordered = plan.repartitionByRange(*order).sortWithinPartitions(*order)
     return ordered.withColumn("position", F.round("position", 6))
 
 
