@@ -1,0 +1,105 @@
+"""The pipeline: every stage against a plain version of it, on its own input."""
+
+import zlib
+
+import pytest
+
+import corpus_pipeline as cp
+from lakeferry.llm import decontaminate, line_dedup, mixing
+from tests.llm.test_decontaminate import brute as contaminated
+from tests.llm.test_line_dedup import distance
+from tests.llm.test_prob_minhash import classes
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("stages")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = [docs]
+    for name, stage in cp.STAGES:
+        stage(spark, out[-1], SF).write.parquet(f"{folder}/{name}")
+        out.append(spark.read.parquet(f"{folder}/{name}"))
+    return out
+
+
+def texts(frame):
+    return {r.doc_id: r.text for r in frame.collect()}
+
+
+def test_columns_and_order(stages):
+    assert [name for name, _ in cp.STAGES] == [
+        "quality", "line_dedup", "near_duplicates", "decontaminate", "mix"
+    ]
+    assert all(frame.schema == stages[0].schema for frame in stages[1:5])
+    assert stages[5].columns == [*stages[0].columns, "copy", "taken", "position"]
+
+
+def test_quality_keeps_the_good(spark, stages):
+    kept = texts(stages[1])
+    labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
+    held = [r for r in labels if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    for rows in (labels, held):
+        good = [r.doc_id in kept for r in rows if r.quality == 1]
+        assert sum(good) >= 0.95 * len(good)
+    bad = [r.doc_id in kept for r in labels if r.quality == 0]
+    assert sum(bad) <= len(bad) / 3  # learnt from 60 positives here
+
+
+def test_lines(stages):
+    before, after = texts(stages[1]), texts(stages[2])
+    first = {}
+    for doc in sorted(before):
+        lines = before[doc].split("\n")
+        kept = []
+        for line in lines:
+            if len(line) >= line_dedup.MIN_CHARS:
+                near = next((x for x in first if abs(len(x) - len(line)) <= 1 and (x == line or distance(x, line) <= 1)), None)
+                if near is not None:
+                    continue
+                first[line] = doc
+            kept.append(line)
+        whole = len(kept) == len(lines) or any(len(x) >= line_dedup.MIN_CHARS for x in kept)
+        assert after.get(doc) == ("\n".join(kept) if whole else None)
+    assert {r.doc_id: r.n_chars for r in stages[2].collect()} == {
+        r.doc_id: len(r.text) for r in stages[2].collect()
+    }
+
+
+def test_near_duplicates(stages):
+    before = [(r.doc_id, r.text) for r in stages[2].collect()]
+    wanted = {doc for (doc, _), (head, _) in classes(before).items() if doc == head}
+    assert set(texts(stages[3])) == wanted
+
+
+def test_benchmark(spark, stages):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    before = list(texts(stages[3]).items())
+    clean = {row[0] for row in contaminated(before, items) if not row[-1]}
+    assert set(texts(stages[4])) == clean
+    assert decontaminate.WINDOW == 13
+
+
+def test_mix(stages):
+    docs, copies = texts(stages[4]), stages[5].collect()
+    assert [r.position for r in copies] == sorted(r.position for r in copies)
+    assert {r.doc_id for r in copies} <= set(docs)
+    plan = {r.doc_id: r.taken for r in mixing.planned(stages[4]).collect()}
+    taken = {}
+    for r in copies:
+        assert r.taken == len(r.text.split()) or r.text == docs[r.doc_id]
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.taken
+    assert taken == {doc: n for doc, n in plan.items() if n}
+
+
+def test_run_is_all_stages(spark, stages):
+    key = lambda frame: sorted((r.doc_id, r.copy, r.taken) for r in frame.collect())
+    assert key(cp.run(spark, SF)) == key(stages[5])
+
+
+def test_empty_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("1 = 2")
+    for _, stage in cp.STAGES:
+        docs = stage(spark, docs, SF)
+        assert docs.count() == 0
