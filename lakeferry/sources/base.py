@@ -7,6 +7,7 @@ from datetime import date
 from typing import Protocol
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 
 class Source(Protocol):
@@ -25,6 +26,15 @@ class Source(Protocol):
         """The whole table, in parallel ranges of ``key`` where that helps."""
 
     def read_shards(
-        self, base: str, days: Sequence[date], key: str | None = None, readers: int = 1
+        self,
+        base: str,
+        days: Sequence[date],
+        key: str | None = None,
+        readers: int = 1,
+        schema: StructType | str | None = None,
     ) -> DataFrame:
-        """The log of the given days, each row tagged with its day in ``yymmdd``."""
+        """The log of exactly these days, each row tagged with its day in ``yymmdd``.
+
+        A day that was never delivered is an error; one that is there and empty
+        gives no rows. ``schema`` is for sources that would have to infer one.
+        """

@@ -6,8 +6,7 @@ from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lakeferry.functions.days import partition_value
 
@@ -24,15 +23,19 @@ class FileSource:
         file_format: str = "parquet",
         suffix: str = ".parquet",
         options: Mapping[str, str] | None = None,
+        schema: str | None = None,
     ):
         self.spark = spark
         self.root = root
         self.file_format = file_format
         self.suffix = suffix
         self.options = dict(options or {})
+        #: of the tables, as DDL, for files that do not say themselves
+        self.schema = schema
 
     def read_table(self, name: str) -> DataFrame:
-        return self._reader().load(f"{self.root}/{name}{self.suffix}")
+        reader = self._reader().schema(self.schema) if self.schema else self._reader()
+        return reader.load(f"{self.root}/{name}{self.suffix}")
 
     def read_split(self, name: str, key: str, readers: int = 1) -> DataFrame:
         """The same scan: files are split by size already, which needs no key."""
@@ -44,17 +47,36 @@ class FileSource:
         days: Sequence[date],
         key: str | None = None,
         readers: int = 1,
-        schema: StructType | None = None,
+        schema: StructType | str | None = None,
     ) -> DataFrame:
-        """All days in one scan, other days pruned by folder.
+        """The folders of these days, and no others, in one scan.
 
-        Columns go by name, so a column that some days lack is NULL there. Give
-        ``schema`` for a log of many files; else their footers are read for it.
+        Each folder must be there; an empty one is a day without rows. Columns go
+        by name, so a column that some days lack is NULL there. Without ``schema``
+        the footers of these days' files are read for it; formats without
+        footers need one, as they would have to be read twice.
         """
-        reader = self._reader()
-        reader = reader.schema(schema) if schema else reader.option("mergeSchema", "true")
         wanted = [partition_value(day) for day in days]
-        return reader.load(f"{self.root}/{base}").where(F.col("yymmdd").isin(wanted))
+        folders = [f"{self.root}/{base}/yymmdd={value}" for value in wanted]
+        lost = [folder for folder in folders if not self._exists(folder)]
+        if lost:
+            raise FileNotFoundError(f"not delivered: {', '.join(lost)}")
+        reader = self._reader().option("basePath", f"{self.root}/{base}")
+        if schema:
+            if isinstance(schema, str):
+                schema = StructType.fromDDL(schema)
+            if "yymmdd" not in schema.fieldNames():
+                schema = StructType([*schema.fields, StructField("yymmdd", IntegerType())])
+            reader = reader.schema(schema)
+        elif self.file_format in ("parquet", "orc"):
+            reader = reader.option("mergeSchema", "true")
+        else:
+            raise ValueError(f"a log of {self.file_format} files needs a schema")
+        return reader.load(folders)
+
+    def _exists(self, folder: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
     def _reader(self) -> DataFrameReader:
         return self.spark.read.format(self.file_format).options(**self.options)

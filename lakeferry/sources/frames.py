@@ -7,8 +7,9 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from lakeferry.functions.days import back, day_key
+from lakeferry.functions.days import back, day_key, partition_value
 
 
 class FrameSource:
@@ -34,12 +35,26 @@ class FrameSource:
         return self.read_table(name)
 
     def read_shards(
-        self, base: str, days: Sequence[date], key: str | None = None, readers: int = 1
+        self,
+        base: str,
+        days: Sequence[date],
+        key: str | None = None,
+        readers: int = 1,
+        schema: StructType | str | None = None,
     ) -> DataFrame:
-        """Rows of the days; the filter is on the time itself, to reach the scan."""
+        """Rows of the days; the filter is on the time itself, to reach the scan.
+
+        A row without a time belongs to no day, and fails the read.
+        """
         frame, time = self.logs[base]
-        first, after = days[0].isoformat(), back(days[-1], -1).isoformat()
+        first, after = min(days).isoformat(), back(max(days), -1).isoformat()
         inside = (F.col(time) >= F.lit(first).cast("timestamp_ntz")) & (
             F.col(time) < F.lit(after).cast("timestamp_ntz")
         )
-        return frame.where(inside).withColumn("yymmdd", day_key(F.col(time)))
+        lost = F.raise_error(F.lit(f"a row of {base} has no {time}")).cast("int")
+        tagged = frame.where(inside | F.col(time).isNull()).withColumn(
+            "yymmdd", F.when(F.col(time).isNull(), lost).otherwise(day_key(F.col(time)))
+        )
+        if len(set(days)) == (max(days) - min(days)).days + 1:
+            return tagged
+        return tagged.where(F.col("yymmdd").isin([partition_value(day) for day in days]))

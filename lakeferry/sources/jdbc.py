@@ -7,9 +7,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeferry.functions.days import partition_value
-from lakeferry.sources.splits import KeyRange, finer_cuts, literal, split_cuts, split_predicates
+from lakeferry.sources.splits import Cutter, split_predicates
 
 # Connection settings that decide what the rows look like (text
 # encoding, zero dates, one-bit integers, time zone) and how they are fetched.
@@ -26,12 +27,13 @@ MYSQL_SETTINGS = {
 }
 FETCH_SIZE = 10000
 
-# Rounds of splitting heavy ranges; each narrows them to the keys they hold.
-ROUNDS = 4
+# Rows that one range should hold at most, unless they have one key.
+RANGE_ROWS = 1_000_000
 
 
-def mysql_url(host: str, database: str) -> str:
-    settings = "&".join(f"{name}={value}" for name, value in MYSQL_SETTINGS.items())
+def mysql_url(host: str, database: str, **changes: str) -> str:
+    """The URL of a database; ``changes`` replaces settings, for other drivers."""
+    settings = "&".join(f"{k}={v}" for k, v in {**MYSQL_SETTINGS, **changes}.items())
     return f"jdbc:mysql://{host}/{database}?{settings}"
 
 
@@ -39,14 +41,16 @@ class JdbcSource:
     """Reads over JDBC.
 
     ``readers`` is the least number of ranges that a split read uses. A single
-    connection would draw a whole table through one task, so it is above one.
-    ``connections`` bounds how many ranges are read at a time, for a database
-    that a large cluster would overrun.
+    connection would draw a whole table through one task, so it is above one. A
+    large table has more: one for every ``range_rows`` rows, so that a task and
+    what is lost with it stay of one size. The database is asked how many rows
+    each range holds, and none has over twice its share, but for single keys.
+    That reads the key (its index, if it has one) a few times.
 
-    Ranges are of equal width, which serves keys that were counted up. With
-    ``balanced``, the database is asked how many rows each range holds, and
-    those over twice their share are split further: for keys with wide gaps or
-    a far outlier, at the price of scanning the key.
+    ``connections`` bounds how many ranges are read at a time, for a database
+    that a large cluster would overrun: it gathers ranges into so many tasks,
+    which read them one after another. Where tasks must stay small, leave it
+    unset and give the application no more cores than connections.
 
     The rows depend on none of these.
     """
@@ -60,36 +64,42 @@ class JdbcSource:
         properties: Mapping[str, str] | None = None,
         readers: int = 8,
         connections: int | None = None,
-        balanced: bool = False,
+        range_rows: int = RANGE_ROWS,
     ):
         self.spark = spark
         self.url = url
         self.properties = {"fetchsize": str(FETCH_SIZE), **(properties or {})}
         self.readers = readers
         self.connections = connections
-        self.balanced = balanced
-        self._quote = "`" if url.startswith("jdbc:mysql:") else '"'
+        self.range_rows = range_rows
+        # MySQL quotes names in its own way, and reads backslashes as escapes
+        self._mysql = url.startswith("jdbc:mysql:")
+        self._quote = "`" if self._mysql else '"'
 
     def read_table(self, name: str) -> DataFrame:
         return self.spark.read.jdbc(self.url, name, properties=self.properties)
 
     def read_split(self, name: str, key: str, readers: int = 1) -> DataFrame:
-        cuts = self._cuts(name, key, self._bounds([name], key)[name], readers)
-        return self._bounded(self._read_ranges(name, key, cuts))
+        return self._bounded(self._read_ranges(name, key, self._cuts([name], key, readers)[name]))
 
     def read_shards(
-        self, base: str, days: Sequence[date], key: str | None = None, readers: int = 1
+        self,
+        base: str,
+        days: Sequence[date],
+        key: str | None = None,
+        readers: int = 1,
+        schema: StructType | str | None = None,
     ) -> DataFrame:
         """The tables ``<base>_<yyyyMMdd>`` as one frame, joined by column name.
 
-        A column that some days lack is NULL there.
+        A column that some days lack is NULL there; a day without a table is an
+        error of the database. ``schema`` is not needed.
         """
         names = {partition_value(day): f"{base}_{partition_value(day)}" for day in days}
-        bounds = self._bounds(list(names.values()), key) if key else {}
+        found = self._cuts(list(names.values()), key, readers) if key else {}
         shards = []
         for day, name in names.items():
-            cuts = self._cuts(name, key, bounds[name], readers) if key else []
-            frame = self._read_ranges(name, key, cuts)
+            frame = self._read_ranges(name, key, found.get(name, []))
             shards.append(frame.withColumn("yymmdd", F.lit(day)))
         return self._bounded(_union_by_name(shards))
 
@@ -99,50 +109,21 @@ class JdbcSource:
         return self.spark.read.jdbc(
             self.url,
             name,
-            predicates=split_predicates(self._quoted(key), cuts),
+            predicates=split_predicates(self._quoted(key), cuts, self._mysql),
             properties=self.properties,
         )
 
-    def _cuts(self, name: str, key: str, bounds: tuple, readers: int) -> list:
+    def _cuts(self, names: Sequence[str], key: str, readers: int) -> dict[str, list]:
+        def ask(query: str) -> list:
+            frame = self.spark.read.jdbc(self.url, f"({query}) asked", properties=self.properties)
+            return frame.collect()
+
         readers = max(readers, self.readers)
-        cuts = split_cuts(*bounds, readers)
-        for _ in range(ROUNDS if self.balanced and cuts else 0):
-            finer = finer_cuts(cuts, self._ranges(name, key, cuts), readers)
-            if finer == cuts:
-                break
-            cuts = finer
-        return cuts
-
-    def _ranges(self, name: str, key: str, cuts: Sequence) -> list[KeyRange]:
-        """What each range holds, one row per range."""
-        column = self._quoted(key)
-        places = " ".join(
-            f"WHEN {column} < {literal(cut)} THEN {i}" for i, cut in enumerate(cuts)
-        )
-        keyed = f"SELECT CASE {places} ELSE {len(cuts)} END AS place, {column} AS held FROM {name}"
-        asked = (
-            "SELECT COUNT(*) AS held_rows, MIN(held) AS low, MAX(held) AS high"
-            f" FROM ({keyed}) keyed GROUP BY place"
-        )
-        frame = self.spark.read.jdbc(self.url, f"({asked}) counted", properties=self.properties)
-        return [KeyRange(*row) for row in frame.collect()]
+        return Cutter(ask, self._quoted(key), readers, self.range_rows, self._mysql).cuts(names)
 
     def _bounded(self, frame: DataFrame) -> DataFrame:
         return frame.coalesce(self.connections) if self.connections else frame
 
-    def _bounds(self, names: Sequence[str], key: str) -> dict[str, tuple]:
-        """Least and greatest key of each table, asked for in one query.
-
-        One row per table comes back, read from the index of the key.
-        """
-        column = self._quoted(key)
-        asked = " UNION ALL ".join(
-            f"SELECT {i} AS place, MIN({column}) AS low, MAX({column}) AS high FROM {name}"
-            for i, name in enumerate(names)
-        )
-        frame = self.spark.read.jdbc(self.url, f"({asked}) bounds", properties=self.properties)
-        return {names[row[0]]: (row[1], row[2]) for row in frame.collect()}
-
     def _quoted(self, column: str) -> str:
         return f"{self._quote}{column}{self._quote}"
 

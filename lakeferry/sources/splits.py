@@ -1,111 +1,160 @@
-"""Cutting a table into key ranges, one per reader.
+"""Cutting a table into key ranges, one per reader, of about equal numbers of rows.
 
-A row belongs to the first cut that its key lies below, else to the last
-reader; a NULL key belongs to the first reader. Reader ``i`` therefore asks for
-"below cut i, and not below any cut before it". Each row is read exactly once
-even if the database sorts text in another order than the cuts were made in:
-a bad order costs balance, never rows.
+A row belongs to the range its key lies in; a NULL key belongs to the first. The
+source itself says how many rows lie below each cut, and cuts are put in the
+order of these counts. So ranges follow the source's own order of keys, whatever
+its collation, and each row is read exactly once.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
 from math import ceil
 from numbers import Number
 from os.path import commonprefix
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+#: Runs a query of the source and gives its rows. All of them are one row per
+#: table, per range, or per next character of the keys in a range.
+Ask = Callable[[str], Sequence[Sequence]]
 
-# Cut points are spelled with these only, so they need no escaping in any SQL.
-_LETTERS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
-_DEPTH = 4
+# Cuts counted in one pass over the keys; more of them take more passes.
+PASS_CUTS = 400
 
 
-def numeric_cuts(low: int, high: int, readers: int) -> list[int]:
+def numeric_cuts(low, high, parts: int) -> list[int]:
+    """Cuts of equal width between two numbers."""
     low, width = int(low), int(high) - int(low) + 1
-    return sorted({low + width * i // readers for i in range(1, readers)} - {low})
+    return sorted({low + width * i // parts for i in range(1, parts)} - {low})
 
 
-def text_cuts(low: str, high: str, readers: int) -> list[str]:
-    """Evenly spaced texts between two texts, past what both begin with."""
-    shared = commonprefix([low, high])
-    first, last = _as_number(low[len(shared):]), _as_number(high[len(shared):])
-    stem = shared if not set(shared) & set("'\\") else ""
-    cuts = {stem + _as_text(first + (last - first) * i // readers) for i in range(1, readers)}
-    return sorted(cuts)
+def literal(cut, backslash: bool = False) -> str:
+    """A key as SQL. With ``backslash``, the source reads it as an escape."""
+    if not isinstance(cut, str):
+        return str(cut)
+    if backslash:
+        return "'" + cut.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return "'" + cut.replace("'", "''") + "'"
 
 
-def _as_number(text: str) -> int:
-    number = 0
-    for place in range(_DEPTH):
-        letter = text[place:place + 1]
-        digit = max(bisect_right(_LETTERS, letter) - 1, 0) if letter else 0
-        number = number * len(_LETTERS) + digit
-    return number
-
-
-def _as_text(number: int) -> str:
-    letters = []
-    for _ in range(_DEPTH):
-        number, digit = divmod(number, len(_LETTERS))
-        letters.append(_LETTERS[digit])
-    return "".join(reversed(letters))
-
-
-def split_cuts(low, high, readers: int) -> list:
-    """Cuts between two key values; none if there is nothing to split."""
-    if low is None or readers <= 1:
-        return []
-    if isinstance(low, str):
-        return text_cuts(low, high, readers)
-    if isinstance(low, Number):
-        return numeric_cuts(low, high, readers)
-    raise TypeError(f"cannot split on a key of type {type(low).__name__}")
-
-
-@dataclass(frozen=True)
-class KeyRange:
-    """What lies between two cuts: how many rows, and their outermost keys."""
-
-    rows: int
-    low: object
-    high: object
-
-
-def finer_cuts(cuts: Sequence, ranges: Sequence[KeyRange], readers: int) -> list:
-    """More cuts, inside the ranges that hold over twice a reader's share."""
-    share = sum(found.rows for found in ranges) / readers
-    added = set()
-    for found in ranges:
-        if found.rows > 2 * share:
-            added.update(split_cuts(found.low, found.high, ceil(found.rows / share)))
-    return sorted({*cuts, *added})
-
-
-def literal(cut) -> str:
-    return f"'{cut}'" if isinstance(cut, str) else str(cut)
-
-
-def split_predicates(key: str, cuts: Sequence) -> list[str]:
-    """One SQL condition per reader, for a source that takes SQL text."""
+def split_predicates(key: str, cuts: Sequence, backslash: bool = False) -> list[str]:
+    """One SQL condition per reader, two bounds each; cuts stand in the order of the source."""
     if not cuts:
         return ["1=1"]
-    shown = [literal(cut) for cut in cuts]
-    predicates = [f"{key} < {shown[0]} OR {key} IS NULL"]
-    for i in range(1, len(shown) + 1):
-        bounds = [f"{key} >= {cut}" for cut in shown[:i]]
-        if i < len(shown):
-            bounds.append(f"{key} < {shown[i]}")
-        predicates.append(" AND ".join(bounds))
-    return predicates
-
-
-def split_index(key: Column, cuts: Sequence) -> Column:
-    """Number of the reader that a row belongs to."""
-    index = F.when(key.isNull(), 0) if cuts else F.lit(0)
-    for i, cut in enumerate(cuts):
-        index = index.when(key < F.lit(cut), i)
-    return (index.otherwise(len(cuts)) if cuts else index).cast("int")
+    shown = [literal(cut, backslash) for cut in cuts]
+    inner = [f"{key} >= {low} AND {key} < {high}" for low, high in zip(shown, shown[1:])]
+    return [f"{key} < {shown[0]} OR {key} IS NULL", *inner, f"{key} >= {shown[-1]}"]
+
+
+class Cutter:
+    """Finds cuts, so that no range holds over twice its share, if keys allow.
+
+    A share is the rows by the readers, or ``range_rows`` if that is less. Numbers
+    are cut at equal widths first, texts by the characters behind what all keys
+    of a range begin with. Ranges that hold too much are cut again, until none
+    does or what does is a single key, which cannot be cut.
+    """
+
+    def __init__(
+        self, ask: Ask, key: str, readers: int, range_rows: int, backslash: bool = False
+    ):
+        self.ask = ask
+        self.key = key
+        self.readers = readers
+        self.range_rows = range_rows
+        self.backslash = backslash
+
+    def cuts(self, tables: Sequence[str]) -> dict[str, list]:
+        """The cuts of each table, in its order of keys."""
+        asked = [
+            f"SELECT {i} AS place, COUNT({self.key}) AS held, MIN({self.key}) AS low,"
+            f" MAX({self.key}) AS high FROM {table}"
+            for i, table in enumerate(tables)
+        ]
+        found: dict[str, list] = {table: [] for table in tables}
+        shares, totals, new = {}, {}, {}
+        for place, held, low, high in self.ask(" UNION ALL ".join(asked)):
+            table = tables[place]
+            shares[table] = max(1, min(ceil(held / self.readers), self.range_rows))
+            totals[table] = held
+            if held > shares[table] and low != high:
+                new[table] = self._between(table, None, None, low, high, held, shares[table])
+        whole: set[tuple] = set()  # ranges that cannot be cut
+        while any(new.values()):
+            new = {table: cuts for table, cuts in new.items() if cuts}
+            below = self._below({table: [*found[table], *new[table]] for table in new})
+            for table, counts in below.items():
+                kept = {n: cut for cut, n in counts if 0 < n < totals[table]}
+                places = [0, *sorted(kept), totals[table]]
+                found[table] = [kept[n] for n in places[1:-1]]
+                edges = [None, *found[table], None]
+                new[table] = []
+                for i, rows in enumerate(b - a for a, b in zip(places, places[1:])):
+                    span = (table, edges[i], edges[i + 1])
+                    if rows > 2 * shares[table] and span not in whole:
+                        finer = self._inside(*span, rows, shares[table])
+                        new[table] += finer
+                        if not finer:
+                            whole.add(span)
+        return found
+
+    def _where(self, low, high) -> str:
+        bounds = [f"{self.key} IS NOT NULL"]
+        bounds += [f"{self.key} >= {self._shown(low)}"] if low is not None else []
+        bounds += [f"{self.key} < {self._shown(high)}"] if high is not None else []
+        return " AND ".join(bounds)
+
+    def _shown(self, cut) -> str:
+        return literal(cut, self.backslash)
+
+    def _inside(self, table: str, low, high, rows: int, share: int) -> list:
+        asked = f"SELECT MIN({self.key}) AS low, MAX({self.key}) AS high FROM {table}"
+        first, last = self.ask(f"{asked} WHERE {self._where(low, high)}")[0]
+        if first == last:
+            return []
+        cuts = self._between(table, low, high, first, last, rows, share)
+        return [cut for cut in cuts if cut not in (low, first)]
+
+    def _between(self, table: str, low, high, first, last, rows: int, share: int) -> list:
+        """Cuts of a range whose outermost keys are these."""
+        if isinstance(first, Number):
+            return numeric_cuts(first, last, ceil(rows / share))
+        if not isinstance(first, str):
+            raise TypeError(f"cannot split on a key of type {type(first).__name__}")
+        begin = f"SUBSTR({self.key}, 1, {len(commonprefix([first, last])) + 1})"
+        groups = self.ask(
+            f"SELECT MIN({self.key}) AS low, COUNT(*) AS held FROM {table}"
+            f" WHERE {self._where(low, high)} GROUP BY {begin}"
+        )
+        cuts, held = [], 0
+        for key, count in sorted(map(tuple, groups)):
+            if held and held + count > share and key != first:
+                cuts.append(key)
+                held = 0
+            held += count
+        return cuts
+
+    def _below(self, cuts: dict[str, list]) -> dict[str, list[tuple]]:
+        """Of each cut, how many keys are less; all tables in one query, if cuts are few."""
+        pieces = [
+            (table, some[i : i + PASS_CUTS])
+            for table, some in cuts.items()
+            for i in range(0, len(some), PASS_CUTS)
+        ]
+        found: dict[str, list[tuple]] = {table: [] for table in cuts}
+        at = 0
+        while at < len(pieces):
+            batch, width = [], 0
+            while at < len(pieces) and (not batch or (len(batch) + 1) * max(width, len(pieces[at][1])) <= 4 * PASS_CUTS):
+                batch.append(pieces[at])
+                width = max(width, len(pieces[at][1]))
+                at += 1
+            asked = []
+            for i, (table, some) in enumerate(batch):
+                sums = [f"SUM(CASE WHEN {self.key} < {self._shown(cut)} THEN 1 ELSE 0 END)" for cut in some]
+                sums += ["0"] * (width - len(some))
+                named = ", ".join(f"{value} AS below{n}" for n, value in enumerate(sums))
+                asked.append(f"SELECT {i} AS place, {named} FROM {table}")
+            for place, *counts in self.ask(" UNION ALL ".join(asked)):
+                table, some = batch[place]
+                found[table] += [(cut, int(n)) for cut, n in zip(some, counts)]
+        return found

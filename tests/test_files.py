@@ -1,10 +1,11 @@
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeferry import FileSource
 from lakeferry.functions.days import list_days
-from tests.conftest import plan_of, rows
+from tests.conftest import rows
 
 DAYS = list_days("2018-04-19", "2018-04-21")
 
@@ -43,15 +44,42 @@ def test_shards_by_name(spark, tmp_path):
     assert rows(found) == [(20180420, None), (20180421, 2.5)]
 
 
-def test_shards_with_a_given_schema_are_pruned_by_folder(spark, tmp_path):
+def listed(spark, read):
+    """The day folders that a scan has listed."""
+    return {re.search(r"yymmdd=(\d+)", path).group(1) for path in read.inputFiles()}
+
+
+def test_only_the_wanted_folders_are_listed(spark, tmp_path):
     put_shards(spark, tmp_path)
-    schema = spark.createDataFrame([], "id bigint, red_price double, yymmdd int").schema
-    read = FileSource(spark, str(tmp_path)).read_shards("order_log", DAYS[1:], schema=schema)
-    assert read.count() == 6
-    assert re.search(r"PartitionFilters: \[yymmdd#\d+ IN \(20180420,20180421\)\]", plan_of(read))
+    (tmp_path / "order_log" / "yymmdd=20180401").mkdir()
+    (tmp_path / "order_log" / "yymmdd=20180401" / "part-0.parquet").write_text("no parquet at all")
+    source = FileSource(spark, str(tmp_path))
+    for schema in (None, "id bigint, red_price double"):
+        read = source.read_shards("order_log", [DAYS[0], DAYS[2]], schema=schema)
+        assert listed(spark, read) == {"20180419", "20180421"}
+        assert rows(read.select("yymmdd").distinct()) == [(20180419,), (20180421,)]
+        assert read.schema["yymmdd"].dataType.simpleString() == "int"
 
 
-def test_only_the_given_days_are_read(spark, tmp_path):
+def test_a_day_without_a_folder_is_an_error(spark, tmp_path):
     put_shards(spark, tmp_path)
-    read = FileSource(spark, str(tmp_path)).read_shards("order_log", [DAYS[0], DAYS[2]])
-    assert rows(read.select("yymmdd").distinct()) == [(20180419,), (20180421,)]
+    with pytest.raises(FileNotFoundError, match="yymmdd=20180422"):
+        FileSource(spark, str(tmp_path)).read_shards("order_log", list_days("2018-04-21", "2018-04-22"))
+
+
+def test_an_empty_folder_is_a_day_without_rows(spark, tmp_path):
+    put_shards(spark, tmp_path)
+    (tmp_path / "order_log" / "yymmdd=20180422").mkdir()
+    source = FileSource(spark, str(tmp_path))
+    read = source.read_shards("order_log", list_days("2018-04-21", "2018-04-22"))
+    assert rows(read.select("yymmdd").distinct()) == [(20180421,)]
+    alone = source.read_shards("order_log", list_days("2018-04-22", "2018-04-22"), schema="id bigint")
+    assert alone.count() == 0
+
+
+def test_logs_without_footers_need_a_schema(spark, tmp_path):
+    spark.range(3).write.json(f"{tmp_path}/order_log/yymmdd=20180419")
+    source = FileSource(spark, str(tmp_path), "json")
+    with pytest.raises(ValueError, match="schema"):
+        source.read_shards("order_log", DAYS[:1])
+    assert source.read_shards("order_log", DAYS[:1], schema="id bigint").count() == 3

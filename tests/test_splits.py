@@ -1,36 +1,39 @@
+import random
 from datetime import date
+from math import ceil
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lakeferry.sources.splits import (
-    numeric_cuts,
-    split_cuts,
-    split_index,
-    split_predicates,
-    text_cuts,
-)
+from lakeferry.sources.splits import Cutter, literal, numeric_cuts, split_predicates
+
+
+class Table:
+    """Answers a cutter's queries from values, in an order of its own."""
+
+    def __init__(self, spark, values, type_name):
+        frame = spark.createDataFrame([(value,) for value in values], f"k {type_name}")
+        frame.createOrReplaceTempView("keys_of_a_table")
+        self.spark = spark
+        self.asked = []
 
+    def ask(self, query):
+        self.asked.append(query)
+        return self.spark.sql(query).collect()
 
-def readers_of(spark, values, type_name, cuts):
-    """For each value: the readers whose condition holds, and the one assigned."""
-    frame = spark.createDataFrame(list(enumerate(values)), f"place int, k {type_name}")
-    conditions = split_predicates("k", cuts)
-    asked = frame.select(
-        "place",
-        split_index(F.col("k"), cuts).alias("given"),
-        F.array(*[F.coalesce(F.expr(c), F.lit(False)) for c in conditions]).alias("holds"),
-    )
-    return [
-        ([i for i, held in enumerate(row.holds) if held], row.given)
-        for row in sorted(asked.collect())
-    ]
+    def cuts(self, readers, range_rows=10**9):
+        cutter = Cutter(self.ask, "k", readers, range_rows, True)
+        return cutter.cuts(["keys_of_a_table"])["keys_of_a_table"]
 
 
-def assert_each_once(found):
-    assert all(holding == [assigned] for holding, assigned in found)
+def readers_of(spark, cuts):
+    """Of each row the number of conditions that hold; of each reader its rows."""
+    conditions = split_predicates("k", cuts, True)
+    holds = F.array(*[F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in conditions])
+    rows = [row.holds for row in spark.table("keys_of_a_table").select(holds.alias("holds")).collect()]
+    return [sum(row) for row in rows], [sum(column) for column in zip(*rows)]
 
 
 def test_numeric_cuts_are_even():
@@ -39,24 +42,63 @@ def test_numeric_cuts_are_even():
     assert numeric_cuts(1, 3, 8) == [2, 3]
 
 
-def test_text_cuts_lie_between():
-    cuts = text_cuts("order_2018000", "order_2018999", 4)
-    assert cuts == sorted(cuts) and len(cuts) == 3
-    assert all("order_2018000" <= cut <= "order_2018999" for cut in cuts)
+def test_literals():
+    assert literal(5) == "5"
+    assert literal("it's a \\") == "'it''s a \\'"
+    assert literal("it's a \\", backslash=True) == "'it\\'s a \\\\'"
 
 
-def test_text_cuts_need_no_escaping():
-    assert not any(set(cut) & set("'\\") for cut in text_cuts("it's a", "it's z", 4))
+def test_conditions_are_linear_in_readers():
+    few, many = (sum(map(len, split_predicates("k", range(10**6, 10**6 + n)))) for n in (100, 2000))
+    assert many < 21 * few
+
+
+def test_nothing_to_split(spark):
+    assert split_predicates("k", []) == ["1=1"]
+    for values in ([], [None], [7], [7, 7, None]):
+        assert Table(spark, values, "bigint").cuts(4) == []
 
 
-def test_other_key_types_are_refused():
+def test_other_key_types_are_refused(spark):
     with pytest.raises(TypeError):
-        split_cuts(date(2018, 1, 1), date(2018, 2, 1), 4)
+        Table(spark, [date(2018, 1, 1), date(2018, 2, 1)], "date").cuts(2)
 
 
-def test_nothing_to_split():
-    assert split_cuts(None, None, 4) == split_cuts(1, 9, 1) == []
-    assert split_predicates("k", []) == ["1=1"]
+def keys(kind, pick):
+    if kind == "dates":
+        return [f"2018{1 + n % 12:02}{1 + n % 28:02}{n:06}" for n in range(3000)]
+    if kind == "hex":
+        return [f"{pick.getrandbits(64):016x}" for _ in range(3000)]
+    if kind == "digits":
+        return [str(pick.randrange(10**9)) for _ in range(3000)]
+    if kind == "chinese":
+        return ["".join(pick.choice("王李张刘陈杨黄赵吴周") for _ in range(5)) for _ in range(3000)]
+    if kind == "quoted":
+        return [f"it's \\ {pick.randrange(10**6)}" for _ in range(3000)]
+    return [n if n % 3 else 10**12 + n for n in range(3000)]
+
+
+@pytest.mark.parametrize("kind", ["dates", "hex", "digits", "chinese", "quoted", "numbers"])
+@pytest.mark.parametrize("readers", [8, 64])
+def test_no_reader_has_over_twice_its_share(spark, kind, readers):
+    values = keys(kind, random.Random(1))
+    table = Table(spark, values, "bigint" if kind == "numbers" else "string")
+    holding, shares = readers_of(spark, table.cuts(readers))
+    assert set(holding) == {1}
+    assert max(shares) <= 2 * ceil(len(values) / readers)
+
+
+def test_ranges_follow_the_rows(spark):
+    table = Table(spark, list(range(5000)), "bigint")
+    _, shares = readers_of(spark, table.cuts(2, range_rows=100))
+    assert max(shares) <= 200 and len(shares) >= 50
+
+
+def test_a_hot_key_stays_whole_and_the_rest_is_cut(spark):
+    values = ["hot"] * 2000 + [f"k{n}" for n in range(500)] + [None] * 5
+    holding, shares = readers_of(spark, Table(spark, values, "string").cuts(8))
+    assert set(holding) == {1}
+    assert sorted(shares)[-2] <= 2 * ceil(2500 / 8) + 5
 
 
 @settings(max_examples=8, deadline=None)
@@ -65,9 +107,8 @@ def test_nothing_to_split():
     readers=st.integers(1, 9),
 )
 def test_numbers_are_read_once(spark, values, readers):
-    known = [value for value in values if value is not None] or [None]
-    cuts = split_cuts(min(known), max(known), readers)
-    assert_each_once(readers_of(spark, values, "bigint", cuts))
+    holding, _ = readers_of(spark, Table(spark, values, "bigint").cuts(readers))
+    assert set(holding) == {1}
 
 
 @settings(max_examples=8, deadline=None)
@@ -76,11 +117,14 @@ def test_numbers_are_read_once(spark, values, readers):
     readers=st.integers(1, 9),
 )
 def test_texts_are_read_once(spark, values, readers):
-    cuts = split_cuts(min(values), max(values), readers)
-    assert_each_once(readers_of(spark, [*values, None], "string", cuts))
+    holding, _ = readers_of(spark, Table(spark, [*values, None], "string").cuts(readers))
+    assert set(holding) == {1}
 
 
-def test_any_order_of_cuts_reads_each_row_once(spark):
-    """A database may sort text differently from the cuts."""
-    values = ["a", "B", "m", "Z", "0", None]
-    assert_each_once(readers_of(spark, values, "string", ["m", "B", "a"]))
+def test_another_order_of_texts_reads_each_row_once(spark):
+    """A collation that ignores case sorts and compares in its own way."""
+    values = [f"{c}{n}" for n in range(40) for c in "aBcDeF"]
+    table = Table(spark, values, "string collate UTF8_LCASE")
+    holding, shares = readers_of(spark, table.cuts(6))
+    assert set(holding) == {1}
+    assert max(shares) <= 2 * 40
