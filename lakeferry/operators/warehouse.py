@@ -17,10 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
 from lakeferry.functions.days import partition_value
-from lakeferry.session import FEW_DAYS, WIDE_TABLES, applied
+from lakeferry.session import ADAPTIVE, FEW_DAYS, WIDE_TABLES, applied
 
 DAY = "yymmdd"
 
+# Behind the folder of a published snapshot: where its generations lie.
+GENERATIONS = "__generations"
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -48,22 +51,33 @@ class Warehouse:
     def stage(self, frame: DataFrame, name: str, days: Sequence[date], aligned: bool) -> None:
         """Replace the staged days with the rows of ``frame``, which hold ``yymmdd``.
 
-        The days are dropped first, so a day without rows is left empty and not
-        with the rows of an earlier run.
+        A day without rows is left empty, and not with the rows of an earlier
+        run; but nothing is dropped before the new rows are written, so a run
+        that fails costs no staged day.
 
         ``aligned`` frames are written as they come. Others would leave one
         file per task and day; they are rebalanced by day once, which also
-        spreads a day that is much larger than the others over many tasks, and
-        gathers the few rows that each task has of a single day.
+        spreads a day that is much larger than the others over many tasks. A
+        single day is rebalanced by size alone.
         """
         table = self.staging(name)
         create_shaped(frame, table, by_day=True, compression="snappy")
         add_columns(frame, table)
-        drop_days(self.spark, table, days)
+        held = set(list_partitions(self.spark, table))
+        again = [day for day in days if partition_value(day) in held]
+        before = {day: self._files(table, day) for day in again}
         if aligned:
             overwrite(frame, table, {**WIDE_TABLES, **FEW_DAYS})
         else:
-            overwrite(frame.hint("rebalance", DAY), table)
+            keys = [DAY] if len(days) > 1 else []
+            overwrite(frame.hint("rebalance", *keys), table, {**WIDE_TABLES, **ADAPTIVE})
+        # what still has its old files got no rows
+        drop_days(self.spark, table, [day for day in again if self._files(table, day) == before[day]])
+
+    def _files(self, table: str, day: date) -> set[str]:
+        """The files of a staged day, from a listing."""
+        self.spark.catalog.refreshTable(table)
+        return set(self.spark.table(table).where(F.col(DAY) == partition_value(day)).inputFiles())
 
     def staged(self, name: str, days: Sequence[date]) -> DataFrame:
         """Rows of these days only, by pruning; staging may hold others.
@@ -164,21 +178,40 @@ def replace_whole(frame: DataFrame, table: str) -> None:
 
     An overwrite in place deletes the old files before it writes, so readers
     would find nothing until the job ends, and nothing at all if it fails. The
-    rows go to a table of their own instead; then the two trade locations and
-    the old rows are dropped with that table. No file is moved.
+    rows go to a new folder instead, a generation that no table names, and one
+    change in the catalog points the table to it. The generation before stays
+    for those who read it, until the next load; so does one that a load left
+    when it stopped halfway.
     """
     spark = frame.sparkSession
-    spare = f"{table}__{uuid4().hex[:12]}"
-    create_like(spark, spare, table)
-    try:
-        overwrite(frame, spare)
-    except BaseException:
-        spark.sql(f"DROP TABLE {spare}")
-        raise
-    old, new = location(spark, table), location(spark, spare)
-    spark.sql(f"ALTER TABLE {spare} SET LOCATION '{old}'")
+    old = location(spark, table)
+    root = old if GENERATIONS not in old else old.split(GENERATIONS)[0]
+    new = f"{root}{GENERATIONS}/{uuid4().hex}"
+    with applied(spark, WIDE_TABLES):
+        conform(frame, table).write.orc(new)
+    for folder in _folders(spark, f"{root}{GENERATIONS}"):
+        if folder.rsplit("/", 1)[1] not in (old.rsplit("/", 1)[1], new.rsplit("/", 1)[1]):
+            _delete(spark, folder)
+    if root != old:
+        for inside in _folders(spark, root):
+            _delete(spark, inside)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
-    spark.sql(f"DROP TABLE {spare}")
+
+
+def _files_of(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _folders(spark: SparkSession, folder: str) -> list[str]:
+    """What lies in a folder, which need not be there."""
+    files, path = _files_of(spark, folder)
+    return [str(x.getPath()) for x in files.listStatus(path)] if files.exists(path) else []
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    files, path = _files_of(spark, folder)
+    files.delete(path, True)
 
 
 def location(spark: SparkSession, table: str) -> str:

@@ -19,10 +19,13 @@ WIDE_TABLES = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 # a task with more days than this is sorted from there on.
 FEW_DAYS = {"spark.sql.maxConcurrentOutputFileWriters": "4"}
 
+# Rebalancing is by size only where plans are made anew at run time.
+ADAPTIVE = {"spark.sql.adaptive.enabled": "true"}
+
 # Runtime re-planning sizes the shuffle of staging; 256 MB of shuffled rows
 # become ORC files of a good size.
 SETTINGS = {
-    "spark.sql.adaptive.enabled": "true",
+    **ADAPTIVE,
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     **WIDE_TABLES,

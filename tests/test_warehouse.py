@@ -141,8 +141,52 @@ def test_a_snapshot_is_replaced_all_at_once(spark, warehouse):
         tables.replace_whole(spark.range(count), name)
         assert spark.table(name).count() == count
         assert table_names(spark, warehouse.masked_db) == ["t"]
-    folder = tables.location(spark, name).removeprefix("file:")
-    assert [path.name for path in Path(folder).parent.iterdir()] == [Path(folder).name]
+    folder = Path(tables.location(spark, name).removeprefix("file:"))
+    assert folder in folder.parent.iterdir()
+    assert len([*folder.parent.iterdir()]) == 2  # and the one before
+
+
+def test_a_frame_opened_before_a_load_still_reads(spark, warehouse):
+    name = warehouse.masked("t")
+    tables.create_shaped(spark.range(1), name)
+    tables.replace_whole(spark.range(5), name)
+    opened = spark.table(name)
+    opened.inputFiles()
+    tables.replace_whole(spark.range(7), name)
+    assert opened.count() == 5 and spark.table(name).count() == 7
+
+
+class Stopped(Exception):
+    pass
+
+
+def test_a_load_stopped_at_any_catalog_step_loses_nothing(spark, warehouse, monkeypatch):
+    """Whatever was left behind is dropped; the rows are the old or the new ones."""
+    name = warehouse.masked("t")
+    tables.create_shaped(spark.range(1), name)
+    tables.replace_whole(spark.range(5), name)
+    sql = type(spark).sql
+    for steps in range(4):
+        left = iter(range(steps))
+
+        def stopping(self, query, *more, left=left, **named):
+            if next(left, None) is None:
+                raise Stopped
+            return sql(self, query, *more, **named)
+
+        monkeypatch.setattr(type(spark), "sql", stopping)
+        try:
+            tables.replace_whole(spark.range(6), name)
+        except Stopped:
+            pass
+        monkeypatch.setattr(type(spark), "sql", sql)
+        for other in table_names(spark, warehouse.masked_db):
+            if other != "t":
+                spark.sql(f"DROP TABLE {warehouse.masked_db}.{other}")
+        spark.catalog.refreshTable(name)
+        assert spark.table(name).count() in (5, 6)
+    tables.replace_whole(spark.range(8), name)
+    assert spark.table(name).count() == 8
 
 
 def test_a_failed_replacement_leaves_the_old_rows(spark, warehouse):
