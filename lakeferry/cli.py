@@ -19,11 +19,19 @@ from pyspark.sql import SparkSession
 
 from lakeferry.functions.days import as_day
 from lakeferry.operators.warehouse import Warehouse
-from lakeferry.plans.loads import load_day, load_days, load_snapshot, stage_days
+from lakeferry.plans.loads import Reading, load_day, load_days, load_snapshot, stage_days
 from lakeferry.plans.profiles import COMPAT, strict
 from lakeferry.plans.specs import LOG_TABLES, SNAPSHOT_TABLES
 from lakeferry.session import start
 from lakeferry.sources import FileSource, JdbcSource, mysql_url
+from lakeferry.sources.jdbc import RANGE_ROWS
+
+
+def _pair(text: str) -> tuple[str, str]:
+    name, equals, value = text.partition("=")
+    if not equals:
+        raise argparse.ArgumentTypeError(f"not NAME=VALUE: {text}")
+    return name, value
 
 
 def parser() -> argparse.ArgumentParser:
@@ -36,14 +44,22 @@ def parser() -> argparse.ArgumentParser:
     shared.add_argument("--user")
     shared.add_argument("--password-file", type=Path)
     shared.add_argument("--driver", help="JDBC driver class")
-    shared.add_argument("--readers", type=int, default=8, help="key ranges per table")
+    shared.add_argument(
+        "--option", action="append", default=[], type=_pair, metavar="NAME=VALUE",
+        help="option of the reader of --files, such as header=true",
+    )
+    shared.add_argument("--schema-file", type=Path, help="columns and types of --files, as DDL")
+    shared.add_argument("--zone", help="show instants as wall-clock times of this zone")
+    shared.add_argument("--unreadable-times", choices=("fail", "null"), default="fail")
+    shared.add_argument("--plain-times", action="store_true", help="leave times in text as they are")
+    shared.add_argument("--readers", type=int, default=8, help="least key ranges per table")
+    shared.add_argument("--range-rows", type=int, default=RANGE_ROWS, help="rows of a key range")
     shared.add_argument("--connections", type=int, help="ranges read at a time")
-    shared.add_argument("--balanced", action="store_true", help="split by rows, not by width")
     shared.add_argument("--masked-db", default="ods_masked")
     shared.add_argument("--raw-db", default="ods_raw")
     shared.add_argument("--location", help="folder for databases that do not exist yet")
     shared.add_argument("--strict", action="store_true", help="mask all that is sensitive")
-    shared.add_argument("--salt-file", type=Path, help="salt of hashes, with --strict")
+    shared.add_argument("--salt-file", type=Path, help="salt of hashes; --strict needs it")
     shared.add_argument("--columns-of", metavar="TABLE", help="load as this known table")
 
     top = argparse.ArgumentParser(prog="lakeferry", description=__doc__.splitlines()[0])
@@ -62,9 +78,14 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def _schema(given: argparse.Namespace) -> str | None:
+    return given.schema_file.read_text().strip() if given.schema_file else None
+
+
 def _source(spark: SparkSession, given: argparse.Namespace):
     if given.files:
-        return FileSource(spark, given.files, given.format, f".{given.format}")
+        options, schema = dict(given.option), _schema(given)
+        return FileSource(spark, given.files, given.format, f".{given.format}", options, schema)
     url = given.url or mysql_url(*given.mysql.split("/", 1))
     password = given.password_file.read_text().strip() if given.password_file else None
     properties = {"user": given.user, "password": password, "driver": given.driver}
@@ -74,7 +95,7 @@ def _source(spark: SparkSession, given: argparse.Namespace):
         {name: value for name, value in properties.items() if value},
         given.readers,
         given.connections,
-        given.balanced,
+        given.range_rows,
     )
 
 
@@ -86,7 +107,11 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         model = given.columns_of or table
         if model not in known:
             raise SystemExit(f"unknown table {model}; known are {', '.join(known)}")
-        specs.append(replace(known[model], name=table))
+        schema = _schema(given) or known[model].schema
+        specs.append(replace(known[model], name=table, schema=schema))
+    if given.strict and not given.salt_file:
+        raise SystemExit("--strict needs --salt-file")
+    reading = Reading(given.zone, given.unreadable_times, not given.plain_times)
     salt = given.salt_file.read_text().strip() if given.salt_file else None
     profile = strict(salt) if given.strict else COMPAT
 
@@ -95,10 +120,12 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     warehouse = Warehouse(spark, given.masked_db, given.raw_db).create(given.location)
     for spec in specs:
         if given.command == "snapshot":
-            load_snapshot(source, warehouse, spec, given.today, profile)
+            load_snapshot(source, warehouse, spec, given.today, profile, reading)
         elif given.command == "days":
-            load_days(source, warehouse, spec, given.start, given.end, profile=profile)
+            load_days(
+                source, warehouse, spec, given.start, given.end, profile=profile, reading=reading
+            )
         elif given.command == "stage":
-            stage_days(source, warehouse, spec, given.start, given.end)
+            stage_days(source, warehouse, spec, given.start, given.end, reading)
         else:
-            load_day(source, warehouse, spec, given.day, profile)
+            load_day(source, warehouse, spec, given.day, profile, reading)

@@ -32,9 +32,22 @@ def null_token(column: Column) -> Column:
     return F.nullif(column, F.lit(NULL_TOKEN))
 
 
-def zero_date(column: Column, type_name: str = "timestamp_ntz") -> Column:
-    """Text to a date or time; the zero date and unreadable text give NULL."""
-    return F.when(~column.startswith(ZERO_DATE), column).try_cast(type_name)
+def zero_date(
+    column: Column, type_name: str = "timestamp_ntz", unreadable: str = "fail"
+) -> Column:
+    """Text to a date or time; the zero date gives NULL.
+
+    Other text that is no time fails the job, or gives NULL too if ``unreadable``
+    is "null".
+    """
+    text = F.when(~column.startswith(ZERO_DATE), column)
+    time = text.try_cast(type_name)
+    if unreadable == "null":
+        return time
+    if unreadable != "fail":
+        raise ValueError(f'unreadable is "fail" or "null", not {unreadable!r}')
+    failed = F.raise_error(F.concat(F.lit("not a time: "), text)).cast(type_name)
+    return F.when(text.isNotNull() & time.isNull(), failed).otherwise(time)
 
 
 def tinyint(column: Column) -> Column:
@@ -50,20 +63,35 @@ def in_source_zone(column: Column, zone: str = SOURCE_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), column.cast("timestamp_ntz"))
 
 
-def clean(frame: DataFrame, datetimes: Collection[str] = ()) -> DataFrame:
+def wall_clock(column: Column, zone: str) -> Column:
+    """What a clock in ``zone`` shows at an instant, as TIMESTAMP_NTZ."""
+    shown = column.cast("timestamp_ntz")  # in the zone of the session
+    return F.convert_timezone(F.current_timezone(), F.lit(zone), shown)
+
+
+def clean(
+    frame: DataFrame,
+    datetimes: Collection[str] = (),
+    zone: str | None = None,
+    unreadable: str = "fail",
+) -> DataFrame:
     """All the rules at once, in one narrow projection.
 
     Text loses its delimiters, then the null token becomes NULL (in this order,
     because a token may be followed by a line feed). ``datetimes`` names the
-    text columns that hold times.
+    text columns that hold times, ``unreadable`` says what becomes of text in
+    them that is none. Instants become wall-clock times of ``zone``, if given.
     """
+    times = {name.lower() for name in datetimes}
 
     def cleaned(field: T.StructField) -> Column:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.StringType):
             column = null_token(strip_delimiters(column))
-            if field.name in datetimes:
-                column = zero_date(column)
+            if field.name.lower() in times:
+                column = zero_date(column, unreadable=unreadable)
+        elif isinstance(field.dataType, T.TimestampType) and zone:
+            column = wall_clock(column, zone)
         elif isinstance(field.dataType, (T.BooleanType, T.ByteType)):
             column = tinyint(column)
         return column.alias(field.name)

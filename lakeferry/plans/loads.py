@@ -10,6 +10,7 @@ No step shuffles, apart from staging a log whose rows are not grouped by day.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -27,11 +28,35 @@ from lakeferry.sources import Source
 LAST_OLD_DAY = 20180420
 
 
+@dataclass(frozen=True)
+class Reading:
+    """How rows are cleaned on the way in, beyond what a table says itself.
+
+    ``zone`` is where instants are shown as wall-clock times; ``unreadable``
+    ("fail" or "null") what becomes of text that should be a time; ``times`` is
+    off to leave such text as it is.
+    """
+
+    zone: str | None = None
+    unreadable: str = "fail"
+    times: bool = True
+
+    def clean(self, frame: DataFrame, spec: TableSpec) -> DataFrame:
+        return clean(frame, spec.datetimes if self.times else (), self.zone, self.unreadable)
+
+
+PLAIN = Reading()
+
+
 def stage_snapshot(
-    source: Source, warehouse: Warehouse, spec: TableSpec, day: str | date
+    source: Source,
+    warehouse: Warehouse,
+    spec: TableSpec,
+    day: str | date,
+    reading: Reading = PLAIN,
 ) -> None:
     """Copy the whole table, with all its columns, into one day of staging."""
-    frame = clean(source.read_split(spec.name, spec.key, spec.readers), spec.datetimes)
+    frame = reading.clean(source.read_split(spec.name, spec.key, spec.readers), spec)
     staged = frame.withColumn(DAY, F.lit(partition_value(day)))
     warehouse.stage(staged, spec.name, [as_day(day)], aligned=True)
 
@@ -54,24 +79,29 @@ def load_snapshot(
     spec: TableSpec,
     today: str | date,
     profile: Profile = COMPAT,
+    reading: Reading = PLAIN,
 ) -> None:
     """Stage the table under yesterday, publish that day, drop the day before."""
     day = back(today, 1)
-    stage_snapshot(source, warehouse, spec, day)
+    stage_snapshot(source, warehouse, spec, day, reading)
     masked, raw = layers(warehouse.staged(spec.name, [day]), spec, profile)
     warehouse.publish(masked, raw, spec.name)
     warehouse.expire(spec.name, [back(today, 2)])
 
 
 def stage_days(
-    source: Source, warehouse: Warehouse, spec: TableSpec, start: str | date, end: str | date
+    source: Source,
+    warehouse: Warehouse,
+    spec: TableSpec,
+    start: str | date,
+    end: str | date,
+    reading: Reading = PLAIN,
 ) -> list[date]:
     """Copy the log of all days from start to end into staging, in one job."""
     days = list_days(start, end)
     if days:
-        shards = source.read_shards(spec.name, days, spec.key, spec.readers)
-        frame = clean(shards, spec.datetimes)
-        warehouse.stage(frame, spec.name, days, aligned=source.day_aligned)
+        shards = source.read_shards(spec.name, days, spec.key, spec.readers, spec.schema)
+        warehouse.stage(reading.clean(shards, spec), spec.name, days, aligned=source.day_aligned)
     return days
 
 
@@ -83,12 +113,13 @@ def load_days(
     end: str | date,
     last_old_day: int | None = LAST_OLD_DAY,
     profile: Profile = COMPAT,
+    reading: Reading = PLAIN,
 ) -> None:
     """Load a range of days: one job for staging and one for each layer.
 
     Staging keeps the last two days, as if the days had come one by one.
     """
-    days = stage_days(source, warehouse, spec, start, end)
+    days = stage_days(source, warehouse, spec, start, end, reading)
     if not days:
         return
     staged = era(warehouse.staged(spec.name, days), spec.later, last_old_day)
@@ -103,6 +134,7 @@ def load_day(
     spec: TableSpec,
     day: str | date,
     profile: Profile = COMPAT,
+    reading: Reading = PLAIN,
 ) -> None:
     """Load one day, taken to be of the newer schema."""
-    load_days(source, warehouse, spec, day, day, last_old_day=None, profile=profile)
+    load_days(source, warehouse, spec, day, day, None, profile, reading)

@@ -18,8 +18,9 @@ class TableSpec:
     gets, ``strict_masks`` what the strict profile adds. ``constants`` are
     columns published as a fixed text (not in the strict profile). ``later``
     are columns that the source gained at some day, with their types.
-    ``datetimes`` are text columns of a source without types that hold times;
-    a database gives typed times, with its zero dates as NULL already.
+    ``datetimes`` are columns that hold times: where a source has them as text,
+    they are read as times. A database gives typed times, with its zero dates as
+    NULL already. ``schema`` (as DDL) is that of a log in files without types.
     """
 
     name: str
@@ -29,6 +30,7 @@ class TableSpec:
     constants: Mapping[str, str] = field(default_factory=dict)
     later: Mapping[str, str] = field(default_factory=dict)
     datetimes: tuple[str, ...] = ()
+    schema: str | None = None
     readers: int = 1
 
     @property
@@ -61,6 +63,7 @@ _SNAPSHOTS = (
         """),
         masks={"realname": "name", "mobile": "phone"},
         strict_masks={"password": "hash", "bank_card_num": "hash", "personal_id": "hash"},
+        datetimes=("createtime",),
     ),
     TableSpec(
         "agency_relation",
@@ -78,6 +81,7 @@ _SNAPSHOTS = (
         """),
         masks={"realname": "name", "mobile": "phone", "bank_card_num": "hash", "idcard": "hash"},
         strict_masks={"password": "hash"},
+        datetimes=("createtime",),
     ),
     TableSpec(
         "areacode",
@@ -98,7 +102,8 @@ _SNAPSHOTS = (
             openid refund bind_time multi_suid
         """),
         masks={"mobile": "phone"},
-        strict_masks={"cashier_name": "name"},
+        strict_masks={"openid": "hash", "cashier_name": "name"},
+        datetimes=("bind_time",),
     ),
     TableSpec(
         "role_relation",
@@ -107,6 +112,8 @@ _SNAPSHOTS = (
             auth_group_id accept_msg bind_time multi_suid
         """),
         masks={"mobile": "phone"},
+        datetimes=("bind_time",),
+        strict_masks={"openid": "hash"},
     ),
     TableSpec(
         "shop_info",
@@ -120,6 +127,7 @@ _SNAPSHOTS = (
         """),
         masks={"phone": "short_phone", "bank_kh_name": "name", "bank_card_id": "hash"},
         strict_masks={"realname": "name"},
+        datetimes=("createtime",),
     ),
     TableSpec(
         "shop_info_sub",
@@ -137,6 +145,7 @@ _SNAPSHOTS = (
         """),
         masks={"realname": "name", "phone": "phone", "bank_kh_name": "name", "bank_card_id": "hash"},
         strict_masks={"service_phone": "phone"},
+        datetimes=("createtime", "lasttime"),
     ),
     TableSpec(
         "subscribe_relation",
@@ -144,6 +153,7 @@ _SNAPSHOTS = (
             id jf_openid unionid appid subscribe_appid openid subscribe_id pay_status
             order_id
         """),
+        strict_masks={"jf_openid": "hash", "openid": "hash"},
     ),
     TableSpec(
         "user2agency",
@@ -158,6 +168,7 @@ _SNAPSHOTS = (
             uid person_card realname mobile status lasttime
         """),
         masks={"person_card": "hash", "realname": "name", "mobile": "phone"},
+        datetimes=("lasttime",),
     ),
     TableSpec(
         "user_bank",
@@ -166,6 +177,7 @@ _SNAPSHOTS = (
             img createtime updatetime remark lasttime server_id corporate_account
         """),
         masks={"bank_card_id": "hash", "bank_kh_name": "name"},
+        datetimes=("createtime", "updatetime", "lasttime"),
     ),
     TableSpec(
         "user_base",
@@ -176,6 +188,8 @@ _SNAPSHOTS = (
         """),
         masks={"mobile": "phone"},
         readers=4,
+        datetimes=("createtime", "updatetime"),
+        strict_masks={"openid": "hash"},
     ),
     TableSpec(
         "user_code",
@@ -183,6 +197,7 @@ _SNAPSHOTS = (
             code_id code_name uid last_uid aid openid is_default permkey qrid table_name
             cashiers permkey_c qrid_c shop_sub_id
         """),
+        strict_masks={"openid": "hash"},
     ),
     TableSpec(
         "user_verify_data",
@@ -199,6 +214,8 @@ _SNAPSHOTS = (
             img8_status img8_exif corporate_account chief_agent auth_queue queue_time
         """),
         masks={"auth_realname": "name", "auth_person_card": "hash", "bank_num": "hash"},
+        datetimes=("createtime", "confirmtime", "submittime", "lasttime", "authtime", "user_up_confirmtime", "user_up_changetime", "user_up_submittime"),
+        strict_masks={"openid": "hash", "help_openid": "hash"},
     ),
 )
 
@@ -219,6 +236,7 @@ _LOGS = (
         constants={"date": "date"},
         later={"red_price": "double"},
         readers=2,
+        datetimes=("createtime", "finishtime", "shelltime"),
     ),
 )
 

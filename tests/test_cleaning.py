@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeferry.functions import cleaning
@@ -16,9 +17,31 @@ def test_delimiters_and_null_token(spark):
 
 
 def test_zero_dates(spark):
-    values = ["0000-00-00 00:00:00", "2018-04-20 01:02:03", "2018-00-10", "soon", None]
-    got = cleaned(spark, values, datetimes=["value"])
-    assert got == [None, datetime(2018, 4, 20, 1, 2, 3), None, None, None]
+    values = ["0000-00-00 00:00:00", "2018-04-20 01:02:03", None, "\\N\n"]
+    got = cleaned(spark, values, datetimes=["VALUE"])
+    assert got == [None, datetime(2018, 4, 20, 1, 2, 3), None, None]
+
+
+def test_unreadable_times_fail_unless_asked_otherwise(spark):
+    for value in ("2018-00-10", "soon", ""):
+        with pytest.raises(Exception, match="not a time"):
+            cleaned(spark, [value], datetimes=["value"])
+        assert cleaned(spark, [value], datetimes=["value"], unreadable="null") == [None]
+        assert cleaned(spark, [value]) == [value]
+    with pytest.raises(ValueError):
+        cleaning.zero_date(F.col("value"), unreadable="maybe")
+
+
+def test_instants_are_shown_in_the_zone_asked_for(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            frame = spark.sql("SELECT timestamp_seconds(1704110400) AS t")
+            got = cleaning.clean(frame, zone="Asia/Shanghai").selectExpr("CAST(t AS string)")
+            assert got.first()[0] == "2024-01-01 20:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_flags_become_integers(spark):

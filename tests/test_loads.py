@@ -1,5 +1,7 @@
+import re
 from dataclasses import replace
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,9 @@ from lakeferry import (
     COMPAT,
     LOG_TABLES,
     SNAPSHOT_TABLES,
+    FileSource,
     FrameSource,
+    Reading,
     load_day,
     load_days,
     load_snapshot,
@@ -39,6 +43,7 @@ def log(spark, start="2018-04-19", end="2018-04-21"):
     days = spark.createDataFrame([(str(day),) for day in list_days(start, end)], "day string")
     time = F.col("day").cast("timestamp_ntz")
     named = {"createtime": time, "red_price": F.lit(2.5), "date": F.col("day")}
+    named |= {"finishtime": F.col("day"), "shelltime": F.lit("0000-00-00 00:00:00")}
     return days.select(
         *[
             named.get(c, F.concat(F.lit(f"{c} "), F.col("day"))).alias(c)
@@ -55,6 +60,9 @@ class FailingSource(FrameSource):
     def read_split(self, name, key, readers=1):
         return self.tables[name].withColumn("realname", F.raise_error(F.lit("lost")))
 
+    def read_shards(self, *asked):
+        return super().read_shards(*asked).withColumn("ua", F.raise_error(F.lit("lost")))
+
 
 @pytest.mark.parametrize("name", SNAPSHOT_TABLES)
 def test_specs_are_consistent(name):
@@ -121,13 +129,95 @@ def test_times_kept_as_text_are_read(spark, warehouse):
     frame = users(spark).withColumn("lasttime", F.expr(
         "if(uid = 0, '0000-00-00 00:00:00', lasttime)"
     ))
-    spec = replace(USERS, datetimes=("lasttime",))
-    load_snapshot(FrameSource({"user_auth": frame}), warehouse, spec, "2018-04-20")
+    load_snapshot(FrameSource({"user_auth": frame}), warehouse, USERS, "2018-04-20")
     published = spark.table(warehouse.raw("user_auth"))
     assert published.schema["lasttime"].dataType.simpleString() == "timestamp_ntz"
     assert rows(published.select("lasttime").distinct()) == [(None,), (datetime(2018, 4, 20),)]
 
 
+def test_times_can_be_left_as_text(spark, warehouse):
+    frame = users(spark).withColumn("lasttime", F.lit("1524182400"))
+    source = FrameSource({"user_auth": frame, "other": frame})
+    with pytest.raises(Exception, match="not a time"):
+        load_snapshot(source, warehouse, replace(USERS, name="other"), "2018-04-20")
+    load_snapshot(source, warehouse, USERS, "2018-04-20", reading=Reading(times=False))
+    assert spark.table(warehouse.raw("user_auth")).first().lasttime == "1524182400"
+
+
+def test_strict_needs_a_salt():
+    for salt in ("", None):
+        with pytest.raises(ValueError, match="salt"):
+            strict(salt)
+
+
+def test_openid_is_masked_in_every_table_in_strict():
+    specs = [*SNAPSHOT_TABLES.values(), LOG]
+    assert all(
+        {c for c in spec.columns if c.endswith("openid") and c != "subscribe_openid"}
+        <= set(spec.masks_for(strict("salt")))
+        for spec in specs
+        if "openid" in spec.columns
+    )
+
+
+def test_specs_are_those_of_the_fixtures():
+    """The column lists, as written down apart from the code."""
+    text = (Path(__file__).resolve().parents[1] / "FIXTURES.md").read_text()
+    for spec in [*SNAPSHOT_TABLES.values(), LOG]:
+        assert re.search(r"\b" + r"[\s,`|]+".join(spec.columns) + r"\b", text), spec.name
+
+
+def test_a_day_that_was_not_delivered_costs_nothing(spark, warehouse, tmp_path):
+    """Published and staged days stay, if a folder is missing; an empty folder empties its day."""
+    days = list_days("2018-04-21", "2018-04-23")
+    for day in days:
+        shard = log(spark, str(day), str(day))
+        shard.write.parquet(f"{tmp_path}/order_log/yymmdd={day:%Y%m%d}")
+    load_days(FileSource(spark, str(tmp_path)), warehouse, LOG, days[0], days[-1])
+    tables = [warehouse.masked("order_log"), warehouse.raw("order_log"), warehouse.staging("order_log")]
+    before = [rows(spark.table(table)) for table in tables]
+    other = FileSource(spark, str(tmp_path / "elsewhere"))
+    for start, end in ((days[0], days[0]), (days[2], "2018-04-24")):
+        with pytest.raises(FileNotFoundError):
+            load_days(other, warehouse, LOG, start, end)
+    assert [rows(spark.table(table)) for table in tables] == before
+    (tmp_path / "empty" / "order_log" / "yymmdd=20180422").mkdir(parents=True)
+    schema = spark.read.parquet(f"{tmp_path}/order_log/yymmdd=20180422").schema
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spec = replace(LOG, schema=ddl)
+    load_day(FileSource(spark, str(tmp_path / "empty")), warehouse, spec, days[1])
+    held = rows(spark.table(tables[0]).select("yymmdd"))
+    assert held == rows(spark.table(tables[1]).select("yymmdd")) == [(20180421,), (20180423,)]
+
+
+def test_a_failed_rerun_keeps_the_staged_day(spark, warehouse):
+    source = log_source(log(spark))
+    stage_days(source, warehouse, LOG, "2018-04-19", "2018-04-21")
+    before = rows(spark.table(warehouse.staging("order_log")))
+    with pytest.raises(Exception, match="lost"):
+        stage_days(FailingSource(logs=source.logs), warehouse, LOG, "2018-04-20", "2018-04-20")
+    assert rows(spark.table(warehouse.staging("order_log"))) == before
+
+
+def test_a_rerun_without_rows_empties_the_day(spark, warehouse):
+    stage_days(log_source(log(spark)), warehouse, LOG, "2018-04-19", "2018-04-21")
+    stage_days(log_source(log(spark, "2018-04-19", "2018-04-20")), warehouse, LOG, "2018-04-20", "2018-04-21")
+    assert list_partitions(spark, warehouse.staging("order_log")) == [20180419, 20180420]
+
+
+def test_frames_give_exactly_the_days_asked_for(spark):
+    source = log_source(log(spark))
+    days = list_days("2018-04-19", "2018-04-21")
+    read = source.read_shards("order_log", [days[2], days[0]])
+    assert rows(read.select("yymmdd")) == [(20180419,), (20180421,)]
+
+
+def test_rows_without_a_time_fail(spark):
+    frame = log(spark).withColumn("createtime", F.expr("nullif(createtime, timestamp_ntz'2018-04-20')"))
+    with pytest.raises(Exception, match="has no createtime"):
+        log_source(frame).read_shards("order_log", list_days("2018-04-19", "2018-04-19")).collect()
+
+
 def test_a_missing_column_stops_before_publishing(spark, warehouse):
     load_snapshot(FrameSource({"user_auth": users(spark)}), warehouse, USERS, "2018-04-20")
     lacking = users(spark).drop("mobile")
@@ -155,9 +245,8 @@ def test_staging_holds_all_columns_and_layers_the_listed_ones(spark, warehouse):
 def test_strict_shows_no_sensitive_value(spark, warehouse, name):
     spec = SNAPSHOT_TABLES[name]
     secret = "13812345678"
-    frame = spark.range(1).select(
-        *[F.lit(1 if c == spec.key else secret).alias(c) for c in spec.columns]
-    )
+    given = {spec.key: 1, **dict.fromkeys(spec.datetimes, "2018-04-20")}
+    frame = spark.range(1).select(*[F.lit(given.get(c, secret)).alias(c) for c in spec.columns])
     profile = strict("pepper")
     load_snapshot(FrameSource({name: frame}), warehouse, spec, "2018-04-20", profile)
     masked = spark.table(warehouse.masked(name)).first()
@@ -215,7 +304,7 @@ def test_empty_range_does_nothing(spark, warehouse):
 
 def test_strict_log_shows_the_date_and_hides_the_rest(spark, warehouse):
     source = log_source(log(spark))
-    load_days(source, warehouse, LOG, "2018-04-21", "2018-04-21", profile=strict())
+    load_days(source, warehouse, LOG, "2018-04-21", "2018-04-21", profile=strict("salt"))
     row = spark.table(warehouse.masked("order_log")).first()
     assert row.date == "2018-04-21"
     assert all(len(row[column]) == 64 for column in ("user_ip", "openid", "pay_openid"))

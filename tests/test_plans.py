@@ -108,7 +108,7 @@ def test_only_frames_in_no_order_are_rebalanced(spark, warehouse, monkeypatch, d
     [
         "mask_name", "mask_phone", "mask_hash", "mask_strict", "scalar_functions", "clean_delims",
         "clean_null_token", "clean_zero_date", "clean_timezone", "schema_era", "calendar_range",
-        "calendar_parse", "project_allow_list", "src_split_numeric", "src_split_text",
+        "calendar_parse", "project_allow_list",
     ],
 )
 def test_column_queries_are_narrow(spark, name):

@@ -18,6 +18,7 @@ TYPES = {
     "int": "INTEGER",
     "double": "DOUBLE",
     "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
 }
 
 

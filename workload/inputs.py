@@ -63,20 +63,42 @@ def card(key: Column) -> Column:
     return F.when(key % 11 != 0, number)
 
 
-def person(words: Column, key: Column) -> Column:
-    """One word of a text, at a place that depends on the key, and NULLs."""
-    return F.when(key % 17 != 0, F.get(words, (key % F.size(words)).cast("int")))
+def person(text: Column, key: Column) -> Column:
+    """The beginning of a text, 1 to 30 characters of it, and NULLs."""
+    return F.when(key % 17 != 0, F.substr(text, F.lit(1), (1 + key % 30).cast("int")))
+
+
+def time_text(key: Column) -> Column:
+    """A time as text, with zero dates and null tokens among them."""
+    day = F.lpad((1 + key % 28).cast("string"), 2, "0")
+    spelled = F.concat(F.lit("2018-04-"), day, F.lit(" 01:02:03"))
+    return F.when(key % 6 == 0, "0000-00-00 00:00:00").when(key % 7 == 0, "\\N\n").otherwise(spelled)
 
 
 def labelled(column: str, key: Column) -> Column:
     return F.concat(F.lit(f"{column}_"), key.cast("string"))
 
 
+def spoiled(column: str, key: Column) -> Column:
+    """A label with a line feed in it, and null tokens."""
+    return F.when(key % 9 == 0, "\\N").otherwise(F.concat(F.lit(f"{column}\n_"), key.cast("string")))
+
+
+# What the first columns without a rule are filled with: whole columns of documents.
+WHOLE = ("text", "lang", "source")
+
+
+def whole_columns(spec: TableSpec) -> dict[str, str]:
+    free = [c for c in spec.columns if c != spec.key and c not in spec.masks and c not in spec.datetimes]
+    return dict(zip(free, WHOLE))
+
+
 def snapshot_input(documents: DataFrame, spec: TableSpec) -> DataFrame:
     """Documents in the shape of a table: one row each, every column filled."""
     key = F.col("doc_id")
+    whole = whole_columns(spec)
     rules = {
-        "name": lambda: person(F.col("words"), key),
+        "name": lambda: person(F.col("text"), key),
         "phone": lambda: phone(key),
         "short_phone": lambda: phone(key),
         "hash": lambda: card(key),
@@ -87,11 +109,13 @@ def snapshot_input(documents: DataFrame, spec: TableSpec) -> DataFrame:
             return key
         if column in spec.masks:
             return rules[spec.masks[column]]()
-        return labelled(column, key)
+        if column in spec.datetimes:
+            return time_text(key)
+        if column in whole:
+            return F.col(whole[column])
+        return spoiled(column, key)
 
-    # In a column of its own, so that each text is split once; pruned if unused.
-    split = documents.withColumn("words", F.split("text", " "))
-    return split.select(*[value(column).alias(column) for column in spec.columns])
+    return documents.select(*[value(column).alias(column) for column in spec.columns])
 
 
 def log_input(events: DataFrame, spec: TableSpec) -> DataFrame:
@@ -103,6 +127,8 @@ def log_input(events: DataFrame, spec: TableSpec) -> DataFrame:
         "pay_price": F.col("value"),
         "red_price": F.col("value") / 2,
         "createtime": F.col("ts"),
+        "finishtime": time_text(key),
+        "shelltime": F.col("ts"),
         "attach": F.col("props"),
     }
     return events.select(

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from lakeferry import LOG_TABLES, SNAPSHOT_TABLES, TableSpec
-from workload.queries import DOCUMENTS, LAST_OLD_EVENT_DAY, LAST_OLD_ORDER_DAY, SALT
+from workload.inputs import whole_columns
+from workload.queries import DOCUMENTS, LAST_OLD_EVENT_DAY, LAST_OLD_ORDER_DAY, SALT, STRICT_LOADS
 
 ONE_DAY_KEY = 20240115
 DELIMITERS = "chr(10) || chr(13) || chr(1)"
-LETTERS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 
 def _q(column: str) -> str:
@@ -73,8 +73,16 @@ def _card_input(key: str) -> str:
 
 
 def _person_input(key: str) -> str:
-    words = "string_split(text, ' ')"
-    return f"CASE WHEN {key} % 17 <> 0 THEN {words}[1 + {key} % len({words})] END"
+    return f"CASE WHEN {key} % 17 <> 0 THEN substr(text, 1, 1 + {key} % 30) END"
+
+
+def _time(key: str) -> str:
+    return f"""CASE WHEN {key} % 6 <> 0 AND {key} % 7 <> 0 THEN
+        make_timestamp(2018, 4, 1 + {key} % 28, 1, 2, 3) END"""
+
+
+def _spoiled(column: str, key: str) -> str:
+    return f"CASE WHEN {key} % 9 <> 0 THEN '{column}_' || {key} END"
 
 
 INPUTS = {
@@ -89,14 +97,20 @@ def _snapshot_load(spec: TableSpec, is_strict: bool = False) -> str:
     kinds = {**spec.masks, **(spec.strict_masks if is_strict else {})}
     masks = STRICT_MASKS if is_strict else COMPAT_MASKS
 
+    whole = whole_columns(spec)
+
     def given(column: str) -> str:
         if column == spec.key:
-            return f"doc_id AS {_q(column)}"
-        if column in spec.masks:
-            value = INPUTS[spec.masks[column]]("doc_id")
+            value = "doc_id"
+        elif column in spec.masks:
+            value = _stripped(INPUTS[spec.masks[column]]("doc_id"))
+        elif column in spec.datetimes:
+            value = _time("doc_id")
+        elif column in whole:
+            value = _stripped(whole[column])
         else:
-            value = f"'{column}_' || doc_id"
-        return f"{_stripped(value)} AS {_q(column)}"
+            value = _spoiled(column, "doc_id")
+        return f"{value} AS {_q(column)}"
 
     def shown(column: str) -> str:
         if column in kinds:
@@ -118,6 +132,8 @@ def _log_load(later: str, where: str, is_strict: bool = False) -> str:
         "pay_price": "value",
         "red_price": later,
         "createtime": "ts",
+        "finishtime": _time("event_id"),
+        "shelltime": "ts",
         "attach": "props",
         "date": None if is_strict else "'date'",
     }
@@ -138,34 +154,6 @@ def _labelled(column: str) -> str:
     return f"'{column}_' || event_id"
 
 
-def _text_split() -> str:
-    """One cut, halfway between the least and the greatest name."""
-
-    def number(text: str) -> str:
-        digits = [
-            f"greatest(strpos('{LETTERS}', substr({text}, same + {i}, 1)) - 1, 0)"
-            f" * CAST(pow({len(LETTERS)}, {4 - i}) AS BIGINT)"
-            for i in range(1, 5)
-        ]
-        return " + ".join(digits)
-
-    letters = " || ".join(
-        f"substr('{LETTERS}', 1 + CAST((half // CAST(pow({len(LETTERS)}, {i}) AS BIGINT))"
-        f" % {len(LETTERS)} AS INTEGER), 1)"
-        for i in (3, 2, 1, 0)
-    )
-    return f"""
-        WITH bounds AS (SELECT min(c_name) AS low, max(c_name) AS high FROM customer),
-        shared AS (SELECT *, len(list_filter(
-            range(1, 1 + least(length(low), length(high))),
-            lambda i: substr(low, 1, i) = substr(high, 1, i))) AS same FROM bounds),
-        ends AS (SELECT *, {number("low")} AS first, {number("high")} AS last FROM shared),
-        middle AS (SELECT *, first + (last - first) // 2 AS half FROM ends),
-        cut AS (SELECT substr(low, 1, same) || {letters} AS cut FROM middle)
-        SELECT c_custkey, c_name, CASE WHEN c_name < cut THEN 0 ELSE 1 END AS reader
-        FROM customer, cut"""
-
-
 def _documents(lang: str, text: str, source: str) -> str:
     return f"SELECT doc_id, {text} AS text, {lang} AS lang, {source} AS source FROM cleaned"
 
@@ -181,17 +169,8 @@ PHONES = f"WITH phones AS (SELECT c_custkey, {_phone_input('c_custkey')} AS phon
 
 ORACLE: dict[str, str] = {
     "src_snapshot": "SELECT * FROM customer",
-    "src_split_numeric": """
-        WITH bounds AS (
-            SELECT min(c_custkey) AS low, max(c_custkey) - min(c_custkey) + 1 AS width
-            FROM customer)
-        SELECT c_custkey, c_name, CASE
-            WHEN c_custkey < low + width // 4 THEN 0
-            WHEN c_custkey < low + width * 2 // 4 THEN 1
-            WHEN c_custkey < low + width * 3 // 4 THEN 2
-            ELSE 3 END AS reader
-        FROM customer, bounds""",
-    "src_split_text": _text_split(),
+    "src_split_numeric": "SELECT c_custkey, c_name, 1 AS readers, true AS fair FROM customer",
+    "src_split_text": "SELECT c_custkey, c_name, 1 AS readers, true AS fair FROM customer",
     "src_day_shards": f"""
         SELECT event_id, ts, event_type, value,
             CASE WHEN {_day("ts")} > {LAST_OLD_EVENT_DAY} THEN props END AS props,
@@ -288,7 +267,16 @@ ORACLE: dict[str, str] = {
     ),
     "pipe_order_log_daily": _log_load("value / 2", f"{_day('ts')} = {ONE_DAY_KEY}"),
     **{f"pipe_{name}": _snapshot_load(spec) for name, spec in SNAPSHOT_TABLES.items()},
-    "pipe_shop_info_strict": _snapshot_load(SNAPSHOT_TABLES["shop_info"], is_strict=True),
+    **{
+        f"pipe_{name}_strict": _snapshot_load(SNAPSHOT_TABLES[name], is_strict=True)
+        for name in STRICT_LOADS
+    },
+    "pipe_numeric_mask": f"""
+        WITH cleaned AS (
+            SELECT doc_id, CAST(n_chars AS VARCHAR) AS n_chars, {_stripped("lang")} AS lang
+            FROM documents)
+        SELECT doc_id, {_phone("n_chars")} AS n_chars, lang, 'masked' AS layer FROM cleaned
+        UNION ALL SELECT doc_id, n_chars, lang, 'raw' FROM cleaned""",
     "pipe_order_log_strict": _log_load(
         f"CASE WHEN {_day('ts')} > {LAST_OLD_EVENT_DAY} THEN value / 2 END", "1 = 1", is_strict=True
     ),

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeferry import (
@@ -29,7 +30,8 @@ from lakeferry.operators import projection
 from lakeferry.operators.warehouse import create_like, create_shaped, overwrite
 from lakeferry.plans.loads import stage_days, stage_snapshot
 from lakeferry.plans.profiles import Profile
-from lakeferry.sources.splits import split_cuts, split_index
+from lakeferry.sources.jdbc import RANGE_ROWS
+from lakeferry.sources.splits import Cutter, split_predicates
 from workload import inputs
 from workload.inputs import both_layers, new_warehouse, table
 
@@ -48,6 +50,7 @@ LAST_OLD_EVENT_DAY = 20240110
 LAST_OLD_ORDER_DAY = 19980420
 ONE_DAY = "2024-01-15"
 SALT = "pepper"
+STRICT_LOADS = ("agency", "area_agency", "cashier_relation", "shop_info", "shop_info_sub")
 
 
 # -- sources
@@ -57,20 +60,35 @@ def src_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FileSource(spark, sf_dir).read_table("customer")
 
 
-def _with_reader(customer: DataFrame, key: str, readers: int) -> DataFrame:
-    low, high = customer.agg(F.min(key), F.max(key)).first()
-    cuts = split_cuts(low, high, readers)
-    return customer.select("c_custkey", "c_name", split_index(F.col(key), cuts).alias("reader"))
+def _split(customer: DataFrame, key: str, readers: int) -> DataFrame:
+    """How many readers ask for each row, and whether its reader has a fair share.
+
+    The cuts and conditions are those of a split read, asked of the table as a
+    database would be.
+    """
+    spark, view = customer.sparkSession, f"customer_{uuid4().hex}"
+    customer.createOrReplaceTempView(view)
+    cutter = Cutter(lambda query: spark.sql(query).collect(), key, readers, RANGE_ROWS, True)
+    conditions = split_predicates(key, cutter.cuts([view])[view], True)
+    holds = F.array(*[F.coalesce(F.expr(c), F.lit(False)) for c in conditions])
+    rows = customer.select("c_custkey", "c_name", holds.alias("holds"))
+    rows = rows.withColumn("reader", F.array_position("holds", True))
+    total = F.sum("held").over(Window.partitionBy())
+    shares = rows.groupBy("reader").agg(F.count("*").alias("held"))
+    shares = shares.withColumn("fair", F.col("held") <= 2 * F.ceil(total / readers))
+    return rows.join(shares, "reader").select(
+        "c_custkey", "c_name", F.size(F.filter("holds", lambda x: x)).alias("readers"), "fair"
+    )
 
 
 def src_split_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which of four readers each row falls to, by a number."""
-    return _with_reader(table(spark, sf_dir, "customer"), "c_custkey", 4)
+    """Rows by four readers, by a number."""
+    return _split(table(spark, sf_dir, "customer"), "c_custkey", 4)
 
 
 def src_split_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which of two readers each row falls to, by a text."""
-    return _with_reader(table(spark, sf_dir, "customer"), "c_name", 2)
+    """Rows by two readers, by a text."""
+    return _split(table(spark, sf_dir, "customer"), "c_name", 2)
 
 
 def src_day_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,9 +100,7 @@ def src_day_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     for shards in (tagged.where(old).drop("props"), tagged.where(~old)):
         writer = shards.hint("rebalance", "yymmdd").write.mode("append")
         writer.partitionBy("yymmdd").parquet(f"{root}/event_log")
-    return FileSource(spark, root).read_shards(
-        "event_log", inputs.event_days(events), schema=tagged.schema
-    )
+    return FileSource(spark, root).read_shards("event_log", inputs.event_days(events))
 
 
 # -- cleaning
@@ -367,6 +383,15 @@ def pipe_order_log_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both_layers(warehouse, "order_log")
 
 
+def pipe_numeric_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A number that is masked is published as text, in both layers."""
+    spec = TableSpec("documents", ("doc_id", "n_chars", "lang"), masks={"n_chars": "phone"})
+    warehouse = new_warehouse(spark)
+    documents = table(spark, sf_dir, "documents").select(*spec.columns)
+    load_snapshot(FrameSource({"documents": documents}), warehouse, spec, TODAY)
+    return both_layers(warehouse, "documents")
+
+
 _BY_NAME = (
     src_snapshot,
     src_split_numeric,
@@ -398,11 +423,15 @@ _BY_NAME = (
     calendar_offsets,
     pipe_order_log_backfill,
     pipe_order_log_daily,
+    pipe_numeric_mask,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{query.__name__: query for query in _BY_NAME},
     **{f"pipe_{name}": partial(snapshot_load, name=name) for name in SNAPSHOT_TABLES},
-    "pipe_shop_info_strict": partial(snapshot_load, name="shop_info", profile=strict(SALT)),
+    **{
+        f"pipe_{name}_strict": partial(snapshot_load, name=name, profile=strict(SALT))
+        for name in STRICT_LOADS
+    },
     "pipe_order_log_strict": partial(pipe_order_log_backfill, profile=strict(SALT)),
 }
