@@ -301,7 +301,7 @@ def repeated_lines(
     classes = classes.select("id", "low", "high", "first", "n").join(found, "id", "left")
     classes = classes.withColumn("component", F.coalesce("component", "id"))
     groups = classes.groupBy("component").agg(F.min("first").alias("head"), F.sum("n").alias("lines"))
-    groups = groups.where("lines > 1")
+    groups = scratch.save(groups.where("lines > 1"), "groups")
     classes = classes.join(groups, "component").select(
         F.col("low").alias("l"), F.col("high").alias("h"), F.col("head").alias("first")
     )

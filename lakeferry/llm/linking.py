@@ -11,9 +11,9 @@ components what all pairs would give.
    in a join whose condition leaves out what cannot be linked, and the rest is
    verified; a bucket with one component has none of them.
 
-Joins on hot keys have no aggregate above them in their stage, so adaptive
-execution splits their partitions; groups are reduced by sums of a few columns
-only, in each task before the shuffle.
+Sums by key are written before they are joined, so that joins on hot keys stand
+alone in their stage and adaptive execution can split them; groups are reduced
+to a few columns in each task before the shuffle.
 """
 
 from __future__ import annotations
@@ -79,7 +79,9 @@ def link(
     and y; it spares writing out what cannot be linked.
     """
     ends = buckets.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    shared = scratch.save(buckets.join(ends.where("low < high"), "key"), "shared")
+    # written first, so that the join below it can split hot keys
+    ends = scratch.save(ends.where("low < high"), "ends")
+    shared = scratch.save(buckets.join(ends, "key"), "shared")
     verify = prepare(shared.select("id").distinct())
 
     stars = shared.select("id", F.explode(F.array("low", "high")).alias("end")).where("id <> end")
@@ -91,8 +93,8 @@ def link(
     rows = shared.select("key", "id").join(found, "id", "left")
     rows = scratch.save(rows.withColumn("component", F.coalesce("component", "id")), "rows")
     mixed = rows.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"))
-    mixed = mixed.where("c < d").select(F.col("key").alias("mixed"))
-    rows = rows.join(mixed, F.col("key") == F.col("mixed")).drop("mixed")
+    mixed = scratch.save(mixed.where("c < d").select("key"), "mixed_keys")
+    rows = rows.join(mixed, "key")
     rows = scratch.save(rows.join(detail, "id"), "mixed")
     a, b = (
         rows.select(*[F.col(c).alias(c if c == "key" else f"{side}_{c}") for c in rows.columns])

@@ -172,7 +172,9 @@ def _lists(pairs: DataFrame) -> DataFrame:
     return best.select("u", F.explode("list").alias("x")).select("u", "x.v", "x.sim", "x.new")
 
 
-def _cells(units: DataFrame, trees: int, bits: int, width: int, seed: int) -> DataFrame:
+def _cells(
+    units: DataFrame, trees: int, bits: int, width: int, seed: int, scratch: Scratch, tag: str
+) -> DataFrame:
     """Every vector once for each tree, with the cell it lies in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +198,7 @@ def _cells(units: DataFrame, trees: int, bits: int, width: int, seed: int) -> Da
 
     cells = units.select("id", "coarse").mapInArrow(run, "id long, coarse binary, tree int, code long")
     sizes = cells.groupBy("tree", "code").agg(F.ceil(F.count("*") / CELL_MOST).alias("parts"))
-    cells = cells.join(sizes, ["tree", "code"])
+    cells = cells.join(scratch.save(sizes, f"{tag}_sizes"), ["tree", "code"])
     return cells.withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
 
 
@@ -204,7 +206,7 @@ def neighbour_lists(units: DataFrame, width: int, trees: int, seed: int, scratch
     """(u, v, sim) of the lists after descent. `units` has id and coarse."""
     n = units.count()
     bits = max(1, int(np.ceil(np.log2(max(n, 2) / CELL))))
-    cells = _cells(units, trees, bits, width, seed)
+    cells = _cells(units, trees, bits, width, seed, scratch, tag)
     near = cells.repartition("tree", "code", "part").sortWithinPartitions("tree", "code", "part")
     pairs = near.mapInArrow(_nearest_in_cell, "u long, v long, sim float")
     lists = scratch.save(_lists(pairs.withColumn("new", F.lit(True))), f"{tag}_0")

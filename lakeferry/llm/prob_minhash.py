@@ -220,12 +220,11 @@ def near_duplicates(
     found = link(buckets, prepare, detail, _alike, scratch)
     classes = classes.select("id", "low", "high", "one").join(found, "id", "left")
     classes = classes.withColumn("component", F.coalesce("component", "id"))
-    best = classes.groupBy("component").agg(F.min("one").alias("best"))
-    classes = classes.join(best, "component").select("low", "high", "component", "best")
     rows = seen.select("doc_id", "mark", "low", "high", "n_shingles").distinct()
     rows = rows.join(classes, ["low", "high"])
-    sizes = rows.groupBy("component").agg(F.count("*").alias("class_size"))
-    rows = rows.join(sizes, "component")
+    rows = scratch.save(rows.select("doc_id", "mark", "n_shingles", "component", "one"), "members")
+    best = rows.groupBy("component").agg(F.min("one").alias("best"), F.count("*").alias("class_size"))
+    rows = rows.join(scratch.save(best, "best"), "component")
     kept = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("mark") == F.col("best.mark"))
     return rows.select(
         "doc_id", "mark", "n_shingles", F.col("best.doc_id").alias("class_id"), "class_size", kept.alias("kept")

@@ -47,8 +47,8 @@ GRAM = 40
 #: symbols of a string when its anchor is one symbol
 LENGTH = SPAN - GRAM + 1
 MOST = 64
-PART_BYTES = 2 << 20
-BATCH_SYMBOLS = 400_000
+PART_BYTES = 1 << 20
+BATCH_SYMBOLS = 300_000
 RESULT = ("kept", "n_bytes", "n_removed", "n_spans")
 
 _SEPARATOR, _ANCHOR = 1, 258
@@ -370,6 +370,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     if few:  # no shuffle, so it pays to do it first
         anchors = without_copies(anchors)
     again = anchors.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key")
+    again = scratch.save(again, "again")  # so that the join can split hot keys
     found = anchors.join(again, "key", "left_semi")
     found = scratch.save(found if few else without_copies(found), "found")
 
