@@ -204,13 +204,14 @@ class Shard:
         return best, where
 
 
-def blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> list[pa.Table]:
-    """The benchmark in tables of about `limit` bytes at most, one after another."""
+def blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> Iterator[pa.Table]:
+    """The benchmark in tables of about `limit` bytes, each fetched when it is asked for."""
     rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // limit) or 1
     block = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [rows.where(block == k).toArrow() if n > 1 else rows.toArrow() for k in range(n)]
+    for k in range(n):
+        yield rows.where(block == k).toArrow() if n > 1 else rows.toArrow()
 
 
 def united(spans: list[int]) -> list[int]:

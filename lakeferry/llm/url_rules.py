@@ -145,18 +145,14 @@ class Index:
 
 
 def token_counts(urls: DataFrame, rules: Sequence[Rule]) -> dict[str, int]:
-    """How many URLs have each of the rules' tokens."""
+    """How many URLs have each of the rules' tokens; as many rows as there are of these at most."""
     wanted = sorted({t for rule in rules for t in rule.tokens})
     if not wanted:
         return {}
-    found = urls.select(
-        F.explode(
-            F.array_intersect(
-                F.regexp_extract_all(F.concat("host", "path"), F.lit("([0-9A-Za-z]+)"), 1),
-                F.array(*map(F.lit, wanted)),
-            )
-        ).alias("token")
-    )
+    tokens = F.regexp_extract_all(F.concat("host", "path"), F.lit("([0-9A-Za-z]+)"), 1)
+    found = urls.select(F.explode(F.array_distinct(tokens)).alias("token"))
+    known = urls.sparkSession.createDataFrame([(token,) for token in wanted], "token string")
+    found = found.join(F.broadcast(known), "token")
     return {r.token: r.n for r in found.groupBy("token").agg(F.count("*").alias("n")).collect()}
 
 
