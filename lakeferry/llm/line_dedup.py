@@ -309,7 +309,9 @@ def repeated_lines(
     rows = rows.join(classes, (F.col("low") == F.col("l")) & (F.col("high") == F.col("h")))
     mine = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
     rows = rows.where(~(mine & (F.col("line") == F.col("first.line"))))
-    return rows.select("doc_id", "mark", "line", "first")
+    rows = scratch.save(rows.select("doc_id", "mark", "line", "first"), "repeated")
+    scratch.keep("repeated")
+    return rows
 
 
 def _without(text: str, count: str):

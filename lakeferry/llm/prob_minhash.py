@@ -225,6 +225,7 @@ def near_duplicates(
     rows = scratch.save(rows.select("doc_id", "mark", "n_shingles", "component", "one"), "members")
     best = rows.groupBy("component").agg(F.min("one").alias("best"), F.count("*").alias("class_size"))
     rows = rows.join(scratch.save(best, "best"), "component")
+    scratch.keep("members", "best")
     kept = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("mark") == F.col("best.mark"))
     return rows.select(
         "doc_id", "mark", "n_shingles", F.col("best.doc_id").alias("class_id"), "class_size", kept.alias("kept")

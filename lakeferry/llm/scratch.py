@@ -45,6 +45,12 @@ class Scratch:
         for name in names:
             self._files.delete(self._at(f"{self.folder}/{name}")[1], True)
 
+    def keep(self, *names: str) -> None:
+        """Free all tables of this folder but these."""
+        _, path = self._at(self.folder)
+        held = [x.getPath().getName() for x in self._files.listStatus(path)]
+        self.drop(*[name for name in held if name not in names])
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

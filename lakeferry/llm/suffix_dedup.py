@@ -397,7 +397,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     large = _later(strings, _firsts(strings, ["key", "segment"]), ["key", "segment"])
     spans = copies.unionByName(equal).unionByName(small).unionByName(large)
     spans = scratch.save(spans, "spans")
-    scratch.drop("pieces", "strings", "equal", "copies")
+    scratch.keep("spans")
     return spans
 
 
