@@ -14,14 +14,17 @@ from pyspark.sql import functions as F
 
 from lakeferry.llm import decontaminate, line_dedup, mixing, prob_minhash, quality
 from lakeferry.llm.scratch import Scratch, free_name, read_table
+from lakeferry.llm.shipping import shipped
 
 
+@shipped
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     model = quality.trained(docs, read_table(spark, sf_dir, "labels"))
     return quality.scored(docs, model).where("predicted = 1").select(*docs.columns)
 
 
+@shipped
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand elsewhere before, or all but an edit of them, go.
 
@@ -37,16 +40,19 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return kept.withColumn("n_chars", changed).select(*docs.columns)
 
 
+@shipped
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return prob_minhash.near_duplicates_removed(docs)
 
 
+@shipped
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with benchmark passages go."""
     return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+@shipped
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources come to their target weights, in training order."""
     return mixing.mixed(docs)

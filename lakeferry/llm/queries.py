@@ -20,6 +20,7 @@ from lakeferry.llm import (
     url_rules,
 )
 from lakeferry.llm.scratch import read_table
+from lakeferry.llm.shipping import shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,7 +32,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query under its own name, with its SQL where there is one."""
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        QUERIES[function.__name__] = shipped(function)
         if sql:
             ORACLE[function.__name__] = sql
         return function
