@@ -5,7 +5,7 @@ splits and runs all of the work; the driver only names tables and days.
 """
 
 from lakeferry.operators.warehouse import Warehouse
-from lakeferry.plans.loads import Reading, load_day, load_days, load_snapshot
+from lakeferry.plans.loads import Reading, load_day, load_days, load_snapshot, load_snapshots
 from lakeferry.plans.profiles import COMPAT, strict
 from lakeferry.plans.specs import LOG_TABLES, SNAPSHOT_TABLES, TableSpec
 from lakeferry.sources import FileSource, FrameSource, JdbcSource
@@ -23,5 +23,6 @@ __all__ = [
     "load_day",
     "load_days",
     "load_snapshot",
+    "load_snapshots",
     "strict",
 ]

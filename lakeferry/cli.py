@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from lakeferry.functions.days import as_day
 from lakeferry.operators.warehouse import Warehouse
-from lakeferry.plans.loads import Reading, load_day, load_days, load_snapshot, stage_days
+from lakeferry.plans.loads import Reading, load_day, load_days, load_snapshots, stage_days
 from lakeferry.plans.profiles import COMPAT, strict
 from lakeferry.plans.specs import LOG_TABLES, SNAPSHOT_TABLES
 from lakeferry.session import start
@@ -67,6 +67,7 @@ def parser() -> argparse.ArgumentParser:
     snapshot = commands.add_parser("snapshot", parents=[shared], help="load whole tables")
     snapshot.add_argument("tables", nargs="+", metavar="table")
     snapshot.add_argument("--today", type=as_day, required=True, help="the day of the run")
+    snapshot.add_argument("--at-once", type=int, default=1, help="tables loaded at a time")
     for command, text in (("days", "load a range of days"), ("stage", "only stage the days")):
         ranged = commands.add_parser(command, parents=[shared], help=text)
         ranged.add_argument("table")
@@ -118,14 +119,15 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     spark = spark or start()
     source = _source(spark, given)
     warehouse = Warehouse(spark, given.masked_db, given.raw_db).create(given.location)
-    for spec in specs:
-        if given.command == "snapshot":
-            load_snapshot(source, warehouse, spec, given.today, profile, reading)
-        elif given.command == "days":
-            load_days(
-                source, warehouse, spec, given.start, given.end, profile=profile, reading=reading
-            )
-        elif given.command == "stage":
-            stage_days(source, warehouse, spec, given.start, given.end, reading)
-        else:
-            load_day(source, warehouse, spec, given.day, profile, reading)
+    if given.command == "snapshot":
+        load_snapshots(source, warehouse, specs, given.today, profile, reading, given.at_once)
+        return
+    spec = specs[0]
+    if given.command == "days":
+        load_days(
+            source, warehouse, spec, given.start, given.end, profile=profile, reading=reading
+        )
+    elif given.command == "stage":
+        stage_days(source, warehouse, spec, given.start, given.end, reading)
+    else:
+        load_day(source, warehouse, spec, given.day, profile, reading)

@@ -10,9 +10,12 @@ No step shuffles, apart from staging a log whose rows are not grouped by day.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,7 @@ from lakeferry.operators.projection import as_text, constant, era, mask_columns,
 from lakeferry.operators.warehouse import DAY, Warehouse
 from lakeferry.plans.profiles import COMPAT, Profile
 from lakeferry.plans.specs import TableSpec
+from lakeferry.session import FEW_DAYS, WIDE_TABLES, applied
 from lakeferry.sources import Source
 
 # Fixed value: the last day of the log without the later columns.
@@ -47,6 +51,9 @@ class Reading:
 
 PLAIN = Reading()
 
+# What the writes of a snapshot are run with.
+SNAPSHOT_WRITES = {**WIDE_TABLES, **FEW_DAYS}
+
 
 def stage_snapshot(
     source: Source,
@@ -89,6 +96,31 @@ def load_snapshot(
     warehouse.expire(spec.name, [back(today, 2)])
 
 
+def load_snapshots(
+    source: Source,
+    warehouse: Warehouse,
+    specs: Sequence[TableSpec],
+    today: str | date,
+    profile: Profile = COMPAT,
+    reading: Reading = PLAIN,
+    at_once: int = 1,
+) -> None:
+    """Load several tables, some of them at a time.
+
+    They don't depend on each other: if one fails, the others are loaded all the
+    same, and then its exception is raised.
+    """
+
+    def load(spec: TableSpec) -> None:
+        load_snapshot(source, warehouse, spec, today, profile, reading)
+
+    # held for all, so that no load puts settings back that another one needs
+    with applied(warehouse.spark, SNAPSHOT_WRITES), ThreadPoolExecutor(at_once) as pool:
+        loads = [pool.submit(inheritable_thread_target(warehouse.spark)(load), spec) for spec in specs]
+    for done in loads:
+        done.result()
+
+
 def stage_days(
     source: Source,
     warehouse: Warehouse,

@@ -36,7 +36,7 @@ def test_several_snapshots(spark, tmp_path):
         columns = SNAPSHOT_TABLES[name].columns
         frame = spark.range(2).select(*[F.lit("x").alias(c) for c in columns])
         frame.write.parquet(f"{tmp_path}/{name}.parquet")
-    asked = ["snapshot", "areacode", "user_code", "--today", "20180421"]
+    asked = ["snapshot", "areacode", "user_code", "--today", "20180421", "--at-once", "2"]
     masked, raw = run(spark, tmp_path, *asked)
     for name in ("areacode", "user_code"):
         assert spark.table(f"{masked}.{name}").count() == spark.table(f"{raw}.{name}").count() == 2

@@ -16,11 +16,12 @@ from lakeferry import (
     load_day,
     load_days,
     load_snapshot,
+    load_snapshots,
     strict,
 )
 from lakeferry.functions.days import back, list_days
 from lakeferry.operators.warehouse import list_partitions
-from lakeferry.plans.loads import stage_days
+from lakeferry.plans.loads import SNAPSHOT_WRITES, stage_days
 from tests.conftest import rows
 
 LOG = LOG_TABLES["order_log"]
@@ -89,6 +90,24 @@ def test_daily_runs_publish_one_day_and_keep_one_staged(spark, warehouse):
     assert list_partitions(spark, warehouse.staging("user_auth")) == [20180420]
 
 
+def test_several_tables_at_once(spark, warehouse):
+    """Settings of the session are as they were; one failure costs the other tables nothing."""
+    names = ["user_auth", "one", "two", "three"]
+    specs = [replace(USERS, name=name) for name in names]
+    source = FrameSource({name: users(spark) for name in names})
+    keys = [*SNAPSHOT_WRITES]
+    before = [spark.conf.get(key, None) for key in keys]
+    load_snapshots(source, warehouse, specs, "2018-04-20", at_once=3)
+    assert [spark.conf.get(key, None) for key in keys] == before
+    assert all(spark.table(warehouse.masked(name)).count() == 3 for name in names)
+    source.tables["one"] = users(spark).withColumn("realname", F.raise_error(F.lit("lost")))
+    source.tables["two"] = users(spark, ("Bo",))
+    with pytest.raises(Exception, match="lost"):
+        load_snapshots(source, warehouse, specs, "2018-04-21", at_once=2)
+    counts = [spark.table(warehouse.masked(name)).count() for name in names]
+    assert counts == [3, 3, 1, 3]
+
+
 def test_a_skipped_run_is_not_published_again(spark, warehouse):
     source = FrameSource({"user_auth": users(spark)})
     load_snapshot(source, warehouse, USERS, "2018-04-20")
