@@ -46,6 +46,15 @@ class Reading:
     times: bool = True
 
     def clean(self, frame: DataFrame, spec: TableSpec) -> DataFrame:
+        """Cleaned rows of a source that has all listed columns.
+
+        Staging may hold the columns of an earlier day, so one that the source has
+        lost would be published as NULL.
+        """
+        held = {column.lower() for column in frame.columns}
+        lost = [c for c in spec.columns if c.lower() not in held and c not in spec.later]
+        if lost:
+            raise ValueError(f"the source of {spec.name} lacks {', '.join(lost)}")
         return clean(frame, spec.datetimes if self.times else (), self.zone, self.unreadable)
 
 

@@ -246,6 +246,15 @@ def test_a_missing_column_stops_before_publishing(spark, warehouse):
     assert not spark.catalog.tableExists(warehouse.masked("other"))
 
 
+def test_a_column_that_the_source_has_lost_stops_the_load(spark, warehouse):
+    load_snapshot(FrameSource({"user_auth": users(spark)}), warehouse, USERS, "2018-04-20")
+    before = rows(spark.table(warehouse.masked("user_auth")))
+    lacking = FrameSource({"user_auth": users(spark).drop("mobile")})
+    with pytest.raises(ValueError, match="mobile"):
+        load_snapshot(lacking, warehouse, USERS, "2018-04-21")
+    assert rows(spark.table(warehouse.masked("user_auth"))) == before
+
+
 def test_masked_number_column_is_text_in_both_layers(spark, warehouse):
     numbers = users(spark).withColumn("mobile", F.col("mobile").cast("bigint"))
     load_snapshot(FrameSource({"user_auth": numbers}), warehouse, USERS, "2018-04-20")
