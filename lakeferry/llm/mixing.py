@@ -163,7 +163,7 @@ def planned(
             time = inverse(schedule, share_of)
             position = time if position is None else F.when(F.col("cycle") == n, time).otherwise(position)
         return F.struct(
-            F.lit(k).alias("copy"), taken.alias("taken"), F.round(position, 9).alias("position")
+            F.lit(k).alias("copy"), taken.alias("taken"), position.alias("position")
         )
 
     copies = F.filter(F.array(*[copy(k) for k in range(MOST)]), lambda c: c["taken"] > 0)

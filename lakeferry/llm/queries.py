@@ -143,7 +143,7 @@ MIXING_SQL = r"""
     f"""
     WITH {MIXING_SQL}
     SELECT doc_id, size, source_size, target, CAST(once + again AS BIGINT) AS taken,
-           round(at_, 6) AS position
+           at_ AS position
     FROM times"""
 )
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,8 +151,7 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     plan = mixing.planned(documents, carry=["doc_id"]).drop("copies")
     order = ["position", "doc_id"]  # documents that the mix leaves out have no position
-    ordered = plan.repartitionByRange(*order).sortWithinPartitions(*order)
-    return ordered.withColumn("position", F.round("position", 6))
+    return plan.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 @query()
