@@ -200,7 +200,8 @@ def within(first: list[str], second: list[str], threshold: int) -> np.ndarray:
         late = np.maximum(j - (la[live] - k) + 1, 0)
         bit = (2 * k - late).astype(np.uint64)
         on_diagonal = 1 - ((down >> bit) & one).astype(np.int64)
-        along = ((across_plus >> bit) & one).astype(np.int64) - ((across_minus >> bit) & one).astype(np.int64)
+        along = ((across_plus >> bit) & one).astype(np.int64)
+        along -= ((across_minus >> bit) & one).astype(np.int64)
         cost = cost + np.where(late > 0, along, on_diagonal)
         plus = (across_minus | ~((down >> one) | across_plus)) & full
         minus = (down >> one) & across_plus

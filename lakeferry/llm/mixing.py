@@ -64,7 +64,8 @@ def inverse(schedule: Schedule, share: Column) -> Column:
         root = F.sqrt(F.greatest(F.lit(w0 * w0) + rest * (2 * slope), F.lit(0.0)))
         here = F.when(rest > 0, F.lit(t0) + rest * 2 / (root + w0)).otherwise(F.lit(t0))
         here = F.least(here, F.lit(t1))
-        time = here if time is None else F.when(reached < before + (t1 - t0) * (w0 + w1) / 2, here).otherwise(time)
+        until = before + (t1 - t0) * (w0 + w1) / 2
+        time = here if time is None else F.when(reached < until, here).otherwise(time)
     return time
 
 
@@ -92,7 +93,8 @@ def targets(totals: DataFrame, schedules: Sequence[Schedule], share: float = SHA
     words = F.col("words") - F.coalesce(F.sum(limit).over(before), F.lit(0))
     weight = F.col("weights") - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     totals = totals.withColumn("full", limit * weight <= words * F.col("weight"))
-    open_words = F.first("words").over(everyone) - F.sum(F.when(F.col("full"), limit).otherwise(0)).over(everyone)
+    taken = F.sum(F.when(F.col("full"), limit).otherwise(0)).over(everyone)
+    open_words = F.first("words").over(everyone) - taken
     open_weight = F.sum(F.when(F.col("full"), 0.0).otherwise(F.col("weight"))).over(everyone)
     reached = F.try_divide(F.col("weight") * open_words, open_weight)
     target = F.when(F.col("full"), limit.cast("double")).otherwise(reached)
@@ -191,8 +193,9 @@ def mixed(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     copies = rows.select(*kept, "size", F.explode("copies").alias("c"))
     parts = F.split(F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")), " ")
     cut = F.array_join(F.slice(parts, 1, F.col("c.taken").cast("int")), " ")
+    whole = F.when(F.col("c.taken") < F.col("size"), cut).otherwise(F.col(text)).alias(text)
     copies = copies.select(
-        *[c if c != text else F.when(F.col("c.taken") < F.col("size"), cut).otherwise(F.col(c)).alias(c) for c in kept],
+        *[whole if c == text else c for c in kept],
         "c.copy",
         "c.taken",
         "c.position",

@@ -202,7 +202,9 @@ def _cells(
     return cells.withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
 
 
-def neighbour_lists(units: DataFrame, width: int, trees: int, seed: int, scratch: Scratch, tag: str) -> DataFrame:
+def neighbour_lists(
+    units: DataFrame, width: int, trees: int, seed: int, scratch: Scratch, tag: str
+) -> DataFrame:
     """(u, v, sim) of the lists after descent. `units` has id and coarse."""
     n = units.count()
     bits = max(1, int(np.ceil(np.log2(max(n, 2) / CELL))))
@@ -298,14 +300,18 @@ def _links(units: DataFrame, lists: DataFrame, threshold: float, scratch: Scratc
     )
     keys = ["component", "low", "high"]
     counts = rows.repartition(*keys).sortWithinPartitions(*keys)
-    counts = counts.mapInArrow(_counted(threshold), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = counts.mapInArrow(_counted(threshold), "id long, n long")
+    counts = counts.groupBy("id").agg(F.sum("n").alias("n"))
     return scratch.save(members.select("id", "component").join(counts, "id"), f"{tag}_found")
 
 
-def recall(units: DataFrame, found: DataFrame, threshold: float = THRESHOLD, queries: int = AUDIT) -> float:
+def recall(
+    units: DataFrame, found: DataFrame, threshold: float = THRESHOLD, queries: int = AUDIT
+) -> float:
     """The share of links that was found, of some vectors compared with all others."""
     some = units.orderBy(F.xxhash64("id", F.lit(5)), "id").limit(queries)
-    some = some.select("id", "exact").join(found, "id", "left").select("id", "exact", F.coalesce("n", F.lit(0)).alias("n"))
+    some = some.select("id", "exact").join(found, "id", "left")
+    some = some.select("id", "exact", F.coalesce("n", F.lit(0)).alias("n"))
     table = some.toArrow()
     if not table.num_rows:
         return 1.0

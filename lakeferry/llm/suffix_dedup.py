@@ -202,10 +202,11 @@ class Pieces:
         self.none = doc_id.is_null().to_numpy(zero_copy_only=False)
         self.doc_id = doc_id.fill_null(0).to_numpy()
         self.tag, self.start, self.strings, self.anchor = _unpacked(table.column("at").to_numpy())
-        self.data, self.offset = as_bytes(table.column("body").combine_chunks().cast(pa.large_binary()).view(pa.large_string()))
+        body = table.column("body").combine_chunks().cast(pa.large_binary())
+        self.data, self.offset = as_bytes(body.view(pa.large_string()))  # may cut characters
         self.rows = np.repeat(np.arange(len(self.key)), self.strings)
         #: of each string, its number in its segment
-        self.number = np.arange(len(self.rows)) - np.repeat(np.cumsum(self.strings) - self.strings, self.strings)
+        self.number = _ranges(np.zeros(len(self.key), np.int64), self.strings)
 
     def symbols(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The strings for the suffix arrays, their bounds, and where each segment begins."""
@@ -347,10 +348,12 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     scratch = Scratch(docs.sparkSession)
     whole = F.coalesce(F.col(text), F.lit(""))
-    marked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole.alias("text"), _tag(whole).alias("tag"))
+    number = F.col(doc_id).cast("long").alias("doc_id")
+    marked = docs.select(number, whole.alias("text"), _tag(whole).alias("tag"))
 
     # copies of whole texts
-    texts = marked.select("doc_id", "tag", F.md5("text").alias("md5"), F.octet_length("text").cast("long").alias("n"))
+    size = F.octet_length("text").cast("long").alias("n")
+    texts = marked.select("doc_id", "tag", F.md5("text").alias("md5"), size)
     texts = texts.where(F.col("n") >= SPAN).distinct().withColumn("at", F.col("tag"))
     texts = scratch.save(texts, "texts")
     firsts = _firsts(texts, ["md5", "n"]).where("times > 1").select("md5", "n", "f")
