@@ -214,7 +214,10 @@ _SNAPSHOTS = (
             img8_status img8_exif corporate_account chief_agent auth_queue queue_time
         """),
         masks={"auth_realname": "name", "auth_person_card": "hash", "bank_num": "hash"},
-        datetimes=("createtime", "confirmtime", "submittime", "lasttime", "authtime", "user_up_confirmtime", "user_up_changetime", "user_up_submittime"),
+        datetimes=_names("""
+            createtime confirmtime submittime lasttime authtime user_up_confirmtime
+            user_up_changetime user_up_submittime
+        """),
         strict_masks={"openid": "hash", "help_openid": "hash"},
     ),
 )

@@ -141,16 +141,14 @@ class Cutter:
             for i in range(0, len(some), PASS_CUTS)
         ]
         found: dict[str, list[tuple]] = {table: [] for table in cuts}
-        at = 0
-        while at < len(pieces):
-            batch, width = [], 0
-            while at < len(pieces) and (not batch or (len(batch) + 1) * max(width, len(pieces[at][1])) <= 4 * PASS_CUTS):
-                batch.append(pieces[at])
-                width = max(width, len(pieces[at][1]))
-                at += 1
+        while pieces:
+            # as many tables in a query as make a bounded number of sums
+            width = max(len(some) for _, some in pieces)
+            batch, pieces = pieces[: 4 * PASS_CUTS // width], pieces[4 * PASS_CUTS // width :]
             asked = []
             for i, (table, some) in enumerate(batch):
-                sums = [f"SUM(CASE WHEN {self.key} < {self._shown(cut)} THEN 1 ELSE 0 END)" for cut in some]
+                less = [f"{self.key} < {self._shown(cut)}" for cut in some]
+                sums = [f"SUM(CASE WHEN {condition} THEN 1 ELSE 0 END)" for condition in less]
                 sums += ["0"] * (width - len(some))
                 named = ", ".join(f"{value} AS below{n}" for n, value in enumerate(sums))
                 asked.append(f"SELECT {i} AS place, {named} FROM {table}")
