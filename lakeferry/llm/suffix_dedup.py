@@ -357,6 +357,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     texts = texts.where(F.col("n") >= SPAN).distinct().withColumn("at", F.col("tag"))
     texts = scratch.save(texts, "texts")
     firsts = _firsts(texts, ["md5", "n"]).where("times > 1").select("md5", "n", "f")
+    firsts = scratch.save(firsts, "first_texts")
     mine = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("at") == F.col("f.at"))
     copies = texts.join(firsts, ["md5", "n"]).where(~mine)
     copies = copies.select("doc_id", "tag", F.lit(0).cast("long").alias("start"), F.col("n").alias("end"))
@@ -397,7 +398,8 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         _strings, "key long, segment long, doc_id long, at long"
     )
     strings = scratch.save(strings, "strings")
-    large = _later(strings, _firsts(strings, ["key", "segment"]), ["key", "segment"])
+    firsts = scratch.save(_firsts(strings, ["key", "segment"]), "first_strings")
+    large = _later(strings, firsts, ["key", "segment"])
     spans = copies.unionByName(equal).unionByName(small).unionByName(large)
     spans = scratch.save(spans, "spans")
     scratch.keep("spans")
