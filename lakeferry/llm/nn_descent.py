@@ -10,9 +10,12 @@ vector, rounded).
 
 Listed pairs of about 0.9 and more are verified in double precision; what is
 linked (cosine of 0.9 or more) forms components. A list of `K` is too short for
-a vector with more links: such saturated lists are enlarged to all of the
-component, which is compared with itself in blocks of `BLOCK` vectors, in
-double precision. That gives the links of every vector without writing out pairs.
+a vector with more links: it may hold none but those of its own component. All
+vectors with such saturated lists search again, for the nearest in components
+other than their own (as floats, so that the nearest comes first), until no two
+components are linked any more. Each component is then compared with itself in
+blocks of `BLOCK` vectors, in double precision. That gives the links of every
+vector without writing out pairs.
 
 Recall is audited: `AUDIT` vectors, chosen by hash, are compared with all
 others. While their links found are under `TARGET` of those there are, the
@@ -112,46 +115,61 @@ def _pairs_batch(u, v, sim) -> pa.RecordBatch:
     )
 
 
-def _nearest_in_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compared(group: pa.RecordBatch, kind: type) -> np.ndarray:
+    """The cosines of the vectors of a group; -2 within a component."""
+    rows = _matrix(group.column("coarse"), kind).astype(np.float32)
+    rows = rows / 127 if kind is np.int8 else rows
+    component = group.column("component").to_numpy()
+    near = rows @ rows.T
+    near[component[:, None] == component] = -2
+    return near
+
+
+def _nearest_in_cell(k: int, kind: type):
     """Of each vector of a cell, the nearest others there."""
-    for group in groups(batches, ("tree", "code", "part")):
-        if group.num_rows < 2:
-            continue
-        rows = _matrix(group.column("coarse"), np.int8).astype(np.float32) / 127
-        ids = group.column("id").to_numpy()
-        near = rows @ rows.T
-        np.fill_diagonal(near, -2)
-        k = min(K, len(ids) - 1)
-        best = np.argpartition(near, -k, axis=1)[:, -k:]
-        sims = np.take_along_axis(near, best, 1)
-        yield _pairs_batch([np.repeat(ids, k)], [ids[best].reshape(-1)], [sims.reshape(-1)])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, ("tree", "code", "part")):
+            if group.num_rows < 2:
+                continue
+            ids = group.column("id").to_numpy()
+            near = _compared(group, kind)
+            most = min(k, len(ids) - 1)
+            best = np.argpartition(near, -most, axis=1)[:, -most:]
+            sims = np.take_along_axis(near, best, 1)
+            a, b = np.nonzero(sims > -1.5)
+            yield _pairs_batch([ids[a]], [ids[best[a, b]]], [sims[a, b]])
+
+    return run
 
-def _joined_locally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _joined_locally(k: int, kind: type):
     """Pairs of a vector's neighbours that are nearer than the last in a list of theirs."""
-    u, v, sim, held = [], [], [], 0
-    for group in groups(batches, ("w",)):
-        new = group.column("new").to_numpy(zero_copy_only=False)
-        if group.num_rows > 1 and new.any():
-            rows = _matrix(group.column("coarse"), np.int8).astype(np.float32) / 127
-            ids = group.column("id").to_numpy()
-            last = group.column("last").to_numpy()
-            near = rows @ rows.T
-            np.fill_diagonal(near, -2)
-            a, b = np.nonzero((near > last[:, None]) & (new[:, None] | new))
-            u.append(ids[a])
-            v.append(ids[b])
-            sim.append(near[a, b])
-            held += len(a)
-        if held > 200_000:
-            yield _best(u, v, sim)
-            u, v, sim, held = [], [], [], 0
-    if held:
-        yield _best(u, v, sim)
-
-
-def _best(u: list, v: list, sim: list) -> pa.RecordBatch:
-    """At most K pairs of each u, without repeats: the nearest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        u, v, sim, held = [], [], [], 0
+        for group in groups(batches, ("w",)):
+            new = group.column("new").to_numpy(zero_copy_only=False)
+            if group.num_rows > 1 and new.any():
+                ids = group.column("id").to_numpy()
+                last = group.column("last").to_numpy()
+                near = _compared(group, kind)
+                a, b = np.nonzero((near > last[:, None]) & (new[:, None] | new))
+                u.append(ids[a])
+                v.append(ids[b])
+                sim.append(near[a, b])
+                held += len(a)
+            if held > 200_000:
+                yield _best(u, v, sim, k)
+                u, v, sim, held = [], [], [], 0
+        if held:
+            yield _best(u, v, sim, k)
+
+    return run
+
+
+def _best(u: list, v: list, sim: list, k: int) -> pa.RecordBatch:
+    """At most k pairs of each u, without repeats: the nearest."""
     u, v, sim = (np.concatenate(x) for x in (u, v, sim))
     order = np.lexsort((v, -sim, u))
     u, v, sim = u[order], v[order], sim[order]
@@ -160,20 +178,20 @@ def _best(u: list, v: list, sim: list) -> pa.RecordBatch:
     u, v, sim = u[new], v[new], sim[new]
     begin = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1])))
     rank = np.arange(len(u)) - np.repeat(begin, np.diff(np.append(begin, len(u))))
-    keep = rank < K
+    keep = rank < k
     return _pairs_batch([u[keep]], [v[keep]], [sim[keep]])
 
 
-def _lists(pairs: DataFrame) -> DataFrame:
-    """The K nearest of each u: (u, v, sim, new). A pair that is there as old stays old."""
+def _lists(pairs: DataFrame, k: int) -> DataFrame:
+    """The k nearest of each u: (u, v, sim, new). A pair that is there as old stays old."""
     once = pairs.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("new").alias("new"))
     every = F.sort_array(F.collect_list(F.struct("sim", "v", "new")), asc=False)
-    best = once.groupBy("u").agg(F.slice(every, 1, K).alias("list"))
+    best = once.groupBy("u").agg(F.slice(every, 1, k).alias("list"))
     return best.select("u", F.explode("list").alias("x")).select("u", "x.v", "x.sim", "x.new")
 
 
 def _cells(
-    units: DataFrame, trees: int, bits: int, width: int, seed: int, scratch: Scratch, tag: str
+    units: DataFrame, trees: int, bits: int, width: int, seed: int, scratch: Scratch, tag: str, kind: type
 ) -> DataFrame:
     """Every vector once for each tree, with the cell it lies in."""
 
@@ -183,55 +201,76 @@ def _cells(
             n = batch.num_rows
             if not n:
                 continue
-            side = _matrix(batch.column("coarse"), np.int8).astype(np.float32) @ planes > 0
+            side = _matrix(batch.column("coarse"), kind).astype(np.float32) @ planes > 0
             codes = side.reshape(n, trees, bits) @ (1 << np.arange(bits, dtype=np.int64))
             for tree in range(trees):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id"),
                         batch.column("coarse"),
+                        batch.column("component"),
                         pa.array(np.full(n, tree), pa.int32()),
                         pa.array(codes[:, tree], pa.int64()),
                     ],
-                    names=["id", "coarse", "tree", "code"],
+                    names=["id", "coarse", "component", "tree", "code"],
                 )
 
-    cells = units.select("id", "coarse").mapInArrow(run, "id long, coarse binary, tree int, code long")
+    cells = units.select("id", "coarse", "component").mapInArrow(
+        run, "id long, coarse binary, component long, tree int, code long"
+    )
     sizes = cells.groupBy("tree", "code").agg(F.ceil(F.count("*") / CELL_MOST).alias("parts"))
     cells = cells.join(scratch.save(sizes, f"{tag}_sizes"), ["tree", "code"])
     return cells.withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
 
 
 def neighbour_lists(
-    units: DataFrame, width: int, trees: int, seed: int, scratch: Scratch, tag: str
+    units: DataFrame,
+    width: int,
+    trees: int,
+    seed: int,
+    scratch: Scratch,
+    tag: str,
+    k: int = K,
+    within: DataFrame | None = None,
 ) -> DataFrame:
-    """(u, v, sim) of the lists after descent. `units` has id and coarse."""
+    """(u, v, sim) of the lists of k after descent. `units` has id and coarse.
+
+    With `within`, lists (u, v) inside components, they are lists of vectors in
+    components other than u's; `units` then has component, and coarse as floats.
+    The descent goes along the lists inside components as well.
+    """
+    kind = np.int8 if within is None else np.float32
+    if within is None:
+        units = units.select("id", "coarse", F.col("id").alias("component"))
     n = units.count()
     bits = max(1, int(np.ceil(np.log2(max(n, 2) / CELL))))
-    cells = _cells(units, trees, bits, width, seed, scratch, tag)
+    cells = _cells(units, trees, bits, width, seed, scratch, tag, kind)
     near = cells.repartition("tree", "code", "part").sortWithinPartitions("tree", "code", "part")
-    pairs = near.mapInArrow(_nearest_in_cell, "u long, v long, sim float")
-    lists = scratch.save(_lists(pairs.withColumn("new", F.lit(True))), f"{tag}_0")
+    pairs = near.mapInArrow(_nearest_in_cell(k, kind), "u long, v long, sim float")
+    lists = scratch.save(_lists(pairs.withColumn("new", F.lit(True)), k), f"{tag}_0")
     for turn in range(1, ROUNDS + 1):
-        last = lists.groupBy("u").agg(F.when(F.count("*") >= K, F.min("sim")).alias("last"))
-        known = units.select("id", "coarse").join(last.withColumnRenamed("u", "id"), "id", "left")
+        last = lists.groupBy("u").agg(F.when(F.count("*") >= k, F.min("sim")).alias("last"))
+        known = units.select("id", "coarse", "component").join(last.withColumnRenamed("u", "id"), "id", "left")
         known = known.withColumn("last", F.coalesce("last", F.lit(-1.0)).cast("float"))
         forward = lists.select(F.col("u").alias("w"), F.col("v").alias("id"), "new")
         listed = lists.groupBy("v").agg(F.count("*").alias("n"))
         backward = lists.join(listed, "v").where(
-            F.pmod(F.xxhash64("u", "v", F.lit(turn)), F.col("n")) < K
+            F.pmod(F.xxhash64("u", "v", F.lit(turn)), F.col("n")) < k
         )
         backward = backward.select(F.col("v").alias("w"), F.col("u").alias("id"), "new")
         own = units.select(F.col("id").alias("w"), "id", F.lit(False).alias("new"))
         members = forward.unionByName(backward).unionByName(own)
+        if within is not None:
+            inside = within.select(F.col("u").alias("w"), F.col("v").alias("id"))
+            members = members.unionByName(inside.withColumn("new", F.lit(False)))
         members = members.groupBy("w", "id").agg(F.max("new").alias("new")).join(known, "id")
         members = members.repartition("w").sortWithinPartitions("w")
-        found = members.mapInArrow(_joined_locally, "u long, v long, sim float")
+        found = members.mapInArrow(_joined_locally(k, kind), "u long, v long, sim float")
         old = lists.withColumn("new", F.lit(False))
-        lists = _lists(old.unionByName(found.withColumn("new", F.lit(True))))
+        lists = _lists(old.unionByName(found.withColumn("new", F.lit(True))), k)
         lists = scratch.save(lists, f"{tag}_{turn}")
         scratch.drop(f"{tag}_{turn - 1}")
-        if lists.where("new").count() < CHANGED * n * K:
+        if lists.where("new").count() < CHANGED * n * k:
             break
     return lists.select("u", "v", "sim")
 
@@ -272,18 +311,74 @@ def _counted(threshold: float):
     return run
 
 
-def _links(units: DataFrame, lists: DataFrame, threshold: float, scratch: Scratch, tag: str) -> DataFrame:
-    """(id, component, n): of vectors with links, the component and how many they are."""
+def _verified_links(units: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of the listed pairs that are linked."""
     near = lists.where(F.col("sim") >= threshold - SLACK)
     near = near.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
     x = units.select(F.col("id").alias("a"), F.col("exact").alias("x"))
     y = units.select(F.col("id").alias("b"), F.col("exact").alias("y"))
-    links = near.join(x, "a").join(y, "b").mapInArrow(_verified(threshold), "a long, b long")
-    links = scratch.save(links, f"{tag}_links")
+    return near.join(x, "a").join(y, "b").mapInArrow(_verified(threshold), "a long, b long")
+
+
+def _floats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids, unit vectors as floats (as bytes), and components."""
+    for batch in batches:
+        rows = _matrix(batch.column("exact"), np.float64).astype(np.float32)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("id"),
+                pa.array([row.tobytes() for row in rows], pa.binary()),
+                batch.column("component"),
+            ],
+            names=["id", "coarse", "component"],
+        )
+
+
+def _joined_components(
+    units: DataFrame,
+    lists: DataFrame,
+    width: int,
+    trees: int,
+    seed: int,
+    threshold: float,
+    scratch: Scratch,
+    tag: str,
+    k: int,
+) -> DataFrame:
+    """(id, component) of vectors with links, after components that are linked are joined."""
+    links = scratch.save(_verified_links(units, lists, threshold), f"{tag}_links")
     found = components(links, scratch, tag)
+    # a list that is not full of what may be linked holds all links of its vector
+    full = lists.where(F.col("sim") >= threshold - SLACK).groupBy("u").agg(F.count("*").alias("n"))
+    full = full.where(F.col("n") >= K).select(F.col("u").alias("id"))
+    full = scratch.save(units.select("id", "exact").join(full, "id"), f"{tag}_full")
+    turn, within = 0, None
+    while True:
+        some = full.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        if some.select("component").distinct().limit(2).count() < 2:
+            return found
+        some = some.mapInArrow(_floats, "id long, coarse binary, component long")
+        some = scratch.save(some, f"{tag}_some{turn}")
+        if within is None:
+            within = lists.join(full.select(F.col("id").alias("u")), "u").select("u", "v")
+            within = scratch.save(within.distinct(), f"{tag}_within")
+        across = neighbour_lists(
+            some, width, trees, seed + turn, scratch, f"{tag}_across{turn}_", k, within
+        )
+        more = scratch.save(_verified_links(units, across, threshold), f"{tag}_more{turn}")
+        if more.isEmpty():
+            return found
+        stars = found.select(F.col("component").alias("a"), F.col("id").alias("b"))
+        found = components(stars.unionByName(more), scratch, f"{tag}_joined{turn}")
+        turn += 1
+
+
+def _links(units: DataFrame, found: DataFrame, threshold: float, scratch: Scratch, tag: str) -> DataFrame:
+    """(id, component, size, n): of vectors with links, the component and how many they are."""
     heads = found.select(F.col("component").alias("id"), "component").distinct()
     members = scratch.save(found.unionByName(heads), f"{tag}_members")
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    sizes = members.groupBy("component").agg(F.count("*").alias("size"))
+    sizes = sizes.withColumn("blocks", F.ceil(F.col("size") / BLOCK))
     members = members.join(sizes, "component").withColumn(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks"))
     )
@@ -302,7 +397,7 @@ def _links(units: DataFrame, lists: DataFrame, threshold: float, scratch: Scratc
     counts = rows.repartition(*keys).sortWithinPartitions(*keys)
     counts = counts.mapInArrow(_counted(threshold), "id long, n long")
     counts = counts.groupBy("id").agg(F.sum("n").alias("n"))
-    return scratch.save(members.select("id", "component").join(counts, "id"), f"{tag}_found")
+    return scratch.save(members.select("id", "component", "size").join(counts, "id"), f"{tag}_found")
 
 
 def recall(
@@ -364,15 +459,18 @@ def linked_vectors(
     )
     units = scratch.save(units.join(classes.select("id", "times"), "id"), "units")
 
-    lists, trees = None, TREES
+    lists, trees, k = None, TREES, K
     for attempt in range(ATTEMPTS):
-        more = neighbour_lists(units, width, trees, attempt, scratch, f"lists{attempt}")
+        more = neighbour_lists(units, width, trees, attempt, scratch, f"lists{attempt}", k)
         lists = more if lists is None else lists.unionByName(more).distinct()
-        found = _links(units, lists, threshold, scratch, f"links{attempt}")
+        joined = _joined_components(
+            units, lists, width, trees, 100 * (attempt + 1), threshold, scratch, f"links{attempt}", k
+        )
+        found = _links(units, joined, threshold, scratch, f"found{attempt}")
         reached = recall(units, found, threshold)
         if reached >= TARGET:
             break
-        trees *= 2
+        trees, k = 2 * trees, 2 * k
     else:
         warnings.warn(f"the audit found {reached:.3f} of the links", stacklevel=2)
 

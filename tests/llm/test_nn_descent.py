@@ -67,3 +67,21 @@ def test_recall_of_given_table(spark):
     near = (x[queries] @ x.T >= 0.9).sum(1) - 1
     got = sum(min(found[ids[k]], n) for k, n in zip(queries, near))
     assert got >= 0.9 * near.sum()
+
+
+def near_groups(n, centres, inside=0.99, width=64):
+    """n near copies of each centre, with cosines of about `inside` among them."""
+    pick = np.random.default_rng(7)
+    noise = pick.standard_normal((len(centres) * n, width))
+    noise[:, : len(centres[0])] = 0
+    noise *= np.sqrt(1 / inside - 1) / np.linalg.norm(noise, axis=1, keepdims=True)
+    noise[:, : len(centres[0])] = np.repeat(centres, n, axis=0)
+    return [(i, [float(x) for x in row]) for i, row in enumerate(noise)]
+
+
+def test_links_that_leave_full_lists(spark):
+    far = 0.91 / 0.99  # every list is full of its own group; all of the other are linked, too
+    data = near_groups(100, [[1, 0], [far, np.sqrt(1 - far**2)]])
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    found = nd.linked_vectors(frame).collect()
+    assert {(r.n_links, r.component_id) for r in found} == {(199, 0)}
