@@ -17,9 +17,11 @@ components are linked any more. Each component is then compared with itself in
 blocks of `BLOCK` vectors, in double precision. That gives the links of every
 vector without writing out pairs.
 
-Recall is audited: `AUDIT` vectors, chosen by hash, are compared with all
-others. While their links found are under `TARGET` of those there are, the
-search goes on with twice the cells, up to `ATTEMPTS` times.
+Recall is audited: `AUDIT` vectors, chosen by hash, and as many of those outside
+components of over `BLOCK` vectors, are compared with all others. While the
+share of its links that a vector has, averaged over either sample, is under
+`TARGET`, the search goes on with twice the cells and twice the lists, up to
+`ATTEMPTS` times; then it fails.
 
 No group grows with the data: a cell of many vectors is split by hash, those who
 list a vector are sampled, a component is compared block by block.
@@ -33,7 +35,6 @@ smallest other vec_id of its component, or null. Empty tables give empty results
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -403,11 +404,18 @@ def _links(units: DataFrame, found: DataFrame, threshold: float, scratch: Scratc
 def recall(
     units: DataFrame, found: DataFrame, threshold: float = THRESHOLD, queries: int = AUDIT
 ) -> float:
-    """The share of links that was found, of some vectors compared with all others."""
-    some = units.orderBy(F.xxhash64("id", F.lit(5)), "id").limit(queries)
-    some = some.select("id", "exact").join(found, "id", "left")
-    some = some.select("id", "exact", F.coalesce("n", F.lit(0)).alias("n"))
-    table = some.toArrow()
+    """The share of its links that a vector has, of some vectors compared with all others.
+
+    The lower average of two samples: of all vectors, and of those outside
+    components of over `BLOCK` vectors. Vectors without links don't count.
+    """
+    units = units.join(found.select("id", "size", "n"), "id", "left")
+    some = units.select("id", "exact", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("size", "n")])
+    order = F.xxhash64("id", F.lit(5))
+    table = pa.concat_tables(
+        sample.orderBy(order, "id").limit(queries).toArrow()
+        for sample in (some, some.where(F.col("size") <= BLOCK))
+    )
     if not table.num_rows:
         return 1.0
     sent = units.sparkSession.sparkContext.broadcast(table.combine_chunks())
@@ -422,14 +430,18 @@ def recall(
                 linked &= batch.column("id").to_numpy()[:, None] != ids
                 total += batch.column("times").to_numpy() @ linked
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(total.astype(np.int64))], names=["id", "there"]
+            [pa.array(np.arange(len(ids))), pa.array(total.astype(np.int64))], names=["place", "there"]
         )
 
-    there = units.select("id", "exact", "times").mapInArrow(run, "id long, there long")
-    there = {r.id: r.there for r in there.groupBy("id").agg(F.sum("there").alias("there")).collect()}
-    total = sum(there.values())
-    got = sum(min(r["n"], there[r["id"]]) for r in table.select(["id", "n"]).to_pylist())
-    return got / total if total else 1.0
+    there = units.select("id", "exact", "times").mapInArrow(run, "place long, there long")
+    there = {r.place: r.there for r in there.groupBy("place").agg(F.sum("there").alias("there")).collect()}
+    got = [
+        (place < queries, min(n, there[place]) / there[place])
+        for place, n in enumerate(table.column("n").to_pylist())
+        if there.get(place)
+    ]
+    samples = ([share for of_all, share in got if of_all == side] for side in (True, False))
+    return min((sum(shares) / len(shares) for shares in samples if shares), default=1.0)
 
 
 def _usable(vector: Column) -> Column:
@@ -472,7 +484,7 @@ def linked_vectors(
             break
         trees, k = 2 * trees, 2 * k
     else:
-        warnings.warn(f"the audit found {reached:.3f} of the links", stacklevel=2)
+        raise RuntimeError(f"the audit found {reached:.3f} of the links; allow more attempts")
 
     classes = classes.join(found, "id", "left").select(
         "vector",

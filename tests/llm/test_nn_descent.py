@@ -1,6 +1,7 @@
 """NN-descent against all pairs."""
 
 import numpy as np
+import pytest
 
 from lakeferry.llm import nn_descent as nd
 
@@ -85,3 +86,30 @@ def test_links_that_leave_full_lists(spark):
     frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
     found = nd.linked_vectors(frame).collect()
     assert {(r.n_links, r.component_id) for r in found} == {(199, 0)}
+
+
+def audited(spark, lost):
+    """Recall where one large group is complete and 100 pairs are not, `lost` of them."""
+    data = near_groups(600, [[1.0, 0.0]], width=128)
+    pick = np.random.default_rng(8)
+    for i in range(100):
+        one = pick.standard_normal(128)
+        data += [(1000 + 2 * i, list(map(float, one))), (1001 + 2 * i, list(map(float, one * 1.5 + 0.01)))]
+    ids = [i for i, _ in data]
+    exact = [(np.array(v) / np.linalg.norm(v)).tobytes() for _, v in data]
+    units = spark.createDataFrame([(i, bytearray(e), 1) for i, e in zip(ids, exact)], "id long, exact binary, times long")
+    pairs = [(i, i // 2 * 2, 2, 1) for i in ids[600 + 2 * lost :]]
+    found = spark.createDataFrame([(i, 0, 600, 599) for i in ids[:600]] + pairs, "id long, component long, size long, n long")
+    return nd.recall(units, found)
+
+
+def test_audit_sees_loss_beside_a_large_group(spark):
+    assert audited(spark, 0) == 1
+    assert audited(spark, 50) < nd.TARGET
+
+
+def test_no_result_below_target(spark, monkeypatch):
+    monkeypatch.setattr(nd, "recall", lambda *_: 0.5)
+    frame = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.1])], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError, match="0.500"):
+        nd.linked_vectors(frame)
