@@ -12,9 +12,11 @@ if links lead from one to the other (see `linking.py`, which never writes out
 all pairs of a key). The first line of a class, by doc_id and line number, stays;
 all others go, in all documents.
 
-Lines end at line feeds. Those shorter than `MIN_CHARS` characters are too
-common by chance to say anything, and stay. Equal lines are collapsed to one
-before keys are made, so a line that a third of all documents share is one line.
+Lines end at line feeds. Those shorter than `MIN_CHARS` characters have keys for
+no edits, as they are a few edits apart by chance: only equal ones are of one
+class. Those shorter than `EQUAL_CHARS` are too common even so, and stay. Equal
+lines are collapsed to one before keys are joined, so a line that a third of all
+documents share is one line.
 
 Defined results: null and empty texts have no lines and stay as they are; rows
 that repeat doc_id and text are one document, and each gets its result; documents
@@ -36,8 +38,9 @@ from lakeferry.llm.linking import link
 from lakeferry.llm.scratch import Scratch, free_name
 from lakeferry.llm.words import mix, parts, powers
 
-THRESHOLD = 1
-MIN_CHARS = 30
+THRESHOLD = 2
+#: the least lengths of lines that may be edited, and of lines that must be equal
+MIN_CHARS, EQUAL_CHARS = 30, 8
 PART_BYTES = 2 << 20
 #: at most so many candidates (24 bytes each) are sent to all tasks; more are joined by a shuffle
 BROADCAST_ROWS = 100_000
@@ -115,17 +118,19 @@ def parities(codes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarr
     return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64).reshape(-1)
 
 
-def _indexed(threshold: int, min_chars: int):
+def _indexed(threshold: int, min_chars: int, equal_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in parts(batch, "text", PART_BYTES):
                 lines = Lines(part.column("text"))
-                long_ = np.flatnonzero(lines.size >= min_chars)
+                long_ = np.flatnonzero(lines.size >= min(min_chars, equal_chars))
                 begin, size = lines.begin[long_], lines.size[long_]
                 sums = lines.hashes()
                 _, down = powers(len(sums))
                 whole = (sums[begin + size] - sums[begin]) * down[begin]
-                own = keys(begin, size, sums, threshold)
+                near = size >= min_chars
+                own = keys(begin[near], size[near], sums, threshold)
+                offsets = np.concatenate(([0], np.cumsum(np.where(near, own.shape[1], 0))))
                 take = pa.array(lines.text[long_])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -135,7 +140,7 @@ def _indexed(threshold: int, min_chars: int):
                         pa.array(mix(whole).view(np.int64)),
                         pa.array(mix(whole + size.astype(np.uint64) * _CODE).view(np.int64)),
                         pa.ListArray.from_arrays(
-                            pa.array(np.arange(len(size) + 1) * own.shape[1], pa.int32()),
+                            pa.array(offsets, pa.int32()),
                             pa.array(own.reshape(-1).view(np.int64)),
                         ),
                         pa.array(parities(lines.codes, begin, size)),
@@ -251,6 +256,7 @@ def repeated_lines(
     text: str = "text",
     threshold: int = THRESHOLD,
     min_chars: int = MIN_CHARS,
+    equal_chars: int = EQUAL_CHARS,
 ) -> DataFrame:
     """The lines that are not the first of their class, and where that one is.
 
@@ -263,7 +269,7 @@ def repeated_lines(
     marked = _marked(docs, doc_id, text)
     kind = marked.schema["doc_id"].dataType.simpleString()
     lines = marked.mapInArrow(
-        _indexed(threshold, min_chars),
+        _indexed(threshold, min_chars, equal_chars),
         f"doc_id {kind}, mark long, line int, low long, high long, keys array<long>, odd long",
     )
     lines = scratch.save(lines, "lines")
@@ -343,9 +349,10 @@ def lines_removed(
     threshold: int = THRESHOLD,
     min_chars: int = MIN_CHARS,
     removed: str | None = None,
+    equal_chars: int = EQUAL_CHARS,
 ) -> DataFrame:
     """The documents without repeated lines; `removed` may name a column for their numbers."""
-    found = repeated_lines(docs, doc_id, text, threshold, min_chars)
+    found = repeated_lines(docs, doc_id, text, threshold, min_chars, equal_chars)
     names = [free_name(docs, c) for c in ("gone_id", "gone_mark", "gone_lines")]
     gone = found.groupBy(F.col("doc_id").alias(names[0]), F.col("mark").alias(names[1]))
     gone = gone.agg(F.sort_array(F.collect_set("line")).alias(names[2]))

@@ -97,3 +97,11 @@ def test_only_first_lines_stay(spark, threshold):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert ld.lines_removed(none, removed="n").collect() == []
+
+
+def test_changed_numbers_and_short_equal_lines(spark):
+    long_ = "This page was last edited by the staff on the {}th of May"
+    texts = [long_.format(n) + f"\nShare this article\nown {n}" for n in (12, 37)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in ld.lines_removed(docs).collect()}
+    assert kept == {0: texts[0], 1: "own 37"}
