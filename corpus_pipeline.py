@@ -28,13 +28,11 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand elsewhere before, or all but an edit of them, go.
 
-    So do documents of which such lines were all that is long enough to judge:
-    the few short lines that would be left are no document.
+    So do documents that lines were removed from, if no line is left but blank ones.
     """
     removed = free_name(docs, "removed")
     kept = line_dedup.lines_removed(docs, removed=removed)
-    long_ = F.exists(F.split("text", "\n"), lambda line: F.length(line) >= line_dedup.MIN_CHARS)
-    kept = kept.where((F.size(removed) == 0) | long_)
+    kept = kept.where((F.size(removed) == 0) | F.col("text").rlike(r"(?U)\S"))
     # a text without removals keeps its n_chars, whatever that is
     changed = F.when(F.size(removed) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", changed).select(*docs.columns)

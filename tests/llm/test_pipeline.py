@@ -103,3 +103,12 @@ def test_empty_documents(spark):
     for _, stage in cp.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_short_unique_lines_stay(spark):
+    footer = "All rights reserved by the publishers of this page."
+    rows = [(1, f"first page\n{footer}"), (2, f"roses red\nviolets blue\n{footer}"), (3, f"\n \n{footer}")]
+    docs = spark.createDataFrame([(d, t, len(t)) for d, t in rows], "doc_id long, text string, n_chars long")
+    kept = cp.without_repeated_lines(spark, docs, SF).collect()
+    wanted = [rows[0], (2, "roses red\nviolets blue")]
+    assert sorted(map(tuple, kept)) == [(d, t, len(t)) for d, t in wanted]
