@@ -5,7 +5,10 @@ shingle of weight w is a Poisson process of rate w: its arrivals are hashed from
 the shingle, and each arrival goes to one of m components. A component keeps the
 shingle that arrives first, so two documents agree in a component with the
 probability Jaccard similarity of their weighted shingles (their Jaccard
-similarity, where each shingle occurs once). A shingle is done as soon as its
+similarity, where each shingle occurs once). Documents that repeat shingles are
+sketched a second time with all weights 1, and have the bands of both sketches: so
+any two documents have bands whose components agree with their Jaccard similarity,
+however often either repeats what they share. A shingle is done as soon as its
 next arrival is later than the first arrivals of all components; long documents
 stop after about one arrival per shingle.
 
@@ -131,9 +134,19 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 high = np.where(blank, mix(raw + np.uint64(4)) ^ np.diff(starts).astype(np.uint64), high)
             first = sketch(hashes, 1 + np.log(counts), owner, n, BANDS * ROWS)
             up, _ = powers(ROWS + 1)
-            bands = mix((first.reshape(n, BANDS, ROWS) * up[1:]).sum(2, dtype=np.uint64))
-            bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64))[~blank]
-            offsets = np.concatenate(([0], np.cumsum(np.where(blank, 0, BANDS)))).astype(np.int32)
+            # where nothing is repeated, the sketch by unit weights is the same
+            repeats = np.zeros(n, bool)
+            repeats[owner[counts > 1]] = True
+            again, place = repeats[owner], np.cumsum(repeats) - 1
+            unit = sketch(
+                hashes[again], np.ones(again.sum()), place[owner[again]], repeats.sum(), BANDS * ROWS
+            )
+            both = np.zeros((n, 2, BANDS * ROWS), np.uint64)
+            both[:, 0], both[repeats, 1] = first, unit
+            bands = mix((both.reshape(n, 2, BANDS, ROWS) * up[1:]).sum(3, dtype=np.uint64))
+            bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64))
+            bands = bands[np.stack((~blank, repeats), 1)]
+            offsets = np.concatenate(([0], np.cumsum(BANDS * (repeats + 1 - blank)))).astype(np.int32)
             bits = bins(hashes, owner, n)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -193,7 +206,7 @@ def near_duplicates(
     classes = scratch.save(
         classes.withColumn("id", F.monotonically_increasing_id()), "classes"
     )
-    buckets = classes.select("id", F.explode("bands").alias("key"))
+    buckets = classes.select("id", F.explode(F.array_distinct("bands")).alias("key"))
 
     def prepare(ids: DataFrame):
         wanted = classes.join(ids, "id").select("id", "one.doc_id", "one.mark")

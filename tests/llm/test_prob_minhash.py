@@ -4,8 +4,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from lakeferry.llm import prob_minhash as pm
+from lakeferry.llm.words import Words
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -102,3 +104,21 @@ def test_sketches_estimate_probability_jaccard():
         if x[i] > 0 and y[i] > 0
     )
     assert abs((found[0] == found[1]).mean() - exact) < 4 * (exact * (1 - exact) / size) ** 0.5
+
+
+def test_near_pairs_that_repeat_unequally_share_a_band():
+    pick = np.random.default_rng(4)
+    texts = []
+    for _ in range(60):
+        words = [f"w{x}" for x in pick.integers(0, 10**9, 250)]
+        block, rest = words[:70], words[70:]
+        texts += [" ".join(block + rest[:-15]), " ".join(block * 100 + rest)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array(texts)],
+        names=["doc_id", "mark", "text"],
+    )
+    bands = [set(x) for out in pm._sketched(iter([batch])) for x in out.column("bands").to_pylist()]
+    hashes, _, owner = pm.distinct_shingles(Words(batch.column("text")))
+    sets = [set(hashes[owner == i]) for i in range(len(texts))]
+    assert all(len(a & b) >= 0.8 * len(a | b) for a, b in zip(sets[::2], sets[1::2]))
+    assert all(a & b for a, b in zip(bands[::2], bands[1::2]))
