@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeferry.llm import (
     decontaminate,
+    importance,
     line_dedup,
+    manifest,
     mixing,
     nn_descent,
+    packing,
     prob_minhash,
     quality,
     suffix_dedup,
@@ -298,3 +303,134 @@ def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "turn", name(1).alias("call_id"), F.col("text").alias("content")
     )
     return tool_calls.linked(calls, results, {"ask": ASK})
+
+
+@query()
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences, by sum-of-squares placement."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokenizer = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text("utf-8")
+    return packing.packed(documents, tokenizer).drop("ids")
+
+
+# CRC-32 of the bytes in hexadecimal digits `h`, by a table of its 256 steps.
+CRC_SQL = """
+    crc_table AS (
+        SELECT list(list_reduce([v, 0, 0, 0, 0, 0, 0, 0, 0],
+                    lambda a, b: xor(a >> 1, 3988292384 * (a & 1))) ORDER BY v) AS steps
+        FROM (SELECT unnest(range(256))::BIGINT AS v)),
+    crc_of AS (
+        SELECT h, xor(list_reduce(
+                   list_prepend(4294967295, list_transform(range(1, length(h), 2),
+                       lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT))),
+                   lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)])), 4294967295) AS crc
+        FROM hex_strings, crc_table)"""
+
+
+@query(
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+    dw AS (SELECT r, unnest(w) AS word FROM d),
+    bw AS (SELECT unnest({_WORDS}) AS word FROM benchmark),
+    hex_strings AS (
+        SELECT DISTINCT hex(encode(word)) AS h FROM (SELECT word FROM dw UNION ALL SELECT word FROM bw)),
+    {CRC_SQL},
+    df AS (SELECT r, crc % 10000 AS bucket FROM dw JOIN crc_of ON h = hex(encode(word))),
+    s AS (SELECT bucket, count(*) AS n FROM df GROUP BY bucket),
+    t AS (SELECT crc % 10000 AS bucket, count(*) AS n
+          FROM bw JOIN crc_of ON h = hex(encode(word)) GROUP BY 1),
+    totals AS (SELECT coalesce((SELECT sum(n) FROM s), 0) AS all_s, coalesce((SELECT sum(n) FROM t), 0) AS all_t),
+    gains AS (
+        SELECT s.bucket, CAST(floor(1000 * ln(
+                   (coalesce(t.n, 0) + 1.0::DOUBLE) * (all_s + 10000)::DOUBLE
+                   / ((s.n + 1.0::DOUBLE) * (all_t + 10000)::DOUBLE))) AS BIGINT) AS gain
+        FROM s LEFT JOIN t ON s.bucket = t.bucket, totals),
+    means AS (
+        SELECT r, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight
+        FROM df JOIN gains USING (bucket) GROUP BY r),
+    scored AS (
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+               coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256(
+                   '2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                   / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+        FROM d LEFT JOIN means USING (r)),
+    ordered AS (
+        SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+               count(*) OVER (PARTITION BY n_features >= 20) AS able
+        FROM scored)
+    SELECT doc_id, n_features, weight, score,
+           CASE WHEN n_features >= 20 AND place <= 10 * able // 100 THEN CAST(place AS BIGINT) END AS rank
+    FROM ordered"""
+)
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weight, score and rank of each document in a draw towards the benchmark's words."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resampled(documents, read_table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+
+
+def _leaf_sql(text: str) -> str:
+    fields = [("CAST(%s AS VARCHAR)", c) for c in ("doc_id", "source", "lang", "n_chars")]
+    values = [form % c for form, c in fields] + [text]
+    return " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values)
+
+
+@query(
+    f"""
+    WITH RECURSIVE hex_strings AS (
+        SELECT DISTINCT hex(encode(CAST(doc_id AS VARCHAR))) AS h FROM documents WHERE doc_id IS NOT NULL),
+    {CRC_SQL},
+    leaves AS (
+        SELECT doc_id, source, sha256({_leaf_sql("text")}) AS leaf,
+               CASE WHEN crc % 2 = 0 THEN sha256({_leaf_sql("replace(text, chr(10), '')")})
+                    ELSE sha256({_leaf_sql("text")}) END AS claimed
+        FROM documents LEFT JOIN crc_of ON h = hex(encode(CAST(doc_id AS VARCHAR)))),
+    placed AS (
+        SELECT *, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS grp,
+               row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+               count(*) OVER (PARTITION BY source) AS n
+        FROM leaves),
+    up AS (
+        SELECT grp, 0 AS level, pos, leaf AS node, n FROM placed
+        UNION ALL
+        SELECT grp, level + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3
+        FROM up WHERE n > 1 GROUP BY grp, level, pos // 3, n),
+    tops AS (SELECT grp, level AS height, node AS subroot FROM up WHERE n = 1),
+    top_up AS (
+        SELECT 0 AS level, grp AS pos, subroot AS node, (SELECT count(*) FROM tops) AS n FROM tops
+        UNION ALL
+        SELECT level + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3
+        FROM top_up WHERE n > 1 GROUP BY level, pos // 3, n),
+    steps AS (
+        SELECT a.grp, a.level, a.pos, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+               coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+        FROM up a JOIN up b ON a.grp = b.grp AND a.level = b.level AND a.pos // 3 = b.pos // 3
+        WHERE a.n > 1 GROUP BY ALL),
+    top_steps AS (
+        SELECT a.level, a.pos, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+               coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+        FROM top_up a JOIN top_up b ON a.level = b.level AND a.pos // 3 = b.pos // 3
+        WHERE a.n > 1 GROUP BY ALL),
+    climb AS (
+        SELECT grp, pos AS leaf_pos, 0 AS level, pos AS at_, claimed AS node, '' AS proof FROM placed
+        UNION ALL
+        SELECT c.grp, leaf_pos, c.level + 1, at_ // 3, sha256(s.l || node || s.r), proof || s.l || s.r
+        FROM climb c JOIN steps s ON c.grp = s.grp AND c.level = s.level AND at_ = s.pos),
+    top_climb AS (
+        SELECT c.grp, leaf_pos, 0 AS level, c.grp AS at_, node, proof
+        FROM climb c JOIN tops t ON c.grp = t.grp AND c.level = t.height
+        UNION ALL
+        SELECT c.grp, leaf_pos, c.level + 1, at_ // 3, sha256(s.l || node || s.r), proof || s.l || s.r
+        FROM top_climb c JOIN top_steps s ON c.level = s.level AND at_ = s.pos),
+    root AS (SELECT level AS height, node AS root FROM top_up WHERE n = 1)
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified
+    FROM top_climb c JOIN placed p ON c.grp = p.grp AND leaf_pos = p.pos JOIN tops t ON c.grp = t.grp
+    JOIN root r ON c.level = r.height"""
+)
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Merkle proof of each document, against documents that have lost line feeds."""
+    documents = read_table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    now = [text if c == "text" else F.col(c) for c in manifest.FIELDS]
+    found = manifest.proven(documents, manifest.leaf_digest(now), proofs=False)
+    return found.drop("source", "position", "proof")

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+import time
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: seconds between two collections of the driver's garbage
+COLLECT_EVERY = 5.0
+
+
 class Scratch:
     """A fresh folder below spark.checkpoint.dir, gone when the session ends.
 
@@ -15,6 +20,8 @@ class Scratch:
     folder; on a cluster that is an error, as executors share no such folder.
     """
 
+    _collected = 0.0
+
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -34,10 +41,13 @@ class Scratch:
         """The frame, written and read again. A name is used once, or dropped first.
 
         Shuffle files of the frame go once the driver has collected its garbage,
-        which may take it half an hour; so that they don't pile up, it is asked to.
+        which may take it half an hour; so that they don't pile up, it is asked to,
+        but not after every one of many small tables.
         """
         frame.write.parquet(f"{self.folder}/{name}")
-        self.spark._jvm.System.gc()
+        if time.monotonic() - Scratch._collected > COLLECT_EVERY:
+            self.spark._jvm.System.gc()
+            Scratch._collected = time.monotonic()
         return self.spark.read.schema(frame.schema).parquet(f"{self.folder}/{name}")
 
     def drop(self, *names: str) -> None:

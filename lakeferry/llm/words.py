@@ -6,7 +6,9 @@ lower case first: ASCII letters and digits, and every character beyond ASCII.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,18 +40,31 @@ _CODES = mix((np.arange(1, 257, dtype=np.uint64)) * np.uint64(_ODD)) | np.uint64
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
+#: so many powers are kept (16 bytes each); more are made anew each time
+KEPT_POWERS = 1 << 20
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the step and of its inverse, modulo 2**64."""
-    if len(_powers["up"]) < n:
-        for key, step in (("up", _STEP), ("down", _BACK)):
-            table = np.full(n, step, np.uint64)
-            table[0] = 1
-            _powers[key] = np.cumprod(table, dtype=np.uint64)
-    return _powers["up"][:n], _powers["down"][:n]
+    if len(_powers["up"]) >= n:
+        return _powers["up"][:n], _powers["down"][:n]
+    made = []
+    for step in (_STEP, _BACK):
+        table = np.full(n, step, np.uint64)
+        table[0] = 1
+        made.append(np.cumprod(table, dtype=np.uint64))
+    if n <= KEPT_POWERS:
+        _powers["up"], _powers["down"] = made
+    return made[0], made[1]
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
-    """c so that (c[e] - c[s]) * down[s] is a hash of data[s:e] wherever it stands."""
+    """c so that (c[e] - c[s]) * down[s] is a hash of data[s:e] wherever it stands.
+
+    Sums modulo 2**64 tell apart what is no longer than some hundred bytes, and serve
+    to find candidates; there are longer strings that differ and have equal sums whatever
+    the step, so these hashes do not tell whether long strings are equal.
+    """
     up, _ = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_CODES[data] * up[: len(data)], out=sums[1:])
@@ -89,22 +104,86 @@ def parts(
         row = after
 
 
+def word_places(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of some texts begins and ends in their bytes."""
+    inside = IN_WORD[data]
+    first = np.zeros(len(data) + 1, bool)
+    first[starts] = True
+    before = np.concatenate(([False], inside[:-1])) if len(data) else inside
+    after = np.concatenate((inside[1:], [False])) if len(data) else inside
+    begin = np.flatnonzero(inside & (~before | first[:-1]))
+    return begin, np.flatnonzero(inside & (~after | first[1:])) + 1
+
+
+#: words of more bytes are hashed one by one
+LONG_WORD = 64
+
+
+def each_folded(
+    data: np.ndarray,
+    begin: np.ndarray,
+    end: np.ndarray,
+    state: np.ndarray,
+    step: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    long_: Callable[[bytes], int],
+) -> np.ndarray:
+    """`step(state, byte)` over the bytes of each string, all strings a byte at a time.
+
+    `state` has the first state of each; what `long_` gives for strings of over `LONG_WORD` bytes.
+    """
+    size = np.minimum(end - begin, LONG_WORD + 1).astype(np.uint8)
+    order = np.argsort(size, kind="stable")[::-1]
+    at, state = begin[order], state[order]
+    longer = np.cumsum(np.bincount(size, minlength=LONG_WORD + 2)[::-1])[::-1]
+    for k in range(LONG_WORD):
+        n = longer[k + 1]
+        if not n:
+            break
+        state[:n] = step(state[:n], data[at[:n] + k])
+    out = np.empty_like(state)
+    out[order] = state
+    for n in np.flatnonzero(size > LONG_WORD):
+        out[n] = long_(data[begin[n] : end[n]].tobytes())
+    return out
+
+
+def _step(state: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    state = (state ^ _CODES[byte]) * np.uint64(0xBF58476D1CE4E5B9)
+    return state ^ (state >> np.uint64(29))
+
+
+def string_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of strings of any length, that differ where the strings do."""
+    first = mix((end - begin).astype(np.uint64) + np.uint64(1))
+    long_ = lambda x: int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little")
+    return mix(each_folded(data, begin, end, first, _step, long_))
+
+
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = (table >> np.uint32(1)) ^ np.where(table & 1, np.uint32(0xEDB88320), np.uint32(0))
+    return table
+
+
+_CRC = _crc_table()
+
+
+def crc32s(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The CRC-32 of each string."""
+    step = lambda state, byte: _CRC[(state ^ byte) & np.uint32(255)] ^ (state >> np.uint32(8))
+    first = np.full(len(begin), 0xFFFFFFFF, np.uint32)
+    return ~each_folded(data, begin, end, first, step, lambda x: zlib.crc32(x) ^ 0xFFFFFFFF)
+
+
 class Words:
     """The words of some texts: hash, text number, and place in the bytes of each."""
 
     def __init__(self, column: pa.Array) -> None:
         data, self.starts = as_bytes(column)
         self.texts = len(column)
-        inside = IN_WORD[data]
-        first = np.zeros(len(data) + 1, bool)
-        first[self.starts] = True
-        before = np.concatenate(([False], inside[:-1])) if len(data) else inside
-        after = np.concatenate((inside[1:], [False])) if len(data) else inside
-        self.begin = np.flatnonzero(inside & (~before | first[:-1]))
-        self.end = np.flatnonzero(inside & (~after | first[1:])) + 1
-        sums = prefix_hashes(LOWER[data])
-        _, down = powers(len(data) + 1)
-        self.hash = mix((sums[self.end] - sums[self.begin]) * down[self.begin])
+        self.begin, self.end = word_places(data, self.starts)
+        self.hash = string_hashes(LOWER[data], self.begin, self.end)
         self.text = np.searchsorted(self.starts, self.begin, "right") - 1
         #: of each text, where its words begin among all; one entry more than texts
         self.bounds = np.searchsorted(self.text, np.arange(self.texts + 1))
