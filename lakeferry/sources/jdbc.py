@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakeferry.functions.days import partition_value
-from lakeferry.sources.splits import Cutter, split_predicates
+from lakeferry.sources.splits import Cutter
 
 # Connection settings that decide what the rows look like (text
 # encoding, zero dates, one-bit integers, time zone) and how they are fetched.
@@ -44,8 +44,8 @@ class JdbcSource:
     connection would draw a whole table through one task, so it is above one. A
     large table has more: one for every ``range_rows`` rows, so that a task and
     what is lost with it stay of one size. The database is asked how many rows
-    each range holds, and none has over twice its share, but for single keys.
-    That reads the key (its index, if it has one) a few times.
+    each range holds, and none has over twice its share, but for single keys without
+    a second column to cut them by. That reads the key (its index, if it has one) a few times.
 
     ``connections`` bounds how many ranges are read at a time, for a database
     that a large cluster would overrun: it gathers ranges into so many tasks,
@@ -79,8 +79,11 @@ class JdbcSource:
     def read_table(self, name: str) -> DataFrame:
         return self.spark.read.jdbc(self.url, name, properties=self.properties)
 
-    def read_split(self, name: str, key: str, readers: int = 1) -> DataFrame:
-        return self._bounded(self._read_ranges(name, key, self._cuts([name], key, readers)[name]))
+    def read_split(
+        self, name: str, key: str, readers: int = 1, second: str | None = None
+    ) -> DataFrame:
+        """``second`` is a column that cuts a single key with more rows than a range should hold."""
+        return self._bounded(self._read_ranges(name, self._conditions([name], key, readers, second)[name]))
 
     def read_shards(
         self,
@@ -89,6 +92,7 @@ class JdbcSource:
         key: str | None = None,
         readers: int = 1,
         schema: StructType | str | None = None,
+        second: str | None = None,
     ) -> DataFrame:
         """The tables ``<base>_<yyyyMMdd>`` as one frame, joined by column name.
 
@@ -96,30 +100,36 @@ class JdbcSource:
         error of the database. ``schema`` is not needed.
         """
         names = {partition_value(day): f"{base}_{partition_value(day)}" for day in days}
-        found = self._cuts(list(names.values()), key, readers) if key else {}
+        found = self._conditions(list(names.values()), key, readers, second) if key else {}
         shards = []
         for day, name in names.items():
-            frame = self._read_ranges(name, key, found.get(name, []))
+            frame = self._read_ranges(name, found.get(name, []))
             shards.append(frame.withColumn("yymmdd", F.lit(day)))
         return self._bounded(_union_by_name(shards))
 
-    def _read_ranges(self, name: str, key: str | None, cuts: Sequence) -> DataFrame:
-        if not cuts:
+    def _read_ranges(self, name: str, conditions: Sequence[str]) -> DataFrame:
+        if len(conditions) < 2:
             return self.read_table(name)
         return self.spark.read.jdbc(
-            self.url,
-            name,
-            predicates=split_predicates(self._quoted(key), cuts, self._mysql),
-            properties=self.properties,
+            self.url, name, predicates=list(conditions), properties=self.properties
         )
 
-    def _cuts(self, names: Sequence[str], key: str, readers: int) -> dict[str, list]:
-        def ask(query: str) -> list:
-            frame = self.spark.read.jdbc(self.url, f"({query}) asked", properties=self.properties)
-            return frame.collect()
-
-        readers = max(readers, self.readers)
-        return Cutter(ask, self._quoted(key), readers, self.range_rows, self._mysql).cuts(names)
+    def _ask(self, query: str) -> list:
+        frame = self.spark.read.jdbc(self.url, f"({query}) asked", properties=self.properties)
+        return frame.collect()
+
+    def _conditions(
+        self, names: Sequence[str], key: str, readers: int, second: str | None
+    ) -> dict[str, list[str]]:
+        cutter = Cutter(
+            self._ask,
+            self._quoted(key),
+            max(readers, self.readers),
+            self.range_rows,
+            self._mysql,
+            self._quoted(second) if second else None,
+        )
+        return cutter.conditions(names)
 
     def _bounded(self, frame: DataFrame) -> DataFrame:
         return frame.coalesce(self.connections) if self.connections else frame

@@ -7,14 +7,15 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lakeferry.sources.splits import Cutter, literal, numeric_cuts, split_predicates
+from lakeferry.sources.splits import Cutter, Group, literal, ranges, split_predicates
 
 
 class Table:
     """Answers a cutter's queries from values, in an order of its own."""
 
-    def __init__(self, spark, values, type_name):
-        frame = spark.createDataFrame([(value,) for value in values], f"k {type_name}")
+    def __init__(self, spark, values, type_name, more=""):
+        rows = [value if more else (value,) for value in values]
+        frame = spark.createDataFrame(rows, f"k {type_name}{more}")
         frame.createOrReplaceTempView("keys_of_a_table")
         self.spark = spark
         self.asked = []
@@ -27,19 +28,26 @@ class Table:
         cutter = Cutter(self.ask, "k", readers, range_rows, True)
         return cutter.cuts(["keys_of_a_table"])["keys_of_a_table"]
 
+    def conditions(self, readers, range_rows=10**9, second=None):
+        cutter = Cutter(self.ask, "k", readers, range_rows, True, second)
+        return cutter.conditions(["keys_of_a_table"])["keys_of_a_table"]
 
-def readers_of(spark, cuts):
+
+def met(spark, conditions):
     """Of each row the number of conditions that hold; of each reader its rows."""
-    conditions = split_predicates("k", cuts, True)
     holds = F.array(*[F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in conditions])
     rows = [row.holds for row in spark.table("keys_of_a_table").select(holds.alias("holds")).collect()]
     return [sum(row) for row in rows], [sum(column) for column in zip(*rows)]
 
 
-def test_numeric_cuts_are_even():
-    assert numeric_cuts(0, 99, 4) == [25, 50, 75]
-    assert numeric_cuts(7, 7, 4) == []
-    assert numeric_cuts(1, 3, 8) == [2, 3]
+def readers_of(spark, cuts):
+    return met(spark, split_predicates("k", cuts, True))
+
+
+def test_groups_go_together_up_to_a_share():
+    groups = [Group(n, n, held) for n, held in enumerate([3, 4, 3, 50, 1, 9, 1])]
+    assert [[g.held for g in part] for part in ranges(groups, 10)] == [[3, 4, 3], [50], [1, 9], [1]]
+    assert ranges([], 10) == []
 
 
 def test_literals():
@@ -128,3 +136,49 @@ def test_another_order_of_texts_reads_each_row_once(spark):
     holding, shares = readers_of(spark, table.cuts(6))
     assert set(holding) == {1}
     assert max(shares) <= 2 * 40
+
+
+@pytest.mark.parametrize("kind", ["numbers", "hex", "dates"])
+def test_queries_do_not_grow_with_the_ranges(spark, kind):
+    """What the source compares for a row, and how often it is asked, is the same for 64 and for 500 ranges."""
+    values = keys(kind, random.Random(1))
+    table = Table(spark, values, "bigint" if kind == "numbers" else "string")
+    seen = []
+    for readers in (64, 500):
+        table.asked.clear()
+        _, shares = readers_of(spark, table.cuts(readers))
+        assert max(shares) <= 2 * ceil(len(values) / readers)
+        assert len(table.asked) <= 1 + 12
+        seen.append(max(map(len, table.asked)))
+    assert seen[1] <= seen[0] + 60  # longer numbers
+
+
+def test_widths_at_the_ends_of_64_bits(spark):
+    values = [-(2**63), 2**63 - 1, *range(500), *range(2**62, 2**62 + 500)]
+    holding, shares = readers_of(spark, Table(spark, values, "bigint").cuts(10))
+    assert set(holding) == {1}
+    assert sum(share > 0 for share in shares) >= 3  # doubles can't tell apart what is far from the first
+
+
+@pytest.mark.parametrize("hot", ["first", "middle", "all"])
+def test_a_second_column_cuts_a_hot_key(spark, hot):
+    key = {"first": 0, "middle": 300, "all": 7}[hot]
+    values = [(key, f"v{n:04}" if n % 50 else None) for n in range(1000)]
+    if hot != "all":
+        values += [(n, "x") for n in range(1, 900) if n != key] + [(None, None), (None, "y")]
+    table = Table(spark, values, "bigint", ", v string")
+    holding, shares = met(spark, table.conditions(10, second="v"))
+    assert set(holding) == {1}
+    assert max(shares) <= 2 * ceil(len(values) / 10)
+    holding, shares = met(spark, table.conditions(10))
+    assert set(holding) == {1} and max(shares) >= 1000
+
+
+def test_several_tables_in_one_query(spark):
+    asked = []
+    for n in range(70):
+        spark.range(n * 10).selectExpr("id AS k").createOrReplaceTempView(f"shard_{n}")
+    cutter = Cutter(lambda q: asked.append(q) or spark.sql(q).collect(), "k", 4, 50)
+    found = cutter.conditions([f"shard_{n}" for n in range(70)])
+    assert len(asked) <= 2 * 3
+    assert len(found["shard_0"]) == 1 and 13 <= len(found["shard_69"]) <= 28

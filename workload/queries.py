@@ -31,7 +31,7 @@ from lakeferry.operators.warehouse import create_like, create_shaped, overwrite
 from lakeferry.plans.loads import stage_days, stage_snapshot
 from lakeferry.plans.profiles import Profile
 from lakeferry.sources.jdbc import RANGE_ROWS
-from lakeferry.sources.splits import Cutter, split_predicates
+from lakeferry.sources.splits import Cutter
 from workload import inputs
 from workload.inputs import both_layers, new_warehouse, table
 
@@ -69,7 +69,7 @@ def _split(customer: DataFrame, key: str, readers: int) -> DataFrame:
     spark, view = customer.sparkSession, f"customer_{uuid4().hex}"
     customer.createOrReplaceTempView(view)
     cutter = Cutter(lambda query: spark.sql(query).collect(), key, readers, RANGE_ROWS, True)
-    conditions = split_predicates(key, cutter.cuts([view])[view], True)
+    conditions = cutter.conditions([view])[view]
     holds = F.array(*[F.coalesce(F.expr(c), F.lit(False)) for c in conditions])
     rows = customer.select("c_custkey", "c_name", holds.alias("holds"))
     rows = rows.withColumn("reader", F.array_position("holds", True))
@@ -298,7 +298,7 @@ def publish_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retention_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drop what retention drops after the last day: all but two days."""
     warehouse, _, span = _staged_events(spark, sf_dir)
-    warehouse.expire("events", [days.back(day, 2) for day in span])
+    warehouse.expire("events", days.back(span[-1], 2))
     return spark.table(warehouse.staging("events"))
 
 
