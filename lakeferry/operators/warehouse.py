@@ -7,22 +7,46 @@ depends on how the session is set.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
-from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField
+from pyspark.sql.types import (
+    ArrayType,
+    AtomicType,
+    ByteType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    MapType,
+    NullType,
+    ShortType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from lakeferry.functions.days import partition_value
+from lakeferry.operators import generations
+from lakeferry.operators.generations import DAY, Switch, drop_days, list_partitions, location
 from lakeferry.session import ADAPTIVE, FEW_DAYS, WIDE_TABLES, applied
 
-DAY = "yymmdd"
+__all__ = ["DAY", "LayersDiffer", "Warehouse", "list_partitions", "location"]
 
-# Behind the folder of a published snapshot: where its generations lie.
-GENERATIONS = "__generations"
+# Bits of a hash that are summed up; so few that the sum of any table fits.
+SUMMED_BITS = 0xFFFFFF
+
+
+class LayersDiffer(Exception):
+    """The masked and the raw layer do not hold the same rows."""
 
 
 @dataclass(frozen=True)
@@ -60,24 +84,26 @@ class Warehouse:
         spreads a day that is much larger than the others over many tasks. A
         single day is rebalanced by size alone.
         """
+        self.finish(name)
         table = self.staging(name)
         create_shaped(frame, table, by_day=True, compression="snappy")
         add_columns(frame, table)
-        held = set(list_partitions(self.spark, table))
-        again = [day for day in days if partition_value(day) in held]
-        before = {day: self._files(table, day) for day in again}
-        if aligned:
-            overwrite(frame, table, {**WIDE_TABLES, **FEW_DAYS})
-        else:
-            keys = [DAY] if len(days) > 1 else []
-            overwrite(frame.hint("rebalance", *keys), table, {**WIDE_TABLES, **ADAPTIVE})
-        # what still has its old files got no rows
-        drop_days(self.spark, table, [day for day in again if self._files(table, day) == before[day]])
-
-    def _files(self, table: str, day: date) -> set[str]:
-        """The files of a staged day, from a listing."""
-        self.spark.catalog.refreshTable(table)
-        return set(self.spark.table(table).where(F.col(DAY) == partition_value(day)).inputFiles())
+        settings = {**WIDE_TABLES, **FEW_DAYS}
+        if not aligned:
+            frame = frame.hint("rebalance", *([DAY] if len(days) > 1 else []))
+            settings = {**WIDE_TABLES, **ADAPTIVE}
+        self._switch(name, generations.new_days(conform(frame, table), table, days, settings, "snappy"))
+
+    def finish(self, name: str) -> bool:
+        """Finish what a load of this table left half switched. Every load does so first."""
+        return generations.finish(self.spark, self._journal(name))
+
+    def _switch(self, name: str, switches: Sequence[Switch]) -> None:
+        generations.switch(self.spark, switches, self._journal(name))
+
+    def _journal(self, name: str) -> str:
+        described = self.spark.sql(f"DESCRIBE DATABASE {self.raw_db}")
+        return f"{described.where(F.col('info_name') == 'Location').first().info_value}/journal_{name}"
 
     def staged(self, name: str, days: Sequence[date]) -> DataFrame:
         """Rows of these days only, by pruning; staging may hold others.
@@ -91,32 +117,85 @@ class Warehouse:
             return table.where(F.col(DAY).isin(wanted))
         return table.where(F.col(DAY) == wanted[0]).withColumn(DAY, F.lit(wanted[0]))
 
-    def publish(self, masked: DataFrame, raw: DataFrame, name: str) -> None:
-        """Replace both layers in full."""
+    def publish(
+        self, masked: DataFrame, raw: DataFrame, name: str, same: Sequence[str] = ()
+    ) -> None:
+        """Replace both layers in full, at once.
+
+        Both are written before either is switched to, and compared on the way
+        (see ``Compared``); ``same`` are the columns that no mask changes.
+        """
+        self.finish(name)
         create_shaped(masked, self.masked(name))
-        replace_whole(masked, self.masked(name))
         create_like(self.spark, self.raw(name), self.masked(name))
-        replace_whole(raw, self.raw(name))
+        compared = Compared(same)
+        switches = []
+        for frame, table in ((masked, self.masked(name)), (raw, self.raw(name))):
+            switches.append(generations.new_whole(compared.watch(conform(frame, table)), table))
+        compared.check(name)
+        self._switch(name, switches)
 
     def publish_days(
-        self, masked: DataFrame, raw: DataFrame, name: str, days: Sequence[date]
+        self,
+        masked: DataFrame,
+        raw: DataFrame,
+        name: str,
+        days: Sequence[date],
+        same: Sequence[str] = (),
     ) -> None:
-        """Replace these days in both layers and leave the others alone.
+        """Replace these days in both layers, at once, and leave the others alone.
 
-        Days without staged rows lose their partition, since an overwrite
-        touches only the days it has rows for.
+        Days without staged rows lose their partition.
         """
+        self.finish(name)
         create_shaped(masked, self.masked(name), by_day=True)
         create_like(self.spark, self.raw(name), self.masked(name))
-        held = set(list_partitions(self.spark, self.staging(name)))
-        empty = [day for day in days if partition_value(day) not in held]
+        compared = Compared(same)
+        switches = []
         for frame, table in ((masked, self.masked(name)), (raw, self.raw(name))):
-            overwrite(frame, table)
-            drop_days(self.spark, table, empty)
+            switches += generations.new_days(compared.watch(conform(frame, table)), table, days)
+        compared.check(name)
+        self._switch(name, switches)
+
+    def expire(self, name: str, last: date) -> None:
+        """Retention: drop all days up to this one from staging, those of skipped runs too."""
+        table, until = self.staging(name), partition_value(last)
+        drop_days(self.spark, table, [day for day in list_partitions(self.spark, table) if day <= until])
 
-    def expire(self, name: str, days: Sequence[date]) -> None:
-        """Retention: drop these days from staging."""
-        drop_days(self.spark, self.staging(name), days)
+
+class Compared:
+    """Watches the layers of a table while they are written, in the same pass.
+
+    Rows are counted, and NULLs in all columns, which masks leave NULL; the values of
+    columns without a mask are summed up in a digest that does not depend on the
+    order of rows.
+    """
+
+    def __init__(self, same: Sequence[str] = ()) -> None:
+        self.same = {column.lower() for column in same}
+        self.seen: list[Observation] = []
+
+    def watch(self, layer: DataFrame) -> DataFrame:
+        nulls = sum((F.col(f"`{c}`").isNull().cast("long") for c in layer.columns), F.lit(0).cast("long"))
+        hashed = [
+            F.col(f"`{field.name}`")
+            for field in layer.schema
+            if field.name.lower() in self.same and "map<" not in field.dataType.simpleString()
+        ]
+        mark = F.xxhash64(*hashed or [F.lit(0)])
+        self.seen.append(Observation())
+        return layer.observe(
+            self.seen[-1],
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(nulls), F.lit(0)).alias("nulls"),
+            F.coalesce(F.bit_xor(mark), F.lit(0)).alias("parity"),
+            F.coalesce(F.sum(mark.bitwiseAND(F.lit(SUMMED_BITS))), F.lit(0)).alias("total"),
+        )
+
+    def check(self, name: str) -> None:
+        found = [one.get for one in self.seen]
+        if any(one != found[0] for one in found):
+            raise LayersDiffer(f"the layers of {name} differ: {found}")
 
 
 def create_shaped(
@@ -149,17 +228,55 @@ def add_columns(frame: DataFrame, table: str) -> None:
 
 
 def conform(frame: DataFrame, table: str) -> DataFrame:
-    """The columns of the table by name, in its order; NULL for absent ones."""
-    held = _lower(frame)
+    """The columns of the table by name, in its order and types; NULL for absent ones."""
+    held = {field.name.lower(): field.dataType for field in frame.schema.fields}
 
     def value(field: StructField) -> Column:
-        if field.name.lower() in held:
-            return F.col(f"`{field.name}`")
-        return F.lit(None).cast(field.dataType).alias(field.name)
+        kind = held.get(field.name.lower())
+        if kind is None:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        column = F.col(f"`{field.name}`")
+        if kind == field.dataType:
+            return column
+        if not fits(kind, field.dataType):
+            raise TypeError(f"{table}.{field.name} is {field.dataType.simpleString()}, not {kind.simpleString()}")
+        return column.cast(field.dataType).alias(field.name)
 
     return frame.select(*map(value, frame.sparkSession.table(table).schema.fields))
 
 
+def fits(kind: DataType, into: DataType) -> bool:
+    """Whether all values of one type are values of another."""
+    if kind == into:
+        return True
+    if isinstance(into, StringType):
+        return isinstance(kind, AtomicType)
+    if isinstance(kind, NullType):
+        return True
+    digits = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}
+    if isinstance(kind, tuple(digits)):
+        if isinstance(into, DecimalType):
+            return into.precision - into.scale >= digits[type(kind)]
+        return digits.get(type(into), 0) >= digits[type(kind)] or (
+            isinstance(into, DoubleType) and not isinstance(kind, LongType)
+        )
+    if isinstance(kind, DecimalType) and isinstance(into, DecimalType):
+        return into.scale >= kind.scale and into.precision - into.scale >= kind.precision - kind.scale
+    if isinstance(kind, FloatType):
+        return isinstance(into, DoubleType)
+    if isinstance(kind, DateType):
+        return isinstance(into, (TimestampType, TimestampNTZType))
+    if type(kind) is not type(into):
+        return False
+    if isinstance(kind, ArrayType):
+        return fits(kind.elementType, into.elementType)
+    if isinstance(kind, MapType):
+        return fits(kind.keyType, into.keyType) and fits(kind.valueType, into.valueType)
+    if isinstance(kind, StructType):
+        return len(kind) == len(into) and all(fits(x.dataType, y.dataType) for x, y in zip(kind, into))
+    return True
+
+
 def _lower(frame: DataFrame) -> set[str]:
     """Column names as Spark tells them apart."""
     return {name.lower() for name in frame.columns}
@@ -174,59 +291,8 @@ def overwrite(
 
 
 def replace_whole(frame: DataFrame, table: str) -> None:
-    """Replace an unpartitioned table, all at once.
-
-    An overwrite in place deletes the old files before it writes, so readers
-    would find nothing until the job ends, and nothing at all if it fails. The
-    rows go to a new folder instead, a generation that no table names, and one
-    change in the catalog points the table to it. The generation before stays
-    for those who read it, until the next load; so does one that a load left
-    when it stopped halfway.
-    """
+    """Replace an unpartitioned table, all at once (see ``generations``)."""
     spark = frame.sparkSession
-    old = location(spark, table)
-    root = old if GENERATIONS not in old else old.split(GENERATIONS)[0]
-    new = f"{root}{GENERATIONS}/{uuid4().hex}"
-    with applied(spark, WIDE_TABLES):
-        conform(frame, table).write.orc(new)
-    for folder in _folders(spark, f"{root}{GENERATIONS}"):
-        if folder.rsplit("/", 1)[1] not in (old.rsplit("/", 1)[1], new.rsplit("/", 1)[1]):
-            _delete(spark, folder)
-    if root != old:
-        for inside in _folders(spark, root):
-            _delete(spark, inside)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
-
-
-def _files_of(spark: SparkSession, folder: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
-
-
-def _folders(spark: SparkSession, folder: str) -> list[str]:
-    """What lies in a folder, which need not be there."""
-    files, path = _files_of(spark, folder)
-    return [str(x.getPath()) for x in files.listStatus(path)] if files.exists(path) else []
-
-
-def _delete(spark: SparkSession, folder: str) -> None:
-    files, path = _files_of(spark, folder)
-    files.delete(path, True)
-
-
-def location(spark: SparkSession, table: str) -> str:
-    described = spark.sql(f"DESCRIBE FORMATTED {table}")
-    return described.where("col_name = 'Location'").first().data_type
-
-
-def list_partitions(spark: SparkSession, table: str) -> list[int]:
-    """The days a table holds, from the catalog."""
-    return [int(row[0].split("=")[1]) for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-
-
-def drop_days(spark: SparkSession, table: str, days: Iterable[date]) -> None:
-    """Drop the partitions of these days, where they exist."""
-    held = set(list_partitions(spark, table))
-    parts = [f"PARTITION ({DAY}={value})" for value in map(partition_value, days) if value in held]
-    if parts:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(parts)}")
+    journal = f"{generations.root_of(spark, table)}_journal"
+    generations.finish(spark, journal)
+    generations.switch(spark, [generations.new_whole(conform(frame, table), table)], journal)

@@ -89,6 +89,12 @@ def layers(
     return mask_columns(raw, masks), raw
 
 
+def unmasked(spec: TableSpec, profile: Profile) -> list[str]:
+    """The columns that are equal in both layers."""
+    masks = spec.masks_for(profile)
+    return [column for column in spec.columns if column not in masks]
+
+
 def load_snapshot(
     source: Source,
     warehouse: Warehouse,
@@ -97,12 +103,12 @@ def load_snapshot(
     profile: Profile = COMPAT,
     reading: Reading = PLAIN,
 ) -> None:
-    """Stage the table under yesterday, publish that day, drop the day before."""
+    """Stage the table under yesterday, publish that day, drop all days before."""
     day = back(today, 1)
     stage_snapshot(source, warehouse, spec, day, reading)
     masked, raw = layers(warehouse.staged(spec.name, [day]), spec, profile)
-    warehouse.publish(masked, raw, spec.name)
-    warehouse.expire(spec.name, [back(today, 2)])
+    warehouse.publish(masked, raw, spec.name, unmasked(spec, profile))
+    warehouse.expire(spec.name, back(today, 2))
 
 
 def load_snapshots(
@@ -165,8 +171,8 @@ def load_days(
         return
     staged = era(warehouse.staged(spec.name, days), spec.later, last_old_day)
     masked, raw = layers(staged, spec, profile, keep=(DAY,))
-    warehouse.publish_days(masked, raw, spec.name, days)
-    warehouse.expire(spec.name, [back(day, 2) for day in days])
+    warehouse.publish_days(masked, raw, spec.name, days, unmasked(spec, profile))
+    warehouse.expire(spec.name, back(days[-1], 2))
 
 
 def load_day(

@@ -58,7 +58,7 @@ def log_source(frame):
 
 
 class FailingSource(FrameSource):
-    def read_split(self, name, key, readers=1):
+    def read_split(self, name, key, readers=1, **more):
         return self.tables[name].withColumn("realname", F.raise_error(F.lit("lost")))
 
     def read_shards(self, *asked):
@@ -112,7 +112,8 @@ def test_a_skipped_run_is_not_published_again(spark, warehouse):
     source = FrameSource({"user_auth": users(spark)})
     load_snapshot(source, warehouse, USERS, "2018-04-20")
     load_snapshot(source, warehouse, USERS, "2018-04-23")
-    assert list_partitions(spark, warehouse.staging("user_auth")) == [20180419, 20180422]
+    # nor does the raw staging of the skipped run stay for good
+    assert list_partitions(spark, warehouse.staging("user_auth")) == [20180422]
     assert spark.table(warehouse.masked("user_auth")).count() == 3
 
 

@@ -65,8 +65,10 @@ def test_session_overwrite_mode_does_not_matter(spark, warehouse):
 
 def test_expire_ignores_absent_days(spark, warehouse):
     warehouse.stage(log(spark), "t", DAYS, aligned=False)
-    warehouse.expire("t", list_days("2018-04-10", "2018-04-19"))
-    warehouse.expire("t", [as_day("2018-04-19")])
+    warehouse.expire("t", as_day("2018-04-10"))
+    assert len(tables.list_partitions(spark, warehouse.staging("t"))) == 4
+    warehouse.expire("t", as_day("2018-04-19"))
+    warehouse.expire("t", as_day("2018-04-19"))
     assert tables.list_partitions(spark, warehouse.staging("t")) == [20180420, 20180421]
 
 
