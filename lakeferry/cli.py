@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession
 from lakeferry.functions.days import as_day
 from lakeferry.operators.warehouse import Warehouse
 from lakeferry.plans.loads import Reading, load_day, load_days, load_snapshots, stage_days
-from lakeferry.plans.profiles import COMPAT, strict
+from lakeferry.plans.profiles import COMPAT, HashKey, strict
 from lakeferry.plans.specs import LOG_TABLES, SNAPSHOT_TABLES
 from lakeferry.session import start
 from lakeferry.sources import FileSource, JdbcSource, mysql_url
@@ -49,6 +49,10 @@ def parser() -> argparse.ArgumentParser:
         help="option of the reader of --files, such as header=true",
     )
     shared.add_argument("--schema-file", type=Path, help="columns and types of --files, as DDL")
+    shared.add_argument(
+        "--quarantine", metavar="FOLDER",
+        help="where malformed records of --files go, which otherwise fail the load",
+    )
     shared.add_argument("--zone", help="show instants as wall-clock times of this zone")
     shared.add_argument("--unreadable-times", choices=("fail", "null"), default="fail")
     shared.add_argument("--plain-times", action="store_true", help="leave times in text as they are")
@@ -59,7 +63,9 @@ def parser() -> argparse.ArgumentParser:
     shared.add_argument("--raw-db", default="ods_raw")
     shared.add_argument("--location", help="folder for databases that do not exist yet")
     shared.add_argument("--strict", action="store_true", help="mask all that is sensitive")
-    shared.add_argument("--salt-file", type=Path, help="salt of hashes; --strict needs it")
+    shared.add_argument("--salt-file", type=Path, help="salt of hashes; --strict needs it or a key")
+    shared.add_argument("--key-file", type=Path, help="key of hashes, which plans and logs don't show")
+    shared.add_argument("--key-id", default="k1", help="what hashes made with the key begin with")
     shared.add_argument("--columns-of", metavar="TABLE", help="load as this known table")
 
     top = argparse.ArgumentParser(prog="lakeferry", description=__doc__.splitlines()[0])
@@ -86,7 +92,8 @@ def _schema(given: argparse.Namespace) -> str | None:
 def _source(spark: SparkSession, given: argparse.Namespace):
     if given.files:
         options, schema = dict(given.option), _schema(given)
-        return FileSource(spark, given.files, given.format, f".{given.format}", options, schema)
+        suffix = f".{given.format}"
+        return FileSource(spark, given.files, given.format, suffix, options, schema, given.quarantine)
     url = given.url or mysql_url(*given.mysql.split("/", 1))
     password = given.password_file.read_text().strip() if given.password_file else None
     properties = {"user": given.user, "password": password, "driver": given.driver}
@@ -110,15 +117,25 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
             raise SystemExit(f"unknown table {model}; known are {', '.join(known)}")
         schema = _schema(given) or known[model].schema
         specs.append(replace(known[model], name=table, schema=schema))
-    if given.strict and not given.salt_file:
-        raise SystemExit("--strict needs --salt-file")
+    if given.strict and not (given.salt_file or given.key_file):
+        raise SystemExit("--strict needs --salt-file or --key-file")
     reading = Reading(given.zone, given.unreadable_times, not given.plain_times)
     salt = given.salt_file.read_text().strip() if given.salt_file else None
-    profile = strict(salt) if given.strict else COMPAT
-
     spark = spark or start()
+    key = HashKey.of(spark, given.key_id, given.key_file.read_bytes().strip()) if given.key_file else None
+    profile = strict(salt, key) if given.strict else COMPAT
+
     source = _source(spark, given)
     warehouse = Warehouse(spark, given.masked_db, given.raw_db).create(given.location)
+    try:
+        _load(given, source, warehouse, specs, profile, reading)
+    finally:
+        for name, records in getattr(source, "quarantined", {}).items():
+            if records:
+                print(f"{records} malformed records of {name} are in {given.quarantine}/{name}")
+
+
+def _load(given: argparse.Namespace, source, warehouse, specs, profile, reading) -> None:
     if given.command == "snapshot":
         load_snapshots(source, warehouse, specs, given.today, profile, reading, given.at_once)
         return

@@ -11,6 +11,8 @@ basic plane count as one character when a piece is cut out.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,10 @@ SHORT_NAME_BYTES = 9
 MIDDLE_NAME_BYTES = 12
 LONG_NAME_BYTES = 24
 
+# Fixed values of HMAC: the block of SHA-256 in bytes, and what is XORed to the key.
+HASH_BLOCK = 64
+INNER_PAD, OUTER_PAD = 0x36, 0x5C
+
 
 def _text(column: Column | str) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string")
@@ -65,6 +71,24 @@ def hash_token(column: Column | str, salt: str | None = None) -> Column:
     return F.when(F.length(token) > 0, F.sha2(salted, 256)).otherwise(token)
 
 
+def hmac_pads(key: bytes) -> tuple[bytes, bytes]:
+    """The inner and the outer block that HMAC-SHA256 puts before what it hashes."""
+    block = hashlib.sha256(key).digest() if len(key) > HASH_BLOCK else key
+    block = block.ljust(HASH_BLOCK, b"\0")
+    return bytes(x ^ INNER_PAD for x in block), bytes(x ^ OUTER_PAD for x in block)
+
+
+def keyed_token(column: Column | str, inner: Column, outer: Column, key_id: str) -> Column:
+    """HMAC-SHA256 in lower-case hex behind the key's id and a colon; the empty string is left alone.
+
+    ``inner`` and ``outer`` are the pads of the key, as binary columns.
+    """
+    token = _text(column)
+    first = F.unhex(F.sha2(F.concat(inner, token.cast("binary")), 256))
+    digest = F.sha2(F.concat(outer, first), 256)
+    return F.when(F.length(token) > 0, F.concat(F.lit(f"{key_id}:"), digest)).otherwise(token)
+
+
 def mask_name_strict(column: Column | str) -> Column:
     """First and last character with stars between, whatever the length."""
     name = _text(column)

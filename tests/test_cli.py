@@ -86,6 +86,20 @@ def test_delimited_text_with_a_header(spark, tmp_path):
     run(spark, tmp_path, *asked, "--schema-file", str(tmp_path / "columns"))
 
 
+def test_malformed_records(spark, tmp_path, capsys):
+    spec = SNAPSHOT_TABLES["areacode"]
+    good = "{" + ", ".join(f'"{c}": "x"' for c in spec.columns) + "}"
+    (tmp_path / "areacode.json").write_text(f"{good}\n{good[:20]}\n{good}\n")
+    (tmp_path / "columns").write_text(", ".join(f"{c} string" for c in spec.columns))
+    asked = ["snapshot", "areacode", "--today", "20180421", "--format", "json"]
+    asked += ["--schema-file", str(tmp_path / "columns")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        run(spark, tmp_path, *asked)
+    masked, raw = run(spark, tmp_path, *asked, "--quarantine", str(tmp_path / "aside"))
+    assert spark.table(f"{masked}.areacode").count() == spark.table(f"{raw}.areacode").count() == 2
+    assert "1 malformed records of areacode" in capsys.readouterr().out
+
+
 def test_unreadable_times(spark, tmp_path):
     spec = SNAPSHOT_TABLES["user_auth"]
     frame = spark.range(1).select(*filled(spec, "x")).withColumn("lasttime", F.lit("soon"))

@@ -83,3 +83,55 @@ def test_logs_without_footers_need_a_schema(spark, tmp_path):
     with pytest.raises(ValueError, match="schema"):
         source.read_shards("order_log", DAYS[:1])
     assert source.read_shards("order_log", DAYS[:1], schema="id bigint").count() == 3
+
+
+BROKEN = ['{"id": 1, "v": "a"}', '{"id": 2, "v": ', '{"id": 3, "v": "c"}', '{"id": "x", "v": "d"}']
+
+
+def test_a_malformed_record_stops_the_read(spark, tmp_path):
+    (tmp_path / "t.json").write_text("\n".join(BROKEN))
+    (tmp_path / "t.csv").write_text("1,a\n2\n3,c\n")
+    for file_format in ("json", "csv"):
+        source = FileSource(spark, str(tmp_path), file_format, f".{file_format}", schema="id bigint, v string")
+        with pytest.raises(Exception, match="(?i)malformed"):
+            source.read_table("t").collect()
+    # without a schema, a broken line is not taken for a column
+    with pytest.raises(Exception, match="(?i)malformed"):
+        FileSource(spark, str(tmp_path), "json", ".json").read_table("t").collect()
+    chosen = FileSource(spark, str(tmp_path), "json", ".json", {"Mode": "DROPMALFORMED"}, "id bigint, v string")
+    assert rows(chosen.read_table("t")) == [(1, "a"), (3, "c")]
+
+
+def test_malformed_records_in_quarantine(spark, tmp_path):
+    (tmp_path / "t.json").write_text("\n".join(BROKEN))
+    (tmp_path / "t.csv").write_text("1,a\n2\n3,c\nx,d\n")
+    for file_format in ("json", "csv"):
+        aside = f"{tmp_path}/aside_{file_format}"
+        source = FileSource(
+            spark, str(tmp_path), file_format, f".{file_format}", None, "id bigint, v string", aside
+        )
+        for _ in range(2):
+            assert rows(source.read_table("t")) == [(1, "a"), (3, "c")]
+            assert source.read_table("t").columns == ["id", "v"]
+            assert source.quarantined == {"t": 2}
+        held = spark.read.json(f"{aside}/t")
+        assert held.count() == 2 and {"file", "record", "read"} == set(held.columns)
+        assert {r.record.strip() for r in held.collect()} & {BROKEN[1].strip(), "2"}
+    inferred = FileSource(spark, str(tmp_path), "json", ".json", quarantine=f"{tmp_path}/other")
+    assert rows(inferred.read_table("t").select("v")) == [("a",), ("c",), ("d",)]
+
+
+def test_quarantine_of_a_log_is_by_day(spark, tmp_path):
+    for day, lines in ((20180419, BROKEN), (20180420, BROKEN[:1]), (20180421, BROKEN[1:2])):
+        folder = tmp_path / "order_log" / f"yymmdd={day}"
+        folder.mkdir(parents=True)
+        (folder / "part.json").write_text("\n".join(lines))
+    source = FileSource(spark, str(tmp_path), "json", quarantine=f"{tmp_path}/aside")
+    read = source.read_shards("order_log", DAYS, schema="id bigint, v string")
+    assert rows(read) == [(1, "a", 20180419), (1, "a", 20180420), (3, "c", 20180419)]
+    assert source.quarantined == {"order_log": 3}
+    (tmp_path / "order_log" / "yymmdd=20180421" / "part.json").write_text(BROKEN[2])
+    source.read_shards("order_log", DAYS[2:], schema="id bigint, v string")
+    assert source.quarantined == {"order_log": 0}
+    held = spark.read.json(f"{tmp_path}/aside/order_log")
+    assert rows(held.groupBy("yymmdd").count()) == [(20180419, 2)]
