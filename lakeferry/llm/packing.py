@@ -38,6 +38,7 @@ import functools
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -47,6 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from lakeferry.llm.token_counts import byte_letters
 from lakeferry.llm.words import parts
 
 WINDOW = 2048
@@ -55,49 +57,74 @@ END_ID = 1
 OPEN = 1024
 PART_BYTES = 1 << 20
 #: units whose ids a worker keeps, each of so many characters at most
-REMEMBER, UNIT_CHARS = 250_000, 64
+REMEMBER, UNIT_CHARS = 400_000, 64
 #: pieces that make an output batch
 BATCH_PIECES = 1024
 
-_UNITS = re.compile(
-    r"[ \n\r\t]*(?:[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+(?=[.,;:!?])|[^ \n\r\t]+)|[ \n\r\t]+"
-)
+# Letters beyond doubt. A token ends behind a run of them, if what follows is in ASCII and no letter.
+_LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
+_WORD = rf" ?[{_LETTERS}]++(?![^ \n\r\t!-@\[-`{{-~])"
+# Of white space, the last space goes with what follows, and any other last one is alone.
+_UNITS = re.compile(rf"{_WORD}| ?[^ \n\r\t]++|[ \n\r\t]+(?![^ \n\r\t])|[\n\r\t]")
+_ALONE = re.compile(f" ?[{_LETTERS}]+")
 _OTHER_SPACE = re.compile(r"[^\S \n\r\t]")
 _EDGE = re.compile(r"(?<=\S)(?=[ \n\r\t])")
 
 
 def units(text: str) -> list[str]:
-    """The text in pieces that are tokenized alone: each begins with white space or the text."""
+    """The text in pieces that can be tokenized one by one."""
     if _OTHER_SPACE.search(text):
         return _EDGE.split(text)
     return _UNITS.findall(text)
 
 
-class Encoder:
-    """Texts to ids, little-endian unsigned 32-bit, the end id behind each."""
+class Units(dict):
+    """The ids of units, little-endian unsigned 32-bit, found out when they are asked for."""
 
-    def __init__(self, tokenizer: str, end_id: int = END_ID) -> None:
-        self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.tokenizer.encode_special_tokens = True
-        self.end = np.array([end_id], "<u4").tobytes()
-        self.known: dict[str, bytes] = {}
+    def __init__(self, tokenizer: Tokenizer) -> None:
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
         self.older: dict[str, bytes] = {}
 
-    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
-        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(found.ids, "<u4").tobytes()
+    def __missing__(self, unit: str) -> bytes:
+        found = self.older.get(unit)
+        if found is None:
+            found = self._made(unit)
+        if len(unit) <= UNIT_CHARS:
+            self[unit] = found
+        return found
+
+    def _made(self, unit: str) -> bytes:
+        if _ALONE.fullmatch(unit):  # the model merges it as it is
+            if unit.isascii():
+                spelt = self.letters[0x20] + unit[1:] if unit[0] == " " else unit
+            else:
+                spelt = unit.encode().decode("latin-1").translate(self.letters)
+            ids = [token.id for token in self.model.tokenize(spelt)]
+        else:
+            ids = self.tokenizer.encode(unit, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
+    def forget(self) -> None:
+        """Keep no more than so many, those asked for last."""
+        if len(self) > REMEMBER:
+            self.older = dict(self)
+            self.clear()
+
+
+class Encoder:
+    """Texts to ids, the end id behind each."""
+
+    def __init__(self, tokenizer: str, end_id: int = END_ID) -> None:
+        reader = Tokenizer.from_str(tokenizer)
+        reader.encode_special_tokens = True
+        self.units = Units(reader)
+        self.end = array("I", [end_id]).tobytes()
 
     def ids(self, texts: Iterable[str]) -> list[np.ndarray]:
-        cut = [units(text) for text in texts]
-        ids = {unit: self.known.get(unit) for unit in set().union(*cut)}
-        moved = [unit for unit, found in ids.items() if found is None]
-        ids.update((unit, self.older.get(unit)) for unit in moved)
-        new = [unit for unit in moved if ids[unit] is None]
-        ids.update(zip(new, self._encoded(new), strict=True))
-        self.known.update((unit, ids[unit]) for unit in moved if len(unit) <= UNIT_CHARS)
-        if len(self.known) > REMEMBER:
-            self.known, self.older = {}, self.known
-        return [np.frombuffer(b"".join([ids[unit] for unit in one]) + self.end, "<u4") for one in cut]
+        found = [b"".join(map(self.units.__getitem__, units(text))) for text in texts]
+        self.units.forget()
+        return [np.frombuffer(one + self.end, "<u4") for one in found]
 
 
 @functools.lru_cache(1)

@@ -62,7 +62,7 @@ def test_remembered_units_may_be_forgotten(monkeypatch, tokenizer):
     encoder = packing.Encoder(Path(PATH).read_text("utf-8"))
     for text in ("one two three four five", "five four three", "one two six", "") * 2:
         assert list(encoder.ids([text])[0][:-1]) == tokenizer.encode(text, add_special_tokens=False).ids
-        assert len(encoder.known) <= 3
+        assert len(encoder.units) <= 3
 
 
 def test_levels_are_those_of_the_least_sum_of_squares():
