@@ -18,8 +18,13 @@ they cover is a segment of 100 to 160 bytes. So:
    that share the symbols of 100 bytes are equal strings; all but the first are
    removed. Thousands of these small arrays are built in step in each task.
 4. An anchor with more than `MOST` different segments (a very common phrase) is
-   not put into one array: its strings are joined by their hashes instead, each
-   a row, so that no group grows with the data.
+   divided before it is put into arrays. Each of its strings gets a second
+   anchor, the least of other hashes of its 8-byte pieces beyond the first anchor; the
+   strings of a segment with one second anchor are a shorter segment, equal ones are
+   collapsed as in step 2, and what is still too large is divided
+   again by a third. Equal strings have equal anchors at every step, so none is lost.
+   From the fourth division on it is the ends of a string that divide, longer ones each time, up
+   to all of it, so this ends, and no array grows with the data.
 
 Defined results: null counts as empty; texts of under 100 bytes lose nothing; a
 document without doc_id comes after all others; rows that repeat doc_id and text
@@ -46,7 +51,12 @@ SPAN = 100
 GRAM = 40
 #: symbols of a string when its anchor is one symbol
 LENGTH = SPAN - GRAM + 1
+#: different segments that one array may hold
 MOST = 64
+#: bytes of the pieces that divide the strings of a large anchor, and how often they do
+SMALL_GRAM, BY_PIECES = 8, 3
+#: bytes of the ends that divide them afterwards, at first
+END_BYTES = 17
 PART_BYTES = 1 << 20
 BATCH_SYMBOLS = 300_000
 RESULT = ("kept", "n_bytes", "n_removed", "n_spans")
@@ -160,7 +170,13 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-PIECES = "key long, doc_id long, at long, many boolean, body binary"
+PIECES = "key long, doc_id long, at long, body binary"
+
+
+def _bodies(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+    raw = data[_ranges(begin, size)].tobytes()
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,22 +189,15 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fields = wanted.flatten()
             at = fields.field("at").to_numpy()
             _, start, strings, _ = _unpacked(at)
-            begin, size = starts[rows] + start, strings + SPAN - 1
-            offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
-            body = pa.Array.from_buffers(
-                pa.binary(),
-                len(rows),
-                [None, pa.py_buffer(offsets), pa.py_buffer(data[_ranges(begin, size)].tobytes())],
-            )
+            body = _bodies(data, starts[rows] + start, strings + SPAN - 1)
             yield pa.RecordBatch.from_arrays(
                 [
                     fields.field("key"),
                     part.column("doc_id").take(pa.array(rows)),
                     pa.array(at),
-                    fields.field("many"),
                     body,
                 ],
-                names=["key", "doc_id", "at", "many", "body"],
+                names=["key", "doc_id", "at", "body"],
             )
 
 
@@ -294,25 +303,60 @@ def _by_suffix_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield Pieces(pa.Table.from_batches(held)).spans()
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every string of the segments: its anchor, its hash and where it is."""
-    for batch in batches:
-        for part in parts(batch, "body", BATCH_SYMBOLS):
-            pieces = Pieces(pa.Table.from_batches([part]))
-            sums, down = prefix_hashes(pieces.data), powers(len(pieces.data) + 1)[1]
-            at = pieces.offset[pieces.rows] + pieces.number
-            hashes = mix((sums[at + SPAN] - sums[at]) * down[at])
-            take = pa.array(pieces.rows)
-            where = _packed(pieces.tag[pieces.rows], pieces.start[pieces.rows] + pieces.number, 1, 0)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("key").take(take),
-                    pa.array(hashes.view(np.int64)),
-                    part.column("doc_id").take(take),
-                    pa.array(where),
-                ],
-                names=["key", "segment", "doc_id", "at"],
-            )
+def _dividers(pieces: Pieces, division: int) -> np.ndarray:
+    """Of each string, what divides it from others of its anchor in this division."""
+    sums, down = prefix_hashes(pieces.data), powers(len(pieces.data) + 1)[1]
+    at = pieces.offset[pieces.rows] + pieces.number
+
+    def hashed(begin: np.ndarray, size: int) -> np.ndarray:
+        return mix((sums[begin + size] - sums[begin]) * down[begin])
+
+    if division > BY_PIECES:
+        size = min(END_BYTES * (division - BY_PIECES), SPAN)
+        return mix(hashed(at, size) ^ mix(hashed(at + SPAN - size, size) + np.uint64(1)))
+    salt = mix(np.array([division], np.uint64))
+    value = mix(hashed(np.arange(len(pieces.data) - SMALL_GRAM + 1), SMALL_GRAM) ^ salt)
+    within = np.arange(GRAM - SMALL_GRAM + 1)
+    value[(pieces.offset[:-1] + pieces.anchor)[:, None] + within] = np.iinfo(np.uint64).max
+    width, step = SPAN - SMALL_GRAM + 1, 1
+    while 2 * step <= width:
+        value = np.minimum(value[:-step], value[step:])
+        step *= 2
+    return np.minimum(value[at], value[at + width - step])
+
+
+def _divided(division: int):
+    """Segments of large anchors as shorter ones, by one more anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in parts(batch, "body", BATCH_SYMBOLS):
+                pieces = Pieces(pa.Table.from_batches([part]))
+                value = _dividers(pieces, division)
+                new = np.ones(len(value), bool)
+                new[1:] = (value[1:] != value[:-1]) | (pieces.rows[1:] != pieces.rows[:-1])
+                first = np.flatnonzero(new)
+                row, number = pieces.rows[first], pieces.number[first]
+                strings = np.diff(np.append(first, len(value)))
+                anchor = pieces.anchor[row] - number
+                begin, size = pieces.offset[row] + number, strings + SPAN - 1
+                sums, down = prefix_hashes(pieces.data), powers(len(pieces.data) + 1)[1]
+                shape = mix((anchor * 64 + strings).astype(np.uint64))
+                segment = mix((sums[begin + size] - sums[begin]) * down[begin] ^ shape)
+                key = mix(pieces.key[row].astype(np.uint64) ^ mix(value[first] + np.uint64(division)))
+                at = _packed(pieces.tag[row], pieces.start[row] + number, strings, anchor)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(key.view(np.int64)),
+                        pa.array(segment.view(np.int64)),
+                        part.column("doc_id").take(pa.array(row)),
+                        pa.array(at),
+                        _bodies(pieces.data, begin, size),
+                    ],
+                    names=["key", "segment", "doc_id", "at", "body"],
+                )
+
+    return run
 
 
 def _same(left: str, right: str) -> Column:
@@ -384,28 +428,43 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     scratch.drop("found", "texts")
 
     # different segments of one anchor
-    several = firsts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    several = firsts.join(several, "key").withColumn("many", F.col("n") > MOST)
-    wanted = several.select("key", "f.doc_id", "f.at", "many", F.shiftright("f.at", 44).alias("tag"))
-    wanted = wanted.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("key", "at", "many")).alias("wanted"))
+    several = scratch.save(_several(firsts), "several")
+    wanted = firsts.join(several, "key").select("key", "f.doc_id", "f.at", F.shiftright("f.at", 44).alias("tag"))
+    wanted = wanted.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("key", "at")).alias("wanted"))
     pieces = marked.alias("m").join(wanted.alias("w"), _same("m", "w")).select("m.*", "wanted")
-    pieces = pieces.mapInArrow(_cut_out, PIECES)
-    pieces = scratch.save(pieces, "pieces")
+    pieces = scratch.save(pieces.mapInArrow(_cut_out, PIECES), "pieces")
     scratch.drop("firsts")
-    small = pieces.where("NOT many").repartition("key").sortWithinPartitions("key")
-    small = small.mapInArrow(_by_suffix_array, "doc_id long, tag long, start long, end long")
-    strings = pieces.where("many").mapInArrow(
-        _strings, "key long, segment long, doc_id long, at long"
-    )
-    strings = scratch.save(strings, "strings")
-    firsts = scratch.save(_firsts(strings, ["key", "segment"]), "first_strings")
-    large = _later(strings, firsts, ["key", "segment"])
-    spans = copies.unionByName(equal).unionByName(small).unionByName(large)
+
+    # large anchors are divided until none is left
+    spans, small, division = copies.unionByName(equal), None, 0
+    while True:
+        some = pieces.join(several.where(F.col("n") <= MOST).select("key"), "key", "left_semi")
+        small = some if small is None else small.unionByName(some)
+        large = several.where(F.col("n") > MOST).select("key")
+        if large.isEmpty():
+            break
+        division += 1
+        rows = pieces.join(large, "key", "left_semi")
+        rows = rows.mapInArrow(_divided(division), "key long, segment long, doc_id long, at long, body binary")
+        rows = scratch.save(rows, f"divided_{division}")
+        firsts = rows.groupBy("key", "segment").agg(_first(), F.count("*").alias("times"), F.first("body").alias("body"))
+        firsts = scratch.save(firsts, f"firsts_{division}")
+        spans = spans.unionByName(_later(rows.drop("body"), firsts, ["key", "segment"]))
+        several = scratch.save(_several(firsts), f"several_{division}")
+        pieces = firsts.join(several, "key").select("key", "f.doc_id", "f.at", "body")
+        pieces = scratch.save(pieces, f"pieces_{division}")
+    small = small.repartition("key").sortWithinPartitions("key")
+    spans = spans.unionByName(small.mapInArrow(_by_suffix_array, "doc_id long, tag long, start long, end long"))
     spans = scratch.save(spans, "spans")
     scratch.keep("spans")
     return spans
 
 
+def _several(firsts: DataFrame) -> DataFrame:
+    """The keys of more than one segment, and how many those are."""
+    return firsts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+
+
 def _without(text: str, spans: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
