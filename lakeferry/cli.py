@@ -59,6 +59,7 @@ def parser() -> argparse.ArgumentParser:
     shared.add_argument("--readers", type=int, default=8, help="least key ranges per table")
     shared.add_argument("--range-rows", type=int, default=RANGE_ROWS, help="rows of a key range")
     shared.add_argument("--connections", type=int, help="ranges read at a time")
+    shared.add_argument("--hold", action="store_true", help="lock tables against writers while they are read")
     shared.add_argument("--masked-db", default="ods_masked")
     shared.add_argument("--raw-db", default="ods_raw")
     shared.add_argument("--location", help="folder for databases that do not exist yet")
@@ -104,6 +105,7 @@ def _source(spark: SparkSession, given: argparse.Namespace):
         given.readers,
         given.connections,
         given.range_rows,
+        given.hold,
     )
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass
 from datetime import date
 
@@ -64,6 +65,13 @@ PLAIN = Reading()
 SNAPSHOT_WRITES = {**WIDE_TABLES, **FEW_DAYS}
 
 
+def _one_state(source: Source, name: str, days: Sequence[date] | None = None):
+    """Keep a table, or its shards of some days, as they are, where the source can."""
+    if not hasattr(source, "held"):
+        return nullcontext()
+    return source.held([name] if days is None else source.shard_names(name, days))
+
+
 def stage_snapshot(
     source: Source,
     warehouse: Warehouse,
@@ -72,9 +80,10 @@ def stage_snapshot(
     reading: Reading = PLAIN,
 ) -> None:
     """Copy the whole table, with all its columns, into one day of staging."""
-    frame = reading.clean(source.read_split(spec.name, spec.key, spec.readers), spec)
-    staged = frame.withColumn(DAY, F.lit(partition_value(day)))
-    warehouse.stage(staged, spec.name, [as_day(day)], aligned=True)
+    with _one_state(source, spec.name):
+        frame = reading.clean(source.read_split(spec.name, spec.key, spec.readers), spec)
+        staged = frame.withColumn(DAY, F.lit(partition_value(day)))
+        warehouse.stage(staged, spec.name, [as_day(day)], aligned=True)
 
 
 def layers(
@@ -147,8 +156,9 @@ def stage_days(
     """Copy the log of all days from start to end into staging, in one job."""
     days = list_days(start, end)
     if days:
-        shards = source.read_shards(spec.name, days, spec.key, spec.readers, spec.schema)
-        warehouse.stage(reading.clean(shards, spec), spec.name, days, aligned=source.day_aligned)
+        with _one_state(source, spec.name, days):
+            shards = source.read_shards(spec.name, days, spec.key, spec.readers, spec.schema)
+            warehouse.stage(reading.clean(shards, spec), spec.name, days, aligned=source.day_aligned)
     return days
 
 

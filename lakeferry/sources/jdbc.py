@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,12 @@ class JdbcSource:
     unset and give the application no more cores than connections.
 
     The rows depend on none of these.
+
+    Readers are transactions of their own, so rows that others write, move or delete while
+    they read may be missed or read twice. With ``hold``, the tables of a load are
+    locked against writers from before the first cut until the rows are staged
+    (by one connection of the driver; readers are not in its way), so that all
+    readers see one state. Writers wait for that long, or give up.
     """
 
     day_aligned = True
@@ -65,6 +72,7 @@ class JdbcSource:
         readers: int = 8,
         connections: int | None = None,
         range_rows: int = RANGE_ROWS,
+        hold: bool = False,
     ):
         self.spark = spark
         self.url = url
@@ -72,10 +80,44 @@ class JdbcSource:
         self.readers = readers
         self.connections = connections
         self.range_rows = range_rows
+        self.hold = hold
         # MySQL quotes names in its own way, and reads backslashes as escapes
         self._mysql = url.startswith("jdbc:mysql:")
         self._quote = "`" if self._mysql else '"'
 
+    @contextmanager
+    def held(self, names: Sequence[str]) -> Iterator[None]:
+        """Keep tables as they are for the length of a block, if the source is to ``hold``."""
+        if not self.hold or not names:
+            yield
+            return
+        jvm = self.spark._jvm
+        if "driver" in self.properties:
+            jvm.java.lang.Class.forName(self.properties["driver"])
+        given = jvm.java.util.Properties()
+        for key, value in self.properties.items():
+            given.setProperty(key, value)
+        connection = jvm.java.sql.DriverManager.getConnection(self.url, given)
+        try:
+            connection.setAutoCommit(False)
+            statement = connection.createStatement()
+            for lock in self._locks(names):
+                statement.execute(lock)
+            yield
+        finally:
+            if self._mysql:
+                connection.createStatement().execute("UNLOCK TABLES")
+            connection.rollback()
+            connection.close()
+
+    def _locks(self, names: Sequence[str]) -> list[str]:
+        if self._mysql:  # all in one statement, as each one gives up what was locked before
+            return ["LOCK TABLES " + ", ".join(f"{name} READ" for name in names)]
+        return [f"LOCK TABLE {name} IN SHARE MODE" for name in names]
+
+    def shard_names(self, base: str, days: Sequence[date]) -> list[str]:
+        return [f"{base}_{partition_value(day)}" for day in days]
+
     def read_table(self, name: str) -> DataFrame:
         return self.spark.read.jdbc(self.url, name, properties=self.properties)
 
@@ -99,7 +141,7 @@ class JdbcSource:
         A column that some days lack is NULL there; a day without a table is an
         error of the database. ``schema`` is not needed.
         """
-        names = {partition_value(day): f"{base}_{partition_value(day)}" for day in days}
+        names = dict(zip(map(partition_value, days), self.shard_names(base, days), strict=True))
         found = self._conditions(list(names.values()), key, readers, second) if key else {}
         shards = []
         for day, name in names.items():

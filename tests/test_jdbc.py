@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeferry import LOG_TABLES, JdbcSource, TableSpec, load_days, load_snapshot
 from lakeferry.functions.days import back, list_days
+from lakeferry.plans.loads import stage_days
 from lakeferry.sources import mysql_url
 from tests.conftest import rows
 
@@ -184,6 +185,69 @@ def test_snapshot_load(spark, url, customer, warehouse):
     assert set(staged.columns) == {*customer.columns, "yymmdd"}
 
 
+def execute(spark, url, *statements):
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url)
+    try:
+        for statement in statements:
+            connection.createStatement().execute(statement)
+    finally:
+        connection.close()
+
+
+CHANGES = (
+    'INSERT INTO "living" VALUES (5000, \'new\')',
+    'UPDATE "living" SET "k" = "k" + 900 WHERE "k" < 50',
+    'DELETE FROM "living" WHERE "k" BETWEEN 500 AND 520',
+)
+
+
+@pytest.mark.parametrize("hold", [True, False])
+def test_a_table_that_is_written_between_cut_and_read(spark, url, hold):
+    """Held, all readers see one state, and the writer gives up; else rows are missed or read twice."""
+    frame = spark.range(900).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    put(frame, url, '"living"')
+    wait = "CALL SYSCS_UTIL.SYSCS_SET_DATABASE_PROPERTY('derby.locks.waitTimeout', '{}')"
+    execute(spark, url, wait.format(1))
+    asked = source(spark, url, readers=4, hold=hold)
+    written = False
+    with asked.held(['"living"']):
+        read = asked.read_split('"living"', "k")
+        # the ranges are cut; the writer comes between them and the readers
+        first = read.where(F.spark_partition_id() == 0).collect()
+        try:
+            execute(spark, url, *CHANGES)
+            written = True
+        except Exception as stopped:
+            assert "lock" in str(stopped)
+        rest = read.where(F.spark_partition_id() != 0).collect()
+    assert written is not hold
+    seen = sorted(r.k for r in first + rest)
+    assert (seen == list(range(900))) is hold
+    if hold:
+        execute(spark, url, *CHANGES)
+    execute(spark, url, wait.format(60))
+    after = source(spark, url, readers=4).read_split('"living"', "k")
+    assert after.count() == 900 + 1 - 21
+
+
+def test_loads_hold_what_they_read(spark, url, customer, warehouse, monkeypatch):
+    held = []
+    monkeypatch.setattr(JdbcSource, "_locks", lambda self, names: held.append(list(names)) or [])
+    spec = TableSpec("customer", ("c_custkey", "c_name"))
+    load_snapshot(source(spark, url, hold=True), warehouse, spec, "2018-04-21")
+    days = shards(spark, url)
+    stage_days(source(spark, url, hold=True), warehouse, TableSpec("order_log", ("id",)), days[0], days[-1])
+    assert held == [["customer"], [f"order_log_{day:%Y%m%d}" for day in days]]
+    load_snapshot(source(spark, url), warehouse, spec, "2018-04-21")
+    assert len(held) == 2
+
+
+def test_locks_of_databases():
+    here, there = JdbcSource(None, "jdbc:derby:x"), JdbcSource(None, "jdbc:mysql://x/y")
+    assert here._locks(["a", "b"]) == ["LOCK TABLE a IN SHARE MODE", "LOCK TABLE b IN SHARE MODE"]
+    assert there._locks(["a", "b"]) == ["LOCK TABLES a READ, b READ"]
+
+
 def test_only_asked_columns_and_rows_are_read(spark, url, customer):
     read = source(spark, url).read_table("customer").where("c_custkey > 5").select("c_name")
     plan = read._jdf.queryExecution().toString()

@@ -94,8 +94,8 @@ def test_only_frames_in_no_order_are_rebalanced(spark, warehouse, monkeypatch, d
     logs = {"order_log": (inputs.log_input(events, spec), "createtime")}
     seen = []
     monkeypatch.setattr(
-        "lakeferry.operators.warehouse.overwrite",
-        lambda frame, table, settings=None: seen.append(plan_of(frame)),
+        "lakeferry.operators.generations.new_days",
+        lambda frame, *given: seen.append(plan_of(frame)) or [],
     )
     source = FrameSource(logs=logs, day_aligned=day_aligned)
     stage_days(source, warehouse, spec, "2024-01-05", "2024-01-06")
