@@ -18,13 +18,12 @@ they cover is a segment of 100 to 160 bytes. So:
    that share the symbols of 100 bytes are equal strings; all but the first are
    removed. Thousands of these small arrays are built in step in each task.
 4. An anchor with more than `MOST` different segments (a very common phrase) is
-   divided before it is put into arrays. Each of its strings gets a second
-   anchor, the least of other hashes of its 8-byte pieces beyond the first anchor; the
-   strings of a segment with one second anchor are a shorter segment, equal ones are
-   collapsed as in step 2, and what is still too large is divided
-   again by a third. Equal strings have equal anchors at every step, so none is lost.
-   From the fourth division on it is the ends of a string that divide, longer ones each time, up
-   to all of it, so this ends, and no array grows with the data.
+   divided before it is put into arrays. Its strings are taken in blocks of
+   neighbours, counted from the anchor, and a block has a second anchor: what all its strings have
+   in common, 85 bytes or more. The strings of a segment in one block are a shorter segment;
+   equal ones are collapsed as in step 2. What is still too large is divided again
+   into smaller blocks, at last of one string. Equal strings have equal anchors at every
+   step, so none is lost, and no array grows with the data.
 
 Defined results: null counts as empty; texts of under 100 bytes lose nothing; a
 document without doc_id comes after all others; rows that repeat doc_id and text
@@ -53,10 +52,8 @@ GRAM = 40
 LENGTH = SPAN - GRAM + 1
 #: different segments that one array may hold
 MOST = 64
-#: bytes of the pieces that divide the strings of a large anchor, and how often they do
-SMALL_GRAM, BY_PIECES = 8, 3
-#: bytes of the ends that divide them afterwards, at first
-END_BYTES = 17
+#: strings of a block in each division of a large anchor
+BLOCKS = (16, 4, 1)
 PART_BYTES = 1 << 20
 BATCH_SYMBOLS = 300_000
 RESULT = ("kept", "n_bytes", "n_removed", "n_spans")
@@ -303,36 +300,26 @@ def _by_suffix_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield Pieces(pa.Table.from_batches(held)).spans()
 
 
-def _dividers(pieces: Pieces, division: int) -> np.ndarray:
-    """Of each string, what divides it from others of its anchor in this division."""
+def _dividers(pieces: Pieces, block: int) -> np.ndarray:
+    """Of each string a hash of what it shares with all strings of its block."""
     sums, down = prefix_hashes(pieces.data), powers(len(pieces.data) + 1)[1]
-    at = pieces.offset[pieces.rows] + pieces.number
+    anchor = pieces.anchor[pieces.rows]
+    behind = pieces.number + LENGTH - 1 - anchor  # bytes of the string behind the anchor
+    right = behind // block * block
+    left = np.maximum(LENGTH - block - right, 0)
+    begin = pieces.offset[pieces.rows] + anchor - left
+    end = begin + left + GRAM + right
+    return mix((sums[end] - sums[begin]) * down[begin] ^ mix((left * 64 + right).astype(np.uint64)))
 
-    def hashed(begin: np.ndarray, size: int) -> np.ndarray:
-        return mix((sums[begin + size] - sums[begin]) * down[begin])
 
-    if division > BY_PIECES:
-        size = min(END_BYTES * (division - BY_PIECES), SPAN)
-        return mix(hashed(at, size) ^ mix(hashed(at + SPAN - size, size) + np.uint64(1)))
-    salt = mix(np.array([division], np.uint64))
-    value = mix(hashed(np.arange(len(pieces.data) - SMALL_GRAM + 1), SMALL_GRAM) ^ salt)
-    within = np.arange(GRAM - SMALL_GRAM + 1)
-    value[(pieces.offset[:-1] + pieces.anchor)[:, None] + within] = np.iinfo(np.uint64).max
-    width, step = SPAN - SMALL_GRAM + 1, 1
-    while 2 * step <= width:
-        value = np.minimum(value[:-step], value[step:])
-        step *= 2
-    return np.minimum(value[at], value[at + width - step])
-
-
-def _divided(division: int):
-    """Segments of large anchors as shorter ones, by one more anchor."""
+def _divided(block: int):
+    """Segments of large anchors as shorter ones, those of the strings of one block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in parts(batch, "body", BATCH_SYMBOLS):
                 pieces = Pieces(pa.Table.from_batches([part]))
-                value = _dividers(pieces, division)
+                value = _dividers(pieces, block)
                 new = np.ones(len(value), bool)
                 new[1:] = (value[1:] != value[:-1]) | (pieces.rows[1:] != pieces.rows[:-1])
                 first = np.flatnonzero(new)
@@ -343,7 +330,7 @@ def _divided(division: int):
                 sums, down = prefix_hashes(pieces.data), powers(len(pieces.data) + 1)[1]
                 shape = mix((anchor * 64 + strings).astype(np.uint64))
                 segment = mix((sums[begin + size] - sums[begin]) * down[begin] ^ shape)
-                key = mix(pieces.key[row].astype(np.uint64) ^ mix(value[first] + np.uint64(division)))
+                key = mix(pieces.key[row].astype(np.uint64) ^ mix(value[first] + np.uint64(block)))
                 at = _packed(pieces.tag[row], pieces.start[row] + number, strings, anchor)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -435,7 +422,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     pieces = scratch.save(pieces.mapInArrow(_cut_out, PIECES), "pieces")
     scratch.drop("firsts")
 
-    # large anchors are divided until none is left
+    # large anchors are divided until none is left: blocks of one string leave groups of one segment
     spans, small, division = copies.unionByName(equal), None, 0
     while True:
         some = pieces.join(several.where(F.col("n") <= MOST).select("key"), "key", "left_semi")
@@ -445,7 +432,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             break
         division += 1
         rows = pieces.join(large, "key", "left_semi")
-        rows = rows.mapInArrow(_divided(division), "key long, segment long, doc_id long, at long, body binary")
+        rows = rows.mapInArrow(_divided(BLOCKS[division - 1]), "key long, segment long, doc_id long, at long, body binary")
         rows = scratch.save(rows, f"divided_{division}")
         firsts = rows.groupBy("key", "segment").agg(_first(), F.count("*").alias("times"), F.first("body").alias("body"))
         firsts = scratch.save(firsts, f"firsts_{division}")

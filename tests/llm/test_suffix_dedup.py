@@ -49,10 +49,10 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize(("most", "by_pieces"), [(sd.MOST, sd.BY_PIECES), (3, sd.BY_PIECES), (1, 1)])
-def test_bytes_are_those_of_all_strings(spark, monkeypatch, most, by_pieces):
+@pytest.mark.parametrize(("most", "blocks"), [(sd.MOST, sd.BLOCKS), (3, sd.BLOCKS), (1, (31, 7, 1))])
+def test_bytes_are_those_of_all_strings(spark, monkeypatch, most, blocks):
     monkeypatch.setattr(sd, "MOST", most)
-    monkeypatch.setattr(sd, "BY_PIECES", by_pieces)
+    monkeypatch.setattr(sd, "BLOCKS", blocks)
     rows = corpus()
     # `mark` orders texts of one doc_id; here they differ in doc_id or are equal
     rows = [r for r in rows if r[0] != 41] + [(42_000, rows[-1][1])]
@@ -66,19 +66,20 @@ def test_bytes_are_those_of_all_strings(spark, monkeypatch, most, by_pieces):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in found)
 
 
-def test_divisions_end_with_the_whole_string():
-    """By then a group has equal strings only, so no bound on arrays can be missed."""
-    last = sd.BY_PIECES + -(-sd.SPAN // sd.END_BYTES)
+@pytest.mark.parametrize("block", [1, 4, 16, 31])
+def test_a_block_is_divided_by_what_its_strings_share(block):
+    """By blocks of one string, a group has equal strings only, so divisions end."""
     pick = random.Random(1)
     body = bytes(pick.choice(b"ab") for _ in range(160))
-    same = [body, body[:150] + b"c" + body[151:], body]
-    table = sd.pa.table(
-        {"key": [7] * 3, "doc_id": [1, 2, 3], "at": [sd._packed(0, 0, 61, 60)] * 3, "body": same}
-    )
-    found = sd._dividers(sd.Pieces(table), last).reshape(3, 61)
+    bodies = [body, body[:150] + b"c" + body[151:], body]
+    at = [sd._packed(0, 0, 61, 60)] * 3
+    table = sd.pa.table({"key": [7] * 3, "doc_id": [1, 2, 3], "at": at, "body": bodies})
+    found = sd._dividers(sd.Pieces(table), block).reshape(3, 61)
     assert (found[0] == found[2]).all()
-    assert [bool(x) for x in found[0] == found[1]] == [n + 100 <= 150 for n in range(61)]
-    assert len(set(found[0].tolist())) == len({body[n : n + 100] for n in range(61)})
+    # byte 150 is in the strings from 51 on; a block has it in common if its first string does
+    first = [max(n // block * block, 0) for n in range(61)]
+    assert [bool(x) for x in found[0] == found[1]] == [n + 100 <= 150 for n in first]
+    assert len(set(found[0].tolist())) == -(-61 // block)
 
 
 def test_empty_table(spark):
