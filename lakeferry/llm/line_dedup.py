@@ -26,6 +26,7 @@ empty table gives an empty result. Extra columns pass through `lines_removed`.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ from lakeferry.llm.words import mix, parts, powers
 THRESHOLD = 2
 #: the least lengths of lines that may be edited, and of lines that must be equal
 MIN_CHARS, EQUAL_CHARS = 30, 8
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 #: at most so many candidates (24 bytes each) are sent to all tasks; more are joined by a shuffle
 BROADCAST_ROWS = 100_000
 #: characters that a batch of pairs under verification may hold
@@ -67,8 +68,15 @@ class Lines:
         self.begin = np.cumsum(self.size + 1) - (self.size + 1) - before[self.text]
         self.number = np.arange(len(self.size)) - (np.cumsum(counts) - counts)[self.text]
 
+    def marks(self, chosen: np.ndarray) -> np.ndarray:
+        """Two numbers for each of the chosen lines, which are equal for equal lines only."""
+        of, number = self.text[chosen].tolist(), self.number[chosen].tolist()
+        lines = (self.pieces[t][n].encode("utf-8", "surrogatepass") for t, n in zip(of, number, strict=True))
+        raw = b"".join(hashlib.md5(line, usedforsecurity=False).digest() for line in lines)
+        return np.frombuffer(raw, np.int64).reshape(-1, 2).T
+
     def hashes(self) -> np.ndarray:
-        """Prefix sums, as those of `words.prefix_hashes`."""
+        """Prefix sums, as those of `words.prefix_hashes`: for keys of segments, whose pairs are verified."""
         up, _ = powers(len(self.codes) + 1)
         values = mix(self.codes.astype(np.uint64) * _CODE + np.uint64(1)) | np.uint64(1)
         sums = np.zeros(len(self.codes) + 1, np.uint64)
@@ -126,8 +134,7 @@ def _indexed(threshold: int, min_chars: int, equal_chars: int):
                 long_ = np.flatnonzero(lines.size >= min(min_chars, equal_chars))
                 begin, size = lines.begin[long_], lines.size[long_]
                 sums = lines.hashes()
-                _, down = powers(len(sums))
-                whole = (sums[begin + size] - sums[begin]) * down[begin]
+                low, high = lines.marks(long_)
                 near = size >= min_chars
                 own = keys(begin[near], size[near], sums, threshold)
                 offsets = np.concatenate(([0], np.cumsum(np.where(near, own.shape[1], 0))))
@@ -137,8 +144,8 @@ def _indexed(threshold: int, min_chars: int, equal_chars: int):
                         part.column("doc_id").take(take),
                         part.column("mark").take(take),
                         pa.array(lines.number[long_], pa.int32()),
-                        pa.array(mix(whole).view(np.int64)),
-                        pa.array(mix(whole + size.astype(np.uint64) * _CODE).view(np.int64)),
+                        pa.array(low),
+                        pa.array(high),
                         pa.ListArray.from_arrays(
                             pa.array(offsets, pa.int32()),
                             pa.array(own.reshape(-1).view(np.int64)),

@@ -33,6 +33,7 @@ table gives an empty result. Other columns, whatever their names, pass through
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 
 from lakeferry.llm.linking import link
 from lakeferry.llm.scratch import Scratch, free_name
-from lakeferry.llm.words import Words, as_bytes, mix, parts, powers, prefix_hashes
+from lakeferry.llm.words import Words, mix, parts, powers
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -51,7 +52,7 @@ BINS = 512
 #: the share of bins in which similar documents may differ: four deviations above the
 #: mean at 0.8; and how many more, for documents that fill few bins
 DIFFERENT, MORE = 0.256, 3
-PART_BYTES, ROW_BYTES = 4 << 20, 4 << 10
+PART_BYTES, ROW_BYTES = 1 << 20, 4 << 10
 
 _ARRIVAL = 0xA0761D6478BD642F
 _PLACE = np.uint64(0xE7037ED1A0B428DB)
@@ -127,11 +128,10 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low, high = (mix(_sums(mix(hashes ^ np.uint64(k)), bounds)) for k in (1, 2))
             blank = size == 0
             if blank.any():
-                data, starts = as_bytes(part.column("text"))
-                sums, down = prefix_hashes(data), powers(len(data) + 1)[1]
-                raw = (sums[starts[1:]] - sums[starts[:-1]]) * down[starts[:-1]]
-                low = np.where(blank, mix(raw ^ np.uint64(3)), low)
-                high = np.where(blank, mix(raw + np.uint64(4)) ^ np.diff(starts).astype(np.uint64), high)
+                rows = np.flatnonzero(blank)
+                texts = part.column("text").take(pa.array(rows)).to_pylist()
+                raw = b"".join(hashlib.md5(t.encode(), usedforsecurity=False).digest() for t in texts)
+                low[rows], high[rows] = np.frombuffer(raw, np.uint64).reshape(-1, 2).T
             first = sketch(hashes, 1 + np.log(counts), owner, n, BANDS * ROWS)
             up, _ = powers(ROWS + 1)
             # where nothing is repeated, the sketch by unit weights is the same

@@ -42,9 +42,9 @@ from lakeferry.llm.words import Words, as_bytes, parts
 SAMPLE = 8192
 ACCEPT = 0.3
 FOLDS = 5
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 
-_KIND = np.full(256, 7, np.int64)  # beyond ASCII
+_KIND = np.full(256, 7, np.int32)  # beyond ASCII
 _KIND[:128] = 6  # symbols and controls
 _KIND[0x61:0x7B], _KIND[0x41:0x5B], _KIND[0x30:0x3A] = 0, 1, 2
 _KIND[[0x20, 0x09]], _KIND[[0x0A, 0x0D]] = 3, 4
@@ -64,12 +64,14 @@ def features(column: pa.Array) -> np.ndarray:
     """A row of numbers for each text."""
     data, starts = as_bytes(column)
     n, sizes = len(column), np.diff(starts)
-    owner = np.repeat(np.arange(n), sizes)
     some = np.maximum(sizes, 1)[:, None]
+    # a part has few enough texts and bytes for 32-bit numbers, but for a text that is longer than all
+    owner = np.repeat(np.arange(n, dtype=np.int32 if n < 1 << 22 else np.int64), sizes)
     bytes_ = np.bincount(owner * 256 + data, minlength=n * 256).reshape(n, 256)
     kind = _KIND[data]
     inside = owner[1:] == owner[:-1]
     pairs = (owner[1:] * 64 + kind[:-1] * 8 + kind[1:])[inside]
+    del owner, kind, inside
     pairs = np.bincount(pairs, minlength=n * 64).reshape(n, 64)
     words = Words(column)
     counts = np.diff(words.bounds)
@@ -122,6 +124,29 @@ def _descend(gradient, size: int, steps: int, rate: float) -> np.ndarray:
     return x
 
 
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def negative_risk(x: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> float:
+    """R-(unlabelled) - prior * R-(positives), what unlabelled text alone would risk as bad; logistic loss."""
+    return float(np.logaddexp(0, u @ x).mean() - prior * np.logaddexp(0, p @ x).mean())
+
+
+def risk(x: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> float:
+    """The non-negative risk of weights x (the last one for the bias) over positives and unlabelled rows."""
+    return float(prior * np.logaddexp(0, -(p @ x)).mean()) + max(0.0, negative_risk(x, p, u, prior))
+
+
+def risk_step(x: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float, decay: float) -> np.ndarray:
+    """What to go against: the risk's gradient, or back up that of its second term once that is negative."""
+    at_p, at_u = _sigmoid(p @ x), _sigmoid(u @ x)
+    negative = at_u @ u / len(u) - prior * (at_p @ p) / len(p)
+    if negative_risk(x, p, u, prior) < 0:
+        return -negative
+    return prior * ((at_p - 1) @ p) / len(p) + negative + decay * x
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 400, decay: float = 1e-3) -> Model:
     """The model of least non-negative risk."""
     if not len(positive) or not len(unlabelled):
@@ -131,31 +156,21 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 400, decay: f
     ones = np.ones((len(both), 1))
     both = np.hstack([(both - mean) / scale, ones])
     p, u = both[: len(positive)], both[len(positive) :]
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     def seen(fold: int) -> float:
         """How sure a classifier, positives against unlabelled, is of positives it hasn't seen."""
         p1, u1 = p[fold::2], u[fold::2]
 
         def apart(x):
-            total = (sigmoid(p1 @ x) - 1) @ p1 + sigmoid(u1 @ x) @ u1
+            total = (_sigmoid(p1 @ x) - 1) @ p1 + _sigmoid(u1 @ x) @ u1
             return total / (len(p1) + len(u1)) + 20 * decay * np.append(x[:-1], 0)
 
         x = _descend(apart, p.shape[1], steps // 2, 0.05)
-        return sigmoid(p[1 - fold :: 2] @ x).mean()
+        return _sigmoid(p[1 - fold :: 2] @ x).mean()
 
     sure = (seen(0) + seen(1)) / 2 if min(len(p), len(u)) > 1 else 0.5
     prior = float(np.clip(len(p) / len(u) * (1 - sure) / sure, 0.05, 0.95))
-
-    def risk(x):
-        at_p, at_u = sigmoid(p @ x), sigmoid(u @ x)
-        loss = np.logaddexp(0, u @ x).mean() - prior * np.logaddexp(0, p @ x).mean()
-        negative = at_u @ u / len(u) - prior * (at_p @ p) / len(p)
-        if loss < 0:
-            return -negative
-        return prior * ((at_p - 1) @ p) / len(p) + negative + decay * x
-
-    x = _descend(risk, p.shape[1], steps, 0.05)
+    x = _descend(lambda x: risk_step(x, p, u, prior, decay), p.shape[1], steps, 0.05)
     return Model(mean, scale, x[:-1], float(x[-1]), prior)
 
 

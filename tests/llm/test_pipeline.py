@@ -7,7 +7,7 @@ import pytest
 import corpus_pipeline as cp
 from lakeferry.llm import decontaminate, line_dedup, mixing
 from tests.llm.test_decontaminate import brute as contaminated
-from tests.llm.test_line_dedup import distance
+from tests.llm.test_line_dedup import removed_lines
 from tests.llm.test_prob_minhash import classes
 
 SF = "/root/testdata/sf0.001"
@@ -49,19 +49,11 @@ def test_quality_keeps_the_good(spark, stages):
 
 def test_lines(stages):
     before, after = texts(stages[1]), texts(stages[2])
-    first = {}
-    for doc in sorted(before):
-        lines = before[doc].split("\n")
-        kept = []
-        for line in lines:
-            if len(line) >= line_dedup.MIN_CHARS:
-                near = next((x for x in first if abs(len(x) - len(line)) <= 1 and (x == line or distance(x, line) <= 1)), None)
-                if near is not None:
-                    continue
-                first[line] = doc
-            kept.append(line)
-        whole = len(kept) == len(lines) or any(len(x) >= line_dedup.MIN_CHARS for x in kept)
-        assert after.get(doc) == ("\n".join(kept) if whole else None)
+    kept = removed_lines(list(before.items()), line_dedup.THRESHOLD, line_dedup.MIN_CHARS, line_dedup.EQUAL_CHARS)
+    for doc, text in before.items():
+        left = kept.get((doc, text), text)
+        # dropped only if lines went and nothing but blank ones is left
+        assert after.get(doc) == (left if left == text or left.strip() else None)
     assert {r.doc_id: r.n_chars for r in stages[2].collect()} == {
         r.doc_id: len(r.text) for r in stages[2].collect()
     }
@@ -112,3 +104,26 @@ def test_short_unique_lines_stay(spark):
     kept = cp.without_repeated_lines(spark, docs, SF).collect()
     wanted = [rows[0], (2, "roses red\nviolets blue")]
     assert sorted(map(tuple, kept)) == [(d, t, len(t)) for d, t in wanted]
+
+
+def test_odd_rows_through_all_stages(spark, tmp_path):
+    long_ = "long words and more of them, " * 20_000
+    rows = [
+        (None, None, None, None, None), (1, None, "en", "s", 0), (2, "", None, "s", 0), (3, " \n\n\t", "en", None, 4),
+        (4, long_, "en", "s", len(long_)), (5, "x" * 100_000, "en", None, 1), (6, "日本語 é\u0000 \U0001f600 " * 50, "ja", "t", 1),
+        (7, "a plain text of some words", "en", "t", 1), (7, "a plain text of some words", "en", "t", 1),
+        (7, "the same number and other words", "en", "t", 1), (None, "a text without a number", "en", "t", 1),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema).selectExpr("*", "1 AS score", "2 AS mark", "3 AS removed")
+    spark.createDataFrame([(7, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "some words"), (None, None)], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+    for n, (_, stage) in enumerate(cp.STAGES):
+        out = stage(spark, docs, str(tmp_path))
+        if n < 4:
+            assert out.columns == docs.columns
+        out.write.parquet(f"{tmp_path}/stage{n}")
+        docs = spark.read.parquet(f"{tmp_path}/stage{n}")
+    assert docs.where("taken <= 0").count() == 0
