@@ -1,15 +1,19 @@
 """Classes of linked rows: candidates from buckets, links verified, components.
 
 A bucket is a key that several ids share. Its pairs are all candidates, but they
-are not all written out: the work is done in two steps, each of which leaves the
+are not all written out: the work is done in three steps, which together leave the
 components what all pairs would give.
 
 1. Every id of a bucket is compared with the bucket's smallest and largest id.
    That is two pairs a row, however large the bucket.
 2. Components of the links so far. Two ids of one bucket that are in one
-   component already need no comparison. Those in different components meet
-   in a join whose condition leaves out what cannot be linked, and the rest is
-   verified; a bucket with one component has none of them.
+   component already need no comparison, and a bucket of one component none at all.
+   Of a bucket of several, the smallest id of each component is compared with that of the
+   component that has most ids there: again at most a pair a row.
+3. In buckets that still have several components, each id outside the one with most ids
+   meets those of other components, in a join whose condition leaves out
+   what cannot be linked; the rest is verified. A few ids beside a large component
+   cost their number times the bucket, not its square.
 
 Sums by key are written before they are joined, so that joins on hot keys stand
 alone in their stage and adaptive execution can split them; groups are reduced
@@ -47,14 +51,16 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
     while state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # sums are written before they are joined, so that the join can split a hot vertex
+        least = scratch.save(least, f"{tag}_{turn}m")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         turn += 1
         large = scratch.save(large.distinct(), f"{tag}_{turn}l")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")), f"{tag}_{turn}n")
         moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         now = scratch.save(small, f"{tag}_{turn}")
-        scratch.drop(name, f"{tag}_{turn}l")
+        scratch.drop(name, f"{tag}_{turn}l", f"{tag}_{turn - 1}m", f"{tag}_{turn}n")
         name = f"{tag}_{turn}"
         before, state = state, _state(now)
         if state == before:
@@ -90,22 +96,58 @@ def link(
     links = scratch.save(verify(stars), "links")
     found = components(links, scratch, "first")
 
-    rows = shared.select("key", "id").join(found, "id", "left")
-    rows = scratch.save(rows.withColumn("component", F.coalesce("component", "id")), "rows")
-    mixed = rows.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"))
-    mixed = scratch.save(mixed.where("c < d").select("key"), "mixed_keys")
-    rows = rows.join(mixed, "key")
-    rows = scratch.save(rows.join(detail, "id"), "mixed")
+    # the smallest id of each component of a bucket, against that of its largest
+    rows, heads = _mixed(shared, found, scratch, "first")
+    if heads is None:
+        return found
+    star = heads.where("NOT large").join(heads.where("large").select("key", F.col("head").alias("end")), "key")
+    star = star.select(F.least("head", "end").alias("a"), F.greatest("head", "end").alias("b")).distinct()
+    star = scratch.save(star.join(stars, ["a", "b"], "left_anti"), "heads")
+    more = scratch.save(verify(star), "head_links")
+    if not more.isEmpty():
+        links, stars = links.unionByName(more), stars.unionByName(star)
+        found = components(links, scratch, "second")
+        rows, heads = _mixed(shared, found, scratch, "second")
+        if heads is None:
+            return found
+
+    large = heads.where("large").select("key", F.col("component").alias("most"))
+    rows = rows.join(scratch.save(large, "large"), "key").withColumn("few", F.col("component") != F.col("most"))
+    rows = scratch.save(rows.drop("most").join(detail, "id"), "mixed")
     a, b = (
         rows.select(*[F.col(c).alias(c if c == "key" else f"{side}_{c}") for c in rows.columns])
         for side in "ab"
     )
-    apart = (F.col("a_id") < F.col("b_id")) & (F.col("a_component") != F.col("b_component"))
-    # a pair of several keys counts under the smallest of them
+    apart = F.col("a_component") != F.col("b_component")
+    either = ~F.col("b_few") | (F.col("a_id") < F.col("b_id"))
+    # a pair of several keys counts under the smallest of them; whether its ids are few there doesn't matter
     once = F.array_min(F.array_intersect("a_keys", "b_keys")) == F.col("key")
-    pairs = a.join(b, "key").where(apart & close("a_", "b_") & once)
-    pairs = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    pairs = a.where("a_few").join(b, "key").where(apart & either & close("a_", "b_") & once)
+    pairs = pairs.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"))
     more = scratch.save(verify(pairs.join(stars, ["a", "b"], "left_anti")), "more")
     if more.isEmpty():
         return found
     return components(links.unionByName(more), scratch, "last")
+
+
+def _mixed(
+    shared: DataFrame, found: DataFrame, scratch: Scratch, tag: str
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """The rows (key, id, component) of buckets of several components, and what these have in common.
+
+    The latter has a row for each component of a bucket: its smallest id there (head), and
+    whether it is the one with most ids there (large). Both are None without such buckets.
+    """
+    rows = shared.select("key", "id").join(found, "id", "left")
+    rows = scratch.save(rows.withColumn("component", F.coalesce("component", "id")), f"{tag}_rows")
+    sizes = rows.groupBy("key", "component").agg(F.count("*").alias("n"), F.min("id").alias("head"))
+    sizes = scratch.save(sizes, f"{tag}_sizes")
+    most = F.max(F.struct("n", "component"))
+    keys = sizes.groupBy("key").agg(F.count("*").alias("several"), most["component"].alias("most"))
+    keys = scratch.save(keys.where("several > 1").select("key", "most"), f"{tag}_keys")
+    if keys.isEmpty():
+        return None, None
+    heads = sizes.join(keys, "key").select(
+        "key", "component", "head", (F.col("component") == F.col("most")).alias("large")
+    )
+    return rows.join(keys.select("key"), "key"), scratch.save(heads, f"{tag}_heads")
