@@ -10,10 +10,13 @@ vector, rounded).
 
 Listed pairs of about 0.9 and more are verified in double precision; what is
 linked (cosine of 0.9 or more) forms components. A list of `K` is too short for
-a vector with more links: it may hold none but those of its own component. All
-vectors with such saturated lists search again, for the nearest in components
+a vector with more links: it may hold none but those of its own component.
+Vectors with such saturated lists search again, for the nearest in components
 other than their own (as floats, so that the nearest comes first), until no two
-components are linked any more. Each component is then compared with itself in
+components are linked any more. Before that, components that can have no such
+link are left out by their geometry: two vectors are linked only if the centres of their
+components are no farther apart than both radii and the angle of a link, and
+centres find those near them by NN-descent as well. Each component is then compared with itself in
 blocks of `BLOCK` vectors, in double precision. That gives the links of every
 vector without writing out pairs.
 
@@ -233,22 +236,23 @@ def neighbour_lists(
     tag: str,
     k: int = K,
     within: DataFrame | None = None,
+    kind: type = np.int8,
 ) -> DataFrame:
-    """(u, v, sim) of the lists of k after descent. `units` has id and coarse.
+    """(u, v, sim) of the lists of k after descent. `units` has id, coarse (of a kind) and component.
 
-    With `within`, lists (u, v) inside components, they are lists of vectors in
-    components other than u's; `units` then has component, and coarse as floats.
-    The descent goes along the lists inside components as well.
+    Lists hold vectors of components other than u's. With `within`, lists (u, v)
+    inside components, the descent goes along these as well.
     """
-    kind = np.int8 if within is None else np.float32
-    if within is None:
-        units = units.select("id", "coarse", F.col("id").alias("component"))
     n = units.count()
     bits = max(1, int(np.ceil(np.log2(max(n, 2) / CELL))))
+    if n <= CELL:
+        trees, bits = 1, 0  # one cell, in which all are compared with all
     cells = _cells(units, trees, bits, width, seed, scratch, tag, kind)
     near = cells.repartition("tree", "code", "part").sortWithinPartitions("tree", "code", "part")
     pairs = near.mapInArrow(_nearest_in_cell(k, kind), "u long, v long, sim float")
     lists = scratch.save(_lists(pairs.withColumn("new", F.lit(True)), k), f"{tag}_0")
+    if n <= CELL:
+        return lists.select("u", "v", "sim")
     for turn in range(1, ROUNDS + 1):
         last = lists.groupBy("u").agg(F.when(F.count("*") >= k, F.min("sim")).alias("last"))
         known = units.select("id", "coarse", "component").join(last.withColumnRenamed("u", "id"), "id", "left")
@@ -335,6 +339,81 @@ def _floats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of the vectors of each component in a batch, as doubles (as bytes)."""
+    for batch in batches:
+        if batch.num_rows:
+            named, place = np.unique(batch.column("component").to_numpy(), return_inverse=True)
+            rows = _matrix(batch.column("coarse"), np.float32).astype(np.float64)
+            total = np.zeros((len(named), rows.shape[1]))
+            np.add.at(total, place, rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(named), pa.array([x.tobytes() for x in total], pa.binary())],
+                names=["component", "total"],
+            )
+
+
+def _centred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The direction of the sums of each component, sorted by it, as floats."""
+    for group in groups(batches, ("component",)):
+        if group.num_rows:
+            total = _matrix(group.column("total"), np.float64).sum(0)
+            size = np.linalg.norm(total)
+            centre = (total / size if size else total).astype(np.float32)
+            yield pa.RecordBatch.from_arrays(
+                [group.column("component").slice(0, 1), pa.array([centre.tobytes()], pa.binary())],
+                names=["component", "centre"],
+            )
+
+
+def _angles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The widest angle between centre and vectors of each component in a batch."""
+    for batch in batches:
+        if batch.num_rows:
+            x, y = (_matrix(batch.column(c), np.float32) for c in ("coarse", "centre"))
+            angle = np.arccos(np.clip((x * y).sum(1, dtype=np.float64), -1, 1))
+            named, place = np.unique(batch.column("component").to_numpy(), return_inverse=True)
+            widest = np.zeros(len(named))
+            np.maximum.at(widest, place, angle)
+            yield pa.RecordBatch.from_arrays([pa.array(named), pa.array(widest)], names=["component", "angle"])
+
+
+#: what an angle of floats may be off
+ANGLE_SLACK = 0.01
+
+
+def near_components(
+    some: DataFrame, width: int, trees: int, seed: int, threshold: float, scratch: Scratch, tag: str
+) -> DataFrame:
+    """The components of some vectors (id, coarse as floats, component) that may be linked with others."""
+    sums = some.select("component", "coarse").mapInArrow(_sums, "component long, total binary")
+    sums = sums.repartition("component").sortWithinPartitions("component")
+    centres = sums.mapInArrow(_centred, "component long, centre binary")
+    centres = scratch.save(centres, f"{tag}_centres")
+    angles = some.select("component", "coarse").join(centres, "component")
+    angles = angles.mapInArrow(_angles, "component long, angle double")
+    radii = angles.groupBy("component").agg(F.max("angle").alias("radius"))
+    radii = scratch.save(radii, f"{tag}_radii")
+    widest = radii.agg(F.max("radius")).first()[0]
+    units = centres.select(
+        F.col("component").alias("id"), F.col("centre").alias("coarse"), F.col("component")
+    )
+    lists = neighbour_lists(units, width, trees, seed, scratch, f"{tag}_near_", K, kind=np.float32)
+    link = float(np.arccos(threshold)) + ANGLE_SLACK
+    mine = radii.select(F.col("component").alias("u"), F.col("radius").alias("mine"))
+    theirs = radii.select(F.col("component").alias("v"), F.col("radius").alias("theirs"))
+    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("sim").cast("double"))))
+    seen = lists.join(mine, "u").join(theirs, "v").withColumn("angle", angle)
+    # beyond a full list there may be wider components
+    seen = seen.groupBy("u").agg(
+        F.max(F.col("angle") <= F.col("mine") + F.col("theirs") + link).alias("listed"),
+        (F.count("*") >= K).alias("full"),
+        F.max(F.col("angle") - F.col("mine")).alias("last"),
+    )
+    seen = seen.where(F.col("listed") | (F.col("full") & (F.col("last") <= widest + link)))
+    return scratch.save(seen.select(F.col("u").alias("component")), f"{tag}_possible")
+
+
 def _joined_components(
     units: DataFrame,
     lists: DataFrame,
@@ -356,15 +435,20 @@ def _joined_components(
     turn, within = 0, None
     while True:
         some = full.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        if some.select("component").distinct().limit(2).count() < 2:
-            return found
         some = some.mapInArrow(_floats, "id long, coarse binary, component long")
         some = scratch.save(some, f"{tag}_some{turn}")
+        if some.select("component").distinct().limit(2).count() < 2:
+            return found
+        near = near_components(some, width, trees, seed + turn, threshold, scratch, f"{tag}_turn{turn}")
+        if near.isEmpty():
+            return found
+        some = scratch.save(some.join(near, "component").select("id", "coarse", "component"), f"{tag}_near{turn}")
         if within is None:
             within = lists.join(full.select(F.col("id").alias("u")), "u").select("u", "v")
             within = scratch.save(within.distinct(), f"{tag}_within")
+        inside = within.join(some.select(F.col("id").alias("u")), "u").join(some.select(F.col("id").alias("v")), "v")
         across = neighbour_lists(
-            some, width, trees, seed + turn, scratch, f"{tag}_across{turn}_", k, within
+            some, width, trees, seed + turn, scratch, f"{tag}_across{turn}_", k, inside, np.float32
         )
         more = scratch.save(_verified_links(units, across, threshold), f"{tag}_more{turn}")
         if more.isEmpty():
@@ -473,7 +557,8 @@ def linked_vectors(
 
     lists, trees, k = None, TREES, K
     for attempt in range(ATTEMPTS):
-        more = neighbour_lists(units, width, trees, attempt, scratch, f"lists{attempt}", k)
+        alone = units.select("id", "coarse", F.col("id").alias("component"))
+        more = neighbour_lists(alone, width, trees, attempt, scratch, f"lists{attempt}", k)
         lists = more if lists is None else lists.unionByName(more).distinct()
         joined = _joined_components(
             units, lists, width, trees, 100 * (attempt + 1), threshold, scratch, f"links{attempt}", k

@@ -4,6 +4,9 @@ import numpy as np
 import pytest
 
 from lakeferry.llm import nn_descent as nd
+from lakeferry.llm.scratch import Scratch
+
+plain = nd.neighbour_lists
 
 
 def brute(rows):
@@ -88,6 +91,25 @@ def test_links_that_leave_full_lists(spark):
     assert {(r.n_links, r.component_id) for r in found} == {(199, 0)}
 
 
+def test_far_components_are_not_searched(spark, monkeypatch):
+    searched = []
+    monkeypatch.setattr(nd, "neighbour_lists", lambda *a, **b: searched.append(a[5]) or plain(*a, **b))
+    data = near_groups(60, [[1, 0, 0], [0, 1, 0], [0, 0, 1]])
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    found = nd.linked_vectors(frame).collect()
+    assert {(r.n_links, r.component_id) for r in found} == {(59, 0), (59, 60), (59, 120)}
+    assert not [name for name in searched if "across" in name] and any("near" in name for name in searched)
+
+
+def test_components_that_may_be_linked(spark, tmp_path):
+    rows = near_groups(20, [[1, 0, 0, 0], [0.8, 0.6, 0, 0], [0, 0, 1, 0], [0, 0, 0, 1]])
+    unit = lambda v: bytearray((np.array(v) / np.linalg.norm(v)).astype(np.float32).tobytes())
+    frame = spark.createDataFrame([(i, unit(v), i // 20) for i, v in rows], "id long, coarse binary, component long")
+    # 37 degrees apart, radii of some 6 degrees, links of 26 degrees
+    near = nd.near_components(frame.repartition(3), 64, 4, 0, 0.9, Scratch(spark), "t").collect()
+    assert {r.component for r in near} == {0, 1}
+
+
 def audited(spark, lost):
     """Recall where one large group is complete and 100 pairs are not, `lost` of them."""
     data = near_groups(600, [[1.0, 0.0]], width=128)
