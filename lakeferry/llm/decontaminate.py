@@ -38,7 +38,7 @@ from lakeferry.llm.words import Words, parts
 WINDOW = 13
 BLOCK_BYTES = 32 << 20
 #: bytes of text in a shard (a longer document is a shard of its own)
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 
 class Benchmark:
@@ -149,37 +149,52 @@ class Shard:
         self.words[self.place] = benchmark.number(self.found.hash)
         self.array = suffix_array(self.words, benchmark.depth)
 
-    def occurrences(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of every occurrence of every window: place, length, and row of the item."""
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        """The different windows that occur: their runs in the suffix array, lengths, and items.
+
+        Runs of one length don't overlap, so all of them together have no more places
+        than there are words, times the lengths that windows have.
+        """
         b = self.benchmark
         some = np.flatnonzero(b.window)
         low = search(self.words, self.array, b.words, b.place[some], b.window[some])
         high = search(self.words, self.array, b.words, b.place[some], b.window[some], after=True)
-        count = high - low
-        which = np.repeat(np.arange(len(some)), count)
-        within = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-        return self.array[low[which] + within], b.window[some][which], b.text[some][which]
+        there = high > low
+        low, high, some = low[there], high[there], some[there]
+        # equal windows have equal runs
+        runs, which = np.unique(np.stack((low, high, b.window[some])), axis=1, return_inverse=True)
+        owners = np.unique(np.stack((which.reshape(-1), b.text[some])), axis=1)
+        edges = np.searchsorted(owners[0], np.arange(1, runs.shape[1]))
+        return runs[0], runs[1], runs[2], np.split(owners[1], edges)
 
     def spans(self) -> tuple[list[list[int]], list[list[str]]]:
         """Of each document the hit runs of words (start, end, ...) and the items found."""
         texts = self.found.texts
         spans: list[list[int]] = [[] for _ in range(texts)]
         items: list[list[str]] = [[] for _ in range(texts)]
-        place, length, item = self.occurrences()
-        if len(place):
-            change = np.zeros(len(self.words) + 1, np.int64)
-            np.add.at(change, place, 1)
-            np.add.at(change, place + length, -1)
-            hit = np.cumsum(change) > 0
-            edge = np.flatnonzero(np.diff(np.concatenate(([False], hit, [False])).astype(np.int8)))
-            offset = self.found.bounds + np.arange(texts + 1)
-            for start, end in edge.reshape(-1, 2).tolist():
-                text = int(np.searchsorted(offset, start, "right")) - 1
-                spans[text] += [start - int(offset[text]), end - int(offset[text])]
-            owner = np.searchsorted(offset, place, "right") - 1
-            for text, row in np.unique(np.stack((owner, item), 1), axis=0).tolist():
-                items[text].append(self.benchmark.items[row])
-        return spans, items
+        low, high, length, owners = self.windows()
+        if not len(low):
+            return spans, items
+        count = high - low
+        which = np.repeat(np.arange(len(low)), count)
+        place = self.array[np.arange(len(which)) + np.repeat(low - (np.cumsum(count) - count), count)]
+        change = np.bincount(place, minlength=len(self.words) + 1)
+        change -= np.bincount(place + length[which], minlength=len(self.words) + 1)
+        hit = np.cumsum(change) > 0
+        edge = np.flatnonzero(np.diff(np.concatenate(([False], hit, [False])).astype(np.int8)))
+        offset = self.found.bounds + np.arange(texts + 1)
+        for start, end in edge.reshape(-1, 2).tolist():
+            text = int(np.searchsorted(offset, start, "right")) - 1
+            spans[text] += [start - int(offset[text]), end - int(offset[text])]
+        # windows of the same items count as one
+        kinds: dict[bytes, int] = {}
+        kind = np.array([kinds.setdefault(x.tobytes(), len(kinds)) for x in owners])
+        rows = [np.frombuffer(x, owners[0].dtype) for x in kinds]
+        names = [{self.benchmark.items[row] for row in x} for x in rows]
+        owner = np.searchsorted(offset, place, "right") - 1
+        for text, one in np.unique(np.stack((owner, kind[which]), 1), axis=0).tolist():
+            items[text] += names[one]
+        return spans, [sorted(set(x)) for x in items]
 
     def longest(self) -> tuple[np.ndarray, np.ndarray]:
         """Of each test suffix, its longest match here in words, and a place of it."""

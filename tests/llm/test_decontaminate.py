@@ -118,3 +118,26 @@ def test_longest_matches(spark):
     for r in found:
         w = words(dict((str(i), t) for i, t in items)[r.item])[r.item_word :][: r.n_words]
         assert any(t[r.doc_word : r.doc_word + r.n_words] == w for t in by_doc[r.doc])
+
+
+@pytest.mark.parametrize("item", [["the"] * 200, ["a", "b"] * 100])
+def test_repeated_words_make_no_product(item):
+    """A window is looked at once, however often it stands in the item, and a place once a length."""
+    import pyarrow as pa
+
+    bench = dc.Benchmark(pa.table({"item": ["1", "2"], "text": [" ".join(item), item[0]]}))
+    page = (item * 100)[:8000]
+    shard = dc.Shard(pa.array([" ".join(page), "other words", " ".join(item[:5])]), bench)
+    low, high, length, owners = shard.windows()
+    assert len(low) == len(set(item)) + 1 and sum(high - low) <= 2 * 8005
+    spans, items = shard.spans()
+    assert spans[0] == [0, 8000] and spans[1] == [] and items == [["1", "2"], [], ["2"]]
+
+
+def test_many_items_of_one_window(spark):
+    docs = [(1, "x " * 4000), (2, "y x"), (3, "y")]
+    items = [(n, "x") for n in range(100)] + [(200, "y x")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = dc.report(frame, bench).select(*COLUMNS).collect()
+    assert sorted(map(tuple, found)) == sorted(brute(docs, items))
