@@ -19,8 +19,8 @@ per bucket of a source.
 
 Defined results: the size of a null text is 0; a document of size 0 takes
 nothing and has no position; null is a source of its own, the last one; rows
-that repeat a doc_id are documents of their own, in the order of their texts'
-hashes; equal rows get equal shares in any order. An empty table gives an empty result.
+that repeat a doc_id, or have none, are documents of their own, as the order is that of a hash of
+doc_id and text; equal rows stand next to each other, in any order. An empty table gives an empty result.
 Columns named like a result are replaced by it.
 """
 
@@ -116,13 +116,14 @@ def planned(
     each time the mix takes words of the document.
     """
     carry = docs.columns if carry is None else list(carry)
-    mark = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
+    # of the text too, so that documents that share a doc_id, or have none, are spread
+    named = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"))
+    mark = F.md5(F.concat(named, F.md5(F.coalesce(F.col(text), F.lit("")))))
     rows = docs.select(
         F.struct(*[c for c in carry if c.lower() not in (*RESULT, "copies")]).alias("row"),
         F.col(source).alias("source"),
         word_count(F.col(text)).alias("size"),
         mark.alias("mark"),
-        F.md5(F.coalesce(F.col(text), F.lit(""))).alias("tie"),
         (F.conv(F.substring(mark, 1, 8), 16, 10).cast("double") / 2**32).alias("rank"),
     )
     # read three times, so words are counted twice only: here, and for the rows themselves
@@ -147,7 +148,7 @@ def planned(
     )
     inside = (
         Window.partitionBy("source", "bucket")
-        .orderBy("mark", "tie")
+        .orderBy("mark")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     rows = placed(rows).withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))

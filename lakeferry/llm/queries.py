@@ -97,8 +97,8 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MIXING_SQL = r"""
     rows_ AS (
-        SELECT doc_id, source, text, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS mark,
-               md5(coalesce(text, '')) AS tie,
+        SELECT doc_id, source, text,
+               md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS mark,
                CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
         FROM documents),
     totals AS (
@@ -125,7 +125,7 @@ MIXING_SQL = r"""
     placed AS (
         SELECT r.*, cycle, source_size, target, CAST(round(target) AS BIGINT) AS whole,
                CAST(coalesce(sum(size) OVER (
-                   PARTITION BY r.source ORDER BY mark, tie
+                   PARTITION BY r.source ORDER BY mark
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
         FROM rows_ r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source),
     taken AS (
@@ -260,47 +260,100 @@ ASK = {
 
 @query(
     r"""
-    WITH asked AS (SELECT DISTINCT conv_id, turn, text FROM conversations WHERE role = 'user'),
+    WITH RECURSIVE asked AS (SELECT DISTINCT conv_id, turn, text FROM conversations WHERE role = 'user'),
     said AS (SELECT DISTINCT conv_id, turn, text FROM conversations WHERE role = 'assistant'),
+    made AS (
+        SELECT conv_id, turn, text,
+               CASE WHEN conv_id % 11 = 5 AND turn = 4 THEN 2 ELSE turn END AS id,
+               CASE WHEN conv_id % 11 = 3 AND turn = 0 THEN 'bad json'
+                    WHEN conv_id % 11 = 4 AND turn = 0 THEN 'unknown tool'
+                    WHEN NOT length(text) BETWEEN 1 AND 400 THEN 'invalid' END AS error,
+               CASE WHEN turn = 0 AND conv_id % 5 IN (1, 2) THEN 2
+                    WHEN turn >= 2 AND NOT (conv_id % 5 = 2 AND turn = 2) THEN turn - 2 END AS after_
+        FROM asked),
     calls AS (
-        SELECT a.conv_id, CAST(a.conv_id || '-' || a.turn AS VARCHAR) AS call_id, a.turn,
-               s.turn AS result_turn, a.turn AS order_turn, 0 AS order_step,
-               CASE WHEN NOT length(a.text) BETWEEN 1 AND 400 THEN 'invalid'
-                    WHEN a.turn >= 2 AND b.turn IS NULL THEN 'missing'
+        SELECT conv_id, turn, id, text, error, after_ AS written,
+               CASE WHEN error IN ('bad json', 'unknown tool') THEN NULL ELSE after_ END AS ref,
+               row_number() OVER (PARTITION BY conv_id, id ORDER BY turn) = 1 AS is_first
+        FROM made),
+    firsts AS (SELECT * FROM calls WHERE is_first),
+    edges AS (
+        SELECT c.conv_id, c.id, c.turn, c.ref, r.turn AS ref_turn
+        FROM firsts c JOIN firsts r ON r.conv_id = c.conv_id AND r.id = c.ref),
+    reached AS (
+        SELECT conv_id, id, ref FROM edges
+        UNION
+        SELECT x.conv_id, x.id, e.ref FROM reached x JOIN edges e ON e.conv_id = x.conv_id AND e.id = x.ref),
+    circles AS (SELECT conv_id, id FROM reached WHERE id = ref),
+    endless AS (
+        SELECT DISTINCT x.conv_id, x.id FROM reached x JOIN circles c ON c.conv_id = x.conv_id AND c.id = x.ref),
+    walks AS (
+        SELECT e.conv_id, e.id, e.ref, e.ref_turn AS t, 1 AS step FROM edges e
+        ANTI JOIN endless x ON x.conv_id = e.conv_id AND x.id = e.id
+        UNION ALL
+        SELECT w.conv_id, w.id, e.ref, e.ref_turn, step + 1
+        FROM walks w JOIN edges e ON e.conv_id = w.conv_id AND e.id = w.ref),
+    places AS (
+        SELECT f.conv_id, f.id, greatest({'t': f.turn, 's': 0}, max({'t': w.t, 's': w.step})) AS place
+        FROM firsts f JOIN walks w ON w.conv_id = f.conv_id AND w.id = f.id
+        GROUP BY f.conv_id, f.id, f.turn),
+    judged AS (
+        SELECT c.conv_id, CAST(c.conv_id || '-' || c.id AS VARCHAR) AS call_id, c.turn,
+               CASE WHEN is_first THEN s.turn END AS result_turn,
+               CASE WHEN is_first AND x.id IS NOT NULL THEN NULL
+                    WHEN is_first THEN coalesce(p.place.t, c.turn) ELSE c.turn END AS order_turn,
+               CASE WHEN is_first AND x.id IS NOT NULL THEN NULL
+                    WHEN is_first THEN coalesce(p.place.s, 0) ELSE 0 END AS order_step,
+               CASE WHEN NOT is_first THEN 'repeated' WHEN error IS NOT NULL THEN error
+                    WHEN c.ref IS NOT NULL AND r.id IS NULL THEN 'missing'
+                    WHEN x.id IS NOT NULL THEN 'cycle'
                     WHEN s.turn IS NULL THEN 'unanswered' ELSE 'ok' END AS status,
-               '{"arguments":{'
-               || CASE WHEN a.turn >= 2 THEN '"after":{"$ref":"' || a.conv_id || '-' || (a.turn - 2) || '"},' ELSE '' END
-               || '"query":' || CAST(to_json(a.text) AS VARCHAR) || ',"turn":' || a.turn || '},"id":"'
-               || a.conv_id || '-' || a.turn || '","name":"ask","result":'
-               || CASE WHEN s.turn IS NULL THEN 'null' ELSE CAST(to_json(s.text) AS VARCHAR) END || '}' AS record
-        FROM asked a
-        LEFT JOIN said s ON s.conv_id = a.conv_id AND s.turn = a.turn + 1
-        LEFT JOIN asked b ON b.conv_id = a.conv_id AND b.turn = a.turn - 2),
+               '{"arguments":' || CASE WHEN error = 'bad json' THEN 'null' ELSE '{'
+               || CASE WHEN written IS NOT NULL THEN '"after":{"$ref":"' || c.conv_id || '-' || written || '"},' ELSE '' END
+               || '"query":' || CAST(to_json(c.text) AS VARCHAR) || ',"turn":' || c.turn || '}' END
+               || ',"id":"' || c.conv_id || '-' || c.id || '","name":'
+               || CASE WHEN error = 'unknown tool' THEN '"guess"' ELSE '"ask"' END || ',"result":'
+               || CASE WHEN s.turn IS NULL OR NOT is_first THEN 'null' ELSE CAST(to_json(s.text) AS VARCHAR) END || '}' AS record
+        FROM calls c
+        LEFT JOIN said s ON s.conv_id = c.conv_id AND s.turn = c.id + 1 AND s.turn > c.turn
+        LEFT JOIN firsts r ON r.conv_id = c.conv_id AND r.id = c.ref
+        LEFT JOIN endless x ON x.conv_id = c.conv_id AND x.id = c.id
+        LEFT JOIN places p ON p.conv_id = c.conv_id AND p.id = c.id),
     orphans AS (
         SELECT s.conv_id, CAST(s.conv_id || '-' || (s.turn - 1) AS VARCHAR), CAST(NULL AS BIGINT), s.turn,
                CAST(NULL AS BIGINT), CAST(NULL AS INTEGER), 'orphan',
                '{"arguments":null,"id":"' || s.conv_id || '-' || (s.turn - 1) || '","name":null,"result":'
                || CAST(to_json(s.text) AS VARCHAR) || '}'
-        FROM said s ANTI JOIN asked a ON s.conv_id = a.conv_id AND s.turn = a.turn + 1)
-    SELECT * FROM calls UNION ALL SELECT * FROM orphans"""
+        FROM said s ANTI JOIN firsts a ON s.conv_id = a.conv_id AND s.turn = a.id + 1)
+    SELECT conv_id, call_id, turn, result_turn, order_turn, CAST(order_step AS INTEGER) AS order_step, status, record
+    FROM judged UNION ALL SELECT * FROM orphans"""
 )
 def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as tool calls: each user's turn a call, each answer the result before it.
 
-    A call refers to the one two turns before.
+    A call refers to the one two turns before. In some conversations the first call
+    refers to the next one, which refers back to it in one half of them; in others
+    the first call is cut off, or of an unknown tool, or the third one repeats an identifier.
     """
     turns = read_table(spark, sf_dir, "conversations")
-    name = lambda back: F.concat("conv_id", F.lit("-"), F.col("turn") - back)
-    after = F.when(F.col("turn") >= 2, F.struct(name(2).alias("$ref")))
-    calls = turns.where("role = 'user'").select(
+    conv, turn = F.col("conv_id"), F.col("turn")
+    name = lambda of: F.concat("conv_id", F.lit("-"), of)
+    asked = turns.where("role = 'user'")
+    after = F.when((turn == 0) & (conv % 5).isin(1, 2), F.lit(2)).when(
+        (turn >= 2) & ~((conv % 5 == 2) & (turn == 2)), turn - 2
+    )
+    after = F.when(after.isNotNull(), F.struct(name(after).alias("$ref")))
+    arguments = F.to_json(F.struct(F.col("text").alias("query"), "turn", after.alias("after")))
+    first = turn == 0
+    calls = asked.select(
         "conv_id",
         "turn",
-        name(0).alias("call_id"),
-        F.lit("ask").alias("name"),
-        F.to_json(F.struct(F.col("text").alias("query"), "turn", after.alias("after"))).alias("arguments"),
+        name(F.when((conv % 11 == 5) & (turn == 4), F.lit(2)).otherwise(turn)).alias("call_id"),
+        F.when((conv % 11 == 4) & first, "guess").otherwise("ask").alias("name"),
+        F.when((conv % 11 == 3) & first, F.lit("{")).otherwise(arguments).alias("arguments"),
     )
     results = turns.where("role = 'assistant'").select(
-        "conv_id", "turn", name(1).alias("call_id"), F.col("text").alias("content")
+        "conv_id", "turn", name(turn - 1).alias("call_id"), F.col("text").alias("content")
     )
     return tool_calls.linked(calls, results, {"ask": ASK})
 

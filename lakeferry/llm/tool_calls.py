@@ -4,9 +4,10 @@ Calls and results are joined by conversation and identifier; a call has the
 first result of its identifier that comes after it. Arguments are JSON. A value
 `{"$ref": id}` in them refers to the result of another call, so calls have an
 order: as they come, except that a call stands behind all calls that it refers
-to. It is worked out by rounds of joins along references, in which each call is
-moved behind those it refers to; only what moved is looked at in the next round,
-and references to earlier calls, the usual case, take none. Arguments are
+to. Where all references of a conversation are to earlier calls, the usual case, that is
+all. In the others it is worked out by rounds of joins, in which each call also keeps a pointer
+along its references that doubles in length: so chains of references, and cycles, take
+rounds by the logarithm of their length (see `_walks` and `_places`). Arguments are
 checked against the schema of their tool, and written with sorted keys and
 without white space.
 
@@ -137,49 +138,122 @@ def _on(left: str, right: str, mine: str = "call_id", other: str = "call_id"):
     return conv & (F.col(f"{left}.{mine}") == F.col(f"{right}.{other}"))
 
 
+def _at(left: str, right: str, names: tuple[str, str]):
+    conv = F.col(f"{left}.conv_id").eqNullSafe(F.col(f"{right}.conv_id"))
+    return conv & (F.col(f"{left}.{names[0]}") == F.col(f"{right}.{names[1]}"))
+
+
+def _tangled(calls: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """The references of conversations in which one is to a call that doesn't come earlier."""
+    turns = calls.select("conv_id", "call_id", F.struct("turn").alias("turn"))
+    seen = edges.alias("e").join(turns.alias("c"), _on("e", "c"))
+    seen = seen.join(turns.alias("r"), _on("e", "r", "ref")).where("r.turn >= c.turn")
+    convs = scratch.save(seen.select("e.conv_id").distinct(), "tangled")
+    same = F.col("e.conv_id").eqNullSafe(F.col("t.conv_id"))
+    return scratch.save(edges.alias("e").join(convs.alias("t"), same, "left_semi"), "references")
+
+
+def _walks(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(conv_id, call_id, length, most) of a longest walk along references from each call that has any.
+
+    In a round, a call takes the longest of the walks that go on from those it
+    refers to, and from the end of its own: so walks double. One of `most` references,
+    more than the conversation has, goes around a cycle, and is not followed any further.
+    """
+    sizes = edges.groupBy("conv_id").agg((F.count("*") + 1).alias("most"))
+    sizes = scratch.save(sizes, "sizes")
+    walks = edges.groupBy("conv_id", "call_id").agg(F.max("ref").alias("end"))
+    same = F.col("w.conv_id").eqNullSafe(F.col("s.conv_id"))
+    walks = walks.alias("w").join(sizes.alias("s"), same)
+    one = F.lit(1).cast("long").alias("length")
+    walks = scratch.save(walks.select("w.conv_id", "w.call_id", one, "w.end", "s.most"), "walks_0")
+    turn = 0
+    while True:
+        on = edges.alias("e").join(walks.alias("w"), _at("e", "w", ("ref", "call_id")))
+        on = on.select("e.conv_id", "e.call_id", (F.col("w.length") + 1).alias("length"), "w.end")
+        twice = walks.alias("v").join(walks.alias("w"), _at("v", "w", ("end", "call_id")))
+        twice = twice.select(
+            "v.conv_id", "v.call_id", (F.col("v.length") + F.col("w.length")).alias("length"), "w.end"
+        )
+        best = on.unionByName(twice).groupBy("conv_id", "call_id")
+        best = best.agg(F.max(F.struct("length", "end")).alias("best"))
+        length = F.when(F.col("best.length").isNotNull(), F.least("best.length", "w.most"))
+        longer = F.coalesce(length > F.col("w.length"), F.lit(False))
+        found = walks.alias("w").join(best.alias("b"), _on("w", "b"), "left")
+        found = found.select(
+            "w.conv_id",
+            "w.call_id",
+            F.when(longer, length).otherwise(F.col("w.length")).alias("length"),
+            F.when(longer, F.col("best.end")).otherwise(F.col("w.end")).alias("end"),
+            "w.most",
+            longer.alias("longer"),
+        )
+        turn += 1
+        found = scratch.save(found, f"walks_{turn}")
+        if found.where("longer").isEmpty():
+            return found.drop("longer", "end")
+        walks = found.drop("longer")
+        scratch.drop(f"walks_{turn - 1}")
+
+
+def _behind(steps):
+    """So many steps behind the place of p."""
+    return F.struct("p.place.turn", (F.col("p.place.step") + steps).alias("step")).alias("place")
+
+
 def _places(calls: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(conv_id, call_id, place) of calls that stand elsewhere than at their turn.
 
     A place is (turn, step): behind a call that stands at the same turn, a step
-    later. No chain of references has more steps than the conversation has
-    references; who gets further is in a cycle or behind one, and its place is null.
+    later; null for calls in cycles or behind one. In a round, a call moves behind all
+    that it refers to, and as far behind the place of the call that its pointer shows as
+    that is away; the pointer then shows what that one's shows. It begins with the
+    reference that the longest walk takes, and begins anew when all have come to their ends.
     """
-    sizes = edges.groupBy("conv_id").agg((F.count("*") + 1).alias("most"))
-    moved, name, turn = None, None, 0
-    front = calls.select("conv_id", "call_id", F.struct("turn", F.lit(0).alias("step")).alias("place"))
-    own = front
-    step = F.least(F.col("r.place.step"), F.col("s.most").cast("int"))
-    capped = F.struct(F.col("r.place.turn").alias("turn"), step.alias("step"))
+    edges = _tangled(calls, edges, scratch)
+    own = calls.select("conv_id", "call_id", F.struct("turn", F.lit(0).alias("step")).alias("place"))
+    if edges.isEmpty():
+        return own.where("1 = 2")
+    walks = _walks(edges, scratch)
+    endless = walks.where("length >= most").select("conv_id", "call_id")
+    steps = edges.alias("e").join(endless.alias("x"), _on("e", "x"), "left_anti")
+    ahead = steps.alias("e").join(walks.alias("w"), _at("e", "w", ("ref", "call_id")), "left")
+    steps = scratch.save(
+        ahead.select("e.conv_id", "e.call_id", "e.ref", F.coalesce("w.length", F.lit(0)).alias("length")), "steps"
+    )
+    first = steps.groupBy("conv_id", "call_id").agg(F.max(F.struct("length", "ref"))["ref"].alias("shown"))
+    first = scratch.save(first.withColumn("away", F.lit(1)), "first_pointers")
+    named = steps.select("conv_id", "call_id").unionByName(steps.select("conv_id", F.col("ref").alias("call_id")))
+    own = scratch.save(own.alias("o").join(named.distinct().alias("s"), _on("o", "s"), "left_semi"), "own_places")
+    places, pointers, turn = own, first, 0
     while True:
-        behind = F.struct(F.col("f.place.turn").alias("turn"), (F.col("f.place.step") + 1).alias("step"))
-        reached = edges.alias("e").join(front.alias("f"), _on("e", "f", "ref"))
-        reached = reached.groupBy("e.conv_id", "e.call_id").agg(F.max(behind).alias("place"))
-        known = own if moved is None else own.alias("o").join(
-            moved.alias("m"), _on("o", "m"), "left"
-        ).select("o.conv_id", "o.call_id", F.coalesce("m.place", "o.place").alias("place"))
-        reached = (
-            reached.alias("r")
-            .join(known.alias("k"), _on("r", "k"))
-            .join(sizes.alias("s"), F.col("r.conv_id").eqNullSafe(F.col("s.conv_id")))
-            .select("r.conv_id", "r.call_id", capped.alias("place"), F.col("k.place").alias("before"))
-            .where("place > before")
-            .drop("before")
+        behind = steps.alias("e").join(places.alias("p"), _at("e", "p", ("ref", "call_id")))
+        behind = behind.select("e.conv_id", "e.call_id", _behind(F.lit(1)))
+        jumped = pointers.alias("q").join(places.alias("p"), _at("q", "p", ("shown", "call_id")))
+        jumped = jumped.select("q.conv_id", "q.call_id", _behind(F.col("q.away")))
+        best = behind.unionByName(jumped).groupBy("conv_id", "call_id").agg(F.max("place").alias("best"))
+        moved = F.coalesce(F.col("best") > F.col("p.place"), F.lit(False))
+        found = places.alias("p").join(best.alias("b"), _on("p", "b"), "left").select(
+            "p.conv_id",
+            "p.call_id",
+            F.when(moved, F.col("best")).otherwise(F.col("p.place")).alias("place"),
+            moved.alias("moved"),
         )
         turn += 1
-        front = scratch.save(reached, f"front_{turn}")
-        if front.isEmpty():
+        found = scratch.save(found, f"places_{turn}")
+        done = found.where("moved").isEmpty()
+        places = found.drop("moved")
+        if done:
             break
-        merged = front if moved is None else moved.unionByName(front)
-        merged = merged.groupBy("conv_id", "call_id").agg(F.max("place").alias("place"))
-        before, name = name, f"moved_{turn}"
-        moved = scratch.save(merged, name)
-        if before:
-            scratch.drop(before)
-    if moved is None:
-        return front
-    moved = moved.alias("m").join(sizes.alias("s"), F.col("m.conv_id").eqNullSafe(F.col("s.conv_id")))
-    place = F.when(F.col("m.place.step") < F.col("s.most"), F.col("m.place"))
-    return moved.select("m.conv_id", "m.call_id", place.alias("place"))
+        on = pointers.alias("q").join(pointers.alias("r"), _at("q", "r", ("shown", "call_id"))).select(
+            "q.conv_id", "q.call_id", "r.shown", (F.col("q.away") + F.col("r.away")).alias("away")
+        )
+        on = scratch.save(on, f"pointers_{turn}")
+        # those that have come to an end have shown all there is
+        pointers = first if on.isEmpty() else on
+    moved = places.alias("p").join(own.alias("o"), _on("p", "o")).where("p.place > o.place").select("p.*")
+    gone = endless.select("*", F.lit(None).cast(own.schema["place"].dataType).alias("place"))
+    return scratch.save(moved.unionByName(gone), "moved")
 
 
 def linked(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakeferry.llm import mixing
 
@@ -85,3 +86,25 @@ def test_empty_and_wordless_tables(spark):
     assert mixing.mixed(spark.createDataFrame([], schema)).count() == 0
     rows = mixing.planned(spark.createDataFrame([(1, "", "a"), (2, None, None)], schema)).collect()
     assert [(r.taken, r.target, r.position) for r in rows] == [(0, 0.0, None)] * 2
+
+
+def test_documents_without_a_number_are_spread(spark):
+    """A third of all rows without doc_id, and a third of one doc_id, fill no bucket more than others."""
+    rows = [(None if n % 3 == 0 else 7 if n % 3 == 1 else n, "s", f"text number {n}") for n in range(30_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    seen = []
+    real = mixing.Scratch.save
+
+    def save(self, frame, name):
+        seen.append(frame)
+        return real(self, frame, name)
+
+    mixing.Scratch.save, before = save, mixing.Scratch.save
+    try:
+        plan = mixing.planned(docs, carry=["doc_id"])
+    finally:
+        mixing.Scratch.save = before
+    buckets = seen[0].groupBy(F.floor(F.col("rank") * 8)).count().collect()
+    assert len(buckets) == 8 and max(r["count"] for r in buckets) < 1.2 * 30_000 / 8
+    found = plan.agg(F.sum("size"), F.sum("taken"), F.max("source_size")).first()
+    assert tuple(found) == (90_000, 135_000, 90_000)

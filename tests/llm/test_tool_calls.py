@@ -91,6 +91,58 @@ def test_calls_stand_behind_what_they_refer_to(spark):
     assert all(place[c, r] < place[c, k] for (c, k), found in refs.items() for r in found)
 
 
+def ordered(refs, turns):
+    """{call: place, or None in or behind a cycle}, one call after another."""
+    place = {}
+    # a call is endless if a walk from it has more steps than there are calls
+    longest = {c: 0 for c in refs}
+    for _ in range(len(refs) + 1):
+        longest = {c: max((1 + longest[r] for r in refs[c]), default=0) for c in refs}
+    endless = {c for c in refs if longest[c] > len(refs)}
+    for c in sorted((c for c in refs if c not in endless), key=longest.get):
+        place[c] = max([(turns[c], 0), *((place[r][0], place[r][1] + 1) for r in refs[c])])
+    return place | dict.fromkeys(endless)
+
+
+def test_cycles_beside_chains_and_forward_references(spark):
+    pick = random.Random(5)
+    calls, wanted = [], {}
+    for conv in range(40):
+        n = pick.choice([2, 5, 12])
+        turns = {k: pick.randrange(6) for k in range(n)}
+        refs = {k: pick.sample(range(n), pick.choice([0, 0, 1, 1, 2]) if n > 2 else 1) for k in range(n)}
+        for k in range(n):
+            arguments = {"a": 1, "b": [{"$ref": str(r)} for r in refs[k]]}
+            calls.append((conv, turns[k], str(k), "add", json.dumps(arguments)))
+        wanted |= {(conv, k): p for k, p in ordered(refs, turns).items()}
+    rows = run(spark, calls, [])
+    got = {(r.conv_id, int(r.call_id)): (r.order_turn, r.order_step) for r in rows}
+    assert got == {k: p or (None, None) for k, p in wanted.items()}
+    assert {r.status == "cycle" for r in rows if wanted[r.conv_id, int(r.call_id)] is None} == {True}
+    assert any(p is None for p in wanted.values()) and any(p and p[1] > 1 for p in wanted.values())
+
+
+def test_rounds_are_few_beside_many_references(spark, monkeypatch):
+    """A cycle beside 10,000 references, a chain of forward ones, and a long chain behind a late call."""
+    saved = []
+    save = tc.Scratch.save
+    monkeypatch.setattr(tc.Scratch, "save", lambda self, frame, name: saved.append(name) or save(self, frame, name))
+    ref = lambda k: json.dumps({"a": 1, "b": [{"$ref": str(k)}]})
+    calls = [(1, k, str(k), "add", ref(max(k - 1, 0)) if k else '{"a": 1}') for k in range(10_000)]
+    calls += [(1, 10_000, "x", "add", ref("y")), (1, 10_001, "y", "add", ref("x"))]
+    calls += [(2, k, str(k), "add", ref(k + 1) if k < 999 else '{"a": 1}') for k in range(1000)]
+    calls += [(3, 5000, "late", "add", '{"a": 1}'), (3, 0, "0", "add", ref("late"))]
+    calls += [(3, k, str(k), "add", ref(k - 1)) for k in range(1, 1000)]
+    frame = spark.createDataFrame([(*c, 0) for c in calls], CALLS)
+    other = spark.createDataFrame([], RESULTS)
+    rows = {(r.conv_id, r.call_id): (r.status, r.order_turn, r.order_step) for r in tc.linked(frame, other, SCHEMAS).collect()}
+    assert rows[1, "x"] == rows[1, "y"] == ("cycle", None, None)
+    assert all(rows[1, str(k)] == ("unanswered", k, 0) for k in range(10_000))
+    assert all(rows[2, str(k)] == ("unanswered", 999, 999 - k) for k in range(1000))
+    assert all(rows[3, str(k)] == ("unanswered", 5000, k + 1) for k in range(1000))
+    assert sum("walks" in name for name in saved) <= 20 and sum("places" in name for name in saved) <= 20
+
+
 def test_empty(spark):
     assert run(spark, [], []) == []
     assert [r.status for r in run(spark, [], [(1, 1, "a", "b")])] == ["orphan"]
