@@ -299,21 +299,21 @@ ASK = {
         GROUP BY f.conv_id, f.id, f.turn),
     judged AS (
         SELECT c.conv_id, CAST(c.conv_id || '-' || c.id AS VARCHAR) AS call_id, c.turn,
-               CASE WHEN is_first THEN s.turn END AS result_turn,
-               CASE WHEN is_first AND x.id IS NOT NULL THEN NULL
-                    WHEN is_first THEN coalesce(p.place.t, c.turn) ELSE c.turn END AS order_turn,
-               CASE WHEN is_first AND x.id IS NOT NULL THEN NULL
-                    WHEN is_first THEN coalesce(p.place.s, 0) ELSE 0 END AS order_step,
-               CASE WHEN NOT is_first THEN 'repeated' WHEN error IS NOT NULL THEN error
+               CASE WHEN c.is_first THEN s.turn END AS result_turn,
+               CASE WHEN c.is_first AND x.id IS NOT NULL THEN NULL
+                    WHEN c.is_first THEN coalesce(p.place.t, c.turn) ELSE c.turn END AS order_turn,
+               CASE WHEN c.is_first AND x.id IS NOT NULL THEN NULL
+                    WHEN c.is_first THEN coalesce(p.place.s, 0) ELSE 0 END AS order_step,
+               CASE WHEN NOT c.is_first THEN 'repeated' WHEN c.error IS NOT NULL THEN c.error
                     WHEN c.ref IS NOT NULL AND r.id IS NULL THEN 'missing'
                     WHEN x.id IS NOT NULL THEN 'cycle'
                     WHEN s.turn IS NULL THEN 'unanswered' ELSE 'ok' END AS status,
-               '{"arguments":' || CASE WHEN error = 'bad json' THEN 'null' ELSE '{'
-               || CASE WHEN written IS NOT NULL THEN '"after":{"$ref":"' || c.conv_id || '-' || written || '"},' ELSE '' END
+               '{"arguments":' || CASE WHEN c.error = 'bad json' THEN 'null' ELSE '{'
+               || CASE WHEN c.written IS NOT NULL THEN '"after":{"$ref":"' || c.conv_id || '-' || c.written || '"},' ELSE '' END
                || '"query":' || CAST(to_json(c.text) AS VARCHAR) || ',"turn":' || c.turn || '}' END
                || ',"id":"' || c.conv_id || '-' || c.id || '","name":'
-               || CASE WHEN error = 'unknown tool' THEN '"guess"' ELSE '"ask"' END || ',"result":'
-               || CASE WHEN s.turn IS NULL OR NOT is_first THEN 'null' ELSE CAST(to_json(s.text) AS VARCHAR) END || '}' AS record
+               || CASE WHEN c.error = 'unknown tool' THEN '"guess"' ELSE '"ask"' END || ',"result":'
+               || CASE WHEN s.turn IS NULL OR NOT c.is_first THEN 'null' ELSE CAST(to_json(s.text) AS VARCHAR) END || '}' AS record
         FROM calls c
         LEFT JOIN said s ON s.conv_id = c.conv_id AND s.turn = c.id + 1 AND s.turn > c.turn
         LEFT JOIN firsts r ON r.conv_id = c.conv_id AND r.id = c.ref
