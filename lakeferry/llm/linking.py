@@ -56,11 +56,11 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         turn += 1
         large = scratch.save(large.distinct(), f"{tag}_{turn}l")
-        least = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")), f"{tag}_{turn}n")
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         now = scratch.save(small, f"{tag}_{turn}")
-        scratch.drop(name, f"{tag}_{turn}l", f"{tag}_{turn - 1}m", f"{tag}_{turn}n")
+        scratch.drop(name, f"{tag}_{turn}l", f"{tag}_{turn - 1}m")
         name = f"{tag}_{turn}"
         before, state = state, _state(now)
         if state == before:
