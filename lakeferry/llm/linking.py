@@ -32,23 +32,25 @@ from lakeferry.llm.scratch import Scratch
 Verify = Callable[[DataFrame], DataFrame]
 
 
-def _state(edges: DataFrame) -> tuple:
-    """What two equal sets of edges have in common."""
-    mark = F.xxhash64("u", "v").cast("decimal(38,0)")
-    return tuple(edges.agg(F.count("*"), F.sum(mark)).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each u has one v, and no v is a u: nothing is left to join then."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    ends = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.agg(F.count_if(F.col("up") + F.col("down") * F.signum("up") > 1)).first()[0] == 0
 
 
 def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
     """(id, component) of every id that is linked to a smaller one of its component.
 
     `edges` has columns a and b; a component goes by its smallest id, which is
-    not listed itself. Large-star and small-star rounds, until nothing changes.
+    not listed itself. Large-star and small-star rounds, until all that is left are
+    stars around their smallest id; edges that are such stars take no round.
     """
     now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     name = f"{tag}_0"
-    now = scratch.save(now.where("u <> v").distinct(), name)
-    state, turn = _state(now), 0
-    while state[0]:
+    now, turn = scratch.save(now.where("u <> v").distinct(), name), 0
+    while not _are_stars(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # sums are written before they are joined, so that the join can split a hot vertex
@@ -62,9 +64,6 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
         now = scratch.save(small, f"{tag}_{turn}")
         scratch.drop(name, f"{tag}_{turn}l", f"{tag}_{turn - 1}m")
         name = f"{tag}_{turn}"
-        before, state = state, _state(now)
-        if state == before:
-            break
     return now.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
@@ -105,8 +104,8 @@ def link(
     star = scratch.save(star.join(stars, ["a", "b"], "left_anti"), "heads")
     more = scratch.save(verify(star), "head_links")
     if not more.isEmpty():
-        links, stars = links.unionByName(more), stars.unionByName(star)
-        found = components(links, scratch, "second")
+        stars = stars.unionByName(star)
+        found = _with(found, more, scratch, "second")
         rows, heads = _mixed(shared, found, scratch, "second")
         if heads is None:
             return found
@@ -127,7 +126,13 @@ def link(
     more = scratch.save(verify(pairs.join(stars, ["a", "b"], "left_anti")), "more")
     if more.isEmpty():
         return found
-    return components(links.unionByName(more), scratch, "last")
+    return _with(found, more, scratch, "last")
+
+
+def _with(found: DataFrame, links: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
+    """The components with further links: they are stars already, so few rounds are left."""
+    stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return components(stars.unionByName(links), scratch, tag)
 
 
 def _mixed(
