@@ -1,15 +1,18 @@
 """Every registered query against its SQL, on whole tables."""
 
+from hashlib import sha256
+from itertools import groupby
 from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from lakeferry import SNAPSHOT_TABLES
 from workload import inputs
 from workload.oracle import ORACLE
-from workload.queries import QUERIES
+from workload.queries import QUERIES, SALT
 
 SF = Path("/root/testdata/sf0.001")
 TYPES = {
@@ -87,3 +90,24 @@ def test_inputs_reach_every_case(spark):
     assert tiers >= {None, 0, 1, 2}
     cards = {row[0] for row in made.select("person_card").collect()}
     assert {None, ""} < cards
+
+
+def test_strict_words_lie_by_word_within_each_task(spark, tmp_path):
+    texts = {n: " ".join(f"word{(n * 7 + k) % 50}" for k in range(50)) for n in range(40)}
+    made = [*texts.items(), (40, ""), (41, None), (None, "word1 word1"), (7, "word2")]
+    frame = spark.createDataFrame(made, "doc_id bigint, text string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["mask_strict"](spark, str(tmp_path))
+    tokens = {}
+    for row in found.withColumn("task", F.spark_partition_id()).collect():
+        tokens.setdefault(row.task, []).append(row.token)
+    for task in tokens.values():
+        assert len(list(groupby(task))) == len(set(task))
+    wanted = [
+        (doc_id, place, word and sha256((SALT + word).encode()).hexdigest())
+        for doc_id, text in made
+        if text is not None
+        for place, word in enumerate(text.split(" "))
+    ]
+    kept = [tuple(row) for row in found.select("doc_id", "place", "token").collect()]
+    assert sorted(kept, key=repr) == sorted(wanted, key=repr)

@@ -213,9 +213,16 @@ def mask_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mask_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The masks of the strict profile, over the same words."""
+    """The masks of the strict profile, over the same words.
+
+    A hash is ten times as long as its word and no codec shortens it, so in the
+    order of the text the result is nearly all hashes. Each task puts equal words
+    side by side, by a number that sorts fast: what writes or sends the rows then
+    meets a hash once. Nothing is shuffled.
+    """
     masks = strict(SALT).masks
-    return mask_name(spark, sf_dir).select(
+    words = mask_name(spark, sf_dir).sortWithinPartitions(F.xxhash64("word"))
+    return words.select(
         "doc_id",
         "place",
         masks["name"](F.col("word")).alias("name"),
