@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -176,6 +177,11 @@ class Compared:
         self.seen: list[Observation] = []
 
     def watch(self, layer: DataFrame) -> DataFrame:
+        """The layer, observed.
+
+        An observation interprets its expressions row by row, so NULLs and hashes
+        are columns of a projection, which is compiled, up to there.
+        """
         nulls = sum((F.col(f"`{c}`").isNull().cast("long") for c in layer.columns), F.lit(0).cast("long"))
         hashed = [
             F.col(f"`{field.name}`")
@@ -183,14 +189,17 @@ class Compared:
             if field.name.lower() in self.same and "map<" not in field.dataType.simpleString()
         ]
         mark = F.xxhash64(*hashed or [F.lit(0)])
+        own = uuid4().hex
+        counted, marked = f"nulls_{own}", f"mark_{own}"
         self.seen.append(Observation())
-        return layer.observe(
+        watched = layer.select("*", nulls.alias(counted), mark.alias(marked)).observe(
             self.seen[-1],
             F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(nulls), F.lit(0)).alias("nulls"),
-            F.coalesce(F.bit_xor(mark), F.lit(0)).alias("parity"),
-            F.coalesce(F.sum(mark.bitwiseAND(F.lit(SUMMED_BITS))), F.lit(0)).alias("total"),
+            F.coalesce(F.sum(counted), F.lit(0)).alias("nulls"),
+            F.coalesce(F.bit_xor(marked), F.lit(0)).alias("parity"),
+            F.coalesce(F.sum(F.col(marked).bitwiseAND(F.lit(SUMMED_BITS))), F.lit(0)).alias("total"),
         )
+        return watched.drop(counted, marked)
 
     def check(self, name: str) -> None:
         found = [one.get for one in self.seen]

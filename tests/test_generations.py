@@ -181,6 +181,16 @@ def test_watching_takes_no_scan_of_its_own(spark, warehouse):
     assert plan.count("Scan orc") == plan_of(staged).count("Scan orc") and "Exchange" not in plan
 
 
+def test_watching_interprets_no_expression_of_all_columns(spark, warehouse):
+    from lakeferry.operators.warehouse import Compared
+
+    frame = spark.createDataFrame([(1, None), (2, "a")], "id long, v string")
+    watched = Compared(["id", "v"]).watch(frame)
+    assert watched.columns == frame.columns and rows(watched) == rows(frame)
+    observed = [line for line in plan_of(watched).splitlines() if " AS rows#" in line]
+    assert observed and not any("xxhash64" in line or "isnull" in line for line in observed)
+
+
 def test_types_that_do_not_fit_stop_a_load(spark, warehouse):
     day = list_days("2018-04-18", "2018-04-18")
     frame = spark.sql("SELECT 1 AS id, CAST(2 AS DECIMAL(5,2)) AS d, 20180418 AS yymmdd")
