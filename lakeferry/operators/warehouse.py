@@ -38,7 +38,7 @@ from pyspark.sql.types import (
 from lakeferry.functions.days import partition_value
 from lakeferry.operators import generations
 from lakeferry.operators.generations import DAY, Switch, drop_days, list_partitions, location
-from lakeferry.session import ADAPTIVE, FEW_DAYS, WIDE_TABLES, applied
+from lakeferry.session import ADAPTIVE, FEW_DAYS, SMALL_READS, WIDE_TABLES, applied
 
 __all__ = ["DAY", "LayersDiffer", "Warehouse", "list_partitions", "location"]
 
@@ -92,7 +92,7 @@ class Warehouse:
         settings = {**WIDE_TABLES, **FEW_DAYS}
         if not aligned:
             frame = frame.hint("rebalance", *([DAY] if len(days) > 1 else []))
-            settings = {**WIDE_TABLES, **ADAPTIVE}
+            settings |= ADAPTIVE
         self._switch(name, generations.new_days(conform(frame, table), table, days, settings, "snappy"))
 
     def finish(self, name: str) -> bool:
@@ -146,15 +146,17 @@ class Warehouse:
     ) -> None:
         """Replace these days in both layers, at once, and leave the others alone.
 
-        Days without staged rows lose their partition.
+        Days without staged rows lose their partition. Staged files hold a day each,
+        so a task has few days, whose rows need not be sorted.
         """
         self.finish(name)
         create_shaped(masked, self.masked(name), by_day=True)
         create_like(self.spark, self.raw(name), self.masked(name))
         compared = Compared(same)
-        switches = []
+        switches, settings = [], {**WIDE_TABLES, **FEW_DAYS, **SMALL_READS}
         for frame, table in ((masked, self.masked(name)), (raw, self.raw(name))):
-            switches += generations.new_days(compared.watch(conform(frame, table)), table, days)
+            watched = compared.watch(conform(frame, table))
+            switches += generations.new_days(watched, table, days, settings)
         compared.check(name)
         self._switch(name, switches)
 

@@ -1,6 +1,7 @@
 """What the plans of the loads must look like to hold at scale."""
 
 import re
+from datetime import datetime
 from uuid import uuid4
 
 import pytest
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 from lakeferry import COMPAT, LOG_TABLES, SNAPSHOT_TABLES, FrameSource, TableSpec
 from lakeferry.functions.days import as_day, day_key
 from lakeferry.operators.warehouse import conform, create_shaped
-from lakeferry.plans.loads import layers, stage_days, stage_snapshot
-from lakeferry.session import FEW_DAYS, applied
+from lakeferry.plans.loads import layers, load_days, stage_days, stage_snapshot
+from lakeferry.session import FEW_DAYS, WIDE_TABLES, applied
 from tests.conftest import plan_of
 from workload import inputs
 from workload.queries import QUERIES
@@ -68,6 +69,26 @@ def test_staging_aligned_days_does_not_sort(spark, warehouse):
         assert "Sort" not in insert_plan(events, warehouse.staging("events"))
 
 
+def test_loading_many_days_of_a_log_does_not_sort(spark, warehouse, monkeypatch):
+    seen = []
+
+    def planned(frame, table, days, settings=WIDE_TABLES, compression=None):
+        with applied(spark, settings):
+            seen.append(insert_plan(frame, table))
+        return []
+
+    monkeypatch.setattr("lakeferry.operators.generations.new_days", planned)
+    monkeypatch.setattr("lakeferry.operators.warehouse.Compared.check", lambda *given: None)
+    events = spark.createDataFrame(
+        [(n, datetime(2024, 1, 4 + n % 2), "x") for n in range(6)], "id long, ts timestamp_ntz, v string"
+    )
+    spec = TableSpec("events", ("id", "ts", "v"))
+    source = FrameSource(logs={"events": (events, "ts")})
+    load_days(source, warehouse, spec, "2024-01-04", "2024-01-05", None)
+    assert len(seen) == 3
+    assert not any("Sort" in plan for plan in seen)
+
+
 def test_staging_a_snapshot_does_not_sort(spark, warehouse):
     documents = spark.read.parquet(f"{SF}/documents.parquet").withColumn("yymmdd", F.lit(20240102))
     create_shaped(documents, warehouse.staging("documents"), by_day=True)
