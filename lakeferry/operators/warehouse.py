@@ -38,7 +38,7 @@ from pyspark.sql.types import (
 from lakeferry.functions.days import partition_value
 from lakeferry.operators import generations
 from lakeferry.operators.generations import DAY, Switch, drop_days, list_partitions, location
-from lakeferry.session import ADAPTIVE, FEW_DAYS, SMALL_READS, WIDE_TABLES, applied
+from lakeferry.session import ADAPTIVE, FEW_DAYS, WIDE_TABLES, applied
 
 __all__ = ["DAY", "LayersDiffer", "Warehouse", "list_partitions", "location"]
 
@@ -153,7 +153,7 @@ class Warehouse:
         create_shaped(masked, self.masked(name), by_day=True)
         create_like(self.spark, self.raw(name), self.masked(name))
         compared = Compared(same)
-        switches, settings = [], {**WIDE_TABLES, **FEW_DAYS, **SMALL_READS}
+        switches, settings = [], {**WIDE_TABLES, **FEW_DAYS}
         for frame, table in ((masked, self.masked(name)), (raw, self.raw(name))):
             watched = compared.watch(conform(frame, table))
             switches += generations.new_days(watched, table, days, settings)

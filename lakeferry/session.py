@@ -19,11 +19,6 @@ WIDE_TABLES = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 # a task with more days than this is sorted from there on.
 FEW_DAYS = {"spark.sql.maxConcurrentOutputFileWriters": "4"}
 
-# Staged files are of one day and about 40 MB, a lot of work at some 50 columns.
-# A task that reads one of them rather than three has a single day to write, and
-# all cores have tasks to the end.
-SMALL_READS = {"spark.sql.files.maxPartitionBytes": "64m"}
-
 # Rebalancing is by size only where plans are made anew at run time.
 ADAPTIVE = {"spark.sql.adaptive.enabled": "true"}
 
