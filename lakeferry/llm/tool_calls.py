@@ -5,14 +5,18 @@ first result of its identifier that comes after it. Arguments are JSON. A value
 `{"$ref": id}` in them refers to the result of another call, so calls have an
 order: as they come, except that a call stands behind all calls that it refers
 to. Where all references of a conversation are to earlier calls, the usual case, that is
-all. In the others it is worked out by rounds of joins, in which each call also keeps a pointer
-along its references that doubles in length: so chains of references, and cycles, take
-rounds by the logarithm of their length (see `_walks` and `_places`). Arguments are
+all. In the others of the large ones it is worked out by rounds of joins, in which each call
+also keeps a pointer along its references that doubles in length: so chains of references, and
+cycles, take rounds by the logarithm of their length (see `_walks` and `_places`). Arguments are
 checked against the schema of their tool, and written with sorted keys and
 without white space.
 
-Nothing is gathered per conversation: each call is a row, however long its
-conversation is. Rows are sorted by conversation and order, in ranges.
+The text of calls and results is moved once: rows are dealt to ranges of
+conversations, and each conversation is linked in the task that gets it (`_here`).
+Conversations of over `MOST_ROWS` rows or `MOST_BYTES` of text are not gathered: there
+each call stays a row, however long its conversation is, all is done by joins
+(`_by_joins`), and the rows made are dealt to ranges of the order with the others. Both
+ways make the same rows. They are sorted by conversation and order, in ranges.
 
 Status, the first that holds: `no id`; `repeated` (not the first call of its
 identifier); `bad json`; `unknown tool`; `invalid` (against the schema);
@@ -28,16 +32,24 @@ of null. Empty tables give empty results. Other columns are not read.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeferry.llm.scratch import Scratch
 
 Schema = Mapping[str, object]
 
+#: rows, and bytes of text, of a conversation that is linked in one task
+MOST_ROWS = 50_000
+MOST_BYTES = 16 << 20
+
+# kinds of rows dealt to the ranges: those of large conversations are made already
+_CALL, _RESULT, _MADE = 0, 1, 2
+
 _TYPES = {
     "object": lambda v: isinstance(v, dict),
     "array": lambda v: isinstance(v, list),
@@ -94,31 +106,49 @@ def references(value: object) -> Iterator[str]:
             yield from references(inner)
 
 
+_ENCODER = json.JSONEncoder(sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+
+
 def canonical(value: object) -> str:
     """JSON with sorted keys, no white space, and characters as they are."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return _ENCODER.encode(value)
 
 
 def _refuse(name: str):
     raise ValueError(name)
 
 
-def _parsed(schemas: Mapping[str, Schema]):
-    def one(name: str | None, arguments: str | None) -> tuple[str | None, str | None, list[str]]:
-        try:
-            value = json.loads(arguments or "", parse_constant=_refuse)
-            text = canonical(value)
-        except (ValueError, RecursionError):
+_DECODER = json.JSONDecoder(parse_constant=_refuse)
+
+
+def _parse(
+    schemas: Mapping[str, Schema], name: str | None, arguments: str | None
+) -> tuple[str | None, str | None, list[str]]:
+    """The error of a call, its arguments as canonical JSON, and what they refer to."""
+    try:
+        if (arguments or "").startswith("\ufeff"):
             return "bad json", None, []
-        if name not in schemas:
-            return "unknown tool", text, []
-        error = None if valid(value, schemas[name]) else "invalid"
-        return error, text, sorted(set(references(value)))
+        value = _DECODER.decode(arguments or "")
+        text = canonical(value)
+    except (ValueError, RecursionError):
+        return "bad json", None, []
+    if name not in schemas:
+        return "unknown tool", text, []
+    error = None if valid(value, schemas[name]) else "invalid"
+    return error, text, sorted(set(references(value)))
 
+
+def _record(arguments: str | None, call_id: str | None, name: str | None, content: object) -> str:
+    """A call and its result as JSON; the arguments are JSON already."""
+    parts = (canonical(x) for x in (call_id, name, content))
+    return '{{"arguments":{},"id":{},"name":{},"result":{}}}'.format(arguments or "null", *parts)
+
+
+def _parsed(schemas: Mapping[str, Schema]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, arguments = (batch.column(c).to_pylist() for c in ("name", "arguments"))
-            rows = [one(*row) for row in zip(names, arguments, strict=True)]
+            rows = [_parse(schemas, *row) for row in zip(names, arguments, strict=True)]
             errors, texts, refs = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -256,15 +286,19 @@ def _places(calls: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.save(moved.unionByName(gone), "moved")
 
 
-def linked(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:
-    """One row per call, and per result without one.
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("arguments", "call_id", "name", "content"))
+        records = [_record(*row) for row in zip(*columns, strict=True)]
+        names = batch.schema.names[:-3]
+        kept = [batch.column(c) for c in names]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(records, pa.string())], names=[*names, "record"])
 
-    `calls` has conv_id, turn, call_id, name and arguments (JSON), `results` has
-    conv_id, turn, call_id and content. Columns: conv_id, call_id, turn,
-    result_turn, order_turn and order_step (the place; null for cycles and
-    orphans), status, and record, the call and its result as canonical JSON.
-    """
-    scratch = Scratch(calls.sparkSession)
+
+def _by_joins(
+    calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema], scratch: Scratch
+) -> DataFrame:
+    """The rows of `linked`, in no order, where each call is a row of its own from first to last."""
     calls = calls.select("conv_id", "turn", "call_id", "name", "arguments").distinct()
     results = results.select("conv_id", "turn", "call_id", "content").distinct()
     kinds = dict(calls.dtypes)
@@ -281,7 +315,11 @@ def linked(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema])
         F.struct("f.turn", "f.name", "f.arguments")
     )
     rows = parsed.alias("p").join(firsts.alias("f"), same, "left")
-    rows = rows.select("p.*", F.col("f.call_id").isNotNull().alias("first"))
+    rows = scratch.save(rows.select("p.*", F.col("f.call_id").isNotNull().alias("first")), "rows")
+    scratch.drop("parsed")
+    # without their text from here on
+    firsts = rows.where("first").select("conv_id", "call_id", "turn").distinct()
+    firsts = scratch.save(firsts, "firsts")
 
     edges = rows.where("first").select("conv_id", "call_id", F.explode("refs").alias("ref"))
     edges = edges.alias("e").join(firsts.alias("f"), _on("e", "f", "ref"), "left")
@@ -340,19 +378,243 @@ def linked(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema])
     )
     every = rows.unionByName(orphans)
     schema = every.drop("name", "arguments", "content").withColumn("record", F.lit(None).cast("string")).schema
-    order = ["conv_id", "order_turn", "order_step", "turn", "call_id"]
-    return every.mapInArrow(_records, schema).repartitionByRange(*order).sortWithinPartitions(*order)
+    return every.mapInArrow(_records, schema)
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Write the call and its result as JSON; the arguments are JSON already."""
+def _same(one: object, other: object) -> bool:
+    """Equality as of groups: NULL is NULL, and NaN is NaN."""
+    return one == other or (one != one and other != other)
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.Table]]:
+    """Rows of whole conversations; and rows that are made already, as they come."""
+    held: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
-        records = []
-        columns = (batch.column(c).to_pylist() for c in ("call_id", "name", "arguments", "content"))
-        for call_id, name, arguments, content in zip(*columns, strict=True):
-            parts = (canonical(x) for x in (call_id, name, content))
-            record = '{{"arguments":{},"id":{},"name":{},"result":{}}}'
-            records.append(record.format(arguments or "null", *parts))
-        names = batch.schema.names[:-3]
-        kept = [batch.column(c) for c in names]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(records, pa.string())], names=[*names, "record"])
+        kinds, convs = (batch.column(c).to_pylist() for c in ("kind", "conv_id"))
+        lo = 0
+        while lo < len(kinds):
+            made, hi = kinds[lo] == _MADE, lo + 1
+            while hi < len(kinds) and (kinds[hi] == _MADE) == made:
+                hi += 1
+            if held and (made or not _same(last, convs[lo])):
+                yield False, pa.Table.from_batches(held)
+                held = []
+            if made:
+                yield True, pa.Table.from_batches([batch.slice(lo, hi - lo)])
+            else:
+                cut = hi - 1
+                while cut > lo and _same(convs[cut - 1], convs[cut]):
+                    cut -= 1
+                if cut > lo:
+                    yield False, pa.Table.from_batches([*held, batch.slice(lo, cut - lo)])
+                    held = []
+                held.append(batch.slice(cut, hi - cut))
+                last = convs[hi - 1]
+            lo = hi
+    if held:
+        yield False, pa.Table.from_batches(held)
+
+
+def _ranks(turns: list) -> list[int]:
+    """The place of each turn among the different ones, which come in order; 0 for null."""
+    ranks, rank, before = [], 0, None
+    for turn in turns:
+        if turn is not None and (rank == 0 or not _same(turn, before)):
+            rank, before = rank + 1, turn
+        ranks.append(0 if turn is None else rank)
+    return ranks
+
+
+def _settled(own: Mapping[str, int], refs: Mapping[str, list[str]]) -> dict[str, tuple[int, int] | None]:
+    """The place (turn, step) of each call behind all that it refers to; None in a cycle or behind one."""
+    waits = {call: len(found) for call, found in refs.items()}
+    behind: dict[str, list[str]] = {}
+    for call, found in refs.items():
+        for ref in found:
+            behind.setdefault(ref, []).append(call)
+    places: dict[str, tuple[int, int] | None] = {call: (turn, 0) for call, turn in own.items()}
+    ready = [call for call in own if not waits.get(call)]
+    while ready:
+        turn, step = places[ref := ready.pop()]
+        for call in behind.get(ref, ()):
+            places[call] = max(places[call], (turn, step + 1))
+            waits[call] -= 1
+            if not waits[call]:
+                ready.append(call)
+    return places | {call: None for call, left in waits.items() if left}
+
+
+def _conversation(
+    schemas: Mapping[str, Schema], lo: int, hi: int, columns: Mapping[str, list]
+) -> list[tuple]:
+    """The rows of one conversation, in order: numbers of the rows that each turn comes from, and the rest."""
+    kinds, ids, names, arguments, contents = (
+        columns[c] for c in ("kind", "call_id", "name", "arguments", "content")
+    )
+    ranks = _ranks(columns["turn"][lo:hi])
+    of = dict(zip(ranks, range(lo, hi), strict=True))  # a row of each turn
+    calls, seen, least, refs = [], set(), {}, {}
+    for i in range(lo, hi):
+        if kinds[i] != _CALL:
+            continue
+        raw = (ranks[i - lo], ids[i], names[i], arguments[i])
+        if raw in seen:
+            continue
+        seen.add(raw)
+        error, text, found = _parse(schemas, names[i], arguments[i])
+        # NULL comes first
+        key = (ranks[i - lo], names[i] is not None, names[i] or "", text is not None, text or "")
+        calls.append((i, key, error, text))
+        if ids[i] is not None and (ids[i] not in least or key < least[ids[i]]):
+            least[ids[i]], refs[ids[i]] = key, found
+    asked = {call: key[0] for call, key in least.items()}
+    lost = {call for call, found in refs.items() if any(ref not in least for ref in found)}
+    refs = {call: there for call, found in refs.items() if (there := [ref for ref in found if ref in least])}
+    tangled = any(asked[ref] >= asked[call] for call, found in refs.items() for ref in found)
+    places = _settled(asked, refs) if tangled else {}
+
+    rows, replies, orphans = [], {}, set()
+    for i in range(lo, hi):
+        if kinds[i] != _RESULT:
+            continue
+        rank, call = ranks[i - lo], ids[i]
+        if call in asked:
+            if call not in replies and (not asked[call] or rank > asked[call]):
+                replies[call] = i
+        elif (row := (rank, call, canonical(contents[i]))) not in orphans:
+            orphans.add(row)
+            order = (0, -1, 0, call is not None, call or "")
+            rows.append((order, i, None, i, None, None, "orphan", _record(None, call, None, contents[i])))
+    for i, key, error, text in calls:
+        call = ids[i]
+        first = call is not None and key == least[call]
+        place = places.get(call, (key[0], 0)) if first else (key[0], 0)
+        reply = replies.get(call) if first else None
+        if call is None:
+            status = "no id"
+        elif not first:
+            status = "repeated"
+        elif error is not None:
+            status = error
+        elif call in lost:
+            status = "missing"
+        elif place is None:
+            status = "cycle"
+        else:
+            status = "unanswered" if reply is None else "ok"
+        turn, step = place or (0, None)
+        order = (turn, -1 if step is None else step, key[0], call is not None, call or "")
+        record = _record(text, call, names[i], None if reply is None else contents[reply])
+        at = None if place is None else of[turn]
+        rows.append((order, i, i, reply, at, step, status, record))
+    return sorted(rows, key=lambda row: row[0])
+
+
+def _here(schemas: Mapping[str, Schema]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Link the conversations of a task, whose rows come by conversation, turn, kind, identifier and content."""
+    names = ["conv_id", "call_id", "turn", "result_turn", "order_turn", "order_step", "status", "record"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for made, table in _whole(batches):
+            table = table.combine_chunks()
+            if made:  # see `_dealt`
+                table = table.select([*names[:-2], "name", "arguments"]).rename_columns(names)
+                yield from table.to_batches()
+                continue
+            columns = {
+                c: table.column(c).to_pylist()
+                for c in ("conv_id", "turn", "kind", "call_id", "name", "arguments", "content")
+            }
+            convs = columns["conv_id"]
+            starts = [0, *(i for i in range(1, len(convs)) if not _same(convs[i - 1], convs[i])), len(convs)]
+            rows = []
+            for lo, hi in zip(starts, starts[1:], strict=False):
+                rows += _conversation(schemas, lo, hi, columns)
+            _, at, turn, reply, order, step, status, record = zip(*rows, strict=True)
+            take = lambda c, of: table.column(c).combine_chunks().take(pa.array(of, pa.int64()))
+            made = pa.Table.from_arrays(
+                [
+                    take("conv_id", at),
+                    take("call_id", at),
+                    take("turn", turn),
+                    take("turn", reply),
+                    take("turn", order),
+                    pa.array(step, pa.int32()),
+                    pa.array(status, pa.string()),
+                    pa.array(record, pa.string()),
+                ],
+                names=names,
+            )
+            yield from made.to_batches()
+
+    return run
+
+
+def _large(calls: DataFrame, results: DataFrame) -> DataFrame:
+    """(conv_id) of conversations that are not gathered in one task."""
+    size = lambda c: F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("long").alias("bytes")
+    sizes = calls.select("conv_id", size("arguments")).unionByName(results.select("conv_id", size("content")))
+    sizes = sizes.groupBy("conv_id").agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes"))
+    return sizes.where((F.col("rows") > MOST_ROWS) | (F.col("bytes") > MOST_BYTES)).select("conv_id")
+
+
+def linked(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:
+    """One row per call, and per result without one.
+
+    `calls` has conv_id, turn, call_id, name and arguments (JSON), `results` has
+    conv_id, turn, call_id and content. Columns: conv_id, call_id, turn,
+    result_turn, order_turn and order_step (the place; null for cycles and
+    orphans), status, and record, the call and its result as canonical JSON.
+    """
+    scratch = Scratch(calls.sparkSession)
+    calls = calls.select("conv_id", "turn", "call_id", "name", "arguments")
+    results = results.select("conv_id", "turn", "call_id", "content")
+    kinds, others = dict(calls.dtypes), dict(results.dtypes)
+    large = scratch.save(_large(calls, results), "large")
+    made = None
+    if not large.isEmpty():
+        same = F.col("r.conv_id").eqNullSafe(F.col("x.conv_id"))
+        # a row for MOST_ROWS rows or MOST_BYTES bytes of the input at most
+        of = lambda frame, how: frame.alias("r").join(F.broadcast(large).alias("x"), same, how)
+        made = _by_joins(of(calls, "left_semi"), of(results, "left_semi"), schemas, scratch)
+        made = scratch.save(made, "made")
+        calls, results = of(calls, "left_anti"), of(results, "left_anti")
+    rows = _dealt(calls, results, made)
+    types = {field.name: field.dataType for field in rows.schema}
+    schema = T.StructType(
+        [
+            T.StructField("conv_id", types["conv_id"]),
+            T.StructField("call_id", T.StringType()),
+            *(T.StructField(c, types["turn"]) for c in ("turn", "result_turn", "order_turn")),
+            T.StructField("order_step", T.IntegerType()),
+            T.StructField("status", T.StringType()),
+            T.StructField("record", T.StringType()),
+        ]
+    )
+    found = rows.mapInArrow(_here(schemas), schema)
+    cast = {"turn": kinds["turn"], "result_turn": others["turn"], "order_turn": kinds["turn"]}
+    cast = {c: kind for c, kind in cast.items() if kind != types["turn"].simpleString()}
+    return found.withColumns({c: F.col(c).cast(kind) for c, kind in cast.items()}) if cast else found
+
+
+def _dealt(calls: DataFrame, results: DataFrame, made: DataFrame | None) -> DataFrame:
+    """Calls and results in ranges of conversations, with the rows made of large ones in ranges of their order."""
+    null = lambda kind: F.lit(None).cast(kind)
+    turn = calls.select("turn").union(results.select("turn")).dtypes[0][1]
+    content = dict(results.dtypes)["content"]
+    none = [null(turn).alias(c) for c in ("result_turn", "order_turn")] + [null("int").alias("order_step")]
+    calls = calls.select("*", null(content).alias("content"), F.lit(_CALL).alias("kind"), *none)
+    text = [null("string").alias(c) for c in ("name", "arguments")]
+    rows = calls.unionByName(results.select("*", *text, F.lit(_RESULT).alias("kind"), *none))
+    if made is None:
+        rows = rows.repartitionByRange("conv_id")
+    else:
+        names = [F.col("status").alias("name"), F.col("record").alias("arguments")]
+        made = made.select("*", *names, null(content).alias("content"), F.lit(_MADE).alias("kind"))
+        made = made.withColumns({c: F.col(c).cast(turn) for c in ("turn", "result_turn", "order_turn")})
+        rows = rows.unionByName(made.drop("status", "record"))
+        # a conversation that is linked in one task has one key
+        own = [F.when(F.col("kind") == _MADE, F.col(c)) for c in ("turn", "call_id")]
+        rows = rows.repartitionByRange("conv_id", "order_turn", "order_step", *own)
+    return rows.sortWithinPartitions("conv_id", "order_turn", "order_step", "turn", "kind", "call_id", "content")

@@ -2,8 +2,13 @@
 
 import json
 import random
+from decimal import Decimal
 
+import pytest
 from lakeferry.llm import tool_calls as tc
+from pyspark.sql import functions as F
+
+from tests.conftest import plan_of, rows
 
 SCHEMAS = {
     "add": {
@@ -146,3 +151,89 @@ def test_rounds_are_few_beside_many_references(spark, monkeypatch):
 def test_empty(spark):
     assert run(spark, [], []) == []
     assert [r.status for r in run(spark, [], [(1, 1, "a", "b")])] == ["orphan"]
+
+
+@pytest.mark.parametrize(
+    "case", [test_statuses, test_calls_stand_behind_what_they_refer_to, test_cycles_beside_chains_and_forward_references]
+)
+def test_the_same_by_joins(spark, monkeypatch, case):
+    monkeypatch.setattr(tc, "MOST_ROWS", 0)
+    case(spark)
+
+
+def test_rounds_are_few_by_joins(spark, monkeypatch):
+    monkeypatch.setattr(tc, "MOST_ROWS", 0)
+    test_rounds_are_few_beside_many_references(spark, monkeypatch)
+
+
+def odd(pick):
+    """Calls and results with nulls, repeats, lost, forward and circular references, dealt to uneven conversations."""
+    calls, results = [], []
+    ids = [None, "a", "b", "c", "d", "e", "é", ""]
+    for conv in [None, *range(60)]:
+        for _ in range(pick.choice([1, 3, 9, 30])):
+            turn, call = pick.choice([None, 0, 1, 2, 3, 4]), pick.choice(ids)
+            refs = [{"$ref": pick.choice([*ids[1:6], "nowhere"])} for _ in range(pick.choice([0, 0, 1, 2]))]
+            good = json.dumps({"a": 1, "b": refs}, indent=pick.choice([None, 1]))
+            arguments = pick.choice([good, good, good, good, '{"a": 10}', "{", "\ufeff{}", None])
+            calls.append((conv, turn, call, pick.choice(["add", "add", "add", "mul", None]), arguments))
+            results.append((conv, pick.choice([None, 1, 2, 3, 4, 5]), pick.choice(ids), pick.choice([None, "x", "y"])))
+    return calls + pick.sample(calls, 40), results + pick.sample(results, 40)
+
+
+def test_large_conversations_beside_others(spark, monkeypatch):
+    calls, results = odd(random.Random(3))
+
+    def found(most_rows, most_bytes=1 << 20, batch="10000"):
+        monkeypatch.setattr(tc, "MOST_ROWS", most_rows)
+        monkeypatch.setattr(tc, "MOST_BYTES", most_bytes)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            return run(spark, calls, results)
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    place = lambda row: tuple((x is not None, x) for x in (row[0], row[4], row[5], row[2], row[1]))
+    wanted = found(0)
+    assert {r.status for r in wanted} > {"ok", "cycle", "missing", "orphan", "repeated", "no id"}
+    for made in (found(1 << 20), found(20), found(1 << 20, 300), found(20, batch="7")):
+        assert sorted(map(tuple, made), key=repr) == sorted(map(tuple, wanted), key=repr)
+        assert [place(r) for r in made] == [place(r) for r in wanted] == sorted(map(place, wanted))
+
+
+def test_text_is_moved_once(spark):
+    """The text of ordinary conversations goes through one exchange, without a join."""
+    calls = spark.createDataFrame([(k % 7, k, str(k), "add", '{"a": 1}', 0) for k in range(100)], CALLS)
+    results = spark.createDataFrame([(k % 7, k + 1, str(k), "r", 0) for k in range(100)], RESULTS)
+    found = tc.linked(calls, results, SCHEMAS)
+    plan = plan_of(found).partition("Initial Plan")[0].partition("\n\n")[0]
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert found.where("status = 'ok' AND result_turn = turn + 1").count() == 100
+
+
+def test_types_of_turns_and_conversations(spark):
+    """Turns of two types are compared, and come in their own; NaN is one conversation; content is any JSON."""
+    calls = "conv_id double, turn int, call_id string, name string, arguments string"
+    calls = spark.createDataFrame([(float("nan"), 1, "a", "add", '{"a": 1}'), (None, 2, "b", "add", '{"a": 1}')], calls)
+    results = [(float("nan"), Decimal("1.5"), "a", 3), (None, Decimal("1.5"), "b", 4), (0.5, None, None, None)]
+    results = spark.createDataFrame(results, "conv_id double, turn decimal(5,1), call_id string, content int")
+    for most in (0, 100):
+        tc.MOST_ROWS, before = most, tc.MOST_ROWS
+        try:
+            found = tc.linked(calls, results, SCHEMAS)
+            got = rows(found.withColumn("conv_id", F.col("conv_id").cast("string")))
+        finally:
+            tc.MOST_ROWS = before
+        assert dict(found.dtypes) == {
+            "conv_id": "double", "call_id": "string", "turn": "int", "result_turn": "decimal(5,1)",
+            "order_turn": "int", "order_step": "int", "status": "string", "record": "string",
+        }
+        text = '{"arguments":{"a":1},"id":"%s","name":"add","result":%s}'
+        assert got == sorted(
+            [
+                ("NaN", "a", 1, Decimal("1.5"), 1, 0, "ok", text % ("a", 3)),
+                (None, "b", 2, None, 2, 0, "unanswered", text % ("b", "null")),
+                ("0.5", None, None, None, None, None, "orphan", '{"arguments":null,"id":null,"name":null,"result":null}'),
+            ],
+            key=repr,
+        )
